@@ -299,3 +299,121 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
         "camera_id", "feed_id", "batch_round",
         F.round("rolling_quarantine_rate", 9).alias("rolling_quarantine_rate"),
         F.array_join(F.transform("reasons", lambda r: r["type"]), ",").alias("reason_types"))
+
+
+# ---------------------------------------------------------------------------
+# Drift (S7, A7, W2..W4, K1..K11, A11, O2)
+# ---------------------------------------------------------------------------
+from ..functions.ks import asymptotic_pvalue_expr  # noqa: E402
+from ..operators import drift  # noqa: E402
+
+_RKEYS = ["feed_id", "batch_round", "camera_id"]
+
+
+@query("baseline_rows")
+def q_baseline_rows(spark, sf):
+    return _p(spark, sf).baseline.select("seq", "feed_id", "batch_round", "brightness_avg", "blur_metric")
+
+
+@query("baseline_centroid")
+def q_baseline_centroid(spark, sf):
+    b = _p(spark, sf).baseline.select(F.posexplode("embedding").alias("pos", "x"))
+    return b.groupBy("pos").agg(F.round(F.avg("x"), 9).alias("centroid_value"))
+
+
+@query("embedding_norm")
+def q_embedding_norm(spark, sf):
+    p = _p(spark, sf)
+    known = p.batches.where(F.col("camera_id").isin(list(CFG.known_cameras))).select("feed_id", "batch_round")
+    return (p.valid.join(known, ["feed_id", "batch_round"], "left_semi")
+            .select("seq", "feed_id", "batch_round", drift.norm_expr("embedding").alias("embedding_norm")))
+
+
+@query("drift_buffer")
+def q_drift_buffer(spark, sf):
+    return drift.drift_buffer(_p(spark, sf).batches).select(*_RKEYS, "buffer_total")
+
+
+@query("drift_status")
+def q_drift_status(spark, sf):
+    return drift.drift_status(_p(spark, sf).batches, CFG).select(
+        *_RKEYS, "status", "reason", F.col("buffer_size").cast("double").alias("buffer_size"))
+
+
+@query("drift_windows")
+def q_drift_windows(spark, sf):
+    p = _p(spark, sf)
+    w = drift.drift_windows(p.valid, p.batches, p.baseline_model, CFG).where(F.size("win") >= CFG.drift_window)
+    seqs = F.transform("win", lambda e: e["seq"])
+    return w.select(*_RKEYS, F.size("win").alias("window_size"),
+                    F.array_min(seqs).alias("first_seq"), F.array_max(seqs).alias("last_seq"),
+                    F.aggregate(seqs, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("seq_sum"))
+
+
+def _features(spark, sf):
+    return drift.drift_features(_p(spark, sf).drift_reports)
+
+
+@query("ks_statistic")
+def q_ks_statistic(spark, sf):
+    return _features(spark, sf).select(*_RKEYS, "feature", "ks_num", "ks_statistic")
+
+
+@query("ks_pvalue")
+def q_ks_pvalue(spark, sf):
+    return _features(spark, sf).select(*_RKEYS, "feature", "ks_num", F.round("p_value", 10).alias("p_value"))
+
+
+@query("ks_pvalue_asymptotic")
+def q_ks_pvalue_asymptotic(spark, sf):
+    f = _features(spark, sf)
+    return f.select(*_RKEYS, "feature", F.round(asymptotic_pvalue_expr(), 10).alias("p_value"))
+
+
+@query("feature_drift")
+def q_feature_drift(spark, sf):
+    return _features(spark, sf).select(*_RKEYS, "feature", "drift_detected")
+
+
+@query("centroid_similarity")
+def q_centroid_similarity(spark, sf):
+    r = _p(spark, sf).drift_reports.where(F.col("status") == "analyzed")
+    return r.select(*_RKEYS, F.round("mean_cosine_similarity", 9).alias("mean_cosine_similarity"))
+
+
+@query("centroid_distance")
+def q_centroid_distance(spark, sf):
+    r = _p(spark, sf).drift_reports.where(F.col("status") == "analyzed")
+    return r.select(*_RKEYS, F.round("mean_euclidean_distance", 9).alias("mean_euclidean_distance"))
+
+
+@query("drift_reports")
+def q_drift_reports(spark, sf):
+    r = _p(spark, sf).drift_reports
+    return r.select(*_RKEYS, "status", "reason", F.col("buffer_size").cast("double").alias("buffer_size"),
+                    F.col("window_size").cast("double").alias("window_size"), "drift_detected",
+                    *[F.coalesce(f"{f}_drift", F.lit(False)).alias(f"{f}_drift")
+                      for f in ("brightness_avg", "blur_metric", "embedding")],
+                    "brightness_avg_ks", "blur_metric_ks", "embedding_ks",
+                    *[F.round(f"{f}_p", 10).alias(f"{f}_p") for f in ("brightness_avg", "blur_metric", "embedding")])
+
+
+@query("drift_alerts")
+def q_drift_alerts(spark, sf):
+    a = drift.drift_alerts(_p(spark, sf).drift_reports)
+    return a.select(*_RKEYS, "feature", F.round("p_value", 10).alias("p_value"))
+
+
+@query("drifted_features")
+def q_drifted_features(spark, sf):
+    r = _p(spark, sf).drift_reports.where((F.col("status") == "analyzed") & F.col("drift_detected"))
+    r = r.withColumnRenamed("status", "drift_status")
+    feats = breaker.drifted_features_expr(r)
+    return r.select(*_RKEYS, F.array_join(feats, ", ").alias("features"),
+                    F.size(feats).alias("feature_count"))
+
+
+@query("tail_per_camera")
+def q_tail_per_camera(spark, sf):
+    p = _p(spark, sf)
+    return drift.tail_per_camera(p.valid, p.batches, CFG)

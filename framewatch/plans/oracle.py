@@ -262,3 +262,190 @@ Q["union_batches"] = with_(GATED, """
 SELECT feed_id, batch_round, seq FROM gated WHERE is_valid AND batch_round <= 15
 UNION ALL
 SELECT feed_id, batch_round, seq FROM gated WHERE is_valid AND batch_round > 15""")
+
+
+# ---------------------------------------------------------------------------
+# Drift (W2..W4, K1..K11, S7, A7, A11, O2)
+# ---------------------------------------------------------------------------
+_NORM = "sqrt(list_reduce(list_transform({e}, lambda x: x * x), lambda a, c: a + c))"
+
+DRIFT = GATED + f""",
+vrows AS (
+  SELECT g.feed_id, g.batch_round, g.seq, b.camera_id,
+         g.brightness_avg AS xb, g.blur_metric AS xl, {_NORM.format(e='g.embedding')} AS xn, g.embedding
+  FROM gated g JOIN batches b USING (feed_id, batch_round)
+  WHERE g.is_valid AND b.camera_id IN ({_KNOWN})),
+posd AS (
+  SELECT *, row_number() OVER (PARTITION BY camera_id ORDER BY batch_round, feed_id, seq) AS p FROM vrows),
+bstat AS (
+  SELECT feed_id, batch_round, camera_id, valid_count,
+         CAST(sum(valid_count) OVER (PARTITION BY camera_id ORDER BY batch_round, feed_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS buffer_total
+  FROM batches),
+dstatus AS (
+  SELECT feed_id, batch_round, camera_id, valid_count, buffer_total,
+    CASE WHEN valid_count = 0 THEN 'skipped' WHEN camera_id NOT IN ({_KNOWN}) THEN 'skipped'
+         WHEN buffer_total < {_W} THEN 'buffering' ELSE 'analyzed' END AS status,
+    CASE WHEN valid_count = 0 THEN 'empty_input' WHEN camera_id NOT IN ({_KNOWN}) THEN 'unknown_camera' END AS reason,
+    CAST(CASE WHEN valid_count = 0 THEN (CASE WHEN camera_id IN ({_KNOWN}) THEN buffer_total ELSE 0 END)
+              WHEN camera_id NOT IN ({_KNOWN}) THEN NULL
+              WHEN buffer_total < {_W} THEN buffer_total END AS BIGINT) AS buffer_size
+  FROM bstat),
+wrows AS (
+  SELECT s.feed_id, s.batch_round, s.camera_id, r.seq, r.xb, r.xl, r.xn, r.embedding
+  FROM dstatus s JOIN posd r
+    ON r.camera_id = s.camera_id AND r.p > s.buffer_total - {_W} AND r.p <= s.buffer_total
+  WHERE s.status = 'analyzed'),
+base AS (SELECT * FROM gated WHERE is_valid AND batch_round <= 7 ORDER BY seq LIMIT {_CFG.baseline_samples}),
+basev AS (SELECT seq, feed_id, batch_round, brightness_avg AS xb, blur_metric AS xl,
+                 {_NORM.format(e='embedding')} AS xn, embedding FROM base),
+bn AS (SELECT CAST(count(*) AS BIGINT) AS n2 FROM basev),
+wcount AS (
+  SELECT w.*,
+    (SELECT count(*) FROM basev b WHERE b.xb <= w.xb) AS ble_b, (SELECT count(*) FROM basev b WHERE b.xb < w.xb) AS blt_b,
+    (SELECT count(*) FROM basev b WHERE b.xl <= w.xl) AS ble_l, (SELECT count(*) FROM basev b WHERE b.xl < w.xl) AS blt_l,
+    (SELECT count(*) FROM basev b WHERE b.xn <= w.xn) AS ble_n, (SELECT count(*) FROM basev b WHERE b.xn < w.xn) AS blt_n
+  FROM wrows w),
+wpts AS (
+  SELECT a.feed_id, a.batch_round, a.camera_id, a.seq,
+    any_value(a.ble_b) AS ble_b, any_value(a.blt_b) AS blt_b, any_value(a.ble_l) AS ble_l,
+    any_value(a.blt_l) AS blt_l, any_value(a.ble_n) AS ble_n, any_value(a.blt_n) AS blt_n,
+    count(*) FILTER (WHERE c.xb <= a.xb) AS wle_b, count(*) FILTER (WHERE c.xb < a.xb) AS wlt_b,
+    count(*) FILTER (WHERE c.xl <= a.xl) AS wle_l, count(*) FILTER (WHERE c.xl < a.xl) AS wlt_l,
+    count(*) FILTER (WHERE c.xn <= a.xn) AS wle_n, count(*) FILTER (WHERE c.xn < a.xn) AS wlt_n
+  FROM wcount a JOIN wcount c ON a.feed_id = c.feed_id AND a.batch_round = c.batch_round
+  GROUP BY a.feed_id, a.batch_round, a.camera_id, a.seq),
+ksn AS (
+  SELECT feed_id, batch_round, camera_id, CAST(count(*) AS BIGINT) AS n1, any_value(bn.n2) AS n2,
+    CAST(max(greatest(abs(wle_b * bn.n2 - ble_b * {_W}), abs(wlt_b * bn.n2 - blt_b * {_W}))) AS BIGINT) AS kn_b,
+    CAST(max(greatest(abs(wle_l * bn.n2 - ble_l * {_W}), abs(wlt_l * bn.n2 - blt_l * {_W}))) AS BIGINT) AS kn_l,
+    CAST(max(greatest(abs(wle_n * bn.n2 - ble_n * {_W}), abs(wlt_n * bn.n2 - blt_n * {_W}))) AS BIGINT) AS kn_n
+  FROM wpts, bn GROUP BY feed_id, batch_round, camera_id),
+ks_long AS (
+  SELECT feed_id, batch_round, camera_id, n1, n2, 'brightness_avg' AS feature, kn_b AS ks_num FROM ksn
+  UNION ALL SELECT feed_id, batch_round, camera_id, n1, n2, 'blur_metric', kn_l FROM ksn
+  UNION ALL SELECT feed_id, batch_round, camera_id, n1, n2, 'embedding', kn_n FROM ksn),
+trip AS (SELECT DISTINCT n1, n2, ks_num AS kn FROM ks_long),
+pvr(n1, n2, kn, t, st) AS (
+  SELECT n1, n2, kn, 0, list_transform(range(0, n1 + 1), lambda i: CAST(0.0 AS DOUBLE)) FROM trip
+  UNION ALL
+  SELECT n1, n2, kn, t + 1,
+    list_transform(range(0, n1 + 1), lambda i:
+      CASE WHEN (t + 1) - i < 0 OR (t + 1) - i > n2 THEN CAST(0.0 AS DOUBLE)
+           WHEN abs(i * n2 - ((t + 1) - i) * n1) >= kn THEN CAST(1.0 AS DOUBLE)
+           ELSE CAST(i AS DOUBLE) / (t + 1) * (CASE WHEN i = 0 THEN CAST(0.0 AS DOUBLE) ELSE st[i] END)
+                + CAST((t + 1) - i AS DOUBLE) / (t + 1) * st[i + 1] END)
+  FROM pvr WHERE t < n1 + n2),
+pv AS (SELECT n1, n2, kn, CASE WHEN kn <= 0 THEN CAST(1.0 AS DOUBLE) ELSE st[n1 + 1] END AS p_value
+       FROM pvr WHERE t = n1 + n2),
+kfeat AS (
+  SELECT k.*, CAST(k.ks_num AS DOUBLE) / (k.n1 * k.n2) AS ks_statistic, pv.p_value,
+         pv.p_value < {_CFG.drift_alpha} AS drift_detected
+  FROM ks_long k JOIN pv ON pv.n1 = k.n1 AND pv.n2 = k.n2 AND pv.kn = k.ks_num),
+wcen AS (
+  SELECT feed_id, batch_round, pos, avg(x) AS wc
+  FROM (SELECT feed_id, batch_round, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM wrows)
+  GROUP BY feed_id, batch_round, pos),
+bcen AS (
+  SELECT pos, avg(x) AS bc
+  FROM (SELECT unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM basev) GROUP BY pos),
+cm AS (
+  SELECT feed_id, batch_round,
+    CAST(1.0 AS DOUBLE) - (CAST(1.0 AS DOUBLE) - sum(wc * bc) / (sqrt(sum(wc * wc)) * (SELECT sqrt(sum(bc * bc)) FROM bcen)))
+      AS mean_cosine_similarity,
+    sqrt(sum((wc - bc) * (wc - bc))) AS mean_euclidean_distance
+  FROM wcen JOIN bcen USING (pos) GROUP BY feed_id, batch_round),
+reports AS (
+  SELECT s.feed_id, s.batch_round, s.camera_id, s.status, s.reason, s.buffer_size,
+    CASE WHEN s.status = 'analyzed' THEN CAST(k.n1 AS INTEGER) END AS window_size,
+    coalesce(s.status = 'analyzed' AND (fb.drift_detected OR fl.drift_detected OR fn.drift_detected), false) AS drift_detected,
+    fb.drift_detected AS brightness_avg_drift, fl.drift_detected AS blur_metric_drift, fn.drift_detected AS embedding_drift,
+    fb.p_value AS brightness_avg_p, fl.p_value AS blur_metric_p, fn.p_value AS embedding_p,
+    fb.ks_statistic AS brightness_avg_ks, fl.ks_statistic AS blur_metric_ks, fn.ks_statistic AS embedding_ks,
+    cm.mean_cosine_similarity, cm.mean_euclidean_distance
+  FROM dstatus s
+  LEFT JOIN ksn k USING (feed_id, batch_round)
+  LEFT JOIN kfeat fb ON fb.feed_id = s.feed_id AND fb.batch_round = s.batch_round AND fb.feature = 'brightness_avg'
+  LEFT JOIN kfeat fl ON fl.feed_id = s.feed_id AND fl.batch_round = s.batch_round AND fl.feature = 'blur_metric'
+  LEFT JOIN kfeat fn ON fn.feed_id = s.feed_id AND fn.batch_round = s.batch_round AND fn.feature = 'embedding'
+  LEFT JOIN cm ON cm.feed_id = s.feed_id AND cm.batch_round = s.batch_round)"""
+
+
+def with_rec(ctes: str, body: str) -> str:
+    return "WITH RECURSIVE " + ctes.strip() + "\n" + body
+
+
+Q["baseline_rows"] = with_rec(DRIFT, """
+SELECT seq, feed_id, batch_round, xb AS brightness_avg, xl AS blur_metric FROM basev""")
+
+Q["baseline_centroid"] = with_rec(DRIFT, """
+SELECT CAST(pos - 1 AS INTEGER) AS pos, round(bc, 9) AS centroid_value FROM bcen""")
+
+Q["embedding_norm"] = with_rec(DRIFT, """
+SELECT seq, feed_id, batch_round, xn AS embedding_norm FROM vrows""")
+
+Q["drift_buffer"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id, buffer_total FROM bstat""")
+
+Q["drift_status"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id, status, reason, CAST(buffer_size AS DOUBLE) AS buffer_size FROM dstatus""")
+
+Q["drift_windows"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id, CAST(count(*) AS INTEGER) AS window_size,
+       min(seq) AS first_seq, max(seq) AS last_seq, CAST(sum(seq) AS BIGINT) AS seq_sum
+FROM wrows GROUP BY feed_id, batch_round, camera_id""")
+
+Q["ks_statistic"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id, feature, ks_num, ks_statistic FROM kfeat""")
+
+Q["ks_pvalue"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id, feature, ks_num, round(p_value, 10) AS p_value FROM kfeat""")
+
+Q["ks_pvalue_asymptotic"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id, feature,
+  round(least(1.0, greatest(0.0, CASE WHEN ks_statistic <= 0 THEN 1.0 ELSE
+    list_reduce(list_transform(range(1, 101), lambda k:
+      CAST(2.0 AS DOUBLE) * (CASE WHEN k % 2 = 1 THEN CAST(1.0 AS DOUBLE) ELSE CAST(-1.0 AS DOUBLE) END)
+      * exp(CAST(-2.0 AS DOUBLE) * k * k * ks_statistic * ks_statistic
+            * round(CAST(n1 AS DOUBLE) * n2 / (n1 + n2)))), lambda a, c: a + c) END)), 10) AS p_value
+FROM kfeat""")
+
+Q["feature_drift"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id, feature, drift_detected FROM kfeat""")
+
+Q["centroid_similarity"] = with_rec(DRIFT, """
+SELECT s.feed_id, s.batch_round, s.camera_id, round(cm.mean_cosine_similarity, 9) AS mean_cosine_similarity
+FROM dstatus s JOIN cm USING (feed_id, batch_round)""")
+
+Q["centroid_distance"] = with_rec(DRIFT, """
+SELECT s.feed_id, s.batch_round, s.camera_id, round(cm.mean_euclidean_distance, 9) AS mean_euclidean_distance
+FROM dstatus s JOIN cm USING (feed_id, batch_round)""")
+
+Q["drift_reports"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id, status, reason, CAST(buffer_size AS DOUBLE) AS buffer_size,
+       CAST(window_size AS DOUBLE) AS window_size, drift_detected,
+       coalesce(brightness_avg_drift, false) AS brightness_avg_drift,
+       coalesce(blur_metric_drift, false) AS blur_metric_drift, coalesce(embedding_drift, false) AS embedding_drift,
+       brightness_avg_ks, blur_metric_ks, embedding_ks,
+       round(brightness_avg_p, 10) AS brightness_avg_p, round(blur_metric_p, 10) AS blur_metric_p,
+       round(embedding_p, 10) AS embedding_p
+FROM reports""")
+
+Q["drift_alerts"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id, feature, round(p_value, 10) AS p_value FROM kfeat WHERE drift_detected""")
+
+Q["drifted_features"] = with_rec(DRIFT, """
+SELECT feed_id, batch_round, camera_id,
+  array_to_string(list_filter([CASE WHEN brightness_avg_drift THEN 'brightness_avg' END,
+                               CASE WHEN blur_metric_drift THEN 'blur_metric' END,
+                               CASE WHEN embedding_drift THEN 'embedding' END], lambda x: x IS NOT NULL), ', ') AS features,
+  CAST(coalesce(brightness_avg_drift::INT, 0) + coalesce(blur_metric_drift::INT, 0)
+       + coalesce(embedding_drift::INT, 0) AS INTEGER) AS feature_count
+FROM reports WHERE status = 'analyzed' AND drift_detected""")
+
+Q["tail_per_camera"] = with_rec(DRIFT, f"""
+SELECT camera_id, feed_id, batch_round, seq, rank_from_end FROM (
+  SELECT camera_id, feed_id, batch_round, seq,
+         CAST(row_number() OVER (PARTITION BY camera_id ORDER BY batch_round DESC, feed_id DESC, seq DESC) AS INTEGER)
+           AS rank_from_end
+  FROM vrows) WHERE rank_from_end <= {_W}""")
