@@ -292,14 +292,6 @@ def q_rolling_quarantine_rate(spark, sf):
                     F.round("rolling_quarantine_rate", 9).alias("rolling_quarantine_rate"))
 
 
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: latched-breaker trips (rate + drift) with their reasons."""
-    ev = _p(spark, sf).breaker_eval(with_drift=False)
-    return breaker.breaker_trips(ev).select(
-        "camera_id", "feed_id", "batch_round",
-        F.round("rolling_quarantine_rate", 9).alias("rolling_quarantine_rate"),
-        F.array_join(F.transform("reasons", lambda r: r["type"]), ",").alias("reason_types"))
-
 
 # ---------------------------------------------------------------------------
 # Drift (S7, A7, W2..W4, K1..K11, A11, O2)
@@ -417,3 +409,120 @@ def q_drifted_features(spark, sf):
 def q_tail_per_camera(spark, sf):
     p = _p(spark, sf)
     return drift.tail_per_camera(p.valid, p.batches, CFG)
+
+
+# ---------------------------------------------------------------------------
+# Breaker with drift (J1, I1, W5..W7) and incidents (I2..I7, A8..A10), A5
+# ---------------------------------------------------------------------------
+from ..operators import incidents as INC  # noqa: E402
+from ..operators import summary as SUM  # noqa: E402
+
+_BKEYS = ["camera_id", "feed_id", "batch_round"]
+
+
+def _types(col: str = "reasons") -> Column:
+    return F.array_join(F.transform(col, lambda r: r["type"]), ",")
+
+
+@query("qa_with_drift")
+def q_qa_with_drift(spark, sf):
+    ev = _p(spark, sf).evaluated
+    return ev.select(*_BKEYS, "valid_count", "quarantined_count", "drift_status",
+                     F.coalesce("drift_detected", F.lit(False)).alias("drift_detected"))
+
+
+@query("breaker_evaluation")
+def q_breaker_evaluation(spark, sf):
+    ev = _p(spark, sf).evaluated
+    return ev.select(*_BKEYS, F.round("rolling_quarantine_rate", 9).alias("rolling_quarantine_rate"),
+                     "should_trip", _types().alias("reason_types"),
+                     F.array_join(F.transform("reasons", lambda r: r["message"]), "; ").alias("messages"))
+
+
+@query("breaker_trips")
+def q_breaker_trips(spark, sf):
+    return flagship(spark, sf)
+
+
+@query("breaker_suppressed")
+def q_breaker_suppressed(spark, sf):
+    ev = breaker.breaker_suppressed(_p(spark, sf).evaluated)
+    return ev.select(*_BKEYS, F.col("trip_ordinal").cast("int").alias("trip_ordinal"), _types().alias("reason_types"))
+
+
+@query("breaker_timeline")
+def q_breaker_timeline(spark, sf):
+    return _p(spark, sf).evaluated.select(*_BKEYS, "breaker_state")
+
+
+def _incs(spark, sf):
+    return _p(spark, sf).incidents
+
+
+@query("incidents")
+def q_incidents(spark, sf):
+    i = _incs(spark, sf)
+    return i.select("incident_id", "camera_id", "batch_round", "severity", "status", "timestamp", "summary",
+                    F.col("metrics.rolling_quarantine_rate").alias("rolling_quarantine_rate"),
+                    F.col("metrics.qa_window_batches").alias("qa_window_batches"),
+                    F.col("drift_report").isNotNull().alias("has_drift_report"))
+
+
+@query("incident_notifications")
+def q_incident_notifications(spark, sf):
+    n = INC.incident_payloads(_incs(spark, sf), CFG)
+    return n.select("incident_id", F.col("notification_channels.chat.channel").alias("channel"),
+                    F.col("notification_channels.chat.text").alias("chat_text"),
+                    F.col("notification_channels.pager.routing_key").alias("routing_key"),
+                    F.col("notification_channels.pager.payload.summary").alias("pager_summary"))
+
+
+@query("retrain_requests")
+def q_retrain_requests(spark, sf):
+    r = INC.retrain_requests(_incs(spark, sf), CFG)
+    return r.select("request_id", "incident_id", "camera_id", "triggered_at", "pipeline", "engine", "action",
+                    "dag_id", F.col("metadata.batch_round").alias("batch_round"),
+                    F.size("inputs.reasons").alias("reason_count"))
+
+
+@query("incident_records")
+def q_incident_records(spark, sf):
+    r = INC.incident_records(_incs(spark, sf), CFG)
+    return r.select("incident_id", "camera_id", "batch_round", "alert_path",
+                    F.col("retraining.request_id").alias("request_id"),
+                    F.col("retraining.status").alias("retraining_status"),
+                    F.size("reasons").alias("reason_count"))
+
+
+@query("round_incidents")
+def q_round_incidents(spark, sf):
+    r = INC.round_incidents(_incs(spark, sf))
+    return r.select("batch_round", "incident_count", F.array_join("incident_ids", ",").alias("incident_ids"))
+
+
+@query("incident_summary")
+def q_incident_summary(spark, sf):
+    s = INC.incident_summary(_incs(spark, sf))
+    return s.select("total_incidents", F.array_join("tripped_cameras", ",").alias("tripped_cameras"))
+
+
+@query("pipeline_totals")
+def q_pipeline_totals(spark, sf):
+    p = _p(spark, sf)
+    return SUM.pipeline_totals(p.batches, p.drift_reports, p.incidents)
+
+
+@query("batch_telemetry")
+def q_batch_telemetry(spark, sf):
+    p = _p(spark, sf)
+    t = SUM.batch_telemetry(p.valid, p.batches)
+    return t.select("feed_id", "batch_round", "camera_id", "frame_count", "first_frame_id", "last_frame_id",
+                    *[F.round(c, 9).alias(c) for c in ("brightness_avg_mean", "brightness_avg_min",
+                                                       "blur_metric_mean", "embedding_mean", "embedding_std")])
+
+
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """Flagship: first trips of the latched breaker (rate + drift reasons)."""
+    ev = breaker.breaker_trips(_p(spark, sf).evaluated)
+    return ev.select(*_BKEYS, F.round("rolling_quarantine_rate", 9).alias("rolling_quarantine_rate"),
+                     _types().alias("reason_types"))

@@ -8,6 +8,7 @@ lists are returned as joined text so results hash the same in both engines.
 
 from __future__ import annotations
 
+from .. import config as C
 from ..config import FIXTURE_CONFIG
 
 _CFG = FIXTURE_CONFIG
@@ -449,3 +450,138 @@ SELECT camera_id, feed_id, batch_round, seq, rank_from_end FROM (
          CAST(row_number() OVER (PARTITION BY camera_id ORDER BY batch_round DESC, feed_id DESC, seq DESC) AS INTEGER)
            AS rank_from_end
   FROM vrows) WHERE rank_from_end <= {_W}""")
+
+
+# ---------------------------------------------------------------------------
+# Breaker with drift, incidents, summaries
+# ---------------------------------------------------------------------------
+_RATE_T = _CFG.rate_threshold
+_MINF = _CFG.min_drift_features
+
+BREAKER = DRIFT + f""",
+dlast AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT r.*, row_number() OVER (PARTITION BY camera_id, batch_round ORDER BY feed_id DESC) AS rn
+    FROM reports r) WHERE rn = 1),
+bev AS (
+  SELECT r.camera_id, r.feed_id, r.batch_round, r.valid_count, r.quarantined_count, r.rolling_quarantine_rate,
+    d.status AS drift_status, d.drift_detected, d.window_size AS drift_window_size,
+    CASE WHEN d.status = 'analyzed' AND d.drift_detected THEN
+      list_filter([CASE WHEN d.brightness_avg_drift THEN 'brightness_avg' END,
+                   CASE WHEN d.blur_metric_drift THEN 'blur_metric' END,
+                   CASE WHEN d.embedding_drift THEN 'embedding' END], lambda x: x IS NOT NULL)
+      ELSE CAST([] AS VARCHAR[]) END AS drifted
+  FROM rated r LEFT JOIN dlast d ON d.camera_id = r.camera_id AND d.batch_round = r.batch_round),
+bev2 AS (
+  SELECT *,
+    rolling_quarantine_rate > {_RATE_T} AS rate_trip,
+    len(drifted) >= {_MINF} AS drift_trip,
+    'QA quarantine rate ' || printf('%.2f%%', round_even(rolling_quarantine_rate * 100.0, 2))
+      || ' exceeds ' || printf('%.2f%%', round_even({_RATE_T} * 100.0, 2)) || ' threshold.' AS rate_msg,
+    'Drift detected across ' || CAST(len(drifted) AS VARCHAR) || ' features: '
+      || array_to_string(drifted, ', ') || '.' AS drift_msg
+  FROM bev),
+bev3 AS (
+  SELECT *, rate_trip OR drift_trip AS should_trip,
+    array_to_string(list_filter([CASE WHEN rate_trip THEN '{C.REASON_RATE}' END,
+                                 CASE WHEN drift_trip THEN '{C.REASON_DRIFT}' END], lambda x: x IS NOT NULL), ',')
+      AS reason_types,
+    array_to_string(list_filter([CASE WHEN rate_trip THEN rate_msg END,
+                                 CASE WHEN drift_trip THEN drift_msg END], lambda x: x IS NOT NULL), '; ')
+      AS messages
+  FROM bev2),
+bev4 AS (
+  SELECT *,
+    sum(CAST(should_trip AS INTEGER)) OVER (PARTITION BY camera_id ORDER BY batch_round, feed_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ordinal
+  FROM bev3),
+incs AS (
+  SELECT 'inc_' || e.camera_id || '_' || substr(sha256(e.camera_id || '|' || CAST(e.batch_round AS VARCHAR)), 1, 12)
+           AS incident_id,
+         e.*, b.last_timestamp || '+00:00' AS "timestamp",
+         'Circuit breaker tripped for ' || e.camera_id || ': ' || e.messages AS summary
+  FROM bev4 e JOIN batches b USING (feed_id, batch_round)
+  WHERE e.should_trip AND e.ordinal = 1)"""
+
+_C = _CFG
+
+Q["qa_with_drift"] = with_rec(BREAKER, """
+SELECT camera_id, feed_id, batch_round, valid_count, quarantined_count, drift_status,
+       coalesce(drift_detected, false) AS drift_detected FROM bev""")
+
+Q["breaker_evaluation"] = with_rec(BREAKER, """
+SELECT camera_id, feed_id, batch_round, round(rolling_quarantine_rate, 9) AS rolling_quarantine_rate,
+       should_trip, reason_types, messages FROM bev3""")
+
+Q["breaker_trips"] = with_rec(BREAKER, """
+SELECT camera_id, feed_id, batch_round, round(rolling_quarantine_rate, 9) AS rolling_quarantine_rate, reason_types
+FROM bev4 WHERE should_trip AND ordinal = 1""")
+
+Q["breaker_suppressed"] = with_rec(BREAKER, """
+SELECT camera_id, feed_id, batch_round, CAST(ordinal AS INTEGER) AS trip_ordinal, reason_types
+FROM bev4 WHERE should_trip AND ordinal > 1""")
+
+Q["breaker_timeline"] = with_rec(BREAKER, """
+SELECT camera_id, feed_id, batch_round,
+  CASE WHEN should_trip AND ordinal = 1 THEN 'tripped' WHEN ordinal > 0 THEN 'open' ELSE 'closed' END AS breaker_state
+FROM bev4""")
+
+Q["incidents"] = with_rec(BREAKER, f"""
+SELECT incident_id, camera_id, batch_round, '{_C.severity}' AS severity, 'open' AS status, "timestamp", summary,
+       round_even(rolling_quarantine_rate, 4) AS rolling_quarantine_rate,
+       {_C.qa_window_batches} AS qa_window_batches,
+       coalesce(drift_status = 'analyzed', false) AS has_drift_report
+FROM incs""")
+
+Q["incident_notifications"] = with_rec(BREAKER, f"""
+SELECT incident_id, '{_C.alert_channel}' AS channel,
+       ':rotating_light: *{_C.incident_title}* | camera `' || camera_id || '` | batch ' || CAST(batch_round AS VARCHAR)
+         || ' | quarantine_rate=' || printf('%.2f%%', round_even(rolling_quarantine_rate * 100.0, 2)) AS chat_text,
+       '{_C.pager_routing_key}' AS routing_key,
+       'Circuit breaker tripped for ' || camera_id AS pager_summary
+FROM incs""")
+
+Q["retrain_requests"] = with_rec(BREAKER, f"""
+SELECT 'retrain_' || substr(sha256('retrain|' || incident_id), 1, 12) AS request_id, incident_id, camera_id,
+       "timestamp" AS triggered_at, '{_C.retrain_pipeline}' AS pipeline, '{_C.retrain_engine}' AS engine,
+       '{_C.retrain_action}' AS action, '{_C.retrain_dag_id}' AS dag_id, batch_round,
+       CAST(len(string_split(reason_types, ',')) AS INTEGER) AS reason_count
+FROM incs""")
+
+Q["incident_records"] = with_rec(BREAKER, f"""
+SELECT incident_id, camera_id, batch_round, '{_C.alerts_dir}/' || incident_id || '.json' AS alert_path,
+       'retrain_' || substr(sha256('retrain|' || incident_id), 1, 12) AS request_id, 'queued' AS retraining_status,
+       CAST(len(string_split(reason_types, ',')) AS INTEGER) AS reason_count
+FROM incs""")
+
+Q["round_incidents"] = with_rec(BREAKER, """
+SELECT batch_round, CAST(count(*) AS BIGINT) AS incident_count,
+       array_to_string(list_sort(list(incident_id)), ',') AS incident_ids
+FROM incs GROUP BY batch_round""")
+
+Q["incident_summary"] = with_rec(BREAKER, """
+SELECT CAST(count(*) AS BIGINT) AS total_incidents,
+       coalesce(array_to_string(list_sort(list(DISTINCT camera_id)), ','), '') AS tripped_cameras
+FROM incs""")
+
+Q["pipeline_totals"] = with_rec(BREAKER, """
+SELECT 'total_quarantined_rows' AS metric, CAST(sum(quarantined_count) AS BIGINT) AS value FROM batches
+UNION ALL SELECT 'drift_alert_count', CAST(count(*) FILTER (WHERE drift_detected) AS BIGINT) FROM reports
+UNION ALL SELECT 'total_incidents', CAST(count(*) AS BIGINT) FROM incs""")
+
+Q["batch_telemetry"] = with_(GATED + """,
+vagg AS (
+  SELECT feed_id, batch_round, arg_min(camera_id, seq) AS camera_id, CAST(count(*) AS BIGINT) AS frame_count,
+         arg_min(frame_id, seq) AS first_frame_id, arg_max(frame_id, seq) AS last_frame_id,
+         avg(brightness_avg) AS bmean, min(brightness_avg) AS bmin, avg(blur_metric) AS lmean,
+         sum(list_reduce(embedding, lambda a, c: a + c)) AS s1,
+         sum(list_reduce(list_transform(embedding, lambda x: x * x), lambda a, c: a + c)) AS s2,
+         sum(len(embedding)) AS n
+  FROM gated WHERE is_valid GROUP BY feed_id, batch_round)""", """
+SELECT b.feed_id, b.batch_round, coalesce(v.camera_id, b.camera_id) AS camera_id,
+       coalesce(v.frame_count, 0) AS frame_count, v.first_frame_id, v.last_frame_id,
+       round(coalesce(v.bmean, 0.0), 9) AS brightness_avg_mean, round(coalesce(v.bmin, 0.0), 9) AS brightness_avg_min,
+       round(coalesce(v.lmean, 0.0), 9) AS blur_metric_mean,
+       round(coalesce(v.s1 / v.n, 0.0), 9) AS embedding_mean,
+       round(coalesce(sqrt(greatest(v.s2 / v.n - (v.s1 / v.n) * (v.s1 / v.n), 0.0)), 0.0), 9) AS embedding_std
+FROM batches b LEFT JOIN vagg v USING (feed_id, batch_round)""")

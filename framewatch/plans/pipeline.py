@@ -58,7 +58,12 @@ class GatePipeline:
     def evaluated(self) -> DataFrame:
         return self.breaker_eval(True)
 
-    # -- drift (filled in by operators.drift) -----------------------------
+    @cached_property
+    def incidents(self) -> DataFrame:
+        from ..operators import incidents
+        return incidents.incidents(self.evaluated, self.batches, self.drift_reports, self.cfg)
+
+    # -- drift ----------------------------------------------------------------
     @cached_property
     def drift_reports(self) -> DataFrame:
         from ..operators import drift
