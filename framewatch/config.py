@@ -69,6 +69,7 @@ class GateConfig:
     drift_alpha: float = DRIFT_ALPHA
     exact_ks_max_n: int = EXACT_KS_MAX_N
     pvalue_partitions: int = 64
+    pvalue_method: str = "sql"  # or "numpy": the same recursion vectorised in mapInPandas
     cosine_similarity_threshold: float = EMBEDDING_COSINE_SIM_THRESHOLD
     euclidean_distance_threshold: float = EMBEDDING_EUCLIDEAN_THRESHOLD
     rate_threshold: float = QA_QUARANTINE_RATE_THRESHOLD

@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import GateConfig
-from ..functions.ks import asymptotic_pvalue_expr, exact_pvalue_expr, ks_num_expr
+from pyspark import StorageLevel
+
+from ..functions.ks import asymptotic_pvalue_expr, exact_pvalue_expr, ks_num_expr, pvalue_batches
 
 # window struct field per drift feature (embedding drift is KS on L2 norms)
 FIELD = {"brightness_avg": "b", "blur_metric": "l", "embedding": "n"}
@@ -167,32 +169,63 @@ def window_statistics(windows: DataFrame, model: BaselineModel, cfg: GateConfig)
     return full.withColumns(cols).drop("win")
 
 
-def pvalue_table(stats: DataFrame, cfg: GateConfig) -> DataFrame:
+def feature_long(stats: DataFrame) -> DataFrame:
+    """One row per (window, feature) with its ``ks_num``."""
+    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"{f}_ks_num").alias("ks_num")) for f in FIELD]
+    return stats.select("camera_id", "feed_id", "batch_round", "n1", "n2",
+                        F.explode(F.array(*rows)).alias("_f")).select(
+        "camera_id", "feed_id", "batch_round", "n1", "n2", "_f.feature", "_f.ks_num")
+
+
+def pvalue_table(long: DataFrame, cfg: GateConfig) -> DataFrame:
     """K2/K3: p-value per distinct (n1, n2, ks_num); bounded by
-    W * (W * n2 + 1) rows whatever the data volume."""
-    triples = None
-    for feat in FIELD:
-        t = stats.select("n1", "n2", F.col(f"{feat}_ks_num").alias("ks_num"))
-        triples = t if triples is None else triples.unionByName(t)
-    # the distinct table is tiny but each row is a ~(n1+1)(n1+n2)-step
-    # recursion: spread it over tasks explicitly (AQE would coalesce it to one)
-    triples = triples.distinct().repartition(cfg.pvalue_partitions, "ks_num")
+    W * (W * n2 + 1) rows whatever the data volume.
+
+    ``cfg.pvalue_method``: ``"sql"`` (default) evaluates the exact recursion
+    as a native higher-order-function expression (stays in the JVM);
+    ``"numpy"`` evaluates the same recursion vectorised over the whole
+    bounded table in one ``mapInPandas`` pass.
+    """
+    triples = long.select("n1", "n2", "ks_num").distinct()
     d = F.col("ks_num").cast("double") / (F.col("n1") * F.col("n2"))
     exact = F.greatest("n1", "n2") <= F.lit(cfg.exact_ks_max_n)
+    if cfg.pvalue_method == "numpy":
+        # one vectorised pass over the whole bounded table beats many small ones
+        small = triples.where(exact).coalesce(1)
+        big = triples.where(~exact)
+        ex = small.mapInPandas(pvalue_batches, "n1 bigint, n2 bigint, ks_num bigint, p_value double")
+        asym = big.withColumn("ks_statistic", d).select(
+            "n1", "n2", "ks_num", asymptotic_pvalue_expr().alias("p_value"))
+        return ex.unionByName(asym).withColumn("ks_statistic", d)
+    # heavy rows in a tiny table: spread them explicitly
+    # (AQE would coalesce the shuffle output into a single task)
+    triples = triples.repartition(cfg.pvalue_partitions, "ks_num")
     return (triples.withColumn("ks_statistic", d)
             .withColumn("p_value", F.when(exact, exact_pvalue_expr())
                         .otherwise(asymptotic_pvalue_expr())))
 
 
 def window_reports(stats: DataFrame, cfg: GateConfig) -> DataFrame:
-    """K2..K4 + K9 on each full window: statistic, p-value and flags."""
-    pv = F.broadcast(pvalue_table(stats, cfg))  # bounded table, see pvalue_table
-    out = stats
-    for feat in FIELD:
-        p = pv.select("n1", "n2", F.col("ks_num").alias(f"{feat}_ks_num"),
-                      F.col("ks_statistic").alias(f"{feat}_ks"), F.col("p_value").alias(f"{feat}_p"))
-        out = out.join(p, ["n1", "n2", f"{feat}_ks_num"], "left")
-        out = out.withColumn(f"{feat}_drift", F.col(f"{feat}_p") < F.lit(cfg.drift_alpha))
+    """K2..K4 + K9 on each full window: statistic, p-value and flags.
+
+    The per-window features go long, meet the p-value table in ONE broadcast
+    join (bounded table), and are pivoted back with a keyed aggregation over
+    3 rows per window."""
+    long = feature_long(stats)
+    pv = F.broadcast(pvalue_table(long, cfg))  # bounded table, see pvalue_table
+    j = long.join(pv, ["n1", "n2", "ks_num"], "left")
+    aggs = []
+    for f in FIELD:
+        is_f = F.col("feature") == f
+        aggs += [F.max(F.when(is_f, F.col("ks_num"))).alias(f"{f}_ks_num"),
+                 F.max(F.when(is_f, F.col("ks_statistic"))).alias(f"{f}_ks"),
+                 F.max(F.when(is_f, F.col("p_value"))).alias(f"{f}_p")]
+    wide = j.groupBy("camera_id", "feed_id", "batch_round").agg(*aggs)
+    extra = stats.select("camera_id", "feed_id", "batch_round", "n1", "n2",
+                         "mean_cosine_similarity", "mean_euclidean_distance")
+    out = wide.join(extra, ["camera_id", "feed_id", "batch_round"])
+    for f in FIELD:
+        out = out.withColumn(f"{f}_drift", F.col(f"{f}_p") < F.lit(cfg.drift_alpha))
     any_drift = F.col("brightness_avg_drift") | F.col("blur_metric_drift") | F.col("embedding_drift")
     return out.withColumn("drift_detected", any_drift)
 
@@ -225,7 +258,10 @@ def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
                   cfg: GateConfig) -> DataFrame:
     """One drift report per batch (wide form)."""
     windows = drift_windows(valid, batches, model, cfg)
-    reports = window_reports(window_statistics(windows, model, cfg), cfg)
+    # one row per full window (a few numbers); read twice (distinct triples and
+    # the join back), so keep it instead of recomputing the windows
+    stats = window_statistics(windows, model, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    reports = window_reports(stats, cfg)
     st = drift_status(batches, cfg)
     out = st.join(reports.drop("camera_id"), ["feed_id", "batch_round"], "left")
     analyzed = F.col("status") == "analyzed"

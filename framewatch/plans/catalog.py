@@ -56,7 +56,7 @@ def _checks(col: str = "failed_rules", with_column: bool = False) -> Column:
 # ---------------------------------------------------------------------------
 @query("frames_scan")
 def q_frames_scan(spark, sf):
-    f = S.frames_from_events(spark, sf)
+    f = S.frames_table(spark, sf)
     return f.select("seq", "feed_id", "batch_round", "timestamp", "camera_id", "frame_id",
                     "brightness_avg", "blur_metric",
                     F.size("embedding").alias("embedding_dim"),
@@ -65,28 +65,28 @@ def q_frames_scan(spark, sf):
 
 @query("feed_subset")
 def q_feed_subset(spark, sf):
-    f = S.feed_subset(S.frames_from_events(spark, sf), ["camera_1", "camera_2", "camera_3"])
+    f = S.feed_subset(S.frames_table(spark, sf), ["camera_1", "camera_2", "camera_3"])
     return f.select("seq", "feed_id", "batch_round", "frame_id")
 
 
 @query("unknown_feeds")
 def q_unknown_feeds(spark, sf):
     # rows whose camera id is not configured (the feed is judged by the id it reports)
-    f = S.frames_from_events(spark, sf)
+    f = S.frames_table(spark, sf)
     return (f.where(~S.known_feed(F.col("camera_id"), CFG) | F.col("camera_id").isNull())
             .select("seq", "feed_id", "batch_round", "camera_id", "frame_id"))
 
 
 @query("batch_numbering")
 def q_batch_numbering(spark, sf):
-    f = S.frames_from_events(spark, sf)
+    f = S.frames_table(spark, sf)
     numbered = S.number_batches(f.drop("batch_round"), F.date_trunc("hour", "event_ts"))
     return numbered.select("seq", "feed_id", F.col("batch_round").alias("batch_number"))
 
 
 @query("latest_batch")
 def q_latest_batch(spark, sf):
-    return S.latest_batch(S.frames_from_events(spark, sf))
+    return S.latest_batch(S.frames_table(spark, sf))
 
 
 @query("quarantine_reasons")
@@ -102,14 +102,14 @@ def q_quarantine_reasons(spark, sf):
 # ---------------------------------------------------------------------------
 @query("clamp")
 def q_clamp(spark, sf):
-    f = S.frames_from_events(spark, sf)
+    f = S.frames_table(spark, sf)
     return f.select("seq", R.clamp(F.col("brightness_avg"), CFG.brightness_min, CFG.brightness_max)
                     .alias("brightness_clamped"),
                     R.clamp(F.col("blur_metric"), CFG.blur_min).alias("blur_clamped"))
 
 
 def _rule_q(spark, sf, col: str, ok: Column, value: Column | None = None) -> DataFrame:
-    f = S.frames_from_events(spark, sf)
+    f = S.frames_table(spark, sf)
     return f.select("seq", "feed_id", "batch_round", (value if value is not None else F.col(col)).alias(col),
                     ok.alias("passed"))
 
@@ -137,7 +137,7 @@ def q_rule_embedding_dim(spark, sf):
 
 @query("rule_not_null")
 def q_rule_not_null(spark, sf):
-    f = S.frames_from_events(spark, sf)
+    f = S.frames_table(spark, sf)
     missing = [R.is_missing(F.col(c), f.schema[c].dataType) for c in S.CONTRACT_COLUMNS]
     any_missing = missing[0]
     for m in missing[1:]:
@@ -148,7 +148,7 @@ def q_rule_not_null(spark, sf):
 @query("coerce_types")
 def q_coerce_types(spark, sf):
     # text columns cast through try_cast: numbers survive, ids become null
-    f = S.frames_from_events(spark, sf).select(
+    f = S.frames_table(spark, sf).select(
         "seq", F.col("brightness_avg").cast("string").alias("brightness_avg"),
         F.col("blur_metric").cast("string").alias("blur_metric"), "frame_id")
     c = R.coerce_types(f)
@@ -188,7 +188,7 @@ def q_breaker_input(spark, sf):
 def q_custom_rule(spark, sf):
     rule = R.custom_rule("brightness_avg", "bright_and_blurry",
                          "NOT (brightness_avg > 60.0D AND blur_metric > 0.9D)")
-    f = S.frames_from_events(spark, sf)
+    f = S.frames_table(spark, sf)
     g = R.evaluate_rules(f, CFG, [rule], coerce=False)
     # passed = the custom rule did not fire (other contract failures ignored here)
     fired = F.exists("failed_rules", lambda r: r["check"] == "bright_and_blurry")
@@ -263,14 +263,14 @@ def q_union_batches(spark, sf):
 
 @query("frame_id_format")
 def q_frame_id_format(spark, sf):
-    f = S.frames_from_events(spark, sf)
+    f = S.frames_table(spark, sf)
     fid = fmt_frame_id(F.col("feed_id"), F.col("batch_round"), F.col("seq"))
     return f.select("seq", fid.alias("formatted_frame_id"), (fid == F.col("frame_id")).alias("same_as_source"))
 
 
 @query("time_strings")
 def q_time_strings(spark, sf):
-    f = S.frames_from_events(spark, sf)
+    f = S.frames_table(spark, sf)
     return f.select("seq", iso_utc(F.col("event_ts")).alias("iso_time"),
                     compact_utc(F.col("event_ts")).alias("compact_time"))
 

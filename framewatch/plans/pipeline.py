@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import FIXTURE_CONFIG, GateConfig
 from ..operators import breaker, qa
 from ..session import scratch_path
-from ..sources.frames import frames_from_events
+from ..sources.frames import frames_table
 
 
 class GatePipeline:
@@ -30,7 +30,7 @@ class GatePipeline:
     @classmethod
     def from_sf(cls, spark: SparkSession, sf_dir: str,
                 cfg: GateConfig = FIXTURE_CONFIG) -> "GatePipeline":
-        return cls(spark, frames_from_events(spark, sf_dir), cfg)
+        return cls(spark, frames_table(spark, sf_dir), cfg)
 
     # -- QA ---------------------------------------------------------------
     @cached_property
