@@ -10,7 +10,8 @@ Plan shape (see README "Drift plan"):
    camera with ``collect_list over rowsBetween(-(W-1), 0)``; the last row of
    each batch carries the window as of that batch's end.
 3. KS statistic per window and feature with integer counts; baseline counts
-   come from a binary search (``Bucketizer``) into the fitted baseline model.
+   come from a binary search (``aggregate`` halving steps) into the fitted
+   baseline model.
 4. Exact p-values once per distinct (n1, n2, ks_num) — a table bounded by
    ``W * (W * n2 + 1)`` rows that is broadcast back.
 5. Status per batch from the batch table (running valid count per camera).
@@ -26,7 +27,6 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,22 +87,57 @@ class BaselineModel:
                    centroid_norm=float(np.linalg.norm(centroid)) if centroid else 0.0)
 
     def annotate(self, df: DataFrame) -> DataFrame:
-        """Add ``{f}_ble`` / ``{f}_blt`` (# baseline <= x / < x) for b, l, n."""
-        flds = list(FIELD.values())
-        splits = [[-math.inf] + self.values[f] + [math.inf] for f in flds]
-        bucket = Bucketizer(splitsArray=splits, inputCols=flds,
-                            outputCols=[f"_{f}_idx" for f in flds], handleInvalid="keep")
-        out = bucket.transform(df)
-        cols = {}
-        for f in flds:
-            idx = F.col(f"_{f}_idx").cast("int")
-            cum = F.lit(self.cum_le[f]).cast("array<bigint>")
-            vals = F.lit(self.values[f] or [0.0]).cast("array<double>")
+        """Add ``{f}_ble`` / ``{f}_blt`` (# baseline <= x / < x) for b, l, n.
+
+        ``idx`` = number of distinct baseline values <= x, found by a binary
+        search written as ``aggregate`` over ceil(log2(m+1)) halving steps on
+        the sorted value array; the cumulative counts at ``idx`` (and at
+        ``idx-1`` when x equals a baseline value) give both counts."""
+        idx_cols, count_cols = {}, {}
+        for f in FIELD.values():
+            vals = double_array_lit(self.values[f] or [0.0])
+            cum = long_array_lit(self.cum_le[f])
+            x = F.col(f)
+            idx_cols[f"_{f}_idx"] = F.when(x.isNull() | F.isnan(x), F.lit(None).cast("int")) \
+                                     .otherwise(_binary_search(vals, len(self.values[f]), x))
+            idx = F.col(f"_{f}_idx")
             le = F.element_at(cum, idx + 1)
-            at_value = (idx >= 1) & (F.element_at(vals, F.greatest(idx, F.lit(1))) == F.col(f))
-            cols[f"{f}_ble"] = le
-            cols[f"{f}_blt"] = F.when(at_value, F.element_at(cum, idx)).otherwise(le)
-        return out.withColumns(cols).drop(*[f"_{f}_idx" for f in flds])
+            at_value = (idx >= 1) & (F.element_at(vals, F.greatest(idx, F.lit(1))) == x)
+            count_cols[f"{f}_ble"] = le
+            count_cols[f"{f}_blt"] = F.when(at_value, F.element_at(cum, idx)).otherwise(le)
+        return (df.withColumns(idx_cols).withColumns(count_cols)
+                  .drop(*[f"_{f}_idx" for f in FIELD.values()]))
+
+
+def _binary_search(vals: Column, m: int, x: Column) -> Column:
+    """Number of elements of the sorted array ``vals`` (length m) <= x."""
+    steps = max(1, math.ceil(math.log2(m + 1)))
+
+    def step(st, _i):
+        lo, hi = st["lo"], st["hi"]
+        mid = ((lo + hi + F.lit(1)) / F.lit(2)).cast("int")
+        go_right = F.element_at(vals, F.greatest(mid, F.lit(1))) <= x
+        return (F.when(lo >= hi, st)
+                 .when(go_right, F.struct(mid.alias("lo"), hi.alias("hi")))
+                 .otherwise(F.struct(lo.alias("lo"), (mid - F.lit(1)).alias("hi"))))
+
+    init = F.struct(F.lit(0).alias("lo"), F.lit(m).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
+def double_array_lit(values) -> Column:
+    """Array literal in ONE expression (a py4j call per element would cost
+    seconds for a 1000-value baseline).  ``repr`` is the shortest round-trip
+    text, and the ``D`` suffix parses it as an exact double."""
+    if not values:
+        return F.array().cast("array<double>")
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+
+
+def long_array_lit(values) -> Column:
+    if not values:
+        return F.array().cast("array<bigint>")
+    return F.expr("array(" + ", ".join(f"{int(v)}L" for v in values) + ")")
 
 
 def _known(cfg: GateConfig) -> Column:
@@ -145,7 +180,7 @@ def centroid_exprs(model: BaselineModel, cfg: GateConfig) -> dict[str, Column]:
     dim = cfg.embedding_dim
     if not model.centroid:
         return {"mean_cosine_similarity": F.lit(1.0), "mean_euclidean_distance": F.lit(0.0)}
-    bc = F.lit(model.centroid).cast("array<double>")
+    bc = double_array_lit(model.centroid)
     wc = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
                      lambda i: F.aggregate("win", F.lit(0.0), lambda a, e: a + e["embedding"][i])
                      / F.size("win"))
