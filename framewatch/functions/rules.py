@@ -140,11 +140,11 @@ def coerce_types(df: DataFrame) -> DataFrame:
         fails.append(F.when(raw.isNotNull() & cast.isNull(),
                             F.struct(F.lit(name).alias("column"), F.lit(check).alias("check"),
                                      raw.cast("string").alias("failure_case"))))
-    if cols:
-        df = df.withColumns(cols)
     arr = (F.filter(F.array(*fails), lambda x: x.isNotNull()) if fails
            else F.array().cast(RULES_TYPE))
-    return df.withColumn("_coerce_failures", arr)
+    # failures read the raw values, so they are computed before the casts
+    df = df.withColumn("_coerce_failures", arr)
+    return df.withColumns(cols) if cols else df
 
 
 def contract_violations(df: DataFrame) -> list[dict]:

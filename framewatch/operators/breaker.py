@@ -100,20 +100,32 @@ def reason_structs(cfg: GateConfig) -> Column:
 
 
 def breaker_evaluation(batches: DataFrame, cfg: GateConfig,
-                       drift_reports: DataFrame | None = None) -> DataFrame:
+                       drift_reports: DataFrame | None = None,
+                       prior_records: DataFrame | None = None,
+                       prior_trips: DataFrame | None = None) -> DataFrame:
     """I1 + W5..W7 in one pass over the known-camera batch records.
 
     Adds ``rolling_quarantine_rate``, ``drifted_features``, ``reasons``,
     ``should_trip``, ``trip_ordinal`` (1 = the incident, >1 = suppressed while
     the latched breaker is open) and ``breaker_state`` (closed/tripped/open).
     """
-    recs = rolling_quarantine_rate(breaker_input(batches, cfg), cfg)
+    recs = breaker_input(batches, cfg).withColumn("_prior", F.lit(False))
+    if prior_records is not None:
+        # streaming state: the camera's last N-1 records feed the rolling rate
+        recs = recs.unionByName(prior_records.select(
+            "feed_id", "batch_round", "camera_id", "status", "valid_count", "quarantined_count")
+            .withColumn("_prior", F.lit(True)))
+    recs = rolling_quarantine_rate(recs, cfg).where(~F.col("_prior")).drop("_prior")
     recs = qa_with_drift(recs, drift_reports)
     recs = recs.withColumn("drifted_features", drifted_features_expr(recs))
     recs = recs.withColumn("reasons", reason_structs(cfg))
     recs = recs.withColumn("should_trip", F.size("reasons") > 0)
     w = _camera_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ordinal = F.sum(F.col("should_trip").cast("int")).over(w)
+    if prior_trips is not None:
+        # streaming state: trips already emitted per camera (the latch)
+        recs = recs.join(prior_trips.select("camera_id", "prior_trips"), "camera_id", "left")
+        ordinal = ordinal + F.coalesce(F.col("prior_trips"), F.lit(0))
     recs = recs.withColumn("trip_ordinal", F.when(F.col("should_trip"), ordinal))
     opened = F.coalesce(ordinal, F.lit(0)) > 0
     return recs.withColumn(

@@ -265,17 +265,25 @@ def window_reports(stats: DataFrame, cfg: GateConfig) -> DataFrame:
     return out.withColumn("drift_detected", any_drift)
 
 
-def drift_buffer(batches: DataFrame) -> DataFrame:
-    """Running count of valid rows per batch camera."""
+def drift_buffer(batches: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
+    """Running count of valid rows per batch camera.
+
+    ``offsets`` (camera_id, buffer_offset) carries the count accumulated
+    before these batches (streaming state)."""
     w = (Window.partitionBy("camera_id").orderBy("batch_round", "feed_id")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return batches.withColumn("buffer_total", F.sum("valid_count").over(w))
+    out = batches.withColumn("buffer_total", F.sum("valid_count").over(w))
+    if offsets is not None:
+        out = (out.join(offsets, "camera_id", "left")
+               .withColumn("buffer_total", F.col("buffer_total") + F.coalesce("buffer_offset", F.lit(0)))
+               .drop("buffer_offset"))
+    return out
 
 
-def drift_status(batches: DataFrame, cfg: GateConfig) -> DataFrame:
+def drift_status(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None = None) -> DataFrame:
     """Report status per batch; empty input is tested before an unknown
     camera (M15), then buffering until W rows exist (M16)."""
-    b = drift_buffer(batches)
+    b = drift_buffer(batches, offsets)
     known = _known(cfg)
     empty = F.col("valid_count") == 0
     buf = F.col("buffer_total")
@@ -290,14 +298,31 @@ def drift_status(batches: DataFrame, cfg: GateConfig) -> DataFrame:
 
 
 def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
-                  cfg: GateConfig) -> DataFrame:
-    """One drift report per batch (wide form)."""
-    windows = drift_windows(valid, batches, model, cfg)
+                  cfg: GateConfig, prior_rows: DataFrame | None = None,
+                  offsets: DataFrame | None = None) -> DataFrame:
+    """One drift report per batch (wide form).
+
+    Streaming state hooks: ``prior_rows`` are the last W valid rows per camera
+    seen before ``batches`` (feed_id, batch_round, seq, camera_id, features);
+    ``offsets`` their running counts.  Windows then span the state and the
+    new rows, and only the new batches get reports."""
+    win_valid, win_batches = valid, batches
+    if prior_rows is not None:
+        cols = ["feed_id", "batch_round", "seq", "brightness_avg", "blur_metric", "embedding"]
+        win_valid = valid.select(*cols).unionByName(prior_rows.select(*cols))
+        prior_b = (prior_rows.groupBy("feed_id", "batch_round")
+                   .agg(F.first("camera_id").alias("camera_id"),
+                        F.count(F.lit(1)).alias("valid_count")))
+        win_batches = batches.select("feed_id", "batch_round", "camera_id", "valid_count") \
+            .unionByName(prior_b)
+    windows = drift_windows(win_valid, win_batches, model, cfg)
+    if prior_rows is not None:
+        windows = windows.join(batches.select("feed_id", "batch_round"), ["feed_id", "batch_round"], "left_semi")
     # one row per full window (a few numbers); read twice (distinct triples and
     # the join back), so keep it instead of recomputing the windows
     stats = window_statistics(windows, model, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     reports = window_reports(stats, cfg)
-    st = drift_status(batches, cfg)
+    st = drift_status(batches, cfg, offsets)
     out = st.join(reports.drop("camera_id"), ["feed_id", "batch_round"], "left")
     analyzed = F.col("status") == "analyzed"
     out = out.withColumn("window_size", F.when(analyzed, F.col("n1").cast("int")))
