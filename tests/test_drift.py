@@ -93,3 +93,12 @@ def test_centroid_metrics_identical_sets(spark, model):
     out = df.select(*[v.alias(k) for k, v in drift.centroid_exprs(model, CFG).items()]).collect()[0]
     assert out["mean_cosine_similarity"] == pytest.approx(1.0, abs=1e-12)
     assert out["mean_euclidean_distance"] == pytest.approx(0.0, abs=1e-12)
+
+
+def test_empty_side_defaults(spark):
+    # K8: with no baseline vectors the centroid metrics fall back to (1.0, 0.0)
+    m = drift.BaselineModel(n2=1, values={"b": [1.0], "l": [1.0], "n": [1.0]},
+                            cum_le={"b": [0, 1], "l": [0, 1], "n": [0, 1]}, centroid=[], centroid_norm=0.0)
+    df = spark.createDataFrame([([{"embedding": [1.0] * 8}],)], "win array<struct<embedding:array<double>>>")
+    out = df.select(*[v.alias(k) for k, v in drift.centroid_exprs(m, CFG).items()]).collect()[0]
+    assert (out["mean_cosine_similarity"], out["mean_euclidean_distance"]) == (1.0, 0.0)
