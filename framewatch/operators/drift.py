@@ -86,18 +86,31 @@ class BaselineModel:
         return cls(n2=len(rows), values=values, cum_le=cums, centroid=centroid,
                    centroid_norm=float(np.linalg.norm(centroid)) if centroid else 0.0)
 
+    def lookup_row(self, spark) -> DataFrame:
+        """The fitted arrays as ONE row (bounded by the baseline size): sorted
+        distinct values and cumulative counts per feature."""
+        flds = list(FIELD.values())
+        schema = ", ".join(f"_{f}_vals array<double>, _{f}_cum array<bigint>" for f in flds)
+        row = []
+        for f in flds:
+            row += [[float(v) for v in (self.values[f] or [0.0])], [int(c) for c in self.cum_le[f]]]
+        return spark.createDataFrame([(0, *row)], "_k int, " + schema)
+
     def annotate(self, df: DataFrame) -> DataFrame:
         """Add ``{f}_ble`` / ``{f}_blt`` (# baseline <= x / < x) for b, l, n.
 
-        ``idx`` = number of distinct baseline values <= x, found by a binary
-        search written as ``aggregate`` over ceil(log2(m+1)) halving steps on
-        the sorted value array; the cumulative counts at ``idx`` (and at
-        ``idx-1`` when x equals a baseline value) give both counts."""
+        The bounded lookup row is broadcast-joined on a constant key (a
+        lookup, not a cross product: it has exactly one row).  ``idx`` = number
+        of distinct baseline values <= x, found by a binary search written as
+        ``aggregate`` over ceil(log2(m+1)) halving steps; the cumulative counts
+        at ``idx`` (and at ``idx-1`` when x equals a baseline value) give both
+        counts."""
+        flds = list(FIELD.values())
+        lut = F.broadcast(self.lookup_row(df.sparkSession))
+        out = df.withColumn("_k", F.lit(0)).join(lut, "_k")
         idx_cols, count_cols = {}, {}
-        for f in FIELD.values():
-            vals = double_array_lit(self.values[f] or [0.0])
-            cum = long_array_lit(self.cum_le[f])
-            x = F.col(f)
+        for f in flds:
+            vals, cum, x = F.col(f"_{f}_vals"), F.col(f"_{f}_cum"), F.col(f)
             idx_cols[f"_{f}_idx"] = F.when(x.isNull() | F.isnan(x), F.lit(None).cast("int")) \
                                      .otherwise(_binary_search(vals, len(self.values[f]), x))
             idx = F.col(f"_{f}_idx")
@@ -105,8 +118,8 @@ class BaselineModel:
             at_value = (idx >= 1) & (F.element_at(vals, F.greatest(idx, F.lit(1))) == x)
             count_cols[f"{f}_ble"] = le
             count_cols[f"{f}_blt"] = F.when(at_value, F.element_at(cum, idx)).otherwise(le)
-        return (df.withColumns(idx_cols).withColumns(count_cols)
-                  .drop(*[f"_{f}_idx" for f in FIELD.values()]))
+        drop = ["_k"] + [c for f in flds for c in (f"_{f}_idx", f"_{f}_vals", f"_{f}_cum")]
+        return out.withColumns(idx_cols).withColumns(count_cols).drop(*drop)
 
 
 def _binary_search(vals: Column, m: int, x: Column) -> Column:
@@ -169,7 +182,7 @@ def drift_windows(valid: DataFrame, batches: DataFrame, model: BaselineModel,
     slide = order.rowsBetween(-(cfg.drift_window - 1), Window.currentRow)
     item = F.struct("seq", "b", "b_ble", "b_blt", "l", "l_ble", "l_blt", "n", "n_ble", "n_blt", "embedding")
     nxt = F.lead(F.struct("batch_round", "feed_id")).over(order)
-    out = tail.withColumn("win", F.collect_list(item).over(slide)).withColumn("_next", nxt)
+    out = tail.withColumns({"win": F.collect_list(item).over(slide), "_next": nxt})
     last = (F.col("_next").isNull() | (F.col("_next.batch_round") != F.col("batch_round"))
             | (F.col("_next.feed_id") != F.col("feed_id")))
     return out.where(last).select("camera_id", "feed_id", "batch_round", "win")
@@ -259,10 +272,9 @@ def window_reports(stats: DataFrame, cfg: GateConfig) -> DataFrame:
     extra = stats.select("camera_id", "feed_id", "batch_round", "n1", "n2",
                          "mean_cosine_similarity", "mean_euclidean_distance")
     out = wide.join(extra, ["camera_id", "feed_id", "batch_round"])
-    for f in FIELD:
-        out = out.withColumn(f"{f}_drift", F.col(f"{f}_p") < F.lit(cfg.drift_alpha))
-    any_drift = F.col("brightness_avg_drift") | F.col("blur_metric_drift") | F.col("embedding_drift")
-    return out.withColumn("drift_detected", any_drift)
+    flags = {f"{f}_drift": F.col(f"{f}_p") < F.lit(cfg.drift_alpha) for f in FIELD}
+    any_drift = flags["brightness_avg_drift"] | flags["blur_metric_drift"] | flags["embedding_drift"]
+    return out.withColumns({**flags, "drift_detected": any_drift})
 
 
 def drift_buffer(batches: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
@@ -325,10 +337,11 @@ def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
     st = drift_status(batches, cfg, offsets)
     out = st.join(reports.drop("camera_id"), ["feed_id", "batch_round"], "left")
     analyzed = F.col("status") == "analyzed"
-    out = out.withColumn("window_size", F.when(analyzed, F.col("n1").cast("int")))
-    out = out.withColumn("drift_detected", analyzed & F.coalesce("drift_detected", F.lit(False)))
-    out = out.withColumn("alpha", F.when(analyzed, F.lit(cfg.drift_alpha)))
-    return out
+    return out.withColumns({
+        "window_size": F.when(analyzed, F.col("n1").cast("int")),
+        "drift_detected": analyzed & F.coalesce("drift_detected", F.lit(False)),
+        "alpha": F.when(analyzed, F.lit(cfg.drift_alpha)),
+    })
 
 
 def drift_features(reports: DataFrame) -> DataFrame:

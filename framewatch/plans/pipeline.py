@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import FIXTURE_CONFIG, GateConfig
@@ -39,7 +40,11 @@ class GatePipeline:
 
     @cached_property
     def batches(self) -> DataFrame:
-        return qa.qa_batches(self.gated)
+        """One row per (feed, round).  Read by the breaker, drift status,
+        window tagging and incidents with different column sets, so Catalyst
+        cannot share one exchange; it is small (rows = batches, not frames),
+        so it is kept (memory, spilling to disk) instead of re-aggregated."""
+        return qa.qa_batches(self.gated).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def valid(self) -> DataFrame:
