@@ -69,6 +69,12 @@ class GateConfig:
     drift_alpha: float = DRIFT_ALPHA
     exact_ks_max_n: int = EXACT_KS_MAX_N
     pvalue_partitions: int = 64
+    # chunking of per-camera ordered computations (bounded partitions when one
+    # camera holds a large share of the rows): rounds per prefix-sum chunk,
+    # positions / record ordinals per sliding-frame chunk
+    chunk_rounds: int = 1024
+    chunk_positions: int = 1 << 16
+    chunk_records: int = 1 << 16
     pvalue_method: str = "sql"  # or "numpy": the same recursion vectorised in mapInPandas
     cosine_similarity_threshold: float = EMBEDDING_COSINE_SIM_THRESHOLD
     euclidean_distance_threshold: float = EMBEDDING_EUCLIDEAN_THRESHOLD

@@ -14,24 +14,30 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import GateConfig
 from ..functions.text import percent_text
+from .ordered import halo_window, running_sums
 from .qa import breaker_input
 
 ORDER = ["batch_round", "feed_id"]
 
 
-def _camera_window() -> Window:
-    return Window.partitionBy("camera_id").orderBy(*ORDER)
+def _round_chunk(cfg: GateConfig) -> Column:
+    return F.floor(F.col("batch_round") / F.lit(cfg.chunk_rounds))
 
 
 def rolling_quarantine_rate(records: DataFrame, cfg: GateConfig) -> DataFrame:
     """W1 (M9): Σquarantined / Σtotal over the last N *records* of a camera,
-    0.0 when those records hold no rows.  Ratio of sums, not mean of rates."""
-    w = _camera_window().rowsBetween(-(cfg.qa_window_batches - 1), Window.currentRow)
-    q = F.sum("quarantined_count").over(w)
-    t = F.sum(F.col("valid_count") + F.col("quarantined_count")).over(w)
-    return records.withColumn(
-        "rolling_quarantine_rate",
-        F.when(t == 0, F.lit(0.0)).otherwise(q.cast("double") / t))
+    0.0 when those records hold no rows.  Ratio of sums, not mean of rates.
+
+    Record ordinals per camera are a chunked prefix count; the N-record frame
+    runs per (camera, ordinal chunk) with an N-1 halo (bounded partitions)."""
+    r = running_sums(records, "camera_id", ORDER, _round_chunk(cfg), {"record_ordinal": F.lit(1)})
+    span = cfg.qa_window_batches - 1
+    out = halo_window(r, "camera_id", "record_ordinal", span, cfg.chunk_records, {
+        "_q": lambda w: F.sum("quarantined_count").over(w),
+        "_t": lambda w: F.sum(F.col("valid_count") + F.col("quarantined_count")).over(w)})
+    return (out.withColumn("rolling_quarantine_rate",
+                           F.when(F.col("_t") == 0, F.lit(0.0)).otherwise(F.col("_q").cast("double") / F.col("_t")))
+            .drop("_q", "_t"))
 
 
 def latest_drift_per_camera(reports: DataFrame) -> DataFrame:
@@ -120,10 +126,12 @@ def breaker_evaluation(batches: DataFrame, cfg: GateConfig,
     recs = recs.withColumn("drifted_features", drifted_features_expr(recs))
     recs = recs.withColumn("reasons", reason_structs(cfg))
     recs = recs.withColumn("should_trip", F.size("reasons") > 0)
-    w = _camera_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordinal = F.sum(F.col("should_trip").cast("int")).over(w)
+    # the latch: running count of trips per camera (chunked prefix sum)
+    recs = running_sums(recs, "camera_id", ORDER, _round_chunk(cfg),
+                        {"_trips": F.col("should_trip").cast("int")})
+    ordinal = F.col("_trips")
     if prior_trips is not None:
-        # streaming state: trips already emitted per camera (the latch)
+        # streaming state: trips already emitted per camera
         recs = recs.join(prior_trips.select("camera_id", "prior_trips"), "camera_id", "left")
         ordinal = ordinal + F.coalesce(F.col("prior_trips"), F.lit(0))
     recs = recs.withColumn("trip_ordinal", F.when(F.col("should_trip"), ordinal))
@@ -131,7 +139,7 @@ def breaker_evaluation(batches: DataFrame, cfg: GateConfig,
     return recs.withColumn(
         "breaker_state",
         F.when(F.col("trip_ordinal") == 1, F.lit("tripped"))
-         .when(opened, F.lit("open")).otherwise(F.lit("closed")))
+         .when(opened, F.lit("open")).otherwise(F.lit("closed"))).drop("_trips")
 
 
 def breaker_trips(evaluated: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ from ..config import GateConfig
 from pyspark import StorageLevel
 
 from ..functions.ks import asymptotic_pvalue_expr, exact_pvalue_expr, ks_num_expr, pvalue_batches
+from .ordered import halo_window, running_sums
 
 # window struct field per drift feature (embedding drift is KS on L2 norms)
 FIELD = {"brightness_avg": "b", "blur_metric": "l", "embedding": "n"}
@@ -159,33 +160,56 @@ def _known(cfg: GateConfig) -> Column:
 
 def window_tail(valid: DataFrame, batches: DataFrame, cfg: GateConfig) -> DataFrame:
     """Rows that can appear in a window: last W valid rows of each batch,
-    tagged with the batch camera (known cameras only)."""
+    tagged with the batch camera (known cameras only) and ``_r``, the rank
+    from the batch end (1 = last row of the batch)."""
     w = Window.partitionBy("feed_id", "batch_round").orderBy(F.col("seq").desc())
     tail = (valid.select("feed_id", "batch_round", "seq", "brightness_avg", "blur_metric", "embedding")
-            .withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= cfg.drift_window).drop("_rn"))
+            .withColumn("_r", F.row_number().over(w))
+            .where(F.col("_r") <= cfg.drift_window))
     cams = batches.where(_known(cfg) & (F.col("valid_count") > 0)).select(
         "feed_id", "batch_round", "camera_id")
     return tail.join(cams, ["feed_id", "batch_round"])
 
 
+def window_rows(valid: DataFrame, batches: DataFrame, cfg: GateConfig,
+                offsets: DataFrame | None = None, prior_rows: DataFrame | None = None) -> DataFrame:
+    """Tail rows with ``pos``: their 1-based position in the camera's stream
+    of valid rows (order: round, feed, seq).  ``pos = buffer_total - _r + 1``
+    where ``buffer_total`` is the camera's running valid count at the end of
+    the row's batch (a chunked prefix sum, no per-camera task)."""
+    buf = (drift_buffer(batches, offsets, cfg)
+           .where(_known(cfg) & (F.col("valid_count") > 0))
+           .select("feed_id", "batch_round", "camera_id", "buffer_total"))
+    w = Window.partitionBy("feed_id", "batch_round").orderBy(F.col("seq").desc())
+    tail = (valid.select("feed_id", "batch_round", "seq", "brightness_avg", "blur_metric", "embedding")
+            .withColumn("_r", F.row_number().over(w))
+            .where(F.col("_r") <= cfg.drift_window))
+    rows = (tail.join(buf, ["feed_id", "batch_round"])
+            .withColumn("pos", (F.col("buffer_total") - F.col("_r") + 1).cast("long"))
+            .drop("buffer_total"))
+    if prior_rows is not None:
+        rows = rows.unionByName(prior_rows.select(*rows.columns))
+    return rows
+
+
 def drift_windows(valid: DataFrame, batches: DataFrame, model: BaselineModel,
-                  cfg: GateConfig) -> DataFrame:
+                  cfg: GateConfig, offsets: DataFrame | None = None,
+                  prior_rows: DataFrame | None = None) -> DataFrame:
     """For every batch of a known camera with valid rows, the window of
-    the camera's last W valid rows as of the batch end (spanning batches)."""
-    tail = window_tail(valid, batches, cfg).select(
-        "camera_id", "feed_id", "batch_round", "seq",
+    the camera's last W valid rows as of the batch end (spanning batches).
+
+    The frame is ``pos in [end - W + 1, end]``, computed per (camera, position
+    chunk) with a halo of W-1 positions, so no task holds a whole camera."""
+    rows = window_rows(valid, batches, cfg, offsets, prior_rows).select(
+        "camera_id", "feed_id", "batch_round", "seq", "pos", "_r",
         F.col("brightness_avg").alias("b"), F.col("blur_metric").alias("l"),
         norm_expr("embedding").alias("n"), "embedding")
-    tail = model.annotate(tail)
-    order = Window.partitionBy("camera_id").orderBy("batch_round", "feed_id", "seq")
-    slide = order.rowsBetween(-(cfg.drift_window - 1), Window.currentRow)
-    item = F.struct("seq", "b", "b_ble", "b_blt", "l", "l_ble", "l_blt", "n", "n_ble", "n_blt", "embedding")
-    nxt = F.lead(F.struct("batch_round", "feed_id")).over(order)
-    out = tail.withColumns({"win": F.collect_list(item).over(slide), "_next": nxt})
-    last = (F.col("_next").isNull() | (F.col("_next.batch_round") != F.col("batch_round"))
-            | (F.col("_next.feed_id") != F.col("feed_id")))
-    return out.where(last).select("camera_id", "feed_id", "batch_round", "win")
+    rows = model.annotate(rows)
+    item = F.struct("pos", "seq", "b", "b_ble", "b_blt", "l", "l_ble", "l_blt", "n", "n_ble", "n_blt",
+                    "embedding")
+    out = halo_window(rows, "camera_id", "pos", cfg.drift_window - 1, cfg.chunk_positions,
+                      {"win": lambda w: F.collect_list(item).over(w)}, keep=F.col("_r") == 1)
+    return out.select("camera_id", "feed_id", "batch_round", F.array_sort("win").alias("win"))
 
 
 def centroid_exprs(model: BaselineModel, cfg: GateConfig) -> dict[str, Column]:
@@ -277,14 +301,17 @@ def window_reports(stats: DataFrame, cfg: GateConfig) -> DataFrame:
     return out.withColumns({**flags, "drift_detected": any_drift})
 
 
-def drift_buffer(batches: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
-    """Running count of valid rows per batch camera.
+def drift_buffer(batches: DataFrame, offsets: DataFrame | None = None,
+                 cfg: GateConfig | None = None) -> DataFrame:
+    """Running count of valid rows per batch camera (M17), as a chunked
+    prefix sum over the batch table (bounded partitions per camera).
 
     ``offsets`` (camera_id, buffer_offset) carries the count accumulated
     before these batches (streaming state)."""
-    w = (Window.partitionBy("camera_id").orderBy("batch_round", "feed_id")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = batches.withColumn("buffer_total", F.sum("valid_count").over(w))
+    chunk_rounds = cfg.chunk_rounds if cfg is not None else 1024
+    out = running_sums(batches, "camera_id", ["batch_round", "feed_id"],
+                       F.floor(F.col("batch_round") / F.lit(chunk_rounds)),
+                       {"buffer_total": F.col("valid_count")})
     if offsets is not None:
         out = (out.join(offsets, "camera_id", "left")
                .withColumn("buffer_total", F.col("buffer_total") + F.coalesce("buffer_offset", F.lit(0)))
@@ -295,7 +322,7 @@ def drift_buffer(batches: DataFrame, offsets: DataFrame | None = None) -> DataFr
 def drift_status(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None = None) -> DataFrame:
     """Report status per batch; empty input is tested before an unknown
     camera (M15), then buffering until W rows exist (M16)."""
-    b = drift_buffer(batches, offsets)
+    b = drift_buffer(batches, offsets, cfg)
     known = _known(cfg)
     empty = F.col("valid_count") == 0
     buf = F.col("buffer_total")
@@ -311,28 +338,21 @@ def drift_status(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None
 
 def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
                   cfg: GateConfig, prior_rows: DataFrame | None = None,
-                  offsets: DataFrame | None = None) -> DataFrame:
+                  offsets: DataFrame | None = None, cached: list | None = None) -> DataFrame:
     """One drift report per batch (wide form).
 
     Streaming state hooks: ``prior_rows`` are the last W valid rows per camera
     seen before ``batches`` (feed_id, batch_round, seq, camera_id, features);
     ``offsets`` their running counts.  Windows then span the state and the
     new rows, and only the new batches get reports."""
-    win_valid, win_batches = valid, batches
-    if prior_rows is not None:
-        cols = ["feed_id", "batch_round", "seq", "brightness_avg", "blur_metric", "embedding"]
-        win_valid = valid.select(*cols).unionByName(prior_rows.select(*cols))
-        prior_b = (prior_rows.groupBy("feed_id", "batch_round")
-                   .agg(F.first("camera_id").alias("camera_id"),
-                        F.count(F.lit(1)).alias("valid_count")))
-        win_batches = batches.select("feed_id", "batch_round", "camera_id", "valid_count") \
-            .unionByName(prior_b)
-    windows = drift_windows(win_valid, win_batches, model, cfg)
+    windows = drift_windows(valid, batches, model, cfg, offsets, prior_rows)
     if prior_rows is not None:
         windows = windows.join(batches.select("feed_id", "batch_round"), ["feed_id", "batch_round"], "left_semi")
     # one row per full window (a few numbers); read twice (distinct triples and
     # the join back), so keep it instead of recomputing the windows
     stats = window_statistics(windows, model, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:  # caller releases it when done (e.g. per micro-batch)
+        cached.append(stats)
     reports = window_reports(stats, cfg)
     st = drift_status(batches, cfg, offsets)
     out = st.join(reports.drop("camera_id"), ["feed_id", "batch_round"], "left")
@@ -379,12 +399,15 @@ def features_map(reports: DataFrame) -> Column:
 
 def tail_per_camera(valid: DataFrame, batches: DataFrame, cfg: GateConfig, n: int | None = None) -> DataFrame:
     """O2: last ``n`` valid rows per known batch camera over the whole history.
-    The per-batch WindowGroupLimit trims first, so the per-camera rank only
-    sees ``n`` rows per batch."""
+
+    Positions come from the chunked prefix sums; a row is in the tail iff
+    ``pos > total - n`` — a filter, with no per-camera ranking task."""
     n = n or cfg.drift_window
-    tail = window_tail(valid, batches, cfg.with_(drift_window=n))
-    w = Window.partitionBy("camera_id").orderBy(F.col("batch_round").desc(), F.col("feed_id").desc(),
-                                                F.col("seq").desc())
-    return (tail.withColumn("rank_from_end", F.row_number().over(w))
-            .where(F.col("rank_from_end") <= n)
-            .select("camera_id", "feed_id", "batch_round", "seq", "rank_from_end"))
+    c = cfg.with_(drift_window=n)
+    rows = window_rows(valid, batches, c)
+    totals = (batches.where(_known(cfg)).groupBy("camera_id")
+              .agg(F.sum("valid_count").alias("_total")))
+    return (rows.join(totals, "camera_id")
+            .where(F.col("pos") > F.col("_total") - n)
+            .select("camera_id", "feed_id", "batch_round", "seq",
+                    (F.col("_total") - F.col("pos") + 1).cast("int").alias("rank_from_end")))

@@ -15,6 +15,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the driver keeps each execution's plan text; these plans are large
+    "spark.sql.ui.retainedExecutions": "50",
 }
 
 

@@ -22,7 +22,7 @@ stream == batch by construction.  The source must deliver whole
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -101,14 +101,17 @@ class StatefulGate:
         batches = qa.qa_batches(gated).persist(StorageLevel.MEMORY_AND_DISK)
         valid = qa.valid_frames(gated)
 
+        cached: list[DataFrame] = [gated, batches]
         reports = drift.drift_reports(
             valid, batches, self.model, cfg,
             prior_rows=prev["rows"] if prev else None,
-            offsets=prev["offsets"] if prev else None)
+            offsets=prev["offsets"] if prev else None, cached=cached
+        ).persist(StorageLevel.MEMORY_AND_DISK)
         evaluated = breaker.breaker_evaluation(
             batches, cfg, reports,
             prior_records=prev["records"] if prev else None,
-            prior_trips=prev["trips"] if prev else None)
+            prior_trips=prev["trips"] if prev else None).persist(StorageLevel.MEMORY_AND_DISK)
+        cached += [reports, evaluated]
         incs = incidents.incidents(evaluated, batches, reports, cfg)
 
         out = {
@@ -124,26 +127,28 @@ class StatefulGate:
 
         # -- next state (bounded: W rows, N-1 records, 2 counters per camera) --
         known = F.col("camera_id").isin(list(cfg.known_cameras))
-        tail = drift.window_tail(valid, batches, cfg).select(
-            "feed_id", "batch_round", "seq", "camera_id", "brightness_avg", "blur_metric", "embedding")
-        if prev:
-            tail = tail.unionByName(prev["rows"])
-        w = Window.partitionBy("camera_id").orderBy(
-            F.col("batch_round").desc(), F.col("feed_id").desc(), F.col("seq").desc())
-        rows = tail.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= W).drop("_r")
-
         add = batches.where(known).groupBy("camera_id").agg(
             F.sum("valid_count").alias("buffer_offset"))
         offsets = add if not prev else (
             add.unionByName(prev["offsets"]).groupBy("camera_id")
             .agg(F.sum("buffer_offset").alias("buffer_offset")))
+        rows_all = drift.window_rows(valid, batches, cfg,
+                                     offsets=prev["offsets"] if prev else None,
+                                     prior_rows=prev["rows"] if prev else None)
+        rows = (rows_all.join(offsets, "camera_id")
+                .where(F.col("pos") > F.col("buffer_offset") - W)
+                .drop("buffer_offset")
+                .withColumn("_r", F.lit(None).cast("int")))   # never a batch end again
 
         recs = qa.breaker_input(batches, cfg)
         if prev:
             recs = recs.unionByName(prev["records"])
         keep = max(cfg.qa_window_batches - 1, 1)
-        wr = Window.partitionBy("camera_id").orderBy(F.col("batch_round").desc(), F.col("feed_id").desc())
-        records = recs.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= keep).drop("_r")
+        # last N-1 records per camera: a bounded rank over the *batch* records
+        ranked = breaker.rolling_quarantine_rate(recs, cfg)
+        tot = ranked.groupBy("camera_id").agg(F.max("record_ordinal").alias("_n"))
+        records = (ranked.join(tot, "camera_id").where(F.col("record_ordinal") > F.col("_n") - keep)
+                   .select(*recs.columns))
 
         new_trips = evaluated.groupBy("camera_id").agg(
             F.count_if(F.col("should_trip")).alias("prior_trips"))
@@ -154,8 +159,8 @@ class StatefulGate:
         state = {"rows": rows, "offsets": offsets, "records": records, "trips": trips}
         for name in STATE_TABLES:  # 'trips' last: its _SUCCESS marks the epoch committed
             state[name].write.mode("overwrite").parquet(f"{self._path('state', epoch_id)}/{name}")
-        gated.unpersist()
-        batches.unpersist()
+        for df in cached:
+            df.unpersist()
 
     # -- query ----------------------------------------------------------------------
     def start(self, frames_stream: DataFrame, checkpoint: str,

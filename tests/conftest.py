@@ -13,7 +13,8 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from framewatch.session import get_spark
-    s = get_spark("local[4]", app="framewatch-tests", shuffle_partitions=8)
+    s = get_spark("local[4]", app="framewatch-tests", shuffle_partitions=8,
+                  extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 

@@ -40,7 +40,7 @@ def test_stream_equals_batch(spark):
     model = p.baseline_model
     work = tempfile.mkdtemp(prefix="fw-stream-")
     src = os.path.join(work, "src")
-    _round_files(spark, p.frames, src, rounds_per_file=3)
+    _round_files(spark, p.frames, src, rounds_per_file=6)
     stream = (spark.readStream.schema(FRAME_SCHEMA).option("maxFilesPerTrigger", 1)
               .parquet(os.path.join(src, "g*")))
     gate = StatefulGate(FIXTURE_CONFIG, model, os.path.join(work, "out"))
