@@ -20,18 +20,23 @@ from ..session import scratch_path
 from ..sources.frames import frames_table
 
 
+_MODELS: dict = {}
+
+
 class GatePipeline:
     def __init__(self, spark: SparkSession, frames: DataFrame, cfg: GateConfig,
-                 baseline: DataFrame | None = None):
+                 baseline: DataFrame | None = None, source_key: str | None = None):
         self.spark = spark
         self.frames = frames
         self.cfg = cfg
         self._baseline = baseline
+        self._source_key = source_key
 
     @classmethod
     def from_sf(cls, spark: SparkSession, sf_dir: str,
                 cfg: GateConfig = FIXTURE_CONFIG) -> "GatePipeline":
-        return cls(spark, frames_table(spark, sf_dir), cfg)
+        frames = frames_table(spark, sf_dir)
+        return cls(spark, frames, cfg, source_key=frames.inputFiles()[0].rsplit("/", 1)[0])
 
     # -- QA ---------------------------------------------------------------
     @cached_property
@@ -83,8 +88,16 @@ class GatePipeline:
 
     @cached_property
     def baseline_model(self):
+        """Fitted once per input version and config: the model is a pure
+        function of the (versioned) frames table, so it is memoised."""
         from ..operators import drift
-        return drift.BaselineModel.fit(self.baseline, self.cfg)
+        key = (self._source_key, self.cfg) if self._source_key and self._baseline is None else None
+        if key is not None and key in _MODELS:
+            return _MODELS[key]
+        model = drift.BaselineModel.fit(self.baseline, self.cfg)
+        if key is not None:
+            _MODELS[key] = model
+        return model
 
     # -- lineage cut --------------------------------------------------------
     def materialize(self, df: DataFrame, name: str) -> DataFrame:

@@ -186,10 +186,16 @@ def frames_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             parts.append(f"{name}:?")
     key = hashlib.sha256("|".join(parts).encode()).hexdigest()[:16]
     path = scratch_path(spark, f"frames-{key}")
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
-        frames_from_events(spark, sf_dir).write.mode("overwrite").parquet(path)
+    hpath = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hpath(path + "/_SUCCESS")):
+        # write aside, then one atomic rename: concurrent first users never
+        # see (or clobber) a half-written table
+        import uuid
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        frames_from_events(spark, sf_dir).write.mode("overwrite").parquet(tmp)
+        if not fs.rename(hpath(tmp), hpath(path)):
+            fs.delete(hpath(tmp), True)  # another writer won; use its table
     return spark.read.parquet(path)
 
 

@@ -97,3 +97,15 @@ def test_sinks_round_trip_and_idempotent(spark):
     sinks.write_retrain_requests(req, os.path.join(work, "req"))
     sinks.write_retrain_requests(req, os.path.join(work, "req"))
     assert spark.read.json(os.path.join(work, "req")).count() == req.count()
+
+
+def test_batch_job_writes_all_tables(spark):
+    from framewatch.plans.job import run_batch_job
+    p = GatePipeline.from_sf(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="fw-job-")
+    paths = run_batch_job(spark, p.frames, out, FIXTURE_CONFIG, tag="test-job")
+    assert spark.read.parquet(paths["qa_batches"]).count() == p.batches.count()
+    assert spark.read.parquet(paths["quarantine_rows"]).count() == p.quarantined.count()
+    tot = {r["metric"]: r["value"] for r in spark.read.parquet(paths["pipeline_totals"]).collect()}
+    assert tot["total_quarantined_rows"] == p.quarantined.count()
+    assert spark.read.json(paths["incidents"]).count() == tot["total_incidents"]
