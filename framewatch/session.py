@@ -42,23 +42,22 @@ def get_spark(master: str | None = None, app: str = "framewatch",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (unit tests, a laptop) a scratch folder is
-    created.
+    On a cluster ``spark.checkpoint.dir`` (a static setting) points at shared
+    storage and is used as is.  Only when nothing is configured (unit tests, a
+    laptop) a scratch folder is created and registered with
+    ``setCheckpointDir`` — the setting itself cannot change at runtime.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="framewatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="framewatch-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint dir for written intermediate tables."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), "framewatch", name)
+    """A folder under the shared checkpoint folder for written intermediate tables."""
+    return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "framewatch", name)
