@@ -338,7 +338,8 @@ def drift_status(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None
 
 def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
                   cfg: GateConfig, prior_rows: DataFrame | None = None,
-                  offsets: DataFrame | None = None, cached: list | None = None) -> DataFrame:
+                  offsets: DataFrame | None = None, cached: list | None = None,
+                  materialize=None) -> DataFrame:
     """One drift report per batch (wide form).
 
     Streaming state hooks: ``prior_rows`` are the last W valid rows per camera
@@ -350,9 +351,12 @@ def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
         windows = windows.join(batches.select("feed_id", "batch_round"), ["feed_id", "batch_round"], "left_semi")
     # one row per full window (a few numbers); read twice (distinct triples and
     # the join back), so keep it instead of recomputing the windows
-    stats = window_statistics(windows, model, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    if cached is not None:  # caller releases it when done (e.g. per micro-batch)
-        cached.append(stats)
+    if materialize is not None:   # e.g. an eager checkpoint: computed exactly once
+        stats = materialize(window_statistics(windows, model, cfg))
+    else:
+        stats = window_statistics(windows, model, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        if cached is not None:  # caller releases it when done (e.g. per micro-batch)
+            cached.append(stats)
     reports = window_reports(stats, cfg)
     st = drift_status(batches, cfg, offsets)
     out = st.join(reports.drop("camera_id"), ["feed_id", "batch_round"], "left")

@@ -11,12 +11,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import FIXTURE_CONFIG, GateConfig
 from ..operators import breaker, qa
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.frames import frames_table
 
 
@@ -43,13 +42,21 @@ class GatePipeline:
     def gated(self) -> DataFrame:
         return qa.gate(self.frames, self.cfg)
 
+    def cut(self, df: DataFrame) -> DataFrame:
+        """Lineage cut: eager reliable checkpoint into the shared checkpoint
+        folder.  Used for small intermediates (rows = batches or windows)
+        that several branches read: each is computed exactly once, and a lost
+        executor restarts from the files, not from the frames."""
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
     @cached_property
     def batches(self) -> DataFrame:
         """One row per (feed, round).  Read by the breaker, drift status,
         window tagging and incidents with different column sets, so Catalyst
         cannot share one exchange; it is small (rows = batches, not frames),
-        so it is kept (memory, spilling to disk) instead of re-aggregated."""
-        return qa.qa_batches(self.gated).persist(StorageLevel.MEMORY_AND_DISK)
+        so it is cut once instead of re-aggregated per branch."""
+        return self.cut(qa.qa_batches(self.gated))
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -77,7 +84,9 @@ class GatePipeline:
     @cached_property
     def drift_reports(self) -> DataFrame:
         from ..operators import drift
-        return drift.drift_reports(self.valid, self.batches, self.baseline_model, self.cfg)
+        reports = drift.drift_reports(self.valid, self.batches, self.baseline_model, self.cfg,
+                                      materialize=self.cut)
+        return self.cut(reports)
 
     @cached_property
     def baseline(self) -> DataFrame:

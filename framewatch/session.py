@@ -13,6 +13,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # coalesce shuffle output by size (advisory partition bytes), not by
+    # core count: small stages become one task, large ones stay split
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # the driver keeps each execution's plan text; these plans are large
