@@ -64,3 +64,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "framewatch", name)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Sizing for a cluster run from the input volume.
+
+    Initial shuffle partitions ~ input / target (AQE then coalesces small
+    stages and splits skewed ones), scan splits of the same size, so each
+    task's shuffle block stays well inside executor memory.  E.g. 100 TB ->
+    ~800k initial partitions, split at 128 MiB.
+    """
+    parts = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
