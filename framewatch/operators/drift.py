@@ -140,20 +140,13 @@ def _binary_search(vals: Column, m: int, x: Column) -> Column:
 
 
 def double_array_lit(values) -> Column:
-    """Array literal in ONE expression (a py4j call per element would cost
-    seconds for a 1000-value baseline).  ``repr`` is the shortest round-trip
+    """Array literal in ONE expression (a py4j call per element is slow).  ``repr`` is the shortest round-trip
     text, and the ``D`` suffix parses it as an exact double."""
     if not values:
         return F.array().cast("array<double>")
     return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
 
 
-def long_array_lit(values) -> Column:
-    if not values:
-        return F.array().cast("array<bigint>")
-    return F.expr("array(" + ", ".join(f"{int(v)}L" for v in values) + ")")
-
-
 def _known(cfg: GateConfig) -> Column:
     return F.col("camera_id").isin(list(cfg.known_cameras))
 

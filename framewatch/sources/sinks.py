@@ -10,7 +10,6 @@ so a retried round never duplicates an alert.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rules import RULES_TYPE
