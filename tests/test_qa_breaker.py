@@ -92,3 +92,18 @@ def test_percent_text_ties_to_even(spark):
     df = spark.createDataFrame([(1 / 32,), (0.2,), (0.15,)], "x double")
     got = [r[0] for r in df.select(percent_text(F.col("x"))).collect()]
     assert got == ["3.12%", "20.00%", "15.00%"]
+
+
+def test_schema_level_alerts_and_fallback(spark, make_frames):
+    from framewatch.functions.rules import contract_violations
+    df = make_frames([frame(0), frame(1, b=300.0)])
+    g = qa.gate(df, CFG)
+    b = qa.qa_batches(g)
+    v = contract_violations(df.drop("frame_id"))
+    sch = qa.batch_alerts(spark, b, v)
+    row = sch.collect()[0]
+    assert row["row_index"] is None and row["failed_rules"][0]["check"] == "column_in_dataframe"
+    # a quarantined row with no row-level alert falls back to the batch's rules
+    alerts = qa.failure_alerts(g).where("row_index <> 1")
+    out = qa.row_rules_fallback(alerts, qa.quarantined_frames(g), sch).collect()
+    assert [r["failed_rules"][0]["check"] for r in out] == ["column_in_dataframe"]
