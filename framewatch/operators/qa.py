@@ -1,8 +1,9 @@
 """QA gate operators: split, batch status, alerts and failure counts.
 
-Shuffles: rule evaluation is narrow; the batch table is one aggregation keyed
-by (feed_id, batch_round) with map-side partial aggregation, so a hot batch
-is combined inside each map task before it is shuffled.
+Shuffles: rule evaluation is narrow; the batch table is a hash aggregation
+keyed by (feed_id, batch_round, camera_id) with map-side partial aggregation
+(a hot batch is combined inside each map task before it is shuffled),
+followed by a small second level per (feed_id, batch_round).
 """
 
 from __future__ import annotations
@@ -50,13 +51,23 @@ def qa_batches(gated: DataFrame) -> DataFrame:
 
     The batch camera is the ``camera_id`` of the batch's first row (M8), even
     when that id itself fails its rule.
-    """
-    agg = gated.groupBy(*BATCH_KEYS).agg(
-        F.min_by(F.coalesce("camera_id", F.lit("unknown")), "seq").alias("camera_id"),
+
+    Two levels so the pass over all frames is a *hash* aggregation: level 1
+    groups by (feed, round, camera id) with fixed-width buffers only (first
+    seq, counts, last event time as a timestamp); level 2 picks the camera of
+    the smallest first-seq over that small result (string ``min_by``)."""
+    event_time = F.col("timestamp").try_cast("timestamp")
+    l1 = gated.groupBy("feed_id", "batch_round",
+                       F.coalesce("camera_id", F.lit("unknown")).alias("camera_id")).agg(
+        F.min("seq").alias("_first_seq"),
         F.count_if(F.col("is_valid")).alias("valid_count"),
         F.count_if(~F.col("is_valid")).alias("quarantined_count"),
-        F.max("timestamp").alias("last_timestamp"),
-    )
+        F.max(event_time).alias("_last_ts"))
+    agg = l1.groupBy(*BATCH_KEYS).agg(
+        F.min_by("camera_id", "_first_seq").alias("camera_id"),
+        F.sum("valid_count").alias("valid_count"),
+        F.sum("quarantined_count").alias("quarantined_count"),
+        F.date_format(F.max("_last_ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("last_timestamp"))
     v, q = F.col("valid_count"), F.col("quarantined_count")
     return (agg.withColumn("status", status_expr(v, q))
                .withColumn("total_count", v + q)
