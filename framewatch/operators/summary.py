@@ -13,27 +13,35 @@ def batch_telemetry(valid: DataFrame, batches: DataFrame) -> DataFrame:
     M23): each row contributes (Σx, Σx², n), one aggregation combines them,
     so no per-element explode is shuffled.  A batch with no valid row gets
     the defaults and the QA result's camera (left join from the batch table).
-    The per-batch frame-id list of the console summary is not collected
-    (unbounded per batch); ``first_frame_id``/``last_frame_id`` bound it and
-    the valid-frames table holds every id.
+
+    The pass over all rows is a hash aggregation keyed by (feed, round,
+    camera id) with fixed-width buffers; the summary camera (first valid
+    row's id) is picked on that small result.  The console summary's per-batch
+    frame-id list is unbounded per batch, so ``first_seq``/``last_seq`` bound
+    it instead (the valid-frames table holds every id).
     """
     rows = valid.select(
-        "feed_id", "batch_round", "seq", "camera_id", "frame_id", "brightness_avg", "blur_metric",
+        "feed_id", "batch_round", "seq", F.coalesce("camera_id", F.lit("unknown")).alias("camera_id"),
+        "brightness_avg", "blur_metric",
         F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("_s1"),
         F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x).alias("_s2"),
         F.size("embedding").alias("_n"))
-    agg = rows.groupBy("feed_id", "batch_round").agg(
-        F.min_by("camera_id", "seq").alias("_camera"),
-        F.count(F.lit(1)).alias("frame_count"),
-        F.min_by("frame_id", "seq").alias("first_frame_id"),
-        F.max_by("frame_id", "seq").alias("last_frame_id"),
-        F.avg("brightness_avg").alias("brightness_avg_mean"),
-        F.min("brightness_avg").alias("brightness_avg_min"),
-        F.avg("blur_metric").alias("blur_metric_mean"),
+    l1 = rows.groupBy("feed_id", "batch_round", "camera_id").agg(
+        F.count(F.lit(1)).alias("_c"), F.min("seq").alias("_first"), F.max("seq").alias("_last"),
+        F.sum("brightness_avg").alias("_sb"), F.min("brightness_avg").alias("_mb"),
+        F.sum("blur_metric").alias("_sl"),
+        F.sum("_s1").alias("_s1"), F.sum("_s2").alias("_s2"), F.sum("_n").alias("_n"))
+    agg = l1.groupBy("feed_id", "batch_round").agg(
+        F.min_by("camera_id", "_first").alias("_camera"),
+        F.sum("_c").alias("frame_count"),
+        F.min("_first").alias("first_seq"), F.max("_last").alias("last_seq"),
+        (F.sum("_sb") / F.sum("_c")).alias("brightness_avg_mean"),
+        F.min("_mb").alias("brightness_avg_min"),
+        (F.sum("_sl") / F.sum("_c")).alias("blur_metric_mean"),
         F.sum("_s1").alias("_s1"), F.sum("_s2").alias("_s2"), F.sum("_n").alias("_n"))
     mean = F.col("_s1") / F.col("_n")
     var = F.greatest(F.col("_s2") / F.col("_n") - mean * mean, F.lit(0.0))
-    agg = agg.withColumn("embedding_mean", mean).withColumn("embedding_std", F.sqrt(var))
+    agg = agg.withColumns({"embedding_mean": mean, "embedding_std": F.sqrt(var)})
     out = batches.select("feed_id", "batch_round", F.col("camera_id").alias("_batch_camera")).join(
         agg, ["feed_id", "batch_round"], "left")
     zero = F.lit(0.0)
@@ -41,7 +49,7 @@ def batch_telemetry(valid: DataFrame, batches: DataFrame) -> DataFrame:
         "feed_id", "batch_round",
         F.coalesce("_camera", "_batch_camera").alias("camera_id"),
         F.coalesce("frame_count", F.lit(0)).alias("frame_count"),
-        "first_frame_id", "last_frame_id",
+        "first_seq", "last_seq",
         F.coalesce("brightness_avg_mean", zero).alias("brightness_avg_mean"),
         F.coalesce("brightness_avg_min", zero).alias("brightness_avg_min"),
         F.coalesce("blur_metric_mean", zero).alias("blur_metric_mean"),

@@ -516,7 +516,9 @@ def q_pipeline_totals(spark, sf):
 def q_batch_telemetry(spark, sf):
     p = _p(spark, sf)
     t = SUM.batch_telemetry(p.valid, p.batches)
-    return t.select("feed_id", "batch_round", "camera_id", "frame_count", "first_frame_id", "last_frame_id",
+    return t.select("feed_id", "batch_round", "camera_id", "frame_count",
+                    F.col("first_seq").cast("double").alias("first_seq"),
+                    F.col("last_seq").cast("double").alias("last_seq"),
                     *[F.round(c, 9).alias(c) for c in ("brightness_avg_mean", "brightness_avg_min",
                                                        "blur_metric_mean", "embedding_mean", "embedding_std")])
 

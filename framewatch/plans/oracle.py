@@ -572,14 +572,15 @@ UNION ALL SELECT 'total_incidents', CAST(count(*) AS BIGINT) FROM incs""")
 Q["batch_telemetry"] = with_(GATED + """,
 vagg AS (
   SELECT feed_id, batch_round, arg_min(camera_id, seq) AS camera_id, CAST(count(*) AS BIGINT) AS frame_count,
-         arg_min(frame_id, seq) AS first_frame_id, arg_max(frame_id, seq) AS last_frame_id,
+         min(seq) AS first_seq, max(seq) AS last_seq,
          avg(brightness_avg) AS bmean, min(brightness_avg) AS bmin, avg(blur_metric) AS lmean,
          sum(list_reduce(embedding, lambda a, c: a + c)) AS s1,
          sum(list_reduce(list_transform(embedding, lambda x: x * x), lambda a, c: a + c)) AS s2,
          sum(len(embedding)) AS n
   FROM gated WHERE is_valid GROUP BY feed_id, batch_round)""", """
 SELECT b.feed_id, b.batch_round, coalesce(v.camera_id, b.camera_id) AS camera_id,
-       coalesce(v.frame_count, 0) AS frame_count, v.first_frame_id, v.last_frame_id,
+       coalesce(v.frame_count, 0) AS frame_count, CAST(v.first_seq AS DOUBLE) AS first_seq,
+       CAST(v.last_seq AS DOUBLE) AS last_seq,
        round(coalesce(v.bmean, 0.0), 9) AS brightness_avg_mean, round(coalesce(v.bmin, 0.0), 9) AS brightness_avg_min,
        round(coalesce(v.lmean, 0.0), 9) AS blur_metric_mean,
        round(coalesce(v.s1 / v.n, 0.0), 9) AS embedding_mean,

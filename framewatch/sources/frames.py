@@ -156,11 +156,23 @@ def number_batches(frames: DataFrame, bucket: Column) -> DataFrame:
 
 
 def latest_batch(frames: DataFrame) -> DataFrame:
-    """Latest batch number per feed and the last frame of it."""
-    return (frames.groupBy("feed_id").agg(
+    """Latest batch number per feed and the last frame of it.
+
+    Hash aggregations only touch every row (per (feed, round): max seq,
+    count); the last (round, seq) per feed is picked on that small result and
+    its frame id fetched with a join against a table of one row per feed."""
+    per_round = frames.groupBy("feed_id", "batch_round").agg(
+        F.max("seq").alias("_seq"), F.count(F.lit(1)).alias("_n"))
+    per_feed = per_round.groupBy("feed_id").agg(
         F.max("batch_round").alias("batch_number"),
-        F.max_by("frame_id", F.struct("batch_round", "seq")).alias("last_frame_id"),
-        F.count(F.lit(1)).alias("frame_count")))
+        F.max(F.struct("batch_round", "_seq")).alias("_last"),
+        F.sum("_n").alias("frame_count"))
+    last = per_feed.select("feed_id", "batch_number", "frame_count",
+                           F.col("_last.batch_round").alias("batch_round"),
+                           F.col("_last._seq").alias("seq"))
+    ids = frames.select("feed_id", "batch_round", "seq", F.col("frame_id").alias("last_frame_id"))
+    return (last.join(ids, ["feed_id", "batch_round", "seq"], "left")
+            .select("feed_id", "batch_number", "last_frame_id", "frame_count"))
 
 
 def frames_table(spark: SparkSession, sf_dir: str) -> DataFrame:
