@@ -80,7 +80,10 @@ def q_unknown_feeds(spark, sf):
 @query("batch_numbering")
 def q_batch_numbering(spark, sf):
     f = S.frames_table(spark, sf)
-    numbered = S.number_batches(f.drop("batch_round"), F.date_trunc("hour", "event_ts"))
+    hour = F.date_trunc("hour", "event_ts")
+    # chunk = day of the bucket (monotone in the bucket)
+    numbered = S.number_batches(f.drop("batch_round"), hour,
+                                chunk=F.floor(F.unix_seconds(F.col("_bucket").cast("timestamp")) / F.lit(86400)))
     return numbered.select("seq", "feed_id", F.col("batch_round").alias("batch_number"))
 
 

@@ -144,15 +144,25 @@ def accepted_feeds(frames: DataFrame, cfg: GateConfig) -> DataFrame:
     return frames.where(known_feed(F.col("feed_id"), cfg))
 
 
-def number_batches(frames: DataFrame, bucket: Column) -> DataFrame:
+def number_batches(frames: DataFrame, bucket: Column, chunk: Column | None = None) -> DataFrame:
     """Per-feed batch counter from an event-time bucket when the data has
-    no round column.  The counter needs the distinct buckets of a feed only,
-    so the window runs over (feed, bucket) pairs, not over rows."""
-    buckets = (frames.select("feed_id", bucket.alias("_bucket")).distinct()
-               .withColumn("batch_round", F.dense_rank().over(
-                   Window.partitionBy("feed_id").orderBy("_bucket")).cast("int")))
+    no round column.
+
+    The counter is the running count of the feed's distinct buckets: a
+    chunked prefix sum over (feed, bucket) pairs, so a feed with very many
+    buckets is not one task.  ``chunk`` must be non-decreasing in the bucket
+    (e.g. ``floor(unix_seconds(bucket) / 86400)``); without it a feed is one
+    chunk."""
+    from ..operators.ordered import running_sums
+    pairs = frames.select("feed_id", bucket.alias("_bucket")).distinct()
+    chunk_col = F.lit(0) if chunk is None else chunk
+    if chunk is not None:
+        pairs = pairs.withColumn("_bchunk", chunk_col)
+        chunk_col = F.col("_bchunk")
+    numbered = running_sums(pairs, "feed_id", ["_bucket"], chunk_col, {"batch_round": F.lit(1)})
+    numbered = numbered.select("feed_id", "_bucket", F.col("batch_round").cast("int").alias("batch_round"))
     return (frames.withColumn("_bucket", bucket)
-            .join(buckets, ["feed_id", "_bucket"]).drop("_bucket"))
+            .join(numbered, ["feed_id", "_bucket"]).drop("_bucket"))
 
 
 def latest_batch(frames: DataFrame) -> DataFrame:
