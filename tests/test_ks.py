@@ -51,3 +51,34 @@ def test_ks_statistic_matches_brute_force_with_ties(spark):
     got = {r["wid"]: r["kn"] for r in win.select("wid", ks_num_expr("win", "b", model.n2).alias("kn")).collect()}
     for wi, w in enumerate(windows):
         assert got[wi] / (20 * len(base)) == pytest.approx(ks_brute(w, base), abs=1e-12)
+
+
+def test_asymptotic_path_close_to_exact(spark):
+    """K3: above exact_ks_max_n the Kolmogorov limit Q(sqrt(round(en)) D) is
+    used.  It equals the series computed here independently; being a limit,
+    at n1=20 it is only near the exact value (about 0.04 off at p ~ 0.7)."""
+    import math
+    from framewatch.operators.drift import pvalue_table
+    cfg = GateConfig(exact_ks_max_n=500)            # n2=1000 > 500: asymptotic path
+    long = spark.createDataFrame([(20, 1000, k) for k in (3000, 5000, 5960, 8000)],
+                                 "n1 bigint, n2 bigint, ks_num bigint")
+    got = {r["ks_num"]: r["p_value"] for r in pvalue_table(long, cfg).collect()}
+    en = round(20 * 1000 / 1020)
+    for k, p in got.items():
+        d = k / 20000
+        series = min(1.0, max(0.0, sum(2 * (-1) ** (j - 1) * math.exp(-2 * j * j * d * d * en)
+                                       for j in range(1, 101))))
+        assert p == pytest.approx(series, abs=1e-12)
+        exact = exact_pvalues_numpy(20, 1000, [k])[0]
+        assert abs(p - exact) < 0.06, (k, p, exact)
+    # both sides agree on the alpha decision at the quoted boundary region
+    assert (got[8000] < 0.05) and (got[3000] > 0.05)
+
+
+def test_numpy_method_equals_sql_method(spark):
+    from framewatch.operators.drift import pvalue_table
+    long = spark.createDataFrame([(20, 1000, k) for k in (0, 1200, 4000, 5960, 9999)],
+                                 "n1 bigint, n2 bigint, ks_num bigint")
+    sql = {r["ks_num"]: r["p_value"] for r in pvalue_table(long, GateConfig()).collect()}
+    npy = {r["ks_num"]: r["p_value"] for r in pvalue_table(long, GateConfig(pvalue_method="numpy")).collect()}
+    assert sql == npy
