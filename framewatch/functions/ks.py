@@ -34,13 +34,16 @@ from pyspark.sql import functions as F
 
 def ks_num_expr(win: str, feature: str, n2: int) -> Column:
     """``ks_num`` of one feature for a window array column ``win`` whose
-    structs carry ``{feature}``, ``{feature}_ble`` and ``{feature}_blt``."""
+    structs carry ``{feature}``, ``{feature}_ble`` and ``{feature}_blt``.
+    Window counts are folds (no intermediate arrays are allocated)."""
     n2 = int(n2)
+    f = feature
+    le = f"aggregate({win}, 0L, (c, y) -> c + IF(y.{f} <= e.{f}, 1L, 0L))"
+    lt = f"aggregate({win}, 0L, (c, y) -> c + IF(y.{f} < e.{f}, 1L, 0L))"
+    n1 = f"cast(size({win}) as bigint)"
     return F.expr(f"""array_max(transform({win}, e -> greatest(
-          abs(cast(size(filter({win}, y -> y.{feature} <= e.{feature})) as bigint) * {n2}
-              - e.{feature}_ble * cast(size({win}) as bigint)),
-          abs(cast(size(filter({win}, y -> y.{feature} < e.{feature})) as bigint) * {n2}
-              - e.{feature}_blt * cast(size({win}) as bigint)))))""")
+          abs({le} * {n2} - e.{f}_ble * {n1}),
+          abs({lt} * {n2} - e.{f}_blt * {n1}))))""")
 
 
 def exact_pvalue_expr(n1: str = "n1", n2: str = "n2", kn: str = "ks_num") -> Column:
