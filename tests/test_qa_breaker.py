@@ -107,3 +107,14 @@ def test_schema_level_alerts_and_fallback(spark, make_frames):
     alerts = qa.failure_alerts(g).where("row_index <> 1")
     out = qa.row_rules_fallback(alerts, qa.quarantined_frames(g), sch).collect()
     assert [r["failed_rules"][0]["check"] for r in out] == ["column_in_dataframe"]
+
+
+def test_last_drift_report_per_camera_wins(spark):
+    # Two reports name camera_2 in round 3; the later feed's report is used
+    rep = spark.createDataFrame(
+        [("feed_a", "camera_2", 3, "analyzed", False, 20),
+         ("feed_b", "camera_2", 3, "buffering", False, None)],
+        "feed_id string, camera_id string, batch_round int, status string, drift_detected boolean, "
+        "window_size int")
+    out = breaker.latest_drift_per_camera(rep).collect()
+    assert len(out) == 1 and out[0]["status"] == "buffering"

@@ -10,7 +10,7 @@ from framewatch.config import FIXTURE_CONFIG
 from framewatch.operators import incidents, qa
 from framewatch.plans.pipeline import GatePipeline
 from framewatch.sources import sinks
-from framewatch.sources.frames import FRAME_SCHEMA
+from framewatch.sources.frames import FRAME_SCHEMA, stream_frames
 from framewatch.streaming.gate import StatefulGate, start_gate_sinks
 
 CMP = ["feed_id", "batch_round", "camera_id", "status", "buffer_size", "window_size",
@@ -41,8 +41,7 @@ def test_stream_equals_batch(spark):
     work = tempfile.mkdtemp(prefix="fw-stream-")
     src = os.path.join(work, "src")
     _round_files(spark, p.frames, src, rounds_per_file=6)
-    stream = (spark.readStream.schema(FRAME_SCHEMA).option("maxFilesPerTrigger", 1)
-              .parquet(os.path.join(src, "g*")))
+    stream = stream_frames(spark, os.path.join(src, "g*"), max_files_per_trigger=1)
     gate = StatefulGate(FIXTURE_CONFIG, model, os.path.join(work, "out"))
     q = gate.start(stream, os.path.join(work, "ckpt"))
     q.awaitTermination(600)
