@@ -254,7 +254,7 @@ SELECT seq, feed_id, batch_round,
 FROM frames""")
 
 Q["embedding_elements"] = with_(GATED, """
-SELECT pos, round(avg(x), 9) AS mean_value, CAST(count(*) AS BIGINT) AS n
+SELECT CAST(pos AS INTEGER) AS pos, round(avg(x), 9) AS mean_value, CAST(count(*) AS BIGINT) AS n
 FROM (SELECT unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos
       FROM gated WHERE is_valid)
 GROUP BY pos""")
