@@ -1,24 +1,27 @@
 """Drift detection: baseline model, sliding windows, grouped KS and centroids.
 
-Plan shape (see README "Drift plan"):
+Plan shape (README "Scale design"):
 
-1. ``window_tail``: only the last ``W`` valid rows of each (feed, round)
+1. ``window_rows``: only the last ``W`` valid rows of each (feed, round)
    batch can ever sit in a window, so a ``row_number() <= W`` filter runs
    first.  Spark plans it as a WindowGroupLimit that trims each map task's
    rows *before* the shuffle, so a hot batch costs one pass, not one task.
-2. ``drift_windows``: the trimmed rows (≤ W per batch) are windowed per batch
-   camera with ``collect_list over rowsBetween(-(W-1), 0)``; the last row of
-   each batch carries the window as of that batch's end.
+   Each kept row gets ``pos``, its position in the camera's valid-row stream,
+   from the running valid count (a chunked prefix sum over the batch table).
+2. ``drift_windows``: the frame ``pos in [end - W + 1, end]`` is collected
+   per (camera, position chunk) with a W-1 halo (``ordered.halo_window``);
+   the last row of each batch carries the window as of that batch's end.
+   No task holds a whole camera.
 3. KS statistic per window and feature with integer counts; baseline counts
    come from a binary search (``aggregate`` halving steps) into the fitted
-   baseline model.
+   baseline arrays, carried by a one-row broadcast lookup.
 4. Exact p-values once per distinct (n1, n2, ks_num) — a table bounded by
-   ``W * (W * n2 + 1)`` rows that is broadcast back.
+   ``W * (W * n2 + 1)`` rows that is broadcast back in one join.
 5. Status per batch from the batch table (running valid count per camera).
 
 The baseline is bounded by ``baseline_samples`` rows; ``BaselineModel.fit``
-collects that bounded sample once (like fitting an ML model) and turns it
-into literals: sorted distinct values with cumulative counts and a centroid.
+collects that bounded sample once (like fitting an ML model) into sorted
+distinct values with cumulative counts and a centroid.
 """
 
 from __future__ import annotations
@@ -151,17 +154,22 @@ def _known(cfg: GateConfig) -> Column:
     return F.col("camera_id").isin(list(cfg.known_cameras))
 
 
+def last_rows_per_batch(valid: DataFrame, w: int) -> DataFrame:
+    """The last ``w`` valid rows of each batch with ``_r``, the rank from the
+    batch end (1 = last row).  Planned as a partial WindowGroupLimit before
+    the shuffle plus a final one after it."""
+    order = Window.partitionBy("feed_id", "batch_round").orderBy(F.col("seq").desc())
+    return (valid.select("feed_id", "batch_round", "seq", "brightness_avg", "blur_metric", "embedding")
+            .withColumn("_r", F.row_number().over(order))
+            .where(F.col("_r") <= w))
+
+
 def window_tail(valid: DataFrame, batches: DataFrame, cfg: GateConfig) -> DataFrame:
-    """Rows that can appear in a window: last W valid rows of each batch,
-    tagged with the batch camera (known cameras only) and ``_r``, the rank
-    from the batch end (1 = last row of the batch)."""
-    w = Window.partitionBy("feed_id", "batch_round").orderBy(F.col("seq").desc())
-    tail = (valid.select("feed_id", "batch_round", "seq", "brightness_avg", "blur_metric", "embedding")
-            .withColumn("_r", F.row_number().over(w))
-            .where(F.col("_r") <= cfg.drift_window))
+    """Rows that can appear in a window, tagged with the batch camera (known
+    cameras only)."""
     cams = batches.where(_known(cfg) & (F.col("valid_count") > 0)).select(
         "feed_id", "batch_round", "camera_id")
-    return tail.join(cams, ["feed_id", "batch_round"])
+    return last_rows_per_batch(valid, cfg.drift_window).join(cams, ["feed_id", "batch_round"])
 
 
 def window_rows(valid: DataFrame, batches: DataFrame, cfg: GateConfig,
@@ -173,11 +181,7 @@ def window_rows(valid: DataFrame, batches: DataFrame, cfg: GateConfig,
     buf = (drift_buffer(batches, offsets, cfg)
            .where(_known(cfg) & (F.col("valid_count") > 0))
            .select("feed_id", "batch_round", "camera_id", "buffer_total"))
-    w = Window.partitionBy("feed_id", "batch_round").orderBy(F.col("seq").desc())
-    tail = (valid.select("feed_id", "batch_round", "seq", "brightness_avg", "blur_metric", "embedding")
-            .withColumn("_r", F.row_number().over(w))
-            .where(F.col("_r") <= cfg.drift_window))
-    rows = (tail.join(buf, ["feed_id", "batch_round"])
+    rows = (last_rows_per_batch(valid, cfg.drift_window).join(buf, ["feed_id", "batch_round"])
             .withColumn("pos", (F.col("buffer_total") - F.col("_r") + 1).cast("long"))
             .drop("buffer_total"))
     if prior_rows is not None:
