@@ -1,9 +1,11 @@
 """Rolling quarantine rate, breaker evaluation and the latched breaker.
 
-All windows here run over the *batch* table (one row per feed and round),
-partitioned by camera: the latch is sequential per camera by definition,
-and batch rows are orders of magnitude fewer than frame rows.  Every window
-shares the same ``partitionBy('camera_id')`` so Spark shuffles once.
+Everything here runs on the *batch* table (one row per feed and round), which
+is orders of magnitude smaller than the frames.  The per-camera order
+(record ordinals, the 5-record frame, the running trip count that forms the
+latch) is computed with chunked prefix sums and halo frames
+(``ordered.py``), so a camera with a very large share of the batches is
+spread over many tasks instead of one.
 """
 
 from __future__ import annotations
