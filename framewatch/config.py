@@ -23,7 +23,7 @@ DRIFT_WINDOW_SIZE = 20
 DRIFT_ALPHA = 0.05
 EMBEDDING_COSINE_SIM_THRESHOLD = 0.85  # reported, never used in a decision
 EMBEDDING_EUCLIDEAN_THRESHOLD = 2.0  # reported, never used in a decision
-EXACT_KS_MAX_N = 10000  # above this sample size the p-value is asymptotic
+EXACT_KS_MAX_N = 10000  # above this sample size the p-value is that of one sample
 QA_QUARANTINE_RATE_THRESHOLD = 0.15
 ORCHESTRATOR_QA_WINDOW_BATCHES = 5
 DRIFT_MIN_FEATURES_FOR_INCIDENT = 2
@@ -35,6 +35,7 @@ CHECK_CAMERA_ID = "_camera_id_valid"
 CHECK_EMBEDDING_DIM = "_embedding_has_expected_dim"
 CHECK_NOT_NULL = "not_nullable"
 CHECK_COERCE_FLOAT = "coerce_dtype('float64')"
+CHECK_COLUMN = "column_in_dataframe"
 
 REASON_RATE = "qa_quarantine_rate_exceeded"
 REASON_DRIFT = "multi_feature_drift"
@@ -65,6 +66,7 @@ class GateConfig:
     embedding_dim: int = EMBEDDING_DIM
     known_cameras: tuple[str, ...] = KNOWN_CAMERAS
     baseline_samples: int = DRIFT_BASELINE_SAMPLES
+    baseline_rounds: int | None = None  # rounds that make the reference period; None: give a baseline
     drift_window: int = DRIFT_WINDOW_SIZE
     drift_alpha: float = DRIFT_ALPHA
     exact_ks_max_n: int = EXACT_KS_MAX_N
@@ -75,7 +77,6 @@ class GateConfig:
     chunk_rounds: int = 1024
     chunk_positions: int = 1 << 16
     chunk_records: int = 1 << 16
-    pvalue_method: str = "sql"  # or "numpy": the same recursion vectorised in mapInPandas
     cosine_similarity_threshold: float = EMBEDDING_COSINE_SIM_THRESHOLD
     euclidean_distance_threshold: float = EMBEDDING_EUCLIDEAN_THRESHOLD
     rate_threshold: float = QA_QUARANTINE_RATE_THRESHOLD
@@ -87,10 +88,10 @@ class GateConfig:
     incident_title: str = "Frame Gate Incident"
     pager_routing_key: str = "frame-gate-production"
     source_name: str = "frame-gate-orchestrator"
-    retrain_pipeline: str = "upstream-model-retrain"
-    retrain_engine: str = "airflow"
-    retrain_action: str = "trigger_dag"
-    retrain_dag_id: str = "frame_gate_retrain_and_verify"
+    retrain_pipeline: str = "frame-model-refresh"
+    retrain_engine: str = "job-queue"
+    retrain_action: str = "start_run"
+    retrain_dag_id: str = "refresh_frame_model"
     quarantine_dir: str = "quarantine"
     alerts_dir: str = "alerts"
     extra: dict = field(default_factory=dict, compare=False, hash=False)
@@ -106,4 +107,5 @@ DEFAULT_CONFIG = GateConfig()
 FIXTURE_CONFIG = GateConfig(
     embedding_dim=64,
     known_cameras=tuple(f"camera_{i}" for i in range(16)),
+    baseline_rounds=7,
 )

@@ -9,7 +9,9 @@ counts ``w_le = #W <= x``, ``w_lt = #W < x``, ``b_le = #B <= x``,
 
 Both empirical CDFs are step functions, so the supremum is reached at a
 window point or just left of one (the left limit covers every baseline point
-between two window points).
+between two window points).  Infinite values rank like any other; a NaN or
+null value in the window or the baseline makes the statistic null, and a null
+statistic never flags drift.
 
 Exact two-sided p-value (K2): the probability that a uniformly random
 monotone lattice path from (0,0) to (n1,n2) touches a point with
@@ -21,9 +23,12 @@ as an array indexed by ``i`` (each diagonal needs only the previous one), so
 it is one ``aggregate`` over ``sequence(1, n1+n2)``.  It is evaluated once
 per *distinct* (n1, n2, ks_num) triple, so its cost does not grow with rows.
 
-Asymptotic p-value (K3), used when a sample exceeds ``exact_ks_max_n``:
-Kolmogorov's limit ``Q(λ) = 2 Σ_k (-1)^(k-1) exp(-2 k² λ²)`` with
-``λ = D * sqrt(round(n1 n2 / (n1 + n2)))``.
+Large-sample p-value (K3), used when a sample exceeds ``exact_ks_max_n``: the
+*finite-n* distribution of the one-sample statistic at
+``n = round(n1 n2 / (n1 + n2))``, by the Durbin matrix: with ``k = floor(nD)+1``
+and ``h = k - nD``, ``P(D_n < D) = n!/n^n (H^n)[k,k]`` for a banded matrix H of
+order ``2k-1`` (Marsaglia, Tsang and Wang 2003).  One row vector is multiplied
+by H n times, with the factor i/n applied at step i.
 """
 
 from __future__ import annotations
@@ -41,9 +46,10 @@ def ks_num_expr(win: str, feature: str, n2: int) -> Column:
     le = f"aggregate({win}, 0L, (c, y) -> c + IF(y.{f} <= e.{f}, 1L, 0L))"
     lt = f"aggregate({win}, 0L, (c, y) -> c + IF(y.{f} < e.{f}, 1L, 0L))"
     n1 = f"cast(size({win}) as bigint)"
-    return F.expr(f"""array_max(transform({win}, e -> greatest(
+    return F.expr(f"""CASE WHEN exists({win}, e -> e.{f} IS NULL OR isnan(e.{f}) OR e.{f}_ble IS NULL) THEN NULL
+          ELSE array_max(transform({win}, e -> greatest(
           abs({le} * {n2} - e.{f}_ble * {n1}),
-          abs({lt} * {n2} - e.{f}_blt * {n1}))))""")
+          abs({lt} * {n2} - e.{f}_blt * {n1})))) END""")
 
 
 def exact_pvalue_expr(n1: str = "n1", n2: str = "n2", kn: str = "ks_num") -> Column:
@@ -64,70 +70,27 @@ def exact_pvalue_expr(n1: str = "n1", n2: str = "n2", kn: str = "ks_num") -> Col
         {a} + 1) END""")
 
 
-def asymptotic_pvalue_expr(d: str = "ks_statistic", n1: str = "n1", n2: str = "n2",
-                           terms: int = 100) -> Column:
-    """K3: Kolmogorov limiting distribution at the effective sample size."""
-    return F.expr(f"""
-      least(1.0D, greatest(0.0D,
-        CASE WHEN {d} <= 0 THEN 1.0D ELSE
-        aggregate(sequence(1, {terms}), 0.0D,
-          (acc, k) -> acc + 2.0D * (CASE WHEN k % 2 = 1 THEN 1.0D ELSE -1.0D END)
-                      * exp(-2.0D * k * k * {d} * {d}
-                            * round(cast({n1} as double) * {n2} / ({n1} + {n2}))))
-        END))""")
-
-
-def brute_force_pvalue(n1: int, n2: int, ks_num: int) -> float:
-    """Reference implementation by full path enumeration (tests only)."""
-    from itertools import combinations
-    total = hit = 0
-    for xs in combinations(range(n1 + n2), n1):
-        total += 1
-        i = j = 0
-        touched = abs(i * n2 - j * n1) >= ks_num
-        xs_set = set(xs)
-        for step in range(n1 + n2):
-            if step in xs_set:
-                i += 1
-            else:
-                j += 1
-            if abs(i * n2 - j * n1) >= ks_num:
-                touched = True
-        hit += touched
-    return hit / total
-
-
-def exact_pvalues_numpy(n1: int, n2: int, kn) -> "np.ndarray":
-    """K2 for many ``ks_num`` values of one (n1, n2) at once: the same
-    anti-diagonal recursion as :func:`exact_pvalue_expr`, vectorised across
-    the triples, with the same floating-point operation order (so results
-    are bit-identical to the SQL form)."""
-    import numpy as np
-    kn = np.asarray(kn, dtype=np.int64)
-    t_count = len(kn)
-    i = np.arange(n1 + 1, dtype=np.int64)
-    fi = i.astype(np.float64)
-    st = np.zeros((t_count, n1 + 1))
-    zero_col = np.zeros((t_count, 1))
-    for t in range(1, n1 + n2 + 1):
-        j = t - i
-        inside_grid = (j >= 0) & (j <= n2)
-        hit = np.abs(i * n2 - j * n1)[None, :] >= kn[:, None]
-        prev_left = np.concatenate([zero_col, st[:, :-1]], axis=1)
-        new = (fi / t) * prev_left + ((t - fi) / t) * st
-        new = np.where(hit, 1.0, new)
-        st = np.where(inside_grid[None, :], new, 0.0)
-    p = st[:, n1].copy()
-    p[kn <= 0] = 1.0
-    return p
-
-
-def pvalue_batches(batches):
-    """``mapInPandas`` body: (n1, n2, ks_num) rows -> + p_value (exact)."""
-    import numpy as np
-    for pdf in batches:
-        out = pdf.copy()
-        out["p_value"] = np.nan
-        for (a, b), idx in pdf.groupby(["n1", "n2"]).groups.items():
-            out.loc[idx, "p_value"] = exact_pvalues_numpy(int(a), int(b), pdf.loc[idx, "ks_num"].to_numpy())
-        yield out
+def _bind(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value`` (a lambda variable)."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def large_sample_pvalue_expr(d: str = "ks_statistic", n1: str = "n1", n2: str = "n2") -> Column:
+    """K3: P(D_n >= d) of the one-sample statistic at n = round(n1 n2 / (n1 + n2))."""
+    inverse_factorials = ("aggregate(sequence(1, s.m), array(1.0D), "
+                          "(a, t) -> concat(a, array(element_at(a, -1) / t)))")
+    # entry (i, j) of the matrix: 1/(i-j+1)! on and below the first superdiagonal, corrected
+    # in the first column and the last row for the parts of the band that are cut off
+    entry = ("CASE WHEN i - j + 1 < 0 THEN 0.0D ELSE g[i - j + 1] * (1.0D"
+             " - IF(j = 0, pow(s.h, i + 1), 0.0D) - IF(i = s.m - 1, pow(s.h, s.m - j), 0.0D)"
+             " + IF(i = s.m - 1 AND j = 0 AND 2 * s.h - 1 > 0, pow(2 * s.h - 1, s.m), 0.0D)) END")
+    matrix = f"transform(sequence(0, s.m - 1), j -> transform(sequence(0, s.m - 1), i -> {entry}))"   # by column
+    power = ("aggregate(sequence(1, s.n), transform(sequence(0, s.m - 1), i -> IF(i = s.k - 1, 1.0D, 0.0D)), "
+             "(v, t) -> transform(c, col -> aggregate(zip_with(v, col, (x, y) -> x * y), 0.0D, (a, x) -> a + x) * t / s.n),"
+             " v -> v[s.k - 1])")
+    sizes = (f"transform(array(struct(cast(round(cast({n1} as double) * {n2} / ({n1} + {n2})) as int) AS n, {d} AS d)), r -> "
+             "struct(r.n AS n, cast(floor(r.n * r.d) as int) + 1 AS k, 2 * (cast(floor(r.n * r.d) as int) + 1) - 1 AS m, "
+             "floor(r.n * r.d) + 1 - r.n * r.d AS h))[0]")
+    inside = _bind("s", sizes, _bind("g", inverse_factorials, _bind("c", matrix, power)))
+    return F.expr(f"CASE WHEN {d} IS NULL THEN NULL WHEN {d} <= 0 THEN 1.0D WHEN {d} >= 1 THEN 0.0D "
+                  f"ELSE least(1.0D, greatest(0.0D, 1.0D - {inside})) END")

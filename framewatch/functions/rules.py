@@ -118,9 +118,10 @@ CONTRACT_TYPES: dict[str, T.DataType] = {
 def coerce_types(df: DataFrame) -> DataFrame:
     """``try_cast`` every contract column to its declared type.
 
-    A value that is present but cannot be cast becomes null and records a
-    ``coerce_dtype`` failure in ``_coerce_failures`` (merged by
-    ``evaluate_rules``).  Columns already of the right type are untouched.
+    A value that is present but cannot be cast, or an array with an element
+    that cannot, becomes null and records a ``coerce_dtype`` failure in
+    ``_coerce_failures`` (merged by ``evaluate_rules``).  Columns already of
+    the right type are untouched.
     Columns outside the contract pass through (the schema is not strict).
     """
     fails = []
@@ -134,6 +135,10 @@ def coerce_types(df: DataFrame) -> DataFrame:
             continue
         raw = F.col(name)
         cast = raw.try_cast(dtype)
+        if isinstance(dtype, T.ArrayType) and isinstance(src, T.ArrayType):
+            lost = F.exists(F.arrays_zip(raw.alias("raw"), cast.alias("cast")),
+                            lambda e: e["raw"].isNotNull() & e["cast"].isNull())
+            cast = F.when(~F.coalesce(lost, F.lit(False)), cast)
         cols[name] = cast
         check = (C.CHECK_COERCE_FLOAT if isinstance(dtype, T.DoubleType)
                  else f"coerce_dtype('{dtype.simpleString()}')")
@@ -148,22 +153,49 @@ def coerce_types(df: DataFrame) -> DataFrame:
 
 
 def contract_violations(df: DataFrame) -> list[dict]:
-    """F8: schema-level failures (missing required column, unreadable type).
+    """F8: schema-level failures: a required column that is missing, or one whose
+    type cannot be read as the declared one at all.
 
     Works on the schema only (no job).  Extra columns are allowed.
     """
     out = []
     for name, dtype in CONTRACT_TYPES.items():
         if name not in df.columns:
-            out.append({"column": name, "check": "column_in_dataframe", "failure_case": name})
-            continue
-        src = df.schema[name].dataType
-        if isinstance(dtype, T.ArrayType) and not isinstance(src, (T.ArrayType, T.StringType, T.NullType)):
+            out.append({"column": name, "check": C.CHECK_COLUMN, "failure_case": name})
+        elif not _readable(df.schema[name].dataType, dtype):
             out.append({"column": name, "check": f"dtype('{dtype.simpleString()}')",
-                        "failure_case": src.simpleString()})
+                        "failure_case": df.schema[name].dataType.simpleString()})
     return out
 
 
+def _readable(src: T.DataType, dtype: T.DataType) -> bool:
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    if isinstance(src, T.NullType):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return isinstance(src, T.ArrayType) and not isinstance(src.elementType, (*nested, T.BinaryType, T.BooleanType))
+    return not isinstance(src, (*nested, T.BinaryType)) and not (
+        isinstance(dtype, T.DoubleType) and isinstance(src, (T.DateType, T.TimestampNTZType)))
+
+
+def has_unreadable(violations: list[dict]) -> bool:
+    """Whether a column is there but cannot be read (status ``error``)."""
+    return any(v["check"] != C.CHECK_COLUMN for v in violations)
+
+
+def conform(df: DataFrame) -> tuple[DataFrame, list[dict]]:
+    """Missing and unreadable columns as typed nulls, and their violations.
+    No row rule fires on them; the violations are alerts of the batch."""
+    violations = contract_violations(df)
+    return df.withColumns({v["column"]: F.lit(None).cast(CONTRACT_TYPES[v["column"]]) for v in violations}), violations
+
+
+def violation_rules(violations: list[dict]) -> Column:
+    """The violations as an array of rule structs."""
+    return F.array(*[F.struct(*[F.lit(v[k]).alias(k) for k in ("column", "check", "failure_case")])
+                     for v in violations]).cast(RULES_TYPE)
+
+
 # ---------------------------------------------------------------------------
 # Evaluation
 # ---------------------------------------------------------------------------
@@ -172,7 +204,7 @@ def _failure_struct(column: str, check: str, case: Column) -> Column:
                     case.cast("string").alias("failure_case"))
 
 
-def rule_failure_exprs(df: DataFrame, rules: list[Rule]) -> list[Column]:
+def rule_failure_exprs(df: DataFrame, rules: list[Rule], skip: set[str] = frozenset()) -> list[Column]:
     """One ``when(failed, struct)`` per check, nulls for passes."""
     exprs = []
     by_col: dict[str, list[Rule]] = {}
@@ -180,7 +212,7 @@ def rule_failure_exprs(df: DataFrame, rules: list[Rule]) -> list[Column]:
         by_col.setdefault(r.column, []).append(r)
     ordered = [c for c in CONTRACT_TYPES] + [c for c in by_col if c not in CONTRACT_TYPES]
     for name in ordered:
-        if name not in df.columns:
+        if name not in df.columns or name in skip:
             continue
         col = F.col(name)
         missing = is_missing(col, df.schema[name].dataType)
@@ -197,11 +229,14 @@ def rule_failure_exprs(df: DataFrame, rules: list[Rule]) -> list[Column]:
 
 def evaluate_rules(df: DataFrame, cfg: GateConfig, rules: list[Rule] | None = None,
                    coerce: bool = True) -> DataFrame:
-    """attach ``failed_rules`` and ``is_valid`` in one narrow projection."""
+    """attach ``failed_rules`` and ``is_valid`` in one narrow projection.
+
+    Columns that break the schema contract are null, and no rule looks at them."""
     rules = default_rules(cfg) if rules is None else rules
+    df, violations = conform(df)
     if coerce:
         df = coerce_types(df)
-    exprs = rule_failure_exprs(df, rules)
+    exprs = rule_failure_exprs(df, rules, skip={v["column"] for v in violations})
     found = F.filter(F.array(*exprs), lambda x: x.isNotNull()) if exprs else F.array().cast(RULES_TYPE)
     if "_coerce_failures" in df.columns:
         found = F.concat(F.col("_coerce_failures"), found)

@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import GateConfig
-from ..functions.text import percent_text
+from ..functions.text import percent_text, round4
+from .drift import feed_order, stream_order
 from .ordered import halo_window, running_sums
 from .qa import breaker_input
 
-ORDER = ["batch_round", "feed_id"]
-
 
 def _round_chunk(cfg: GateConfig) -> Column:
     return F.floor(F.col("batch_round") / F.lit(cfg.chunk_rounds))
@@ -32,7 +31,7 @@ def rolling_quarantine_rate(records: DataFrame, cfg: GateConfig) -> DataFrame:
 
     Record ordinals per camera are a chunked prefix count; the N-record frame
     runs per (camera, ordinal chunk) with an N-1 halo (bounded partitions)."""
-    r = running_sums(records, "camera_id", ORDER, _round_chunk(cfg), {"record_ordinal": F.lit(1)})
+    r = running_sums(records, "camera_id", stream_order(cfg), _round_chunk(cfg), {"record_ordinal": F.lit(1)})
     span = cfg.qa_window_batches - 1
     out = halo_window(r, "camera_id", "record_ordinal", span, cfg.chunk_records, {
         "_q": lambda w: F.sum("quarantined_count").over(w),
@@ -42,29 +41,27 @@ def rolling_quarantine_rate(records: DataFrame, cfg: GateConfig) -> DataFrame:
             .drop("_q", "_t"))
 
 
-def latest_drift_per_camera(reports: DataFrame) -> DataFrame:
+def latest_drift_per_camera(reports: DataFrame, cfg: GateConfig) -> DataFrame:
     """When several reports name the same camera in a round, the last
-    one (feed order) wins."""
+    one (configured feed order) wins."""
     cols = [c for c in reports.columns if c not in ("camera_id", "batch_round")]
     return (reports.groupBy("camera_id", "batch_round")
-            .agg(F.max_by(F.struct(*cols), "feed_id").alias("_d"))
+            .agg(F.max_by(F.struct(*cols), F.struct(feed_order(cfg), F.col("feed_id"))).alias("_d"))
             .select("camera_id", "batch_round", "_d.*")
             .drop("feed_id"))
 
 
-def qa_with_drift(records: DataFrame, reports: DataFrame | None) -> DataFrame:
+def qa_with_drift(records: DataFrame, reports: DataFrame | None, cfg: GateConfig) -> DataFrame:
     """Batch record ⟕ the camera's drift report of the same round."""
     if reports is None:
         return records
-    d = latest_drift_per_camera(reports).select(
+    d = latest_drift_per_camera(reports, cfg).select(
         "camera_id", "batch_round",
         F.col("status").alias("drift_status"),
         F.col("drift_detected"),
         F.col("window_size").alias("drift_window_size"),
         *[F.col(f"{f}_drift") for f in C.DRIFT_FEATURES],
-        *[F.col(f"{f}_ks") for f in C.DRIFT_FEATURES],
-        *[F.col(f"{f}_p") for f in C.DRIFT_FEATURES],
-        "mean_cosine_similarity", "mean_euclidean_distance")
+        F.col("features").alias("drift_features"))
     return records.join(d, ["camera_id", "batch_round"], "left")
 
 
@@ -91,7 +88,7 @@ def reason_structs(cfg: GateConfig) -> Column:
     rate_reason = F.when(rate > F.lit(cfg.rate_threshold), F.struct(
         F.lit(C.REASON_RATE).alias("type"),
         F.col("camera_id").alias("camera_id"),
-        F.bround(rate, 4).alias("observed_rate"),
+        round4(rate).alias("observed_rate"),
         F.lit(float(cfg.rate_threshold)).alias("threshold"),
         F.lit(None).cast("array<string>").alias("features"),
         F.lit(None).cast("int").alias("feature_count"),
@@ -124,12 +121,12 @@ def breaker_evaluation(batches: DataFrame, cfg: GateConfig,
             "feed_id", "batch_round", "camera_id", "status", "valid_count", "quarantined_count")
             .withColumn("_prior", F.lit(True)))
     recs = rolling_quarantine_rate(recs, cfg).where(~F.col("_prior")).drop("_prior")
-    recs = qa_with_drift(recs, drift_reports)
+    recs = qa_with_drift(recs, drift_reports, cfg)
     recs = recs.withColumn("drifted_features", drifted_features_expr(recs))
     recs = recs.withColumn("reasons", reason_structs(cfg))
     recs = recs.withColumn("should_trip", F.size("reasons") > 0)
     # the latch: running count of trips per camera (chunked prefix sum)
-    recs = running_sums(recs, "camera_id", ORDER, _round_chunk(cfg),
+    recs = running_sums(recs, "camera_id", stream_order(cfg), _round_chunk(cfg),
                         {"_trips": F.col("should_trip").cast("int")})
     ordinal = F.col("_trips")
     if prior_trips is not None:

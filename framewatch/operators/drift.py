@@ -2,26 +2,25 @@
 
 Plan shape (README "Scale design"):
 
-1. ``window_rows``: only the last ``W`` valid rows of each (feed, round)
-   batch can ever sit in a window, so a ``row_number() <= W`` filter runs
-   first.  Spark plans it as a WindowGroupLimit that trims each map task's
-   rows *before* the shuffle, so a hot batch costs one pass, not one task.
-   Each kept row gets ``pos``, its position in the camera's valid-row stream,
-   from the running valid count (a chunked prefix sum over the batch table).
-2. ``drift_windows``: the frame ``pos in [end - W + 1, end]`` is collected
-   per (camera, position chunk) with a W-1 halo (``ordered.halo_window``);
-   the last row of each batch carries the window as of that batch's end.
-   No task holds a whole camera.
+1. ``batch_rows``: only the last ``W`` valid rows of each (feed, round) batch
+   can ever sit in a window, so a ``row_number() <= W`` filter runs first,
+   planned as a WindowGroupLimit on both sides of the one shuffle of rows.
+   Norms and baseline counts are computed for the kept rows only, which then
+   become one array per batch.
+2. ``drift_windows``: a batch with W valid rows is its own window; one with
+   fewer takes rows from the arrays of the batches before it, at most W - 1
+   positions back (``ordered.halo_window`` over batches, per camera and
+   position chunk).  No task holds a whole camera.
 3. KS statistic per window and feature with integer counts; baseline counts
    come from a binary search (``aggregate`` halving steps) into the fitted
-   baseline arrays, carried by a one-row broadcast lookup.
-4. Exact p-values once per distinct (n1, n2, ks_num) — a table bounded by
-   ``W * (W * n2 + 1)`` rows that is broadcast back in one join.
+   baseline arrays, which are one-row scalar subqueries: no join.
+4. p-values once per distinct (n1, n2, ks_num) — a table bounded by
+   ``W * (W * n2 + 1)`` rows — looked up by three equi-joins.
 5. Status per batch from the batch table (running valid count per camera).
 
-The baseline is bounded by ``baseline_samples`` rows; ``BaselineModel.fit``
-collects that bounded sample once (like fitting an ML model) into sorted
-distinct values with cumulative counts and a centroid.
+The baseline is the first ``baseline_samples`` valid rows of a stated
+reference period.  It is fitted by aggregations: counts of distinct values per
+feature and the mean of every embedding position.
 """
 
 from __future__ import annotations
@@ -29,92 +28,112 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import GateConfig
-from pyspark import StorageLevel
-
-from ..functions.ks import asymptotic_pvalue_expr, exact_pvalue_expr, ks_num_expr, pvalue_batches
+from ..functions.ks import exact_pvalue_expr, ks_num_expr, large_sample_pvalue_expr
 from .ordered import halo_window, running_sums
 
 # window struct field per drift feature (embedding drift is KS on L2 norms)
 FIELD = {"brightness_avg": "b", "blur_metric": "l", "embedding": "n"}
-BASELINE_ROW_LIMIT = 1_000_000
+KEYS = ["feed_id", "batch_round", "seq"]
+# rows of the p-value table up to which it is sent to every executor
+BROADCAST_PVALUES = 1_000_000
 
 
 def norm_expr(col: str | Column) -> Column:
-    """K5: L2 norm as a left fold over the elements."""
+    """K5: L2 norm as a left fold over the elements; null with a null element."""
     c = F.col(col) if isinstance(col, str) else col
     return F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
+def feed_order(cfg: GateConfig) -> Column:
+    """Place of a feed in the configured order; other feeds come last."""
+    place = F.array_position(F.array(*[F.lit(c) for c in cfg.known_cameras]), F.col("feed_id"))
+    return F.when(place > 0, place).otherwise(len(cfg.known_cameras) + 1)
+
+
+def stream_order(cfg: GateConfig) -> list[Column]:
+    """Order of the batches of one camera: round, then the configured feed order."""
+    return [F.col("batch_round"), feed_order(cfg), F.col("feed_id")]
+
+
 def baseline_rows(valid: DataFrame, cfg: GateConfig, max_round: int | None = None,
                   n: int | None = None) -> DataFrame:
-    """The reference sample — the first ``n`` valid rows (by seq) of a
-    reference period.  ``orderBy().limit()`` plans as a per-partition top-n
-    followed by a merge of ``n`` rows per task (TakeOrderedAndProject)."""
+    """The reference sample — the first ``n`` valid rows of a reference
+    period, by (seq, feed, round), so several feeds with their own ``seq`` give
+    one answer.  Only keys are ranked (a top-n per partition, then of those);
+    the wide rows are looked up for the n chosen ones."""
     src = valid if max_round is None else valid.where(F.col("batch_round") <= max_round)
-    return src.orderBy("seq").limit(n or cfg.baseline_samples)
+    chosen = src.select(*KEYS).orderBy("seq", "feed_id", "batch_round").limit(n or cfg.baseline_samples)
+    return src.join(chosen.distinct(), KEYS, "left_semi")
 
 
 @dataclass
 class BaselineModel:
+    """Sorted distinct values with cumulative counts per feature; None for a
+    feature with a missing or NaN value (no statistic is defined then)."""
     n2: int
-    values: dict[str, list[float]]
-    cum_le: dict[str, list[int]]
+    values: dict[str, list[float] | None]
+    cum_le: dict[str, list[int] | None]
     centroid: list[float]
     centroid_norm: float
 
     @classmethod
     def fit(cls, baseline: DataFrame, cfg: GateConfig) -> "BaselineModel":
-        rows = (baseline.select(F.col("brightness_avg").alias("b"), F.col("blur_metric").alias("l"),
-                                norm_expr("embedding").alias("n"), "embedding")
-                .limit(BASELINE_ROW_LIMIT + 1).collect())
-        if len(rows) > BASELINE_ROW_LIMIT:
-            raise ValueError("baseline sample exceeds the bounded size; pass a smaller n")
-        if not rows:
+        """Exact counts by aggregation; what reaches the driver is at most one
+        row per distinct value of the sample and one per embedding position."""
+        rows = baseline.select(F.col("brightness_avg").alias("b"), F.col("blur_metric").alias("l"),
+                               norm_expr("embedding").alias("n"), "embedding")
+        points = rows.select(F.explode(F.array(*[
+            F.struct(F.lit(f).alias("f"), F.col(f).alias("x")) for f in FIELD.values()])).alias("p")).select("p.*")
+        counts = points.groupBy("f", "x").agg(F.count(F.lit(1)).alias("c")).collect()
+        n2 = sum(r["c"] for r in counts if r["f"] == "b")
+        if not n2:
             raise ValueError("empty baseline")
         values, cums = {}, {}
-        for fld in FIELD.values():
-            arr = np.array([r[fld] for r in rows], dtype=np.float64)
-            arr = arr[np.isfinite(arr)]
-            uniq, counts = np.unique(arr, return_counts=True)
-            values[fld] = uniq.tolist()
-            cums[fld] = [0] + np.cumsum(counts).astype(np.int64).tolist()
-        emb = [r["embedding"] for r in rows if r["embedding"] is not None]
-        mat = np.array(emb, dtype=np.float64) if emb else np.zeros((0, cfg.embedding_dim))
-        centroid = mat.mean(axis=0).tolist() if len(mat) else []
-        return cls(n2=len(rows), values=values, cum_le=cums, centroid=centroid,
-                   centroid_norm=float(np.linalg.norm(centroid)) if centroid else 0.0)
-
-    def lookup_row(self, spark) -> DataFrame:
-        """The fitted arrays as ONE row (bounded by the baseline size): sorted
-        distinct values and cumulative counts per feature."""
-        flds = list(FIELD.values())
-        schema = ", ".join(f"_{f}_vals array<double>, _{f}_cum array<bigint>" for f in flds)
-        row = []
-        for f in flds:
-            row += [[float(v) for v in (self.values[f] or [0.0])], [int(c) for c in self.cum_le[f]]]
-        return spark.createDataFrame([(0, *row)], "_k int, " + schema)
+        for f in FIELD.values():
+            own = [(r["x"], r["c"]) for r in counts if r["f"] == f]
+            if any(x is None or math.isnan(x) for x, _ in own):
+                values[f] = cums[f] = None
+                continue
+            own.sort()
+            values[f], cums[f] = [x for x, _ in own], [0]
+            for _, c in own:
+                cums[f].append(cums[f][-1] + c)
+        means = (rows.select(F.posexplode("embedding").alias("pos", "x")).groupBy("pos")
+                 .agg(F.when(F.count("x") == F.count(F.lit(1)), F.avg("x")).alias("m")).orderBy("pos").collect())
+        centroid = [float("nan") if r["m"] is None else r["m"] for r in means]
+        return cls(n2=n2, values=values, cum_le=cums, centroid=centroid,
+                   centroid_norm=math.sqrt(sum(x * x for x in centroid)))
+
+    def lookup(self, spark: SparkSession) -> Column:
+        """The fitted arrays as a scalar subquery over one row: a struct of the
+        sorted distinct values and cumulative counts of every feature."""
+        names = [f for f in FIELD.values() if self.values[f] is not None]
+        schema = ", ".join(f"{f}_vals array<double>, {f}_cum array<bigint>" for f in names)
+        row = [x for f in names for x in (self.values[f], self.cum_le[f])]
+        return spark.createDataFrame([row], schema).select(F.struct("*")).scalar()
 
     def annotate(self, df: DataFrame) -> DataFrame:
         """Add ``{f}_ble`` / ``{f}_blt`` (# baseline <= x / < x) for b, l, n.
 
-        The bounded lookup row is broadcast-joined on a constant key (a
-        lookup, not a cross product: it has exactly one row).  ``idx`` = number
-        of distinct baseline values <= x, found by a binary search written as
-        ``aggregate`` over ceil(log2(m+1)) halving steps; the cumulative counts
-        at ``idx`` (and at ``idx-1`` when x equals a baseline value) give both
-        counts."""
+        ``idx`` = number of distinct baseline values <= x, found by a binary
+        search written as ``aggregate`` over ceil(log2(m+1)) halving steps; the
+        cumulative counts at ``idx`` (and at ``idx-1`` when x equals a baseline
+        value) give both counts.  A feature without a fitted table gets nulls."""
         flds = list(FIELD.values())
-        lut = F.broadcast(self.lookup_row(df.sparkSession))
-        out = df.withColumn("_k", F.lit(0)).join(lut, "_k")
+        known = [f for f in flds if self.values[f] is not None]
+        out = df.withColumn("_lookup", self.lookup(df.sparkSession)) if known else df
         idx_cols, count_cols = {}, {}
         for f in flds:
-            vals, cum, x = F.col(f"_{f}_vals"), F.col(f"_{f}_cum"), F.col(f)
+            if f not in known:
+                count_cols |= {f"{f}_ble": F.lit(None).cast("bigint"), f"{f}_blt": F.lit(None).cast("bigint")}
+                continue
+            vals, cum, x = F.col(f"_lookup.{f}_vals"), F.col(f"_lookup.{f}_cum"), F.col(f)
             idx_cols[f"_{f}_idx"] = F.when(x.isNull() | F.isnan(x), F.lit(None).cast("int")) \
                                      .otherwise(_binary_search(vals, len(self.values[f]), x))
             idx = F.col(f"_{f}_idx")
@@ -122,8 +141,7 @@ class BaselineModel:
             at_value = (idx >= 1) & (F.element_at(vals, F.greatest(idx, F.lit(1))) == x)
             count_cols[f"{f}_ble"] = le
             count_cols[f"{f}_blt"] = F.when(at_value, F.element_at(cum, idx)).otherwise(le)
-        drop = ["_k"] + [c for f in flds for c in (f"_{f}_idx", f"_{f}_vals", f"_{f}_cum")]
-        return out.withColumns(idx_cols).withColumns(count_cols).drop(*drop)
+        return out.withColumns(idx_cols).withColumns(count_cols).drop("_lookup", *idx_cols)
 
 
 def _binary_search(vals: Column, m: int, x: Column) -> Column:
@@ -147,7 +165,8 @@ def double_array_lit(values) -> Column:
     text, and the ``D`` suffix parses it as an exact double."""
     if not values:
         return F.array().cast("array<double>")
-    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
+    return F.expr("array(" + ", ".join("double('NaN')" if math.isnan(v) else f"double('{float(v)!r}')" if math.isinf(v)
+                                       else f"{float(v)!r}D" for v in values) + ")")
 
 
 def _known(cfg: GateConfig) -> Column:
@@ -164,24 +183,20 @@ def last_rows_per_batch(valid: DataFrame, w: int) -> DataFrame:
             .where(F.col("_r") <= w))
 
 
-def window_tail(valid: DataFrame, batches: DataFrame, cfg: GateConfig) -> DataFrame:
-    """Rows that can appear in a window, tagged with the batch camera (known
-    cameras only)."""
-    cams = batches.where(_known(cfg) & (F.col("valid_count") > 0)).select(
-        "feed_id", "batch_round", "camera_id")
-    return last_rows_per_batch(valid, cfg.drift_window).join(cams, ["feed_id", "batch_round"])
+def _contributing(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None = None) -> DataFrame:
+    """Batches of known cameras with valid rows, and the camera's count at their end."""
+    return (drift_buffer(batches, cfg, offsets).where(F.col("valid_count") > 0)
+            .select("feed_id", "batch_round", "camera_id", "buffer_total"))
 
 
 def window_rows(valid: DataFrame, batches: DataFrame, cfg: GateConfig,
                 offsets: DataFrame | None = None, prior_rows: DataFrame | None = None) -> DataFrame:
-    """Tail rows with ``pos``: their 1-based position in the camera's stream
-    of valid rows (order: round, feed, seq).  ``pos = buffer_total - _r + 1``
-    where ``buffer_total`` is the camera's running valid count at the end of
-    the row's batch (a chunked prefix sum, no per-camera task)."""
-    buf = (drift_buffer(batches, offsets, cfg)
-           .where(_known(cfg) & (F.col("valid_count") > 0))
-           .select("feed_id", "batch_round", "camera_id", "buffer_total"))
-    rows = (last_rows_per_batch(valid, cfg.drift_window).join(buf, ["feed_id", "batch_round"])
+    """Rows that can sit in a window with ``pos``: their 1-based position in the
+    camera's stream of valid rows (order: round, feed, seq).
+    ``pos = buffer_total - _r + 1`` where ``buffer_total`` is the camera's
+    running valid count at the end of the row's batch (a chunked prefix sum,
+    no per-camera task)."""
+    rows = (last_rows_per_batch(valid, cfg.drift_window).join(_contributing(batches, cfg, offsets), ["feed_id", "batch_round"])
             .withColumn("pos", (F.col("buffer_total") - F.col("_r") + 1).cast("long"))
             .drop("buffer_total"))
     if prior_rows is not None:
@@ -193,20 +208,30 @@ def drift_windows(valid: DataFrame, batches: DataFrame, model: BaselineModel,
                   cfg: GateConfig, offsets: DataFrame | None = None,
                   prior_rows: DataFrame | None = None) -> DataFrame:
     """For every batch of a known camera with valid rows, the window of
-    the camera's last W valid rows as of the batch end (spanning batches).
-
-    The frame is ``pos in [end - W + 1, end]``, computed per (camera, position
-    chunk) with a halo of W-1 positions, so no task holds a whole camera."""
-    rows = window_rows(valid, batches, cfg, offsets, prior_rows).select(
-        "camera_id", "feed_id", "batch_round", "seq", "pos", "_r",
-        F.col("brightness_avg").alias("b"), F.col("blur_metric").alias("l"),
-        norm_expr("embedding").alias("n"), "embedding")
-    rows = model.annotate(rows)
-    item = F.struct("pos", "seq", "b", "b_ble", "b_blt", "l", "l_ble", "l_blt", "n", "n_ble", "n_blt",
-                    "embedding")
-    out = halo_window(rows, "camera_id", "pos", cfg.drift_window - 1, cfg.chunk_positions,
-                      {"win": lambda w: F.collect_list(item).over(w)}, keep=F.col("_r") == 1)
-    return out.select("camera_id", "feed_id", "batch_round", F.array_sort("win").alias("win"))
+    the camera's last W valid rows as of the batch end (spanning batches)."""
+    w = cfg.drift_window
+
+    def points(rows: DataFrame, *more: str) -> DataFrame:
+        return model.annotate(rows.select(
+            "feed_id", "batch_round", "seq", *more, F.col("brightness_avg").alias("b"),
+            F.col("blur_metric").alias("l"), norm_expr("embedding").alias("n"), "embedding"))
+
+    fields = ["seq", "b", "b_ble", "b_blt", "l", "l_ble", "l_blt", "n", "n_ble", "n_blt", "embedding"]
+    # one array per batch: the shuffle of the row limit serves the grouping too
+    arrays = points(last_rows_per_batch(valid, w), "_r").groupBy("feed_id", "batch_round").agg(
+        F.collect_list(F.struct("_r", *fields)).alias("rows"))
+    ends = arrays.join(_contributing(batches, cfg, offsets), ["feed_id", "batch_round"]).select(
+        "camera_id", "feed_id", "batch_round", F.col("buffer_total").alias("end"),
+        F.transform("rows", lambda r: F.struct((F.col("buffer_total") - r["_r"] + 1).alias("pos"),
+                                               *[r[f].alias(f) for f in fields])).alias("rows"))
+    if prior_rows is not None:
+        before = points(prior_rows, "camera_id", "pos")
+        ends = ends.unionByName(before.groupBy("camera_id", "feed_id", "batch_round").agg(
+            F.max("pos").alias("end"), F.collect_list(F.struct("pos", *fields)).alias("rows")))
+    out = halo_window(ends, "camera_id", "end", w - 1, cfg.chunk_positions,
+                      {"near": lambda x: F.collect_list("rows").over(x)})
+    return out.select("camera_id", "feed_id", "batch_round", F.array_sort(F.filter(
+        F.flatten("near"), lambda r: r["pos"] > F.col("end") - w)).alias("win"))
 
 
 def centroid_exprs(model: BaselineModel, cfg: GateConfig) -> dict[str, Column]:
@@ -238,76 +263,44 @@ def window_statistics(windows: DataFrame, model: BaselineModel, cfg: GateConfig)
     return full.withColumns(cols).drop("win")
 
 
-def feature_long(stats: DataFrame) -> DataFrame:
-    """One row per (window, feature) with its ``ks_num``."""
-    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"{f}_ks_num").alias("ks_num")) for f in FIELD]
-    return stats.select("camera_id", "feed_id", "batch_round", "n1", "n2",
-                        F.explode(F.array(*rows)).alias("_f")).select(
-        "camera_id", "feed_id", "batch_round", "n1", "n2", "_f.feature", "_f.ks_num")
-
-
-def pvalue_table(long: DataFrame, cfg: GateConfig) -> DataFrame:
-    """K2/K3: p-value per distinct (n1, n2, ks_num); bounded by
-    W * (W * n2 + 1) rows whatever the data volume.
-
-    ``cfg.pvalue_method``: ``"sql"`` (default) evaluates the exact recursion
-    as a native higher-order-function expression (stays in the JVM);
-    ``"numpy"`` evaluates the same recursion vectorised over the whole
-    bounded table in one ``mapInPandas`` pass.
-    """
-    triples = long.select("n1", "n2", "ks_num").distinct()
+def pvalue_table(stats: DataFrame, cfg: GateConfig) -> DataFrame:
+    """K2/K3: p-value per distinct (n1, n2, ks_num) of any feature; bounded by
+    W * (W * n2 + 1) rows whatever the data volume."""
+    triples = stats.select("n1", "n2", F.explode(F.array(*[f"{f}_ks_num" for f in FIELD])).alias("ks_num")) \
+        .where("ks_num is not null").distinct()
     d = F.col("ks_num").cast("double") / (F.col("n1") * F.col("n2"))
     exact = F.greatest("n1", "n2") <= F.lit(cfg.exact_ks_max_n)
-    if cfg.pvalue_method == "numpy":
-        # one vectorised pass over the whole bounded table beats many small ones
-        small = triples.where(exact).coalesce(1)
-        big = triples.where(~exact)
-        ex = small.mapInPandas(pvalue_batches, "n1 bigint, n2 bigint, ks_num bigint, p_value double")
-        asym = big.withColumn("ks_statistic", d).select(
-            "n1", "n2", "ks_num", asymptotic_pvalue_expr().alias("p_value"))
-        return ex.unionByName(asym).withColumn("ks_statistic", d)
     # heavy rows in a tiny table: spread them explicitly
     # (AQE would coalesce the shuffle output into a single task)
-    triples = triples.repartition(cfg.pvalue_partitions, "ks_num")
-    return (triples.withColumn("ks_statistic", d)
-            .withColumn("p_value", F.when(exact, exact_pvalue_expr())
-                        .otherwise(asymptotic_pvalue_expr())))
+    return (triples.repartition(cfg.pvalue_partitions, "ks_num").withColumn("ks_statistic", d)
+            .withColumn("p_value", F.when(exact, exact_pvalue_expr()).otherwise(large_sample_pvalue_expr())))
 
 
-def window_reports(stats: DataFrame, cfg: GateConfig) -> DataFrame:
+def window_reports(stats: DataFrame, cfg: GateConfig, pvalues: DataFrame | None = None) -> DataFrame:
     """K2..K4 + K9 on each full window: statistic, p-value and flags.
 
-    The per-window features go long, meet the p-value table in ONE broadcast
-    join (bounded table), and are pivoted back with a keyed aggregation over
-    3 rows per window."""
-    long = feature_long(stats)
-    pv = F.broadcast(pvalue_table(long, cfg))  # bounded table, see pvalue_table
-    j = long.join(pv, ["n1", "n2", "ks_num"], "left")
-    aggs = []
+    Rows stay wide; every feature is looked up in the table of p-values, which
+    is sent to all executors when its bound allows, and joined by key beyond."""
+    table = pvalue_table(stats, cfg) if pvalues is None else pvalues
+    out = stats
     for f in FIELD:
-        is_f = F.col("feature") == f
-        aggs += [F.max(F.when(is_f, F.col("ks_num"))).alias(f"{f}_ks_num"),
-                 F.max(F.when(is_f, F.col("ks_statistic"))).alias(f"{f}_ks"),
-                 F.max(F.when(is_f, F.col("p_value"))).alias(f"{f}_p")]
-    wide = j.groupBy("camera_id", "feed_id", "batch_round").agg(*aggs)
-    extra = stats.select("camera_id", "feed_id", "batch_round", "n1", "n2",
-                         "mean_cosine_similarity", "mean_euclidean_distance")
-    out = wide.join(extra, ["camera_id", "feed_id", "batch_round"])
-    flags = {f"{f}_drift": F.col(f"{f}_p") < F.lit(cfg.drift_alpha) for f in FIELD}
-    any_drift = flags["brightness_avg_drift"] | flags["blur_metric_drift"] | flags["embedding_drift"]
-    return out.withColumns({**flags, "drift_detected": any_drift})
-
-
-def drift_buffer(batches: DataFrame, offsets: DataFrame | None = None,
-                 cfg: GateConfig | None = None) -> DataFrame:
-    """Running count of valid rows per batch camera (M17), as a chunked
-    prefix sum over the batch table (bounded partitions per camera).
+        one = table.select("n1", "n2", F.col("ks_num").alias(f"{f}_ks_num"), F.col("ks_statistic").alias(f"{f}_ks"),
+                           F.col("p_value").alias(f"{f}_p"))
+        if cfg.drift_window * (cfg.drift_window * max(cfg.baseline_samples, 1) + 1) <= BROADCAST_PVALUES:
+            one = F.broadcast(one)
+        out = out.join(one, ["n1", "n2", f"{f}_ks_num"], "left")
+    flags = {f"{f}_drift": F.coalesce(F.col(f"{f}_p") < F.lit(cfg.drift_alpha), F.lit(False)) for f in FIELD}
+    return out.withColumns(flags).withColumn("drift_detected", F.expr(" or ".join(f"{f}_drift" for f in FIELD)))
+
+
+def drift_buffer(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None = None) -> DataFrame:
+    """Running count of valid rows per known batch camera (M17), as a
+    chunked prefix sum over the batch table (bounded partitions per camera).
 
     ``offsets`` (camera_id, buffer_offset) carries the count accumulated
     before these batches (streaming state)."""
-    chunk_rounds = cfg.chunk_rounds if cfg is not None else 1024
-    out = running_sums(batches, "camera_id", ["batch_round", "feed_id"],
-                       F.floor(F.col("batch_round") / F.lit(chunk_rounds)),
+    out = running_sums(batches.where(_known(cfg)), "camera_id", stream_order(cfg),
+                       F.floor(F.col("batch_round") / F.lit(cfg.chunk_rounds)),
                        {"buffer_total": F.col("valid_count")})
     if offsets is not None:
         out = (out.join(offsets, "camera_id", "left")
@@ -319,7 +312,8 @@ def drift_buffer(batches: DataFrame, offsets: DataFrame | None = None,
 def drift_status(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None = None) -> DataFrame:
     """Report status per batch; empty input is tested before an unknown
     camera (M15), then buffering until W rows exist (M16)."""
-    b = drift_buffer(batches, offsets, cfg)
+    unknown = batches.where(~F.coalesce(_known(cfg), F.lit(False))).withColumn("buffer_total", F.lit(None).cast("bigint"))
+    b = drift_buffer(batches, cfg, offsets).unionByName(unknown)
     known = _known(cfg)
     empty = F.col("valid_count") == 0
     buf = F.col("buffer_total")
@@ -337,7 +331,7 @@ def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
                   cfg: GateConfig, prior_rows: DataFrame | None = None,
                   offsets: DataFrame | None = None, cached: list | None = None,
                   materialize=None) -> DataFrame:
-    """One drift report per batch (wide form).
+    """One drift report per batch, wide and with its ``features`` map.
 
     Streaming state hooks: ``prior_rows`` are the last W valid rows per camera
     seen before ``batches`` (feed_id, batch_round, seq, camera_id, features);
@@ -346,23 +340,26 @@ def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
     windows = drift_windows(valid, batches, model, cfg, offsets, prior_rows)
     if prior_rows is not None:
         windows = windows.join(batches.select("feed_id", "batch_round"), ["feed_id", "batch_round"], "left_semi")
-    # one row per full window (a few numbers); read twice (distinct triples and
-    # the join back), so keep it instead of recomputing the windows
-    if materialize is not None:   # e.g. an eager checkpoint: computed exactly once
+    # one row per full window (a few numbers), read twice: for the distinct
+    # triples and for the reports
+    if materialize is not None:   # written once
         stats = materialize(window_statistics(windows, model, cfg))
+        pvalues = materialize(pvalue_table(stats, cfg))
     else:
         stats = window_statistics(windows, model, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-        if cached is not None:  # caller releases it when done (e.g. per micro-batch)
-            cached.append(stats)
-    reports = window_reports(stats, cfg)
+        pvalues = pvalue_table(stats, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        if cached is not None:  # caller releases them when done (e.g. per micro-batch)
+            cached += [stats, pvalues]
+    reports = window_reports(stats, cfg, pvalues)
     st = drift_status(batches, cfg, offsets)
     out = st.join(reports.drop("camera_id"), ["feed_id", "batch_round"], "left")
     analyzed = F.col("status") == "analyzed"
-    return out.withColumns({
+    out = out.withColumns({
         "window_size": F.when(analyzed, F.col("n1").cast("int")),
         "drift_detected": analyzed & F.coalesce("drift_detected", F.lit(False)),
         "alpha": F.when(analyzed, F.lit(cfg.drift_alpha)),
     })
+    return out.withColumn("features", F.when(analyzed, features_map()))
 
 
 def drift_features(reports: DataFrame) -> DataFrame:
@@ -383,32 +380,34 @@ def drift_alerts(reports: DataFrame) -> DataFrame:
     return drift_features(reports).where(F.col("drift_detected"))
 
 
-def features_map(reports: DataFrame) -> Column:
-    """Nested ``features`` map of a report (for JSON payloads)."""
-    def one(f: str, with_centroid: bool) -> Column:
-        fields = [F.col(f"{f}_ks").alias("ks_statistic"), F.col(f"{f}_p").alias("p_value")]
-        if with_centroid:
-            fields += [F.col("mean_cosine_similarity"), F.col("mean_euclidean_distance")]
-        else:
-            fields += [F.lit(None).cast("double").alias("mean_cosine_similarity"),
-                       F.lit(None).cast("double").alias("mean_euclidean_distance")]
-        fields.append(F.col(f"{f}_drift").alias("drift_detected"))
-        return F.struct(*fields)
-    return F.when(F.col("status") == "analyzed", F.create_map(
-        *[x for f in C.DRIFT_FEATURES for x in (F.lit(f), one(f, f == "embedding"))]))
+def features_map() -> Column:
+    """The ``features`` map of a report (K10, I3): metrics by feature; the
+    centroid metrics belong to the embedding."""
+    none = F.lit(None).cast("double")
+
+    def one(f: str) -> Column:
+        own = f == "embedding"
+        return F.struct(
+            F.col(f"{f}_ks").alias("ks_statistic"), F.col(f"{f}_p").alias("p_value"),
+            (F.col("mean_cosine_similarity") if own else none).alias("mean_cosine_similarity"),
+            (F.col("mean_euclidean_distance") if own else none).alias("mean_euclidean_distance"),
+            F.col(f"{f}_drift").alias("drift_detected"))
+    return F.create_map(*[x for f in C.DRIFT_FEATURES for x in (F.lit(f), one(f))])
 
 
 def tail_per_camera(valid: DataFrame, batches: DataFrame, cfg: GateConfig, n: int | None = None) -> DataFrame:
     """O2: last ``n`` valid rows per known batch camera over the whole history.
 
-    Positions come from the chunked prefix sums; a row is in the tail iff
-    ``pos > total - n`` — a filter, with no per-camera ranking task."""
+    Positions come from the chunked prefix sums.  A batch holds rows of the
+    tail only if fewer than n rows come after it, so those batches are picked
+    first and only their rows are ranked."""
     n = n or cfg.drift_window
-    c = cfg.with_(drift_window=n)
-    rows = window_rows(valid, batches, c)
     totals = (batches.where(_known(cfg)).groupBy("camera_id")
               .agg(F.sum("valid_count").alias("_total")))
-    return (rows.join(totals, "camera_id")
-            .where(F.col("pos") > F.col("_total") - n)
-            .select("camera_id", "feed_id", "batch_round", "seq",
-                    (F.col("_total") - F.col("pos") + 1).cast("int").alias("rank_from_end")))
+    last = (_contributing(batches, cfg).join(totals, "camera_id")
+            .where(F.col("_total") - F.col("buffer_total") < n))
+    near = valid.join(last.select("feed_id", "batch_round"), ["feed_id", "batch_round"], "left_semi")
+    rows = last_rows_per_batch(near, n).join(last, ["feed_id", "batch_round"])
+    rank = F.col("_total") - F.col("buffer_total") + F.col("_r")
+    return (rows.where(rank <= n)
+            .select("camera_id", "feed_id", "batch_round", "seq", rank.cast("int").alias("rank_from_end")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import GateConfig
-from ..functions.text import percent_text, stable_id
+from ..functions.text import percent_text, round4, stable_id
 from .breaker import breaker_trips
 
 
@@ -43,9 +43,7 @@ def incidents(evaluated: DataFrame, batches: DataFrame, reports: DataFrame | Non
         drift_summary = F.when(F.col("drift_status") == "analyzed", F.struct(
             F.col("drift_detected").alias("drift_detected"),
             F.col("drift_window_size").alias("window_size"),
-            *[F.struct(F.col(f"{f}_ks").alias("ks_statistic"), F.col(f"{f}_p").alias("p_value"),
-                       F.col(f"{f}_drift").alias("drift_detected")).alias(f) for f in C.DRIFT_FEATURES],
-            F.col("mean_cosine_similarity"), F.col("mean_euclidean_distance")))
+            F.col("drift_features").alias("features")))
     else:
         drift_summary = F.lit(None)
     return out.select(
@@ -56,7 +54,7 @@ def incidents(evaluated: DataFrame, batches: DataFrame, reports: DataFrame | Non
         F.lit(True).alias("circuit_breaker_tripped"),
         summary_expr().alias("summary"),
         "reasons",
-        F.struct(F.bround("rolling_quarantine_rate", 4).alias("rolling_quarantine_rate"),
+        F.struct(round4(F.col("rolling_quarantine_rate")).alias("rolling_quarantine_rate"),
                  F.lit(cfg.qa_window_batches).alias("qa_window_batches")).alias("metrics"),
         drift_summary.alias("drift_report"),
         F.col("rolling_quarantine_rate"))
@@ -66,14 +64,14 @@ def notifications_expr(cfg: GateConfig) -> Column:
     """Chat and pager blocks; names come from the configuration."""
     chat = F.struct(
         F.lit(cfg.alert_channel).alias("channel"),
-        F.format_string(":rotating_light: *%s* | camera `%s` | batch %d | quarantine_rate=%s",
+        F.format_string("%s: breaker open for %s since round %d, %s of recent rows quarantined",
                         F.lit(cfg.incident_title), F.col("camera_id"), F.col("batch_round"),
                         percent_text(F.col("rolling_quarantine_rate"))).alias("text"))
     pager = F.struct(
         F.lit(cfg.pager_routing_key).alias("routing_key"),
         F.lit("trigger").alias("event_action"),
         F.struct(
-            F.format_string("Circuit breaker tripped for %s", F.col("camera_id")).alias("summary"),
+            F.format_string("Breaker open for %s", F.col("camera_id")).alias("summary"),
             F.lit(cfg.severity).alias("severity"),
             F.lit(cfg.source_name).alias("source"),
             F.struct("camera_id", "batch_round", "reasons").alias("custom_details")).alias("payload"))
@@ -124,3 +122,9 @@ def incident_summary(incs: DataFrame) -> DataFrame:
     return incs.agg(
         F.count(F.lit(1)).alias("total_incidents"),
         F.array_sort(F.collect_set("camera_id")).alias("tripped_cameras"))
+
+
+def incident_triggers(incs: DataFrame) -> DataFrame:
+    """A10: the incidents and triggers of the summary as rows, one per reason."""
+    return incs.select("incident_id", "camera_id", "batch_round", F.posexplode("reasons").alias("place", "r")).select(
+        "incident_id", "camera_id", "batch_round", "place", F.col("r.type").alias("type"), F.col("r.message").alias("message"))

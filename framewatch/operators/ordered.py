@@ -5,15 +5,15 @@ one task.  When one camera holds a third of all rows (for instance many tiny
 batches), that task holds a third of the data.  Both helpers below keep every
 partition bounded:
 
-* ``running_sums``: classic parallel prefix sum.  Rows are cut into chunks
-  by a monotone chunk id (e.g. ``batch_round div C``); each (key, chunk)
-  computes local running sums, a small table of chunk totals gets its own
-  running sum (one row per chunk), and the chunk offsets are joined back.
-* ``halo_window``: sliding frames over an integer position.  Rows are
-  chunked by position and the last ``span`` positions of each chunk are also
-  copied into the next chunk (the halo), so a frame
-  ``rangeBetween(-span, 0)`` can be computed per (key, chunk).  Halo copies
-  are dropped from the output.
+* ``running_sums``: parallel prefix sum.  Rows are cut into chunks by a
+  monotone chunk id (e.g. ``batch_round div C``); each (key, chunk) computes
+  local running sums, the last of which is the chunk's total; a small table of
+  totals gets its own running sum (one row per chunk), joined back.
+* ``halo_window``: sliding frames over an integer position.  Rows are chunked
+  by position, and a row among the last ``span`` positions of its chunk is
+  also a halo row of the next (one ``explode``), so a frame
+  ``rangeBetween(-span, 0)`` is computed per (key, chunk).  Halo rows are
+  dropped from the output.
 """
 
 from __future__ import annotations
@@ -22,18 +22,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_sums(df: DataFrame, part: str, order: list[str], chunk: Column,
+def running_sums(df: DataFrame, part: str, order: list, chunk: Column,
                  sums: dict[str, Column]) -> DataFrame:
-    """Add inclusive running sums ``{name: expr}`` per ``part`` in ``order``.
+    """Add inclusive running sums ``{name: expr}`` of non-negative values per
+    ``part`` in ``order`` (column names or expressions).
 
     ``chunk`` must be non-decreasing along ``order`` within a part.
     """
-    d = df.withColumn("_chunk", chunk)
     local = Window.partitionBy(part, "_chunk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumns({f"_l_{k}": F.sum(v).over(local) for k, v in sums.items()})
-    totals = df.withColumn("_chunk", chunk).groupBy(part, "_chunk").agg(
-        *[F.sum(v).alias(f"_t_{k}") for k, v in sums.items()])
+    d = df.withColumn("_chunk", chunk).withColumns({f"_l_{k}": F.sum(v).over(local) for k, v in sums.items()})
+    totals = d.groupBy(part, "_chunk").agg(*[F.max(f"_l_{k}").alias(f"_t_{k}") for k in sums])
     before = Window.partitionBy(part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(part, "_chunk", *[
         F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in sums])
@@ -43,22 +42,16 @@ def running_sums(df: DataFrame, part: str, order: list[str], chunk: Column,
 
 
 def halo_window(df: DataFrame, part: str, pos: str, span: int, chunk_size: int,
-                frame_cols: dict[str, object], keep: Column | None = None) -> DataFrame:
+                frame_cols: dict[str, object]) -> DataFrame:
     """Compute ``frame_cols`` (name -> fn(window) -> Column) over the frame
-    ``pos in [cur - span, cur]`` per ``part``, with bounded partitions.
-
-    ``keep`` optionally filters the rows whose frame is wanted (evaluated on
-    the non-halo rows only).
-    """
+    ``pos in [cur - span, cur]`` per ``part``, with bounded partitions."""
     if chunk_size <= span:
         raise ValueError("chunk_size must exceed the frame span")
     p = F.col(pos) - F.lit(1)
-    home = df.withColumns({"_hc": F.floor(p / F.lit(chunk_size)).cast("long"), "_halo": F.lit(False)})
-    halo = (df.where(F.pmod(p, F.lit(chunk_size)) >= F.lit(chunk_size - span))
-            .withColumns({"_hc": F.floor(p / F.lit(chunk_size)).cast("long") + F.lit(1),
-                          "_halo": F.lit(True)}))
-    both = home.unionByName(halo)
+    home = F.floor(p / F.lit(chunk_size)).cast("long")
+    chunks = F.when(F.pmod(p, F.lit(chunk_size)) >= F.lit(chunk_size - span), F.array(home, home + 1)) \
+              .otherwise(F.array(home))
+    both = df.select("*", F.posexplode(chunks).alias("_halo", "_hc"))
     w = Window.partitionBy(part, "_hc").orderBy(pos).rangeBetween(-span, 0)
     out = both.withColumns({name: fn(w) for name, fn in frame_cols.items()})
-    cond = ~F.col("_halo") if keep is None else (~F.col("_halo") & keep)
-    return out.where(cond).drop("_hc", "_halo")
+    return out.where(F.col("_halo") == 0).drop("_hc", "_halo")

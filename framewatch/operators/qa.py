@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import GateConfig
-from ..functions.rules import Rule, evaluate_rules
+from ..functions.rules import RULES_TYPE, Rule, evaluate_rules, has_unreadable, violation_rules
+from ..functions.text import parse_utc, utc_text
 
 BATCH_KEYS = ["feed_id", "batch_round"]
 
@@ -33,8 +34,11 @@ def quarantined_frames(gated: DataFrame) -> DataFrame:
     return gated.where(~F.col("is_valid")).drop("is_valid")
 
 
-def status_expr(valid: F.Column, quarantined: F.Column) -> F.Column:
-    """M7: passed when nothing is quarantined; failed when nothing is valid."""
+def status_expr(valid: F.Column, quarantined: F.Column, violations: list[dict] = ()) -> F.Column:
+    """M7: passed when nothing is quarantined; failed when nothing is valid;
+    error when a column of the contract cannot be read at all (V1)."""
+    if has_unreadable(violations):
+        return F.lit(C.STATUS_ERROR)
     return (F.when(quarantined == 0, F.lit(C.STATUS_PASSED))
              .when(valid == 0, F.lit(C.STATUS_FAILED))
              .otherwise(F.lit(C.STATUS_PARTIAL)))
@@ -46,7 +50,7 @@ def rate_expr(valid: F.Column, quarantined: F.Column) -> F.Column:
     return F.when(total == 0, F.lit(0.0)).otherwise(quarantined.cast("double") / total)
 
 
-def qa_batches(gated: DataFrame) -> DataFrame:
+def qa_batches(gated: DataFrame, violations: list[dict] = ()) -> DataFrame:
     """A2: one row per (feed, round): batch camera, counts, status, rate.
 
     The batch camera is the ``camera_id`` of the batch's first row (M8), even
@@ -56,7 +60,7 @@ def qa_batches(gated: DataFrame) -> DataFrame:
     groups by (feed, round, camera id) with fixed-width buffers only (first
     seq, counts, last event time as a timestamp); level 2 picks the camera of
     the smallest first-seq over that small result (string ``min_by``)."""
-    event_time = F.col("timestamp").try_cast("timestamp")
+    event_time = parse_utc(F.col("timestamp"))
     l1 = gated.groupBy("feed_id", "batch_round",
                        F.coalesce("camera_id", F.lit("unknown")).alias("camera_id")).agg(
         F.min("seq").alias("_first_seq"),
@@ -67,9 +71,9 @@ def qa_batches(gated: DataFrame) -> DataFrame:
         F.min_by("camera_id", "_first_seq").alias("camera_id"),
         F.sum("valid_count").alias("valid_count"),
         F.sum("quarantined_count").alias("quarantined_count"),
-        F.date_format(F.max("_last_ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("last_timestamp"))
+        utc_text(F.max("_last_ts")).alias("last_timestamp"))
     v, q = F.col("valid_count"), F.col("quarantined_count")
-    return (agg.withColumn("status", status_expr(v, q))
+    return (agg.withColumn("status", status_expr(v, q, violations))
                .withColumn("total_count", v + q)
                .withColumn("quarantine_rate", rate_expr(v, q)))
 
@@ -84,45 +88,38 @@ def failure_alerts(gated: DataFrame) -> DataFrame:
             .select(*BATCH_KEYS, F.col("seq").alias("row_index"), "failed_rules"))
 
 
-def batch_alerts(spark, batches: DataFrame, violations: list[dict]) -> DataFrame:
-    """Schema-level failures attach to every batch with a null row index."""
-    if not violations:
-        return spark.createDataFrame([], "feed_id string, batch_round int, row_index long, "
-                                         "failed_rules array<struct<column:string,check:string,failure_case:string>>")
-    rules = F.array(*[F.struct(F.lit(v["column"]).alias("column"), F.lit(v["check"]).alias("check"),
-                               F.lit(v["failure_case"]).alias("failure_case")) for v in violations])
-    return batches.select(*BATCH_KEYS, F.lit(None).cast("long").alias("row_index"),
-                          rules.alias("failed_rules"))
+def batch_alerts(batches: DataFrame, violations: list[dict]) -> DataFrame:
+    """Schema-level failures attach to every batch with a null row index;
+    none if the schema keeps the contract."""
+    keys = batches.select(*BATCH_KEYS).where(F.lit(bool(violations)))
+    return keys.select(*BATCH_KEYS, F.lit(None).cast("long").alias("row_index"),
+                       violation_rules(violations).alias("failed_rules"))
 
 
-def quarantine_reasons(gated: DataFrame, batches: DataFrame) -> DataFrame:
-    """The reason record of every quarantined row.
+def quarantine_reasons(gated: DataFrame, batches: DataFrame, violations: list[dict] = ()) -> DataFrame:
+    """The reason record of every quarantined row; a row without rules of its
+    own has those of the schema (M25).
 
     ``camera_id`` is the row's own id; ``quarantined_at`` is the batch's last
     event time so a replay writes identical records.
     """
+    rules = F.when(F.size("failed_rules") > 0, F.col("failed_rules")).otherwise(violation_rules(violations))
     q = gated.where(~F.col("is_valid")).select(
-        *BATCH_KEYS, "seq", "camera_id", "frame_id", "failed_rules")
+        *BATCH_KEYS, "seq", "camera_id", "frame_id", rules.alias("failed_rules"))
     b = batches.select(*BATCH_KEYS, F.col("last_timestamp").alias("quarantined_at"))
     return q.join(b, BATCH_KEYS, "left").select(
         *BATCH_KEYS, F.col("seq").alias("row_index"), "camera_id", "frame_id",
         "failed_rules", "quarantined_at")
 
 
-def row_rules_fallback(alerts: DataFrame, quarantined: DataFrame,
-                       schema_alerts: DataFrame | None = None) -> DataFrame:
-    """J2 (M25): rules of a quarantined row; when the row has none, the
-    batch's schema-level (null index) rules are used instead."""
-    row = alerts.where(F.col("row_index").isNotNull()).select(
-        *BATCH_KEYS, F.col("row_index").alias("seq"), F.col("failed_rules").alias("_row_rules"))
-    out = quarantined.select(*BATCH_KEYS, "seq", "frame_id").join(row, BATCH_KEYS + ["seq"], "left")
-    if schema_alerts is not None:
-        sch = schema_alerts.select(*BATCH_KEYS, F.col("failed_rules").alias("_batch_rules"))
-        out = out.join(sch, BATCH_KEYS, "left")
-        rules = F.coalesce("_row_rules", "_batch_rules", F.array().cast("array<struct<column:string,check:string,failure_case:string>>"))
-    else:
-        rules = F.coalesce("_row_rules", F.array().cast("array<struct<column:string,check:string,failure_case:string>>"))
-    return out.select(*BATCH_KEYS, "seq", "frame_id", rules.alias("failed_rules"))
+def row_rules_fallback(quarantined: DataFrame, schema_alerts: DataFrame) -> DataFrame:
+    """J2 (M25): the rules of a quarantined row (they are on the row); when it
+    has none, the schema-level rules of its batch (null row index)."""
+    none = F.array().cast(RULES_TYPE)
+    sch = (schema_alerts.where(F.col("row_index").isNull())
+           .select(*BATCH_KEYS, F.col("failed_rules").alias("_batch_rules")))
+    rules = F.when(F.size("failed_rules") > 0, F.col("failed_rules")).otherwise(F.coalesce("_batch_rules", none))
+    return quarantined.join(sch, BATCH_KEYS, "left").select(*BATCH_KEYS, "seq", "frame_id", rules.alias("failed_rules"))
 
 
 def rule_failure_counts(gated: DataFrame, batches: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -10,38 +10,40 @@ def batch_telemetry(valid: DataFrame, batches: DataFrame) -> DataFrame:
     """A5 + A6: per batch summary of the valid rows.
 
     Embedding mean/std are over all elements of all rows (population std,
-    M23): each row contributes (Σx, Σx², n), one aggregation combines them,
-    so no per-element explode is shuffled.  A batch with no valid row gets
-    the defaults and the QA result's camera (left join from the batch table).
+    M23), combined from counts, means and sums of squared deviations, so large
+    means cancel nothing: of each row's elements, of the rows of a camera id in
+    a batch (``var_pop``), and of those groups.  All rows of a group have
+    vectors of one length (the group key).  A batch with no valid row gets the
+    defaults and the QA result's camera (left join from the batch table).
 
-    The pass over all rows is a hash aggregation keyed by (feed, round,
-    camera id) with fixed-width buffers; the summary camera (first valid
-    row's id) is picked on that small result.  The console summary's per-batch
-    frame-id list is unbounded per batch, so ``first_seq``/``last_seq`` bound
-    it instead (the valid-frames table holds every id).
+    The pass over all rows is a hash aggregation with fixed-width buffers; the
+    summary camera (first valid row's id) is picked on its small result.  The
+    frame ids of a batch are the rows of :func:`batch_frame_ids`.
     """
+    n = F.size("embedding")
     rows = valid.select(
         "feed_id", "batch_round", "seq", F.coalesce("camera_id", F.lit("unknown")).alias("camera_id"),
-        "brightness_avg", "blur_metric",
-        F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x).alias("_s1"),
-        F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x).alias("_s2"),
-        F.size("embedding").alias("_n"))
-    l1 = rows.groupBy("feed_id", "batch_round", "camera_id").agg(
+        "brightness_avg", "blur_metric", "embedding", n.alias("_n"),
+        (F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x) / n).alias("_mean"))
+    rows = rows.withColumn("_m2", F.aggregate("embedding", F.lit(0.0), lambda a, x: a + (x - F.col("_mean")) * (x - F.col("_mean"))))
+    l1 = rows.groupBy("feed_id", "batch_round", "camera_id", "_n").agg(
         F.count(F.lit(1)).alias("_c"), F.min("seq").alias("_first"), F.max("seq").alias("_last"),
-        F.sum("brightness_avg").alias("_sb"), F.min("brightness_avg").alias("_mb"),
-        F.sum("blur_metric").alias("_sl"),
-        F.sum("_s1").alias("_s1"), F.sum("_s2").alias("_s2"), F.sum("_n").alias("_n"))
-    agg = l1.groupBy("feed_id", "batch_round").agg(
+        F.avg("brightness_avg").alias("_ab"), F.min("brightness_avg").alias("_mb"),
+        F.avg("blur_metric").alias("_al"), F.avg("_mean").alias("_mean"),
+        (F.sum("_m2") + F.col("_n") * F.count("_mean") * F.var_pop("_mean")).alias("_m2"),
+        (F.col("_n") * F.count("_mean")).alias("_e"))
+    batch = Window.partitionBy("feed_id", "batch_round")
+    whole = F.sum(F.col("_mean") * F.col("_e")).over(batch) / F.sum("_e").over(batch)
+    agg = l1.withColumn("_whole", whole).groupBy("feed_id", "batch_round").agg(
         F.min_by("camera_id", "_first").alias("_camera"),
         F.sum("_c").alias("frame_count"),
         F.min("_first").alias("first_seq"), F.max("_last").alias("last_seq"),
-        (F.sum("_sb") / F.sum("_c")).alias("brightness_avg_mean"),
+        (F.sum(F.col("_ab") * F.col("_c")) / F.sum("_c")).alias("brightness_avg_mean"),
         F.min("_mb").alias("brightness_avg_min"),
-        (F.sum("_sl") / F.sum("_c")).alias("blur_metric_mean"),
-        F.sum("_s1").alias("_s1"), F.sum("_s2").alias("_s2"), F.sum("_n").alias("_n"))
-    mean = F.col("_s1") / F.col("_n")
-    var = F.greatest(F.col("_s2") / F.col("_n") - mean * mean, F.lit(0.0))
-    agg = agg.withColumns({"embedding_mean": mean, "embedding_std": F.sqrt(var)})
+        (F.sum(F.col("_al") * F.col("_c")) / F.sum("_c")).alias("blur_metric_mean"),
+        F.first("_whole").alias("embedding_mean"),
+        F.sqrt((F.sum("_m2") + F.sum(F.col("_e") * (F.col("_mean") - F.col("_whole")) * (F.col("_mean") - F.col("_whole"))))
+               / F.sum("_e")).alias("embedding_std"))
     out = batches.select("feed_id", "batch_round", F.col("camera_id").alias("_batch_camera")).join(
         agg, ["feed_id", "batch_round"], "left")
     zero = F.lit(0.0)
@@ -69,7 +71,6 @@ def pipeline_totals(batches: DataFrame, reports: DataFrame, incs: DataFrame) ->
     return q.unionByName(d).unionByName(i)
 
 
-def drift_alerts_per_round(reports: DataFrame) -> DataFrame:
-    """Reports flagging drift per round."""
-    return reports.groupBy("batch_round").agg(
-        F.count_if(F.col("drift_detected")).alias("drift_alerts"))
+def batch_frame_ids(valid: DataFrame) -> DataFrame:
+    """A5: the frame ids of every batch as rows (a list per batch has no bound)."""
+    return valid.select("feed_id", "batch_round", "seq", "frame_id")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import FIXTURE_CONFIG
 from ..functions import rules as R
 from ..functions.text import compact_utc, iso_utc, percent_text, round4, frame_id as fmt_frame_id
-from ..operators import breaker, qa
+from ..operators import breaker, drift, qa
 from ..sources import frames as S
 from .pipeline import GatePipeline
 
@@ -39,12 +39,6 @@ def _p(spark, sf) -> GatePipeline:
     return GatePipeline.from_sf(spark, sf, CFG)
 
 
-def norm_expr(col: str | Column) -> Column:
-    """Euclidean norm as a left fold (same summation order as the oracle)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x))
-
-
 def _checks(col: str = "failed_rules", with_column: bool = False) -> Column:
     if with_column:
         return F.array_join(F.transform(col, lambda r: F.concat(r["column"], F.lit(":"), r["check"])), ",")
@@ -60,7 +54,7 @@ def q_frames_scan(spark, sf):
     return f.select("seq", "feed_id", "batch_round", "timestamp", "camera_id", "frame_id",
                     "brightness_avg", "blur_metric",
                     F.size("embedding").alias("embedding_dim"),
-                    F.round(norm_expr("embedding"), 9).alias("embedding_norm"))
+                    F.round(drift.norm_expr("embedding"), 9).alias("embedding_norm"))
 
 
 @query("feed_subset")
@@ -71,9 +65,9 @@ def q_feed_subset(spark, sf):
 
 @query("unknown_feeds")
 def q_unknown_feeds(spark, sf):
-    # rows whose camera id is not configured (the feed is judged by the id it reports)
-    f = S.frames_table(spark, sf)
-    return (f.where(~S.known_feed(F.col("camera_id"), CFG) | F.col("camera_id").isNull())
+    # with only the first twelve feeds configured, the rows of the others are rejected
+    cfg = CFG.with_(known_cameras=CFG.known_cameras[:12])
+    return (S.unknown_feeds(S.frames_table(spark, sf), cfg)
             .select("seq", "feed_id", "batch_round", "camera_id", "frame_id"))
 
 
@@ -95,7 +89,7 @@ def q_latest_batch(spark, sf):
 @query("quarantine_reasons")
 def q_quarantine_reasons(spark, sf):
     p = _p(spark, sf)
-    r = qa.quarantine_reasons(p.gated, p.batches)
+    r = qa.quarantine_reasons(p.gated, p.batch_plan)
     return r.select("feed_id", "batch_round", "row_index", "camera_id", "frame_id",
                     _checks().alias("checks"), "quarantined_at")
 
@@ -184,7 +178,7 @@ def q_quarantined_frames(spark, sf):
 
 @query("breaker_input")
 def q_breaker_input(spark, sf):
-    return qa.breaker_input(_p(spark, sf).batches, CFG)
+    return qa.breaker_input(_p(spark, sf).batch_plan, CFG)
 
 
 @query("custom_rule")
@@ -218,14 +212,14 @@ def q_failure_alerts(spark, sf):
 
 @query("qa_batches")
 def q_qa_batches(spark, sf):
-    b = _p(spark, sf).batches
+    b = _p(spark, sf).batch_plan
     return b.select("feed_id", "batch_round", "camera_id", "status", "valid_count",
                     "quarantined_count", "total_count", F.round("quarantine_rate", 9).alias("quarantine_rate"))
 
 
 @query("batch_quarantine_rate")
 def q_batch_quarantine_rate(spark, sf):
-    b = _p(spark, sf).batches
+    b = _p(spark, sf).batch_plan
     return b.select("feed_id", "batch_round", "total_count",
                     F.round("quarantine_rate", 9).alias("quarantine_rate"))
 
@@ -233,17 +227,45 @@ def q_batch_quarantine_rate(spark, sf):
 @query("rule_failure_counts")
 def q_rule_failure_counts(spark, sf):
     p = _p(spark, sf)
-    return qa.rule_failure_counts(p.gated, p.batches)
+    return qa.rule_failure_counts(p.gated, p.batch_plan)
 
 
 # ---------------------------------------------------------------------------
 # Joins / set-like ops (J*, O*)
 # ---------------------------------------------------------------------------
+def _without_blur(spark, sf) -> GatePipeline:
+    return GatePipeline(spark, S.frames_table(spark, sf).drop("blur_metric"), CFG)
+
+
 @query("row_rules_fallback")
 def q_row_rules_fallback(spark, sf):
+    # rows quarantined earlier, judged again by frames without blur_metric: those
+    # whose only failure was its value have the batch's schema-level rule instead
     p = _p(spark, sf)
-    out = qa.row_rules_fallback(qa.failure_alerts(p.gated), p.quarantined)
-    return out.select("feed_id", "batch_round", "seq", "frame_id", F.size("failed_rules").alias("n_rules"))
+    known = F.filter("failed_rules", lambda r: r["column"] != "blur_metric")
+    less = _without_blur(spark, sf)
+    out = qa.row_rules_fallback(p.quarantined.withColumn("failed_rules", known),
+                                qa.batch_alerts(less.batch_plan, less.violations))
+    return out.select("feed_id", "batch_round", "seq", "frame_id", _checks(with_column=True).alias("rules"))
+
+
+@query("missing_column")
+def q_missing_column(spark, sf):
+    # A missing column quarantines no row; every batch has an alert
+    p = _without_blur(spark, sf)
+    alerts = qa.batch_alerts(p.batch_plan, p.violations)
+    return (p.batch_plan.select("feed_id", "batch_round", "status", "valid_count", "quarantined_count")
+            .join(alerts, ["feed_id", "batch_round"])
+            .select("feed_id", "batch_round", "status", "valid_count", "quarantined_count",
+                    _checks(with_column=True).alias("rules")))
+
+
+@query("unreadable_column")
+def q_unreadable_column(spark, sf):
+    # V1: embeddings that came as text cannot be read: status error
+    f = S.frames_table(spark, sf).withColumn("embedding", F.col("embedding").cast("string"))
+    p = GatePipeline(spark, f, CFG)
+    return p.batch_plan.select("feed_id", "batch_round", "camera_id", "status", "valid_count", "quarantined_count")
 
 
 @query("split_by_semi_anti")
@@ -280,7 +302,7 @@ def q_time_strings(spark, sf):
 
 @query("rate_text")
 def q_rate_text(spark, sf):
-    b = _p(spark, sf).batches
+    b = _p(spark, sf).batch_plan
     return b.select("feed_id", "batch_round", percent_text(F.col("quarantine_rate")).alias("rate_percent"),
                     round4(F.col("quarantine_rate")).alias("rate_rounded"))
 
@@ -290,7 +312,7 @@ def q_rate_text(spark, sf):
 # ---------------------------------------------------------------------------
 @query("rolling_quarantine_rate")
 def q_rolling_quarantine_rate(spark, sf):
-    r = breaker.rolling_quarantine_rate(qa.breaker_input(_p(spark, sf).batches, CFG), CFG)
+    r = breaker.rolling_quarantine_rate(qa.breaker_input(_p(spark, sf).batch_plan, CFG), CFG)
     return r.select("camera_id", "feed_id", "batch_round",
                     F.round("rolling_quarantine_rate", 9).alias("rolling_quarantine_rate"))
 
@@ -299,8 +321,7 @@ def q_rolling_quarantine_rate(spark, sf):
 # ---------------------------------------------------------------------------
 # Drift (S7, A7, W2..W4, K1..K11, A11, O2)
 # ---------------------------------------------------------------------------
-from ..functions.ks import asymptotic_pvalue_expr  # noqa: E402
-from ..operators import drift  # noqa: E402
+from ..functions.ks import large_sample_pvalue_expr  # noqa: E402
 
 _RKEYS = ["feed_id", "batch_round", "camera_id"]
 
@@ -318,15 +339,12 @@ def q_baseline_centroid(spark, sf):
 
 @query("embedding_norm")
 def q_embedding_norm(spark, sf):
-    p = _p(spark, sf)
-    known = p.batches.where(F.col("camera_id").isin(list(CFG.known_cameras))).select("feed_id", "batch_round")
-    return (p.valid.join(known, ["feed_id", "batch_round"], "left_semi")
-            .select("seq", "feed_id", "batch_round", drift.norm_expr("embedding").alias("embedding_norm")))
+    return _p(spark, sf).valid.select("seq", "feed_id", "batch_round", drift.norm_expr("embedding").alias("embedding_norm"))
 
 
 @query("drift_buffer")
 def q_drift_buffer(spark, sf):
-    return drift.drift_buffer(_p(spark, sf).batches).select(*_RKEYS, "buffer_total")
+    return drift.drift_buffer(_p(spark, sf).batch_plan, CFG).select(*_RKEYS, "buffer_total")
 
 
 @query("drift_status")
@@ -346,7 +364,7 @@ def q_drift_windows(spark, sf):
 
 
 def _features(spark, sf):
-    return drift.drift_features(_p(spark, sf).drift_reports)
+    return drift.drift_features(_p(spark, sf).drift_plan)
 
 
 @query("ks_statistic")
@@ -362,7 +380,7 @@ def q_ks_pvalue(spark, sf):
 @query("ks_pvalue_asymptotic")
 def q_ks_pvalue_asymptotic(spark, sf):
     f = _features(spark, sf)
-    return f.select(*_RKEYS, "feature", F.round(asymptotic_pvalue_expr(), 10).alias("p_value"))
+    return f.select(*_RKEYS, "feature", F.round(large_sample_pvalue_expr(), 8).alias("p_value"))
 
 
 @query("feature_drift")
@@ -372,36 +390,45 @@ def q_feature_drift(spark, sf):
 
 @query("centroid_similarity")
 def q_centroid_similarity(spark, sf):
-    r = _p(spark, sf).drift_reports.where(F.col("status") == "analyzed")
+    r = _p(spark, sf).drift_plan.where(F.col("status") == "analyzed")
     return r.select(*_RKEYS, F.round("mean_cosine_similarity", 9).alias("mean_cosine_similarity"))
 
 
 @query("centroid_distance")
 def q_centroid_distance(spark, sf):
-    r = _p(spark, sf).drift_reports.where(F.col("status") == "analyzed")
+    r = _p(spark, sf).drift_plan.where(F.col("status") == "analyzed")
     return r.select(*_RKEYS, F.round("mean_euclidean_distance", 9).alias("mean_euclidean_distance"))
 
 
 @query("drift_reports")
 def q_drift_reports(spark, sf):
-    r = _p(spark, sf).drift_reports
+    r = _p(spark, sf).drift_plan
     return r.select(*_RKEYS, "status", "reason", F.col("buffer_size").cast("double").alias("buffer_size"),
                     F.col("window_size").cast("double").alias("window_size"), "drift_detected",
                     *[F.coalesce(f"{f}_drift", F.lit(False)).alias(f"{f}_drift")
                       for f in ("brightness_avg", "blur_metric", "embedding")],
                     "brightness_avg_ks", "blur_metric_ks", "embedding_ks",
-                    *[F.round(f"{f}_p", 10).alias(f"{f}_p") for f in ("brightness_avg", "blur_metric", "embedding")])
+                    *[F.round(f"{f}_p", 10).alias(f"{f}_p") for f in ("brightness_avg", "blur_metric", "embedding")],
+                    _features_text(F.col("features")).alias("features"))
+
+
+def _features_text(features: Column) -> Column:
+    """The map of features as text: name, flag, and whether it has centroid metrics."""
+    parts = F.transform(F.map_entries(features), lambda e: F.concat_ws(
+        ":", e["key"], e["value"]["drift_detected"].cast("string"), e["value"]["mean_cosine_similarity"].isNotNull().cast("string"),
+        F.format_string("%.4f", F.round(e["value"]["ks_statistic"], 4))))
+    return F.array_join(F.array_sort(parts), "|")
 
 
 @query("drift_alerts")
 def q_drift_alerts(spark, sf):
-    a = drift.drift_alerts(_p(spark, sf).drift_reports)
+    a = drift.drift_alerts(_p(spark, sf).drift_plan)
     return a.select(*_RKEYS, "feature", F.round("p_value", 10).alias("p_value"))
 
 
 @query("drifted_features")
 def q_drifted_features(spark, sf):
-    r = _p(spark, sf).drift_reports.where((F.col("status") == "analyzed") & F.col("drift_detected"))
+    r = _p(spark, sf).drift_plan.where((F.col("status") == "analyzed") & F.col("drift_detected"))
     r = r.withColumnRenamed("status", "drift_status")
     feats = breaker.drifted_features_expr(r)
     return r.select(*_RKEYS, F.array_join(feats, ", ").alias("features"),
@@ -468,7 +495,9 @@ def q_incidents(spark, sf):
     return i.select("incident_id", "camera_id", "batch_round", "severity", "status", "timestamp", "summary",
                     F.col("metrics.rolling_quarantine_rate").alias("rolling_quarantine_rate"),
                     F.col("metrics.qa_window_batches").alias("qa_window_batches"),
-                    F.col("drift_report").isNotNull().alias("has_drift_report"))
+                    F.col("drift_report").isNotNull().alias("has_drift_report"),
+                    F.col("drift_report.window_size").cast("double").alias("drift_window_size"),
+                    _features_text(F.col("drift_report.features")).alias("drift_features"))
 
 
 @query("incident_notifications")
@@ -509,6 +538,16 @@ def q_incident_summary(spark, sf):
     return s.select("total_incidents", F.array_join("tripped_cameras", ",").alias("tripped_cameras"))
 
 
+@query("incident_triggers")
+def q_incident_triggers(spark, sf):
+    return INC.incident_triggers(_incs(spark, sf))
+
+
+@query("batch_frame_ids")
+def q_batch_frame_ids(spark, sf):
+    return SUM.batch_frame_ids(_p(spark, sf).valid)
+
+
 @query("pipeline_totals")
 def q_pipeline_totals(spark, sf):
     p = _p(spark, sf)
@@ -518,7 +557,7 @@ def q_pipeline_totals(spark, sf):
 @query("batch_telemetry")
 def q_batch_telemetry(spark, sf):
     p = _p(spark, sf)
-    t = SUM.batch_telemetry(p.valid, p.batches)
+    t = SUM.batch_telemetry(p.valid, p.batch_plan)
     return t.select("feed_id", "batch_round", "camera_id", "frame_count",
                     F.col("first_seq").cast("double").alias("first_seq"),
                     F.col("last_seq").cast("double").alias("last_seq"),

@@ -16,10 +16,12 @@ _KNOWN = ", ".join(f"'{c}'" for c in _CFG.known_cameras)
 _DIM = _CFG.embedding_dim
 _W = _CFG.drift_window
 _N5 = _CFG.qa_window_batches
+# place of a feed in the configured order
+_PLACE = f"list_position([{_KNOWN}], feed_id)"
 
 FRAMES = r"""
 ev AS (
-  SELECT event_id, ts, value,
+  SELECT event_id, ts, value, event_id % (SELECT greatest(count(*), 1) FROM embeddings) AS vec,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
          CAST(user_id % 16 AS INTEGER) AS cam,
          CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INTEGER) AS batch_round
@@ -46,7 +48,7 @@ frames AS (
                        * (CASE WHEN cam = 5 AND batch_round >= 15 THEN CAST(2.0 AS DOUBLE)
                                ELSE CAST(1.0 AS DOUBLE) END)) AS embedding,
          ts AS event_ts
-  FROM ev LEFT JOIN embeddings e ON e.vec_id = ev.event_id % 500)"""
+  FROM ev LEFT JOIN embeddings e ON e.vec_id = ev.vec)"""
 
 
 def _fail(column: str, check: str, case: str) -> str:
@@ -97,7 +99,7 @@ brk AS (
     CAST(sum(quarantined_count) OVER w AS DOUBLE) AS _q,
     CAST(sum(valid_count + quarantined_count) OVER w AS DOUBLE) AS _t
   FROM batches_x WHERE camera_id IN ({_KNOWN})
-  WINDOW w AS (PARTITION BY camera_id ORDER BY batch_round, feed_id
+  WINDOW w AS (PARTITION BY camera_id ORDER BY batch_round, {_PLACE}
                ROWS BETWEEN {_N5 - 1} PRECEDING AND CURRENT ROW)),
 rated AS (
   SELECT * EXCLUDE (_q, _t),
@@ -123,7 +125,7 @@ WHERE feed_id IN ('camera_1', 'camera_2', 'camera_3')""")
 
 Q["unknown_feeds"] = with_(FRAMES, f"""
 SELECT seq, feed_id, batch_round, camera_id, frame_id FROM frames
-WHERE camera_id NOT IN ({_KNOWN}) OR camera_id IS NULL""")
+WHERE feed_id NOT IN ({', '.join(f"'{c}'" for c in _CFG.known_cameras[:12])})""")
 
 Q["batch_numbering"] = with_(FRAMES, """
 SELECT f.seq, f.feed_id, b.batch_number
@@ -214,10 +216,28 @@ SELECT g.feed_id, g.batch_round, g.seq AS row_index, g.camera_id, g.frame_id,
        b.last_timestamp AS quarantined_at
 FROM gated g JOIN batches b USING (feed_id, batch_round) WHERE NOT g.is_valid""")
 
-Q["row_rules_fallback"] = with_(GATED, """
-SELECT feed_id, batch_round, seq, frame_id, CAST(len(failed_rules) AS INTEGER) AS n_rules
+Q["row_rules_fallback"] = with_(GATED, f"""
+SELECT feed_id, batch_round, seq, frame_id,
+  CASE WHEN len(list_filter(failed_rules, lambda r: r.column <> 'blur_metric')) > 0
+    THEN array_to_string(list_transform(list_filter(failed_rules, lambda r: r.column <> 'blur_metric'), lambda r: r.column || ':' || r.check), ',')
+    ELSE 'blur_metric:{C.CHECK_COLUMN}' END AS rules
 FROM gated WHERE NOT is_valid""")
 
+Q["missing_column"] = with_(GATED, f"""
+SELECT feed_id, batch_round,
+  CASE WHEN count(*) FILTER (WHERE bad) = 0 THEN 'passed' WHEN count(*) FILTER (WHERE NOT bad) = 0 THEN 'failed'
+       ELSE 'partial_failure' END AS status,
+  count(*) FILTER (WHERE NOT bad) AS valid_count, count(*) FILTER (WHERE bad) AS quarantined_count,
+  'blur_metric:{C.CHECK_COLUMN}' AS rules
+FROM (SELECT feed_id, batch_round, len(list_filter(failed_rules, lambda r: r.column <> 'blur_metric')) > 0 AS bad FROM gated)
+GROUP BY feed_id, batch_round""")
+
+Q["unreadable_column"] = with_(GATED, """
+SELECT feed_id, batch_round, arg_min(coalesce(camera_id, 'unknown'), seq) AS camera_id, 'error' AS status,
+  count(*) FILTER (WHERE NOT bad) AS valid_count, count(*) FILTER (WHERE bad) AS quarantined_count
+FROM (SELECT *, len(list_filter(failed_rules, lambda r: r.column <> 'embedding')) > 0 AS bad FROM gated)
+GROUP BY feed_id, batch_round""")
+
 Q["split_by_semi_anti"] = with_(GATED, """
 SELECT seq, feed_id, batch_round, is_valid AS kept FROM gated""")
 
@@ -244,8 +264,8 @@ FROM frames""")
 
 Q["rate_text"] = with_(GATED, """
 SELECT feed_id, batch_round,
-       printf('%.2f%%', round_even(quarantine_rate * 100.0, 2)) AS rate_percent,
-       round_even(quarantine_rate, 4) AS rate_rounded
+       printf('%.2f%%', quarantine_rate * 100.0) AS rate_percent,
+       CAST(printf('%.4f', quarantine_rate) AS DOUBLE) AS rate_rounded
 FROM batches_x""")
 
 Q["custom_rule"] = with_(FRAMES, """
@@ -277,10 +297,10 @@ vrows AS (
   FROM gated g JOIN batches b USING (feed_id, batch_round)
   WHERE g.is_valid AND b.camera_id IN ({_KNOWN})),
 posd AS (
-  SELECT *, row_number() OVER (PARTITION BY camera_id ORDER BY batch_round, feed_id, seq) AS p FROM vrows),
+  SELECT *, row_number() OVER (PARTITION BY camera_id ORDER BY batch_round, {_PLACE}, seq) AS p FROM vrows),
 bstat AS (
   SELECT feed_id, batch_round, camera_id, valid_count,
-         CAST(sum(valid_count) OVER (PARTITION BY camera_id ORDER BY batch_round, feed_id
+         CAST(sum(valid_count) OVER (PARTITION BY camera_id ORDER BY batch_round, {_PLACE}
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS buffer_total
   FROM batches),
 dstatus AS (
@@ -297,7 +317,7 @@ wrows AS (
   FROM dstatus s JOIN posd r
     ON r.camera_id = s.camera_id AND r.p > s.buffer_total - {_W} AND r.p <= s.buffer_total
   WHERE s.status = 'analyzed'),
-base AS (SELECT * FROM gated WHERE is_valid AND batch_round <= 7 ORDER BY seq LIMIT {_CFG.baseline_samples}),
+base AS (SELECT * FROM gated WHERE is_valid AND batch_round <= {_CFG.baseline_rounds} ORDER BY seq, feed_id, batch_round LIMIT {_CFG.baseline_samples}),
 basev AS (SELECT seq, feed_id, batch_round, brightness_avg AS xb, blur_metric AS xl,
                  {_NORM.format(e='embedding')} AS xn, embedding FROM base),
 bn AS (SELECT CAST(count(*) AS BIGINT) AS n2 FROM basev),
@@ -372,6 +392,12 @@ reports AS (
   LEFT JOIN cm ON cm.feed_id = s.feed_id AND cm.batch_round = s.batch_round)"""
 
 
+# the features map as text: name, flag, whether it has centroid metrics, statistic
+_FEATURES_TEXT = """'blur_metric:' || blur_metric_drift || ':false:' || printf('%.4f', round(blur_metric_ks, 4))
+         || '|brightness_avg:' || brightness_avg_drift || ':false:' || printf('%.4f', round(brightness_avg_ks, 4))
+         || '|embedding:' || embedding_drift || ':true:' || printf('%.4f', round(embedding_ks, 4))"""
+
+
 def with_rec(ctes: str, body: str) -> str:
     return "WITH RECURSIVE " + ctes.strip() + "\n" + body
 
@@ -382,11 +408,11 @@ SELECT seq, feed_id, batch_round, xb AS brightness_avg, xl AS blur_metric FROM b
 Q["baseline_centroid"] = with_rec(DRIFT, """
 SELECT CAST(pos - 1 AS INTEGER) AS pos, round(bc, 9) AS centroid_value FROM bcen""")
 
-Q["embedding_norm"] = with_rec(DRIFT, """
-SELECT seq, feed_id, batch_round, xn AS embedding_norm FROM vrows""")
+Q["embedding_norm"] = with_(GATED, f"""
+SELECT seq, feed_id, batch_round, {_NORM.format(e='embedding')} AS embedding_norm FROM gated WHERE is_valid""")
 
-Q["drift_buffer"] = with_rec(DRIFT, """
-SELECT feed_id, batch_round, camera_id, buffer_total FROM bstat""")
+Q["drift_buffer"] = with_rec(DRIFT, f"""
+SELECT feed_id, batch_round, camera_id, buffer_total FROM bstat WHERE camera_id IN ({_KNOWN})""")
 
 Q["drift_status"] = with_rec(DRIFT, """
 SELECT feed_id, batch_round, camera_id, status, reason, CAST(buffer_size AS DOUBLE) AS buffer_size FROM dstatus""")
@@ -402,14 +428,33 @@ SELECT feed_id, batch_round, camera_id, feature, ks_num, ks_statistic FROM kfeat
 Q["ks_pvalue"] = with_rec(DRIFT, """
 SELECT feed_id, batch_round, camera_id, feature, ks_num, round(p_value, 10) AS p_value FROM kfeat""")
 
-Q["ks_pvalue_asymptotic"] = with_rec(DRIFT, """
-SELECT feed_id, batch_round, camera_id, feature,
-  round(least(1.0, greatest(0.0, CASE WHEN ks_statistic <= 0 THEN 1.0 ELSE
-    list_reduce(list_transform(range(1, 101), lambda k:
-      CAST(2.0 AS DOUBLE) * (CASE WHEN k % 2 = 1 THEN CAST(1.0 AS DOUBLE) ELSE CAST(-1.0 AS DOUBLE) END)
-      * exp(CAST(-2.0 AS DOUBLE) * k * k * ks_statistic * ks_statistic
-            * round(CAST(n1 AS DOUBLE) * n2 / (n1 + n2)))), lambda a, c: a + c) END)), 10) AS p_value
-FROM kfeat""")
+# K3 from its definition: P(D_n < d) is the chance that the i-th of n ordered uniform
+# draws lies between lo_i = i/n - d and hi_i = (i-1)/n + d for every i.  Going through
+# all these bounds t in order, q[j+1] is the weight of j draws up to t: at most as many
+# as have lo_i < t, at least as many as have hi_i <= t.
+Q["ks_pvalue_asymptotic"] = with_rec(DRIFT + """,
+one AS (SELECT DISTINCT n1, n2, ks_num, ks_statistic AS d, CAST(round(CAST(n1 AS DOUBLE) * n2 / (n1 + n2)) AS INTEGER) AS n FROM kfeat),
+bounds AS (SELECT *,
+  list_transform(range(1, n + 1), lambda i: greatest(CAST(0.0 AS DOUBLE), CAST(i AS DOUBLE) / n - d)) AS lo,
+  list_transform(range(1, n + 1), lambda i: least(CAST(1.0 AS DOUBLE), CAST(i - 1 AS DOUBLE) / n + d)) AS hi FROM one),
+cuts AS (SELECT *, list_sort(list_distinct(list_concat(list_concat(lo, hi), [CAST(0.0 AS DOUBLE), CAST(1.0 AS DOUBLE)]))) AS t FROM bounds),
+walk(n1, n2, ks_num, d, n, lo, hi, t, k, q) AS (
+  SELECT n1, n2, ks_num, d, n, lo, hi, t, 1,
+    list_transform(range(0, n + 1), lambda j: CASE WHEN j = 0 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END) FROM cuts
+  UNION ALL
+  SELECT n1, n2, ks_num, d, n, lo, hi, t, k + 1,
+    list_transform(range(0, n + 1), lambda j:
+      CASE WHEN j < len(list_filter(hi, lambda x: x <= t[k + 1])) OR j > len(list_filter(lo, lambda x: x < t[k + 1]))
+           THEN CAST(0.0 AS DOUBLE)
+           ELSE list_sum(list_transform(range(0, j + 1), lambda l:
+             q[l + 1] * pow(t[k + 1] - t[k], j - l) / gamma(CAST(j - l + 1 AS DOUBLE)))) END)
+  FROM walk WHERE k < len(t)),
+late AS (SELECT n1, n2, ks_num,
+  CASE WHEN d <= 0 THEN CAST(1.0 AS DOUBLE) WHEN d >= 1 THEN CAST(0.0 AS DOUBLE)
+       ELSE least(1.0, greatest(0.0, CAST(1.0 AS DOUBLE) - gamma(CAST(n + 1 AS DOUBLE)) * q[n + 1])) END AS p
+  FROM walk WHERE k = len(t))""", """
+SELECT k.feed_id, k.batch_round, k.camera_id, k.feature, round(l.p, 8) AS p_value
+FROM kfeat k JOIN late l USING (n1, n2, ks_num)""")
 
 Q["feature_drift"] = with_rec(DRIFT, """
 SELECT feed_id, batch_round, camera_id, feature, drift_detected FROM kfeat""")
@@ -429,7 +474,8 @@ SELECT feed_id, batch_round, camera_id, status, reason, CAST(buffer_size AS DOUB
        coalesce(blur_metric_drift, false) AS blur_metric_drift, coalesce(embedding_drift, false) AS embedding_drift,
        brightness_avg_ks, blur_metric_ks, embedding_ks,
        round(brightness_avg_p, 10) AS brightness_avg_p, round(blur_metric_p, 10) AS blur_metric_p,
-       round(embedding_p, 10) AS embedding_p
+       round(embedding_p, 10) AS embedding_p,
+       CASE WHEN status = 'analyzed' THEN """ + _FEATURES_TEXT + """ END AS features
 FROM reports""")
 
 Q["drift_alerts"] = with_rec(DRIFT, """
@@ -447,7 +493,7 @@ FROM reports WHERE status = 'analyzed' AND drift_detected""")
 Q["tail_per_camera"] = with_rec(DRIFT, f"""
 SELECT camera_id, feed_id, batch_round, seq, rank_from_end FROM (
   SELECT camera_id, feed_id, batch_round, seq,
-         CAST(row_number() OVER (PARTITION BY camera_id ORDER BY batch_round DESC, feed_id DESC, seq DESC) AS INTEGER)
+         CAST(row_number() OVER (PARTITION BY camera_id ORDER BY batch_round DESC, {_PLACE} DESC, seq DESC) AS INTEGER)
            AS rank_from_end
   FROM vrows) WHERE rank_from_end <= {_W}""")
 
@@ -461,11 +507,12 @@ _MINF = _CFG.min_drift_features
 BREAKER = DRIFT + f""",
 dlast AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT r.*, row_number() OVER (PARTITION BY camera_id, batch_round ORDER BY feed_id DESC) AS rn
+    SELECT r.*, row_number() OVER (PARTITION BY camera_id, batch_round ORDER BY {_PLACE} DESC) AS rn
     FROM reports r) WHERE rn = 1),
 bev AS (
   SELECT r.camera_id, r.feed_id, r.batch_round, r.valid_count, r.quarantined_count, r.rolling_quarantine_rate,
     d.status AS drift_status, d.drift_detected, d.window_size AS drift_window_size,
+    d.blur_metric_drift, d.brightness_avg_drift, d.embedding_drift, d.blur_metric_ks, d.brightness_avg_ks, d.embedding_ks,
     CASE WHEN d.status = 'analyzed' AND d.drift_detected THEN
       list_filter([CASE WHEN d.brightness_avg_drift THEN 'brightness_avg' END,
                    CASE WHEN d.blur_metric_drift THEN 'blur_metric' END,
@@ -476,8 +523,8 @@ bev2 AS (
   SELECT *,
     rolling_quarantine_rate > {_RATE_T} AS rate_trip,
     len(drifted) >= {_MINF} AS drift_trip,
-    'QA quarantine rate ' || printf('%.2f%%', round_even(rolling_quarantine_rate * 100.0, 2))
-      || ' exceeds ' || printf('%.2f%%', round_even({_RATE_T} * 100.0, 2)) || ' threshold.' AS rate_msg,
+    'QA quarantine rate ' || printf('%.2f%%', rolling_quarantine_rate * 100.0)
+      || ' exceeds ' || printf('%.2f%%', {_RATE_T} * 100.0) || ' threshold.' AS rate_msg,
     'Drift detected across ' || CAST(len(drifted) AS VARCHAR) || ' features: '
       || array_to_string(drifted, ', ') || '.' AS drift_msg
   FROM bev),
@@ -492,7 +539,7 @@ bev3 AS (
   FROM bev2),
 bev4 AS (
   SELECT *,
-    sum(CAST(should_trip AS INTEGER)) OVER (PARTITION BY camera_id ORDER BY batch_round, feed_id
+    sum(CAST(should_trip AS INTEGER)) OVER (PARTITION BY camera_id ORDER BY batch_round, {_PLACE}
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ordinal
   FROM bev3),
 incs AS (
@@ -528,17 +575,19 @@ FROM bev4""")
 
 Q["incidents"] = with_rec(BREAKER, f"""
 SELECT incident_id, camera_id, batch_round, '{_C.severity}' AS severity, 'open' AS status, "timestamp", summary,
-       round_even(rolling_quarantine_rate, 4) AS rolling_quarantine_rate,
+       CAST(printf('%.4f', rolling_quarantine_rate) AS DOUBLE) AS rolling_quarantine_rate,
        {_C.qa_window_batches} AS qa_window_batches,
-       coalesce(drift_status = 'analyzed', false) AS has_drift_report
+       coalesce(drift_status = 'analyzed', false) AS has_drift_report,
+       CASE WHEN drift_status = 'analyzed' THEN CAST(drift_window_size AS DOUBLE) END AS drift_window_size,
+       CASE WHEN drift_status = 'analyzed' THEN {_FEATURES_TEXT} END AS drift_features
 FROM incs""")
 
 Q["incident_notifications"] = with_rec(BREAKER, f"""
 SELECT incident_id, '{_C.alert_channel}' AS channel,
-       ':rotating_light: *{_C.incident_title}* | camera `' || camera_id || '` | batch ' || CAST(batch_round AS VARCHAR)
-         || ' | quarantine_rate=' || printf('%.2f%%', round_even(rolling_quarantine_rate * 100.0, 2)) AS chat_text,
+       '{_C.incident_title}: breaker open for ' || camera_id || ' since round ' || CAST(batch_round AS VARCHAR)
+         || ', ' || printf('%.2f%%', rolling_quarantine_rate * 100.0) || ' of recent rows quarantined' AS chat_text,
        '{_C.pager_routing_key}' AS routing_key,
-       'Circuit breaker tripped for ' || camera_id AS pager_summary
+       'Breaker open for ' || camera_id AS pager_summary
 FROM incs""")
 
 Q["retrain_requests"] = with_rec(BREAKER, f"""
@@ -564,6 +613,14 @@ SELECT CAST(count(*) AS BIGINT) AS total_incidents,
        coalesce(array_to_string(list_sort(list(DISTINCT camera_id)), ','), '') AS tripped_cameras
 FROM incs""")
 
+Q["incident_triggers"] = with_rec(BREAKER, f"""
+SELECT incident_id, camera_id, batch_round, 0 AS place, '{C.REASON_RATE}' AS type, rate_msg AS message FROM incs WHERE rate_trip
+UNION ALL
+SELECT incident_id, camera_id, batch_round, CASE WHEN rate_trip THEN 1 ELSE 0 END, '{C.REASON_DRIFT}', drift_msg FROM incs WHERE drift_trip""")
+
+Q["batch_frame_ids"] = with_(GATED, """
+SELECT feed_id, batch_round, seq, frame_id FROM gated WHERE is_valid""")
+
 Q["pipeline_totals"] = with_rec(BREAKER, """
 SELECT 'total_quarantined_rows' AS metric, CAST(sum(quarantined_count) AS BIGINT) AS value FROM batches
 UNION ALL SELECT 'drift_alert_count', CAST(count(*) FILTER (WHERE drift_detected) AS BIGINT) FROM reports

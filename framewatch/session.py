@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,9 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` (a static setting) points at shared
-    storage and is used as is.  Only when nothing is configured (unit tests, a
-    laptop) a scratch folder is created and registered with
-    ``setCheckpointDir`` — the setting itself cannot change at runtime.
+    storage and is used as is.  Only in local mode, when nothing is configured
+    (unit tests, a laptop), a scratch folder is created and registered with
+    ``setCheckpointDir`` (the setting itself cannot change at runtime); on a
+    cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -57,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="framewatch-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -64,21 +68,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "framewatch", name)
-
-
-def scale_conf(input_bytes: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
-    """Sizing for a cluster run from the input volume.
-
-    Initial shuffle partitions ~ input / target (AQE then coalesces small
-    stages and splits skewed ones), scan splits of the same size, so each
-    task's shuffle block stays well inside executor memory.  E.g. 100 TB ->
-    ~800k initial partitions, split at 128 MiB.
-    """
-    parts = max(200, int(input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-    }

@@ -11,7 +11,9 @@ positional batch index of a pandas frame:
 
 from __future__ import annotations
 
+import hashlib
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,11 +42,9 @@ KEY_COLUMNS = ("feed_id", "batch_round", "seq")
 
 def read_frames(spark: SparkSession, path: str, fmt: str = "parquet",
                 schema: T.StructType | None = None) -> DataFrame:
-    """Batch read of frame rows with a declared schema (no inference)."""
-    reader = spark.read.format(fmt)
-    if schema is not None or fmt in ("json", "csv"):
-        reader = reader.schema(schema or FRAME_SCHEMA)
-    return reader.load(path)
+    """Batch read of frame rows with a declared schema (no inference).  For
+    files that break the contract pass their own ``schema``; the gate reports it."""
+    return spark.read.format(fmt).schema(schema or FRAME_SCHEMA).load(path)
 
 
 def stream_frames(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -63,16 +63,16 @@ def table_path(sf_dir: str, name: str) -> str:
 # Fixture: frames derived from the driver tables (FIXTURES.md B1).
 # ---------------------------------------------------------------------------
 _EPOCH = "2024-01-01"
-_VECTORS = 500
 
 
 def frames_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Project ``events`` ⋈ ``embeddings`` into frame rows.
 
-    The join key is ``event_id % 500``; Catalyst decides the strategy from the
-    file sizes (the vector table is tiny here), AQE splits skewed keys if the
-    vector side is ever too large to broadcast.
+    Every vector is used: the join key is ``event_id`` modulo the number of
+    vectors (a count from the files' footers).  Catalyst decides the strategy
+    from the file sizes.
     """
+    vectors = max(1, spark.read.parquet(table_path(sf_dir, "embeddings")).count())
     ev = spark.read.parquet(table_path(sf_dir, "events")).select(
         "event_id", "ts", "user_id", "value", "props")
     vec = spark.read.parquet(table_path(sf_dir, "embeddings")).select(
@@ -85,7 +85,7 @@ def frames_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = (ev.withColumn("k", k).withColumn("cam", cam)
             .withColumn("batch_round", rnd).withColumn("feed_id", feed)
-            .withColumn("vec_id", F.col("event_id") % _VECTORS))
+            .withColumn("vec_id", F.col("event_id") % vectors))
     shifted = (F.col("cam") == 5) & (F.col("batch_round") >= 15)
     dark = (F.col("cam") == 2) & (F.col("batch_round") >= 21)
     factor = F.lit(1.0) + (F.col("k") % 10).cast("double") / F.lit(10.0)
@@ -113,7 +113,7 @@ def frames_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(shifted, (F.col("k") - 1).cast("double") / F.lit(100.0) + F.lit(0.4))
                  .otherwise((F.col("k") - 1).cast("double") / F.lit(100.0)).alias("blur_metric"),
                 emb.alias("embedding"),
-                F.col("ts").alias("event_ts"),
+                F.col("ts").cast("timestamp").alias("event_ts"),
             ))
 
 
@@ -126,40 +126,31 @@ def feed_subset(frames: DataFrame, feed_ids) -> DataFrame:
     return frames.where(F.col("feed_id").isin(list(feed_ids)))
 
 
-def whitelist_df(spark: SparkSession, cfg: GateConfig, name: str = "camera_id") -> DataFrame:
-    """The feed whitelist as a tiny table (bounded by the configuration)."""
-    return spark.createDataFrame([(c,) for c in cfg.known_cameras], f"{name} string")
-
-
 def known_feed(col: Column, cfg: GateConfig) -> Column:
-    return col.isin(list(cfg.known_cameras))
+    return F.coalesce(col.isin(list(cfg.known_cameras)), F.lit(False))
 
 
 def unknown_feeds(frames: DataFrame, cfg: GateConfig) -> DataFrame:
     """Rows fetched from a feed that is not configured (rejected)."""
-    return frames.where(~known_feed(F.col("feed_id"), cfg) | F.col("feed_id").isNull())
+    return frames.where(~known_feed(F.col("feed_id"), cfg))
 
 
 def accepted_feeds(frames: DataFrame, cfg: GateConfig) -> DataFrame:
+    """The other side of :func:`unknown_feeds`."""
     return frames.where(known_feed(F.col("feed_id"), cfg))
 
 
-def number_batches(frames: DataFrame, bucket: Column, chunk: Column | None = None) -> DataFrame:
+def number_batches(frames: DataFrame, bucket: Column, chunk: Column) -> DataFrame:
     """Per-feed batch counter from an event-time bucket when the data has
     no round column.
 
     The counter is the running count of the feed's distinct buckets: a
     chunked prefix sum over (feed, bucket) pairs, so a feed with very many
     buckets is not one task.  ``chunk`` must be non-decreasing in the bucket
-    (e.g. ``floor(unix_seconds(bucket) / 86400)``); without it a feed is one
-    chunk."""
+    (e.g. ``floor(unix_seconds(_bucket) / 86400)``); it may use ``_bucket``."""
     from ..operators.ordered import running_sums
-    pairs = frames.select("feed_id", bucket.alias("_bucket")).distinct()
-    chunk_col = F.lit(0) if chunk is None else chunk
-    if chunk is not None:
-        pairs = pairs.withColumn("_bchunk", chunk_col)
-        chunk_col = F.col("_bchunk")
-    numbered = running_sums(pairs, "feed_id", ["_bucket"], chunk_col, {"batch_round": F.lit(1)})
+    pairs = frames.select("feed_id", bucket.alias("_bucket")).distinct().withColumn("_bchunk", chunk)
+    numbered = running_sums(pairs, "feed_id", ["_bucket"], F.col("_bchunk"), {"batch_round": F.lit(1)})
     numbered = numbered.select("feed_id", "_bucket", F.col("batch_round").cast("int").alias("batch_round"))
     return (frames.withColumn("_bucket", bucket)
             .join(numbered, ["feed_id", "_bucket"]).drop("_bucket"))
@@ -185,27 +176,26 @@ def latest_batch(frames: DataFrame) -> DataFrame:
             .select("feed_id", "batch_number", "last_frame_id", "frame_count"))
 
 
-def frames_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The frames fixture as a stored table (the ingest step).
+def _input_version(spark: SparkSession, path: str) -> str:
+    """Sizes and times of a table's files, by the file system that holds them."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    status = fs.getFileStatus(hpath)
+    total = fs.getContentSummary(hpath)
+    return f"{path}:{total.getLength()}:{total.getFileCount()}:{status.getModificationTime()}"
+
+
+def frames_path(spark: SparkSession, sf_dir: str) -> str:
+    """The frames fixture as a stored table (the ingest step): its path.
 
     In production frames arrive as a table; here they are derived from the
-    driver tables once per input version and written as parquet under the
-    shared checkpoint folder (``spark.checkpoint.dir``), then every query
-    scans that table with column pruning and filter pushdown.  The folder key
-    covers the input files' sizes and times, so changed inputs re-derive.
+    driver tables once per input version and written as parquet, partitioned by
+    feed, under the shared checkpoint folder (``spark.checkpoint.dir``).  The
+    folder's name covers the input files' sizes and times.
     """
-    import hashlib
-
     from ..session import scratch_path
 
-    parts = [FIXTURE_VERSION, os.path.abspath(sf_dir)]
-    for name in ("events", "embeddings"):
-        p = table_path(sf_dir, name)
-        try:
-            st = os.stat(p)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-        except OSError:
-            parts.append(f"{name}:?")
+    parts = [FIXTURE_VERSION] + [_input_version(spark, table_path(sf_dir, n)) for n in ("events", "embeddings")]
     key = hashlib.sha256("|".join(parts).encode()).hexdigest()[:16]
     path = scratch_path(spark, f"frames-{key}")
     hpath = spark._jvm.org.apache.hadoop.fs.Path
@@ -213,12 +203,18 @@ def frames_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not fs.exists(hpath(path + "/_SUCCESS")):
         # write aside, then one atomic rename: concurrent first users never
         # see (or clobber) a half-written table
-        import uuid
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-        frames_from_events(spark, sf_dir).write.mode("overwrite").parquet(tmp)
+        frames_from_events(spark, sf_dir).write.partitionBy("feed_id").parquet(tmp)
         if not fs.rename(hpath(tmp), hpath(path)):
             fs.delete(hpath(tmp), True)  # another writer won; use its table
-    return spark.read.parquet(path)
+    return path
+
+
+def frames_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored frames of ``sf_dir``; every query scans it with column pruning,
+    filter pushdown and partition pruning by feed."""
+    schema = T.StructType([*FRAME_SCHEMA.fields, T.StructField("event_ts", T.TimestampType())])
+    return read_frames(spark, frames_path(spark, sf_dir), schema=schema).select(*schema.names)
 
 
-FIXTURE_VERSION = "frames-v1"
+FIXTURE_VERSION = "frames-v2"

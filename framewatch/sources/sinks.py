@@ -1,10 +1,11 @@
 """Sinks and read-back (S8..S12).
 
 Per-row files of a single-machine pipeline become partitioned tables: one
-write per table, partitioned by round (and camera for quarantine), so a
-cluster writes in parallel and readers prune partitions.  Incident and
-request sinks are idempotent by id: rows whose id already exists are skipped,
-so a retried round never duplicates an alert.
+write per table, partitioned by round and feed (whole batches), so a cluster
+writes in parallel and readers prune partitions.  A row's own camera id may be
+anything, so it stays a column.  A batch that is written again replaces its
+partition, so a replay leaves the table as it was.  Incident and request sinks
+are idempotent by id: rows whose id already exists are skipped.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from .frames import FRAME_SCHEMA
 QUARANTINE_ROW_COLUMNS = ["feed_id", "batch_round", "seq", "timestamp", "camera_id", "frame_id",
                           "brightness_avg", "blur_metric", "embedding"]
 
+QUARANTINE_SCHEMA = T.StructType([f for f in FRAME_SCHEMA if f.name in QUARANTINE_ROW_COLUMNS])
+
 REASON_SCHEMA = T.StructType([
     T.StructField("feed_id", T.StringType()),
     T.StructField("batch_round", T.IntegerType()),
@@ -34,17 +37,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return jp.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jp)
 
 
-def write_quarantine_rows(quarantined: DataFrame, path: str, fmt: str = "parquet",
-                          mode: str = "append") -> None:
-    """Quarantined frames, partitioned by round and camera."""
-    (quarantined.select(*QUARANTINE_ROW_COLUMNS).write.mode(mode)
-     .partitionBy("batch_round", "camera_id").format(fmt).save(path))
+def _write_batches(df: DataFrame, path: str, fmt: str) -> None:
+    """One folder per batch, replaced whole.  Rows are dealt out by batch, so a
+    folder gets few files; a batch too large for one task is split again."""
+    (df.hint("rebalance", "batch_round", "feed_id").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_round", "feed_id").format(fmt).save(path))
+
+
+def write_quarantine_rows(quarantined: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Quarantined frames, partitioned by round and feed."""
+    _write_batches(quarantined.select(*QUARANTINE_ROW_COLUMNS), path, fmt)
 
 
-def write_quarantine_reasons(reasons: DataFrame, path: str, fmt: str = "json",
-                             mode: str = "append") -> None:
+def write_quarantine_reasons(reasons: DataFrame, path: str, fmt: str = "json") -> None:
     """One reason record per quarantined row (JSON lines by default)."""
-    reasons.write.mode(mode).partitionBy("batch_round").format(fmt).save(path)
+    _write_batches(reasons, path, fmt)
 
 
 def _write_by_id(df: DataFrame, path: str, id_col: str, fmt: str) -> None:
@@ -66,19 +74,15 @@ def write_retrain_requests(requests: DataFrame, path: str, fmt: str = "json") ->
 
 
 def read_quarantine_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read back quarantined frames (partition columns restored)."""
-    return spark.read.format(fmt).load(path)
+    """Read back quarantined frames with their declared schema."""
+    return spark.read.format(fmt).schema(QUARANTINE_SCHEMA).load(path).select(*QUARANTINE_ROW_COLUMNS)
 
 
 def read_quarantine_reasons(spark: SparkSession, path: str) -> DataFrame:
     """Read back reason records with their declared schema."""
-    return spark.read.schema(REASON_SCHEMA).json(path)
+    return spark.read.schema(REASON_SCHEMA).json(path).select(*REASON_SCHEMA.names)
 
 
 def read_json_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read back an alert table (incidents, requests) with a schema."""
     return spark.read.schema(schema).json(path)
-
-
-def frame_json_schema() -> T.StructType:
-    return FRAME_SCHEMA

@@ -12,11 +12,12 @@ W9 keeps per-camera state across micro-batches.  ``foreachBatch`` runs the
 * the number of trips already emitted per camera (the latched breaker).
 
 State and outputs are written as parquet under ``<root>/state/epoch=E`` and
-``<root>/<table>/epoch=E``.  A micro-batch reads the newest committed state
-with a smaller epoch, so a replayed epoch (after a failure) recomputes and
-overwrites exactly the same files: the sinks are idempotent and
-stream == batch by construction.  The source must deliver whole
-(feed, round) batches per micro-batch (e.g. one file per round).
+``<root>/<table>/epoch=E``.  A small pointer file names the last committed state
+and the one it was made from; older states are deleted.  A replayed epoch (after
+a failure) starts from the state before it and overwrites exactly the same
+files: the sinks are idempotent and stream == batch by construction.  The
+source must deliver whole (feed, round) batches per micro-batch (e.g. one file
+per round).
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import GateConfig
-from ..operators import breaker, drift, incidents, qa
+from ..functions.rules import contract_violations
+from ..operators import breaker, drift, incidents, qa, summary
 
 STATE_TABLES = ("rows", "offsets", "records", "trips")
 
@@ -69,22 +71,39 @@ class StatefulGate:
         jp = spark._jvm.org.apache.hadoop.fs.Path(path)
         return jp, jp.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _committed_epoch_before(self, spark: SparkSession, epoch: int) -> int | None:
-        """Newest state epoch < ``epoch`` whose write finished (_SUCCESS)."""
-        jp, fs = self._fs(spark, self._path("state"))
-        if not fs.exists(jp):
+    # -- pointer: "<last committed epoch> <epoch it was made from, or -1>" ------
+    def _pointer(self, spark: SparkSession) -> tuple[int, int] | None:
+        for name in ("CURRENT", "CURRENT.new"):   # the second only between delete and rename
+            jp, fs = self._fs(spark, self._path(f"state/{name}"))
+            if fs.exists(jp):
+                stream = fs.open(jp)
+                try:
+                    last, before = stream.readUTF().split()
+                finally:
+                    stream.close()
+                return int(last), int(before)
+        return None
+
+    def _commit(self, spark: SparkSession, epoch: int, before: int | None) -> None:
+        """Name the new state, then delete the states no replay can need."""
+        old = self._pointer(spark)
+        tmp, fs = self._fs(spark, self._path("state/CURRENT.new"))
+        out = fs.create(tmp, True)
+        out.writeUTF(f"{epoch} {-1 if before is None else before}")
+        out.close()
+        current, _ = self._fs(spark, self._path("state/CURRENT"))
+        fs.delete(current, False)
+        fs.rename(tmp, current)
+        for e in set(old or ()) - {epoch, before, -1}:
+            fs.delete(self._fs(spark, self._path("state", e))[0], True)
+
+    def _state_before(self, spark: SparkSession, epoch: int) -> int | None:
+        """The committed epoch that ``epoch`` starts from."""
+        last = self._pointer(spark)
+        if last is None:
             return None
-        best = None
-        for st in fs.listStatus(jp):
-            name = st.getPath().getName()
-            if not name.startswith("epoch="):
-                continue
-            e = int(name.split("=", 1)[1])
-            ok = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(
-                f"{self._path('state', e)}/trips/_SUCCESS"))
-            if e < epoch and ok and (best is None or e > best):
-                best = e
-        return best
+        before = last[1] if last[0] >= epoch else last[0]
+        return None if before < 0 else before
 
     def _read_state(self, spark: SparkSession, epoch: int | None) -> dict[str, DataFrame] | None:
         if epoch is None:
@@ -94,14 +113,25 @@ class StatefulGate:
     # -- one micro-batch --------------------------------------------------------
     def process(self, batch_df: DataFrame, epoch_id: int) -> None:
         spark = batch_df.sparkSession
+        before = self._state_before(spark, epoch_id)
+        cached: list[DataFrame] = []
+        try:
+            self._write_epoch(batch_df, epoch_id, self._read_state(spark, before), cached)
+        finally:
+            for df in cached:
+                df.unpersist()
+        self._commit(spark, epoch_id, before)
+
+    def _write_epoch(self, batch_df: DataFrame, epoch_id: int, prev: dict[str, DataFrame] | None,
+                     cached: list[DataFrame]) -> None:
+        """Outputs and next state of one micro-batch."""
         cfg, W = self.cfg, self.cfg.drift_window
-        prev = self._read_state(spark, self._committed_epoch_before(spark, epoch_id))
-
+        violations = contract_violations(batch_df)
         gated = qa.gate(batch_df, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-        batches = qa.qa_batches(gated).persist(StorageLevel.MEMORY_AND_DISK)
+        batches = qa.qa_batches(gated, violations).persist(StorageLevel.MEMORY_AND_DISK)
+        cached += [gated, batches]
         valid = qa.valid_frames(gated)
 
-        cached: list[DataFrame] = [gated, batches]
         reports = drift.drift_reports(
             valid, batches, self.model, cfg,
             prior_rows=prev["rows"] if prev else None,
@@ -116,11 +146,15 @@ class StatefulGate:
 
         out = {
             "qa_batches": batches,
-            "quarantine_reasons": qa.quarantine_reasons(gated, batches),
-            "drift_reports": reports.drop("win"),
+            "schema_alerts": qa.batch_alerts(batches, violations),
+            "quarantine_rows": qa.quarantined_frames(gated),
+            "quarantine_reasons": qa.quarantine_reasons(gated, batches, violations),
+            "batch_telemetry": summary.batch_telemetry(valid, batches),
+            "drift_reports": reports,
             "breaker": evaluated.drop("prior_trips"),
             "incidents": incs,
             "retrain_requests": incidents.retrain_requests(incs, cfg),
+            "pipeline_totals": summary.pipeline_totals(batches, reports, incs),
         }
         for name, df in out.items():
             df.write.mode("overwrite").parquet(self._path(name, epoch_id))
@@ -157,10 +191,8 @@ class StatefulGate:
             .agg(F.sum("prior_trips").alias("prior_trips")))
 
         state = {"rows": rows, "offsets": offsets, "records": records, "trips": trips}
-        for name in STATE_TABLES:  # 'trips' last: its _SUCCESS marks the epoch committed
+        for name in STATE_TABLES:
             state[name].write.mode("overwrite").parquet(f"{self._path('state', epoch_id)}/{name}")
-        for df in cached:
-            df.unpersist()
 
     # -- query ----------------------------------------------------------------------
     def start(self, frames_stream: DataFrame, checkpoint: str,
@@ -169,6 +201,10 @@ class StatefulGate:
                 .option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"availableNow": True})).start())
 
+    def totals(self, spark: SparkSession) -> DataFrame:
+        """A9 over all micro-batches so far."""
+        return self.read(spark, "pipeline_totals").groupBy("metric").agg(F.sum("value").alias("value"))
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """All epochs of an output table (the ``epoch`` partition column added)."""
         return spark.read.parquet(self._path(table))

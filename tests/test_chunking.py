@@ -19,7 +19,7 @@ def test_tiny_chunks_equal_default(spark):
     p = GatePipeline.from_sf(spark, SF_SMALL)
     q = GatePipeline(spark, p.frames, TINY)
     cols = ["feed_id", "batch_round", "camera_id", "buffer_total"]
-    assert _rows(drift.drift_buffer(q.batches, None, TINY), cols) == _rows(drift.drift_buffer(p.batches), cols)
+    assert _rows(drift.drift_buffer(q.batches, TINY), cols) == _rows(drift.drift_buffer(p.batches, FIXTURE_CONFIG), cols)
     rcols = ["feed_id", "batch_round", "camera_id", "status", "buffer_size", "window_size",
              "brightness_avg_ks", "blur_metric_ks", "embedding_ks", "embedding_p", "mean_euclidean_distance"]
     assert _rows(q.drift_reports, rcols) == _rows(p.drift_reports, rcols)

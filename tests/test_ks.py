@@ -1,13 +1,14 @@
 """Grouped two-sample KS: statistic vs brute force, exact p-values vs path
-enumeration, SQL recursion == numpy recursion."""
+enumeration, large-sample p-values vs quoted values and simulation."""
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from framewatch.config import GateConfig
-from framewatch.functions.ks import (brute_force_pvalue, exact_pvalue_expr, exact_pvalues_numpy,
-                                     ks_num_expr)
-from framewatch.operators.drift import BaselineModel
+from framewatch.functions.ks import exact_pvalue_expr, ks_num_expr, large_sample_pvalue_expr
+from framewatch.operators.drift import BaselineModel, baseline_rows
 
 
 def ks_brute(w, b):
@@ -17,20 +18,35 @@ def ks_brute(w, b):
     return np.max(np.abs(c1 - c2))
 
 
-@pytest.mark.parametrize("n1,n2", [(3, 4), (4, 6), (5, 5), (2, 7), (6, 3)])
-def test_exact_pvalue_matches_enumeration(n1, n2):
-    for kn in range(0, n1 * n2 + 2):
-        assert abs(exact_pvalues_numpy(n1, n2, [kn])[0] - brute_force_pvalue(n1, n2, kn)) < 1e-12
+def enumerated_pvalue(n1, n2, ks_num):
+    """The p-value from all lattice paths."""
+    hit = total = 0
+    for xs in map(set, combinations(range(n1 + n2), n1)):
+        total += 1
+        i = j = 0
+        touched = ks_num <= 0
+        for step in range(n1 + n2):
+            i, j = (i + 1, j) if step in xs else (i, j + 1)
+            touched |= abs(i * n2 - j * n1) >= ks_num
+        hit += touched
+    return hit / total
+
+
+def exact_pvalues(spark, triples):
+    df = spark.createDataFrame([(k, *t) for k, t in enumerate(triples)], "k int, n1 bigint, n2 bigint, ks_num bigint")
+    return [r["p"] for r in df.select("k", exact_pvalue_expr().alias("p")).orderBy("k").collect()]
+
 
+def test_exact_pvalue_matches_enumeration(spark):
+    triples = [(a, b, k) for a, b in ((3, 4), (4, 6), (5, 5), (2, 7), (6, 3)) for k in range(0, a * b + 2)]
+    for t, p in zip(triples, exact_pvalues(spark, triples)):
+        assert abs(p - enumerated_pvalue(*t)) < 1e-12, t
 
-def test_sql_pvalue_equals_numpy(spark):
-    rows = [(20, 1000, k) for k in (0, 1000, 5940, 5960, 9000, 20000)] + [(4, 6, 12), (5, 5, 15)]
-    df = spark.createDataFrame(rows, "n1 bigint, n2 bigint, ks_num bigint")
-    got = {(r["n1"], r["n2"], r["ks_num"]): r["p"] for r in df.select("*", exact_pvalue_expr().alias("p")).collect()}
-    for (a, b, k), p in got.items():
-        assert p == exact_pvalues_numpy(a, b, [k])[0]
-    # the alpha boundary quoted for n1=20, n2=1000
-    assert got[(20, 1000, 5960)] < 0.05 < got[(20, 1000, 5940)]  # D >= 0.298 drifts
+
+def test_alpha_boundary(spark):
+    """n1 = 20, n2 = 1000: D >= 0.298 drifts."""
+    high, low = exact_pvalues(spark, [(20, 1000, 5940), (20, 1000, 5960)])
+    assert low < 0.05 < high
 
 
 def test_ks_statistic_matches_brute_force_with_ties(spark):
@@ -53,32 +69,53 @@ def test_ks_statistic_matches_brute_force_with_ties(spark):
         assert got[wi] / (20 * len(base)) == pytest.approx(ks_brute(w, base), abs=1e-12)
 
 
-def test_asymptotic_path_close_to_exact(spark):
-    """K3: above exact_ks_max_n the Kolmogorov limit Q(sqrt(round(en)) D) is
-    used.  It equals the series computed here independently; being a limit,
-    at n1=20 it is only near the exact value (about 0.04 off at p ~ 0.7)."""
-    import math
-    from framewatch.operators.drift import pvalue_table
-    cfg = GateConfig(exact_ks_max_n=500)            # n2=1000 > 500: asymptotic path
-    long = spark.createDataFrame([(20, 1000, k) for k in (3000, 5000, 5960, 8000)],
-                                 "n1 bigint, n2 bigint, ks_num bigint")
-    got = {r["ks_num"]: r["p_value"] for r in pvalue_table(long, cfg).collect()}
-    en = round(20 * 1000 / 1020)
-    for k, p in got.items():
-        d = k / 20000
-        series = min(1.0, max(0.0, sum(2 * (-1) ** (j - 1) * math.exp(-2 * j * j * d * d * en)
-                                       for j in range(1, 101))))
-        assert p == pytest.approx(series, abs=1e-12)
-        exact = exact_pvalues_numpy(20, 1000, [k])[0]
-        assert abs(p - exact) < 0.06, (k, p, exact)
-    # both sides agree on the alpha decision at the quoted boundary region
-    assert (got[8000] < 0.05) and (got[3000] > 0.05)
-
-
-def test_numpy_method_equals_sql_method(spark):
+def test_large_sample_path(spark):
+    """K3: the finite-n distribution of one sample at n = round(n1 n2 / (n1 + n2))."""
     from framewatch.operators.drift import pvalue_table
-    long = spark.createDataFrame([(20, 1000, k) for k in (0, 1200, 4000, 5960, 9999)],
-                                 "n1 bigint, n2 bigint, ks_num bigint")
-    sql = {r["ks_num"]: r["p_value"] for r in pvalue_table(long, GateConfig()).collect()}
-    npy = {r["ks_num"]: r["p_value"] for r in pvalue_table(long, GateConfig(pvalue_method="numpy")).collect()}
-    assert sql == npy
+    rows = [(20, 10001, round(d * 20 * 10001)) for d in (0.29, 0.295, 0.30, 0.05, 0.9)] + [(20, 1000, k) for k in (3000, 5960, 8000, 20000)]
+    stats = spark.createDataFrame([(a, b, k, k, k) for a, b, k in rows],
+                                  "n1 bigint, n2 bigint, brightness_avg_ks_num bigint, blur_metric_ks_num bigint, embedding_ks_num bigint")
+    got = {(r["n2"], r["ks_num"]): r["p_value"] for r in pvalue_table(stats, GateConfig(exact_ks_max_n=500)).collect()}
+    assert len(got) == len(rows)
+    for d, p in ((0.29, 0.05531), (0.295, 0.04886), (0.30, 0.04307)):
+        assert got[10001, round(d * 20 * 10001)] == pytest.approx(p, abs=1e-5)
+    # the decision at the boundary, on both sides of it
+    assert got[10001, round(0.29 * 20 * 10001)] > 0.05 > got[10001, round(0.295 * 20 * 10001)]
+    exact = {k: p for k, p in zip((3000, 5960, 8000), exact_pvalues(spark, [(20, 1000, k) for k in (3000, 5960, 8000)]))}
+    for k, p in exact.items():
+        assert abs(got[1000, k] - p) < 0.02 and (got[1000, k] < 0.05) == (p < 0.05)
+    assert got[1000, 20000] == 0.0 and got[10001, round(0.05 * 20 * 10001)] > 0.999
+
+
+def test_large_sample_distribution_by_simulation(spark):
+    rng = np.random.default_rng(0)
+    n = 7
+    u = np.sort(rng.random((200_000, n)), axis=1)
+    i = np.arange(1, n + 1) / n
+    d = np.maximum(i - u, u - (i - 1 / n)).max(axis=1)
+    df = spark.createDataFrame([(x,) for x in (0.1, 0.2, 0.35, 0.5, 0.71)], "d double")
+    for r in df.select("d", large_sample_pvalue_expr("d", "14", "14").alias("p")).collect():
+        assert r["p"] == pytest.approx((d >= r["d"]).mean(), abs=4e-3)
+
+
+def test_infinite_and_missing_values(spark):
+    """Infinite values rank; a NaN or null value leaves no statistic and no drift."""
+    inf, nan = float("inf"), float("nan")
+    schema = "feed_id string, batch_round int, seq long, brightness_avg double, blur_metric double, embedding array<double>"
+    base = spark.createDataFrame([("f", 1, i, 10.0 + i, inf if i < 4 else 0.1 * i, [nan if i == 9 else 1.0, 0.0]) for i in range(10)], schema)
+    cfg = GateConfig(embedding_dim=2)
+    model = BaselineModel.fit(base, cfg)
+    assert model.n2 == 10 and model.cum_le["l"][-1] == 10 and model.values["n"] is None
+    rows = model.annotate(base.select(F.col("brightness_avg").alias("b"), F.col("blur_metric").alias("l"), F.lit(1.0).alias("n")))
+    win = rows.agg(F.collect_list(F.struct(*rows.columns)).alias("win"))
+    got = win.select(*[ks_num_expr("win", f, 10).alias(f) for f in "bln"]).first()
+    assert (got["b"], got["l"], got["n"]) == (0, 0, None)
+
+
+def test_baseline_does_not_depend_on_the_order_of_rows(spark):
+    """Two feeds number their rows alike: the feed breaks the ties."""
+    rows = [(f, 1, s, 100.0 + s + (f == "camera_2"), 0.1, [1.0, 0.0]) for s in range(10) for f in ("camera_1", "camera_2")]
+    schema = "feed_id string, batch_round int, seq long, brightness_avg double, blur_metric double, embedding array<double>"
+    a, b = (spark.createDataFrame(x, schema) for x in (rows, rows[::-1]))
+    keys = [sorted((r["feed_id"], r["seq"]) for r in baseline_rows(x, GateConfig(), n=5).collect()) for x in (a, b)]
+    assert keys[0] == keys[1] == [("camera_1", 0), ("camera_1", 1), ("camera_1", 2), ("camera_2", 0), ("camera_2", 1)]

@@ -97,6 +97,14 @@ def test_missing_column_is_schema_level(spark, make_frames):
     assert R.evaluate_rules(df, CFG).collect()[0]["is_valid"]
 
 
+def test_array_with_an_unreadable_element_is_a_failure(spark):
+    df = spark.createDataFrame([(0, ["1"] * 8), (1, ["1"] * 7 + ["oops"]), (2, ["1"] * 7 + [None])], "seq long, embedding array<string>")
+    out = {r["seq"]: r for r in R.evaluate_rules(df, CFG).collect()}
+    assert out[0]["is_valid"] and out[0]["embedding"] == [1.0] * 8
+    assert [x["check"] for x in out[1]["failed_rules"]][0] == "coerce_dtype('array<double>')"
+    assert out[2]["is_valid"]
+
+
 def test_extra_columns_pass_through(spark, make_frames):
     df = make_frames([frame(0)]).withColumn("extra", F.lit(7))
     out = R.evaluate_rules(df, CFG).collect()[0]
