@@ -45,13 +45,24 @@ class WindowNetwork:
     batch: int = 2048
 
 
+class _Ids(dict):
+    """Token ids by word, hashed once each."""
+
+    def __init__(self, vocabulary: int):
+        self.vocabulary = vocabulary
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = xxhash.xxh64_intdigest(word) % self.vocabulary
+        return value
+
+
 def read_tokens(documents: DataFrame, net: WindowNetwork) -> DataFrame:
     """Rows of documents (doc_id, n, tokens: 16-bit ids), then rows of counters."""
     names = ["doc_id", "n", "tokens", "token", "count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(net.vocabulary, np.int64)
-        known: dict[bytes, int] = {}
+        known = _Ids(net.vocabulary)
         for big in batches:
             for at in range(0, big.num_rows, 256):
                 b = big.slice(at, 256)
@@ -61,8 +72,6 @@ def read_tokens(documents: DataFrame, net: WindowNetwork) -> DataFrame:
                     if text and (found := text.encode("utf-8", "surrogatepass").lower().split()):
                         if len(known) > 200_000:
                             known.clear()
-                        for w in set(found) - known.keys():
-                            known[w] = xxhash.xxh64_intdigest(w) % net.vocabulary
                         ids = np.fromiter(map(known.__getitem__, found), np.uint16, len(found))
                         counts += np.bincount(ids, minlength=net.vocabulary)
                     rows.append(ids)
@@ -103,6 +112,16 @@ def _sides(ids: np.ndarray, at: np.ndarray, net: WindowNetwork) -> np.ndarray:
     return np.stack([padded[at + o] for o in range(2 * net.window + 1) if o != net.window], axis=1)
 
 
+def by_place(w: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """The embeddings as they enter the sum at each place of the window."""
+    return [w["embed"] * p for p in w["place"]]
+
+
+def _log_total(logits: np.ndarray) -> np.ndarray:
+    """log of the sum of exp, by row; weights and hidden values keep logits small."""
+    return np.log(np.exp(np.minimum(logits, 80)).sum(axis=1))
+
+
 def forward(w: dict[str, np.ndarray], sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hidden values and log-probabilities of the classes."""
     hidden = np.zeros((len(sides), w["embed"].shape[1]), np.float32)
@@ -110,9 +129,7 @@ def forward(w: dict[str, np.ndarray], sides: np.ndarray) -> tuple[np.ndarray, np
         hidden += w["embed"][sides[:, o]] * w["place"][o]
     np.tanh(hidden, out=hidden)
     logits = hidden @ w["out"].T + w["bias"][:, 0]
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return hidden, logits
+    return hidden, logits - _log_total(logits)[:, None]
 
 
 def train(w: dict[str, np.ndarray], g: dict[str, np.ndarray], sides: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -124,10 +141,12 @@ def train(w: dict[str, np.ndarray], g: dict[str, np.ndarray], sides: np.ndarray,
     grad = {"out": d.T @ hidden, "bias": d.sum(axis=0)[:, None]}
     dh = (d @ w["out"]) * (1 - hidden * hidden)
     grad["place"] = np.stack([(dh * w["embed"][sides[:, o]]).sum(axis=0) for o in range(sides.shape[1])])
-    rows, back = np.unique(sides, return_inverse=True)
-    sums = np.zeros((len(rows), dh.shape[1]), np.float32)
-    for o in range(sides.shape[1]):
-        np.add.at(sums, back.reshape(sides.shape)[:, o], dh * w["place"][o])
+    # gradients of embeddings, summed by token: tokens sorted, runs added up
+    order = np.argsort(sides.T.ravel(), kind="stable")
+    tokens = sides.T.ravel()[order]
+    starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+    each = np.concatenate([dh * w["place"][o] for o in range(sides.shape[1])])
+    sums, rows = np.add.reduceat(each[order], starts, axis=0), tokens[starts]
     for name, x in grad.items():
         g[name] += x * x
         w[name] -= rate * x / np.sqrt(g[name] + 1e-8)
@@ -135,6 +154,32 @@ def train(w: dict[str, np.ndarray], g: dict[str, np.ndarray], sides: np.ndarray,
     w["embed"][rows] -= rate * sums / np.sqrt(g["embed"][rows] + 1e-8)
 
 
+def score(places: list[np.ndarray], w: dict[str, np.ndarray], kind: np.ndarray, share: np.ndarray,
+          texts: list[np.ndarray], net: WindowNetwork) -> np.ndarray:
+    """Summed conditional log-probabilities of every text.  The texts are laid out in
+    one row with padding between them, and scored in steps of a fixed size."""
+    gap = np.full(net.window, net.vocabulary, np.int64)
+    row = np.concatenate([x for t in texts for x in (gap, t.astype(np.int64))] + [gap])
+    n = len(row) - 2 * net.window
+    offsets = [o for o in range(2 * net.window + 1) if o != net.window]
+    value = np.zeros(n)
+    for at in range(0, n, net.batch):
+        end = min(at + net.batch, n)
+        hidden = places[0][row[at + offsets[0]:end + offsets[0]]]
+        for p, o in zip(places[1:], offsets[1:], strict=True):
+            hidden += p[row[at + o:end + o]]
+        np.tanh(hidden, out=hidden)
+        logits = hidden @ w["out"].T
+        logits += w["bias"][:, 0]
+        here = row[at + net.window:end + net.window]
+        real = np.flatnonzero(here < net.vocabulary)
+        t = here[real]
+        value[at + real] = logits[real, kind[t]] - _log_total(logits)[real] + share[t]
+    total = np.concatenate(([0.0], np.cumsum(value)))
+    ends = np.cumsum([len(t) + net.window for t in texts]) - net.window
+    return total[ends] - total[ends - np.array([len(t) for t in texts], np.int64)]
+
+
 def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndarray, net: WindowNetwork, turn: int) -> dict[str, np.ndarray]:
     """Train on every partition from the same weights, and average what they send."""
     sent = tokens.sparkSession.sparkContext.broadcast((weights, kind))   # of fixed size
@@ -210,18 +255,14 @@ def pseudo_likelihood(documents: DataFrame, net: WindowNetwork = WindowNetwork()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, kind, share = sent.value
-        for b in batches:
-            ids = [np.frombuffer(x.as_py(), np.uint16) for x in b.column(1)]
-            out = []
-            for x in ids:
-                total = 0.0
-                for at in range(0, len(x), net.batch):
-                    here = np.arange(at, min(at + net.batch, len(x)))
-                    logits = forward(w, _sides(x, here, net))[1]
-                    total += float((logits[np.arange(len(here)), kind[x[here]]] + share[x[here]]).sum(dtype=np.float64))
-                out.append(total)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(out, pa.float64())],
-                                             names=["doc_id", "n_tokens", "log_likelihood"])
+        places = by_place(w)
+        for big in batches:
+            for at in range(0, big.num_rows, 128):
+                b = big.slice(at, 128)
+                ids = [np.frombuffer(x.as_py(), np.uint16) for x in b.column(1)]
+                yield pa.RecordBatch.from_arrays([
+                    b.column(0), pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array(score(places, w, kind, share, ids, net), pa.float64())], names=["doc_id", "n_tokens", "log_likelihood"])
 
     out = scored.select("doc_id", "tokens").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
     return out.select("*", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))
