@@ -7,8 +7,9 @@ threshold; the components of these links are returned.
 1. Equal sets are one class (a digest of the set); one of each class goes on.
 2. Shingles are put in one fixed order, rare ones first.  Frequencies come from a
    table of 65,536 counters summed over the corpus, so no shingle is shuffled to
-   count it, and the table broadcast to sort them has a fixed size.  Sets that
-   reach the threshold share a shingle among their first ones (the prefix).
+   count it, and the table broadcast to sort them has a fixed size.  Two sets
+   that reach the threshold have SHARED shingles in common among their first
+   ones (the prefix, made longer for that); pairs with fewer are not compared.
 3. In the index list of every shingle one set, the one with the shingle earliest
    in its order, is compared with the others of the list that may reach the
    threshold.  Sets found to be linked are in one component, and pairs inside a
@@ -50,6 +51,8 @@ from .common import cut
 from .components import components
 
 COUNTERS = 1 << 16
+SHARED = 3     # shingles two sets must have in common among their first ones
+IDS_SENT = 200_000   # ids up to which texts are looked up by a broadcast, by join beyond
 BLOCK = 64     # sets in a block of an index list, on average
 DENSE = 8      # open pairs for each set of a list, from which differences are used
 
@@ -121,7 +124,7 @@ def read_prefixes(documents: DataFrame, sim: Similarity, counts: np.ndarray) ->
             sizes, firsts = [], []
             for t in texts:
                 s = shingles(t, sim.words)
-                keep = len(s) - -(-len(s) * sim.percent // 100) + 1 if len(s) else 0
+                keep = len(s) - -(-len(s) * sim.percent // 100) + SHARED if len(s) else 0
                 firsts.append(s[np.lexsort((s, counts[s & (COUNTERS - 1)]))[:keep]])
                 sizes.append(len(s))
             offsets = np.cumsum([0] + [len(f) for f in firsts]).astype(np.int32)
@@ -175,7 +178,9 @@ def compare(pairs: DataFrame, documents: DataFrame, sim: Similarity, name: str,
 
     Only texts that stand in a pair are read into sets; b's set travels once for
     each of its pairs, a's set is looked up in place."""
-    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    needed = cut(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), f"{name}-ids")
+    if needed.count() <= IDS_SENT:
+        needed = F.broadcast(needed)
     sets = cut(whole_sets(documents.select("doc_id", "text").join(needed, "doc_id", "left_semi"), sim)
                .dropDuplicates(["id"]), f"{name}-sets")
     joined = (pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
@@ -195,6 +200,13 @@ def _reaches(both: Column, n1: Column, n2: Column, sim: Similarity) -> Column:
     return (100 + sim.percent) * both >= sim.percent * (n1 + n2)
 
 
+def _often(pairs: DataFrame, sim: Similarity) -> DataFrame:
+    """Pairs (a, b, na, nb), one row for each list they share, once each: those that
+    share as many lists as a pair that reaches the threshold does."""
+    return (pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
+            .where(F.col("shared") >= F.least(F.lit(SHARED), sim.overlap(F.col("na") + F.col("nb")))).drop("shared"))
+
+
 def _open(p: Column, q: Column, sim: Similarity) -> Column:
     """Two sets of a list that are not known to be connected and may reach the threshold."""
     return (p["component_id"] != q["component_id"]) & _may_reach(p["n"], p["pos"], q["n"], q["pos"], sim)
@@ -264,8 +276,8 @@ def similar_documents(documents: DataFrame, sim: Similarity = Similarity()) -> D
     first = F.col("first")
     stars = entries.where((F.col("rep") != first["rep"]) & _may_reach(
         F.col("n"), F.col("pos"), first["n"], first["pos"], sim))
-    stars = cut(stars.select(first["rep"].alias("a"), F.col("rep").alias("b"), first["n"].alias("na"), F.col("n").alias("nb"))
-                .distinct(), "stars")
+    stars = cut(_often(stars.select(first["rep"].alias("a"), F.col("rep").alias("b"), first["n"].alias("na"), F.col("n").alias("nb")),
+                       sim), "stars")
     compared = compare(stars, documents, sim, "stars")
     found = linked(compared).select("a", "b")
     known = components(found, "star")
@@ -300,17 +312,16 @@ def similar_documents(documents: DataFrame, sim: Similarity = Similarity()) -> D
     spread = _block_pairs(crowd, fields, sim).repartition(F.xxhash64("token", "ox", "oy"))  # few lists, many pairs
     derived = cut(_pairs(spread, lambda p, q: is_open(p, q) & F.coalesce(
         _reaches(_derived(p, q), p["n"], q["n"], sim), F.lit(True))), "derived")
-    derived = derived.distinct()
     both = _derived(F.col("p"), F.col("q"))
-    more = derived.where(both.isNotNull()).select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"))
+    more = derived.where(both.isNotNull()).select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct()
 
     pairs = _pairs(near.join(dense, "token", "left_anti"), is_open).select("p", "q").unionByName(
         derived.where(both.isNull()).select(
             *[F.struct(*[F.col(f"{s}.{c}").alias(c) for c in ("rep", "n", "pos", "component_id")]).alias(s) for s in "pq"]))
     small, large = F.least("p.rep", "q.rep"), F.greatest("p.rep", "q.rep")
-    pairs = pairs.select(
+    pairs = _often(pairs.select(
         small.alias("a"), large.alias("b"), F.when(F.col("p.rep") == small, F.col("p.n")).otherwise(F.col("q.n")).alias("na"),
-        F.when(F.col("p.rep") == small, F.col("q.n")).otherwise(F.col("p.n")).alias("nb")).distinct()
+        F.when(F.col("p.rep") == small, F.col("q.n")).otherwise(F.col("p.n")).alias("nb")), sim)
     done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = cut(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
     more = more.unionByName(linked(compare(pairs, documents, sim, "pairs")).select("a", "b"))
