@@ -10,6 +10,7 @@ links are never gathered.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,17 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
         now = cut(_star(_star(now, True), False), f"{name}-{step}")
     return now.select(F.col("a").alias("id"), F.col("b").alias("component_id")).unionByName(
         now.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())
+
+
+def reach(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest node that each of n nodes reaches by the pairs (i, j)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .components import components
+from .components import components, reach
 
 SLACK = 1e-9
 
@@ -118,20 +118,6 @@ def compare_tiles(a: np.ndarray, b: np.ndarray, same: bool, axes: np.ndarray | N
     return np.concatenate(left), np.concatenate(right)
 
 
-def reach(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest node that each of n nodes reaches by the pairs (i, j)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
 def near_vectors(embeddings: DataFrame, near: NearVectors = NearVectors()) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of (vec_id, embedding, label)."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "label",

@@ -48,12 +48,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import cut
-from .components import components
+from .components import components, reach
 
 COUNTERS = 1 << 16
 SHARED = 3     # shingles two sets must have in common among their first ones
 IDS_SENT = 200_000   # ids up to which texts are looked up by a broadcast, by join beyond
 BLOCK = 64     # sets in a block of an index list, on average
+TILE = 512     # sets of a crowd compared at once
 DENSE = 8      # open pairs for each set of a list, from which differences are used
 
 
@@ -212,11 +213,52 @@ def _open(p: Column, q: Column, sim: Similarity) -> Column:
     return (p["component_id"] != q["component_id"]) & _may_reach(p["n"], p["pos"], q["n"], q["pos"], sim)
 
 
-def _derived(p: Column, q: Column) -> Column:
-    """|p & q| from the differences of both to one set m:
-    |m| - |m-p| - |m-q| + |(m-p) & (m-q)| + |(p-m) & (q-m)|; null if one is not known."""
-    return (p["middle_n"] - F.size(p["dropped"]) - F.size(q["dropped"])
-            + F.size(F.array_intersect(p["dropped"], q["dropped"])) + F.size(F.array_intersect(p["added"], q["added"])))
+def linked_by_difference(x: list, y: list, middle: int, sim: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of all linked pairs of two lists of sets (size, dropped, added), given by
+    their differences to one set m of size ``middle``:
+    |x & y| = |m| - |m-x| - |m-y| + |(m-x) & (m-y)| + |(x-m) & (y-m)|."""
+    n_x, n_y = (np.array([s[0] for s in side], np.int64) for side in (x, y))
+    both = middle - np.array([len(s[1]) for s in x])[:, None] - np.array([len(s[1]) for s in y])[None, :]
+    for part in (1, 2):
+        tokens = [np.concatenate([np.asarray(s[part], np.int64) for s in side] or [np.empty(0, np.int64)]) for side in (x, y)]
+        rows = [np.repeat(np.arange(len(side)), [len(s[part]) for s in side]) for side in (x, y)]
+        shared = np.intersect1d(tokens[0], tokens[1])
+        for at in range(0, len(shared), 4096):
+            some = shared[at:at + 4096]
+            marks = []
+            for t, r, side in zip(tokens, rows, (x, y), strict=True):
+                place = np.minimum(np.searchsorted(some, t), len(some) - 1)
+                hit = some[place] == t
+                m = np.zeros((len(side), len(some)), np.float32)
+                m[r[hit], place[hit]] = 1
+                marks.append(m)
+            both = both + np.rint(marks[0] @ marks[1].T).astype(np.int64)
+    return np.nonzero((100 + sim.percent) * both >= sim.percent * (n_x[:, None] + n_y[None, :]))
+
+
+def _links_by_difference(differ: DataFrame, sim: Similarity) -> DataFrame:
+    """Links (a, b) that connect all linked sets of each crowd, from the differences
+    (a: the crowd's middle, na, b, nb, dropped, added).  A crowd is cut into tiles of
+    bounded size; a pair of tiles gives at most one row for each of its sets."""
+    counts = differ.groupBy("a").agg(F.count(F.lit(1)).alias("crowd"))
+    tiles = differ.join(counts, "a").groupBy(
+        "a", "na", F.pmod(F.xxhash64("b"), F.ceil(F.col("crowd") / TILE)).alias("tile")).agg(
+        F.collect_list(F.struct("b", "nb", "dropped", "added")).alias("sets"))
+    tiles = cut(tiles, "tiles")
+    x = tiles.select("a", "na", F.col("tile").alias("tx"), F.col("sets").alias("xs"))
+    y = tiles.select("a", F.col("tile").alias("ty"), F.col("sets").alias("ys"))
+    work = x.join(y, "a").where("tx <= ty").repartition(F.xxhash64("a", "tx", "ty"))
+
+    def run(batches: Iterator) -> Iterator:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                middle, xs, ys = (batch.column(c)[k].as_py() for c in range(3))
+                i, j = linked_by_difference(*[[(s["nb"], s["dropped"], s["added"]) for s in side] for side in (xs, ys)], middle, sim)
+                ids = np.array([s["b"] for s in xs] + [s["b"] for s in ys], np.int64)
+                low = reach(len(ids), i, j + len(xs))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[low])], names=["a", "b"])
+
+    return work.select("na", "xs", "ys").mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
 def _block_pairs(entries: DataFrame, fields: list[str], sim: Similarity) -> DataFrame:
@@ -306,18 +348,16 @@ def similar_documents(documents: DataFrame, sim: Similarity = Similarity()) -> D
         "cluster", F.col("m.rep").alias("a"), F.col("m.n").alias("na"))
     differ = compare(cut(member.join(middle, "cluster").select("a", F.col("rep").alias("b"), "na", F.col("n").alias("nb")), "crowd"),
                      documents, sim, "crowd", differ=True)
-    crowd = rest.join(dense, "token", "left_semi").join(differ.select(
-        F.col("b").alias("rep"), F.col("na").alias("middle_n"), "dropped", "added"), "rep")
-    fields = ["rep", "n", "pos", "component_id", "middle_n", "dropped", "added"]
-    spread = _block_pairs(crowd, fields, sim).repartition(F.xxhash64("token", "ox", "oy"))  # few lists, many pairs
-    derived = cut(_pairs(spread, lambda p, q: is_open(p, q) & F.coalesce(
-        _reaches(_derived(p, q), p["n"], q["n"], sim), F.lit(True))), "derived")
-    both = _derived(F.col("p"), F.col("q"))
-    more = derived.where(both.isNotNull()).select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct()
-
-    pairs = _pairs(near.join(dense, "token", "left_anti"), is_open).select("p", "q").unionByName(
-        derived.where(both.isNull()).select(
-            *[F.struct(*[F.col(f"{s}.{c}").alias(c) for c in ("rep", "n", "pos", "component_id")]).alias(s) for s in "pq"]))
+    known_by = differ.where("dropped is not null")
+    more = _links_by_difference(known_by, sim)
+
+    # of dense lists, what is left are pairs with a set unlike the middle one
+    placed = known_by.select(F.col("b").alias("rep"), F.lit(True).alias("placed")).distinct()
+    odd = rest.join(dense, "token", "left_semi").join(placed, "rep", "left").withColumn("placed", F.col("placed").isNotNull())
+    odd = _pairs(_block_pairs(odd, ["rep", "n", "pos", "component_id", "placed"], sim),
+                 lambda p, q: is_open(p, q) & ~(p["placed"] & q["placed"]))
+    pairs = _pairs(near.join(dense, "token", "left_anti"), is_open).unionByName(odd.select(
+        *[F.col(s).dropFields("placed").alias(s) for s in "pq"]))
     small, large = F.least("p.rep", "q.rep"), F.greatest("p.rep", "q.rep")
     pairs = _often(pairs.select(
         small.alias("a"), large.alias("b"), F.when(F.col("p.rep") == small, F.col("p.n")).otherwise(F.col("q.n")).alias("na"),
