@@ -71,6 +71,51 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in made}
 
 
+def _secret_sql(scan: secret_scan.SecretScan = secret_scan.SecretScan()) -> str:
+    """The scan in SQL: places of matches from the text between them, entropies of
+    every window counted anew, and overlapping windows joined as islands."""
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def matches(name: str, pattern: str) -> str:
+        return f"""
+{name}_all AS (SELECT doc_id, string_split_regex(t, {text(pattern)}) AS gaps, regexp_extract_all(t, {text(pattern)}) AS found FROM t),
+{name}_at AS (
+  SELECT doc_id, found[i] AS v, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM {name}_all)),"""
+
+    limit = "CASE " + " ".join(f"WHEN regexp_full_match(v, {text(p)}) THEN {b}" for p, b in scan.classes) + " ELSE 99 END"
+    allowed = " OR ".join(f"regexp_full_match(v, {text(p)})" for p in scan.allowed)
+    w = scan.window
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),{matches("a", secret_scan.ASSIGN)}{matches("k", secret_scan.ACCESS)}{
+        matches("h", secret_scan.HEX)}{matches("r", scan.run)}
+windows AS (
+  SELECT doc_id, s AS run, s + i AS s, lim, string_split(substr(v, CAST(i + 1 AS BIGINT), {w}), '') AS c
+  FROM (SELECT *, {limit} AS lim, unnest(range(0, length(v) - {w} + 1)) AS i FROM r_at WHERE NOT ({allowed}))),
+high AS (
+  SELECT doc_id, run, s FROM windows
+  WHERE -list_sum(list_transform(list_distinct(c), lambda x: len(list_filter(c, lambda y: y = x)) / {w}.0
+    * log2(len(list_filter(c, lambda y: y = x)) / {w}.0))) >= lim - 1e-9),
+islands AS (
+  SELECT *, sum(CASE WHEN s - before <= {w} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, run ORDER BY s) AS island
+  FROM (SELECT *, lag(s) OVER (PARTITION BY doc_id, run ORDER BY s) AS before FROM high)),
+spans AS (
+  SELECT doc_id, 0 AS kind, s, s + length(v) AS e FROM a_at WHERE length(regexp_extract(v, {text(secret_scan.ASSIGN)}, 2)) >= 6
+  UNION ALL SELECT doc_id, 1, s, s + length(v) FROM k_at WHERE length(v) >= 20
+  UNION ALL SELECT doc_id, 2, s, s + length(v) FROM h_at
+  UNION ALL SELECT doc_id, 3, min(s), max(s) + {w} FROM islands GROUP BY doc_id, run, island),
+named AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || s || ':' || e AS x FROM spans),
+joined AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2,
+    string_agg(x, ',' ORDER BY s, kind, e) FILTER (kind < 3) AS base, string_agg(x, ',' ORDER BY s, kind, e) AS every
+  FROM named GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM t LEFT JOIN joined ON joined.doc_id = t.doc_id"""
+
+
 SQL = {
     "op2_embedding_near_dedup": """
 WITH RECURSIVE v AS (
@@ -129,4 +174,5 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(3 + sum(17 + length(r) + length(x)) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id""",
+    "op10_secret_scan": _secret_sql(),
 }
