@@ -143,14 +143,14 @@ def near_vectors(embeddings: DataFrame, near: NearVectors = NearVectors()) -> Da
 
     def tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def tile(p: pd.DataFrame) -> dict:
-            return {"label": int(p["label"].iloc[0]), "d": int(p["d"].iloc[0]), "lo": float(p["at"].iloc[0]),
+            return {"label": p["label"].iloc[0], "d": int(p["d"].iloc[0]), "lo": float(p["at"].iloc[0]),
                     "hi": float(p["at"].iloc[-1]), "tile": int(p["key"].iloc[0]),
                     "keys": p["key"].to_numpy(np.int64).tobytes(), "counts": p["m"].to_numpy(np.int64).tobytes(),
                     "vectors": np.stack(p["v"].to_numpy()).astype(np.float64).tobytes()}
         held: pd.DataFrame | None = None
         for d in batches:
             held = d if held is None else pd.concat([held, d], ignore_index=True)
-            out, cuts = [], np.flatnonzero((held["label"].diff() != 0) | (held["d"].diff() != 0)).tolist() + [len(held)]
+            out, cuts = [], np.flatnonzero((held["label"] != held["label"].shift()) | (held["d"] != held["d"].shift())).tolist() + [len(held)]
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 last = hi == len(held)
                 while hi - lo >= near.tile or (not last and hi > lo):
@@ -163,9 +163,9 @@ def near_vectors(embeddings: DataFrame, near: NearVectors = NearVectors()) -> Da
         if held is not None and len(held):
             yield pd.DataFrame([tile(held)])
 
-    # rows, not their order over all partitions, are written: a tile is one row
-    tiled = cut(ordered.withColumn("label", F.col("label").cast("long")).mapInPandas(
-        tiles, "label long, d int, lo double, hi double, tile long, keys binary, counts binary, vectors binary"), "tiles")
+    # a tile is one row of a written table, so a lost task cannot deal its vectors out anew
+    tiled = cut(ordered.withColumn("label", F.col("label").cast("string")).mapInPandas(
+        tiles, "label string, d int, lo double, hi double, tile long, keys binary, counts binary, vectors binary"), "tiles")
 
     # unit vectors whose cosine is t lie sqrt(2 - 2t) apart, along any axis at most
     span = float(np.sqrt(max(0.0, 2 - 2 * near.threshold))) + 1e-6

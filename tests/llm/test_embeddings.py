@@ -48,6 +48,12 @@ def test_same_as_all_pairs(spark, tile, block):
     assert result(spark, rows, E.NearVectors(tile=tile, block=block)) == brute(rows)
 
 
+def test_labels_of_any_type(spark):
+    rows = [(i, [1.0, 0.01 * i], "ab"[i % 2]) for i in range(6)]
+    got = E.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {i: (2, i % 2) for i in range(6)}
+
+
 def test_defined_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(9, [1.0, 2.0], 1), (3, [1.0, 2.0], 1), (3, [1.0, 2.0], 1), (4, [2.0, 4.0], 1), (5, [1.0, 2.0], None), (6, None, 1),
