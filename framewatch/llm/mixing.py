@@ -5,13 +5,13 @@ with the same expected number of copies, target / source size; its whole part is
 taken surely, and the fractions are rounded dependently: two documents are
 paired, and words are moved from one to the other, in a random direction whose
 probabilities keep both expectations, until one of the two fractions is 0 or 1.
-The sum of the words never changes, so a source misses its target by less than
-its last document.
+The sum of the words never changes, so a source misses its target by at most half
+of its last document.
 
 Pairing follows a reduction tree: documents are dealt by hash into groups of
 bounded size, each group is reduced to one document that is still fractional,
 and these go to the next, smaller set of groups until one is left, which is
-rounded by its own probability.  All draws are hashes of the ids, so reruns agree
+rounded to the nearer side.  All draws are hashes of the ids, so reruns agree
 and a lost task gives the same result again.
 
 Defined cases: null text has size 0, and a document of size 0 takes 0; null
@@ -129,7 +129,8 @@ def mix_sources(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
         dealt = F.ceil(F.col("n") / float(mix.group ** level)).cast("long")
         group = F.pmod(F.xxhash64(F.lit(mix.seed), F.lit(level), "doc_id", "k"), F.greatest(dealt, F.lit(1)))
         draw = unit(F.lit(mix.seed), F.lit(-level), F.col("doc_id"), F.col("k"))
-        order = F.xxhash64(F.lit(mix.seed), "k", "doc_id")
+        # large documents first: the small ones that follow settle them, so what is left is small
+        order = F.struct((-F.col("size")).alias("s"), F.xxhash64(F.lit(mix.seed), "k", "doc_id").alias("h"))
         reduced = (items.withColumn("g", group).groupBy("source", "n", "g")
                    .agg(F.sort_array(F.collect_list(F.struct(
                        order.alias("o"), "doc_id", "k", "size", "p", draw.alias("u")))).alias("items"))
@@ -140,8 +141,7 @@ def mix_sources(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
         if groups <= 1:
             break
         items = rest.drop("u")
-    last = rest.select("source", F.struct("doc_id", "k", (unit(
-        F.lit(mix.seed), F.lit(0), F.col("doc_id"), F.col("k")) < F.col("p")).cast("int").alias("copy")).alias("d"))
+    last = rest.select("source", F.struct("doc_id", "k", (F.col("p") >= 0.5).cast("int").alias("copy")).alias("d"))
     decided = last
     for p in parts:
         decided = decided.unionByName(p)
