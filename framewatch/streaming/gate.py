@@ -1,7 +1,7 @@
 """Structured Streaming: the QA gate (W8) and stateful drift + breaker.
 
-W8 is stateless: the same ``evaluate_rules`` projection runs on a streaming
-DataFrame and the split goes to file sinks.
+W8 is stateless: the same ``evaluate_rules`` projection runs on every
+micro-batch and the split goes to file sinks.
 
 W9 keeps per-camera state across micro-batches.  ``foreachBatch`` runs the
 *batch* operators on each micro-batch together with a bounded state:
@@ -40,18 +40,20 @@ def gate_stream(frames_stream: DataFrame, cfg: GateConfig) -> DataFrame:
 
 
 def start_gate_sinks(frames_stream: DataFrame, cfg: GateConfig, valid_path: str,
-                     quarantine_path: str, checkpoint: str, trigger: dict | None = None
-                     ) -> tuple[StreamingQuery, StreamingQuery]:
-    """W8 + S8: two append-only file sinks for the valid and quarantined rows."""
-    gated = gate_stream(frames_stream, cfg)
-    trig = trigger or {"availableNow": True}
-    v = (qa.valid_frames(gated).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint.rstrip("/") + "/valid")
-         .partitionBy("batch_round").trigger(**trig).start(valid_path))
-    q = (qa.quarantined_frames(gated).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint.rstrip("/") + "/quarantine")
-         .partitionBy("batch_round").trigger(**trig).start(quarantine_path))
-    return v, q
+                     quarantine_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """W8 + S8: one query, so the source is read once; each micro-batch is gated
+    once and split into a folder of its own in both tables, which a replay
+    overwrites with the same rows."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        gated = gate_stream(batch, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for rows, path in ((qa.valid_frames(gated), valid_path), (qa.quarantined_frames(gated), quarantine_path)):
+                rows.write.mode("overwrite").partitionBy("batch_round").parquet(f"{path.rstrip('/')}/epoch={epoch}")
+        finally:
+            gated.unpersist()
+
+    return (frames_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
 class StatefulGate:
