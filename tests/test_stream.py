@@ -148,3 +148,18 @@ def test_replayed_epoch_is_idempotent(spark):
     want = _rows(p.evaluated.where("batch_round > 15"),
                  ["camera_id", "batch_round", "trip_ordinal", "breaker_state"])
     assert after == want
+
+
+def test_job_reads_the_raw_frames_once(spark, tmp_path):
+    """The gated rows are written once; every other table comes from them."""
+    from framewatch.plans.job import run_batch_job
+    p = GatePipeline.from_sf(spark, SF_SMALL)
+    raw = str(tmp_path / "raw")
+    p.frames.select(*FRAME_SCHEMA.names).write.parquet(raw)
+    out = str(tmp_path / "out")
+    read = spark.read.schema(FRAME_SCHEMA).parquet(raw)
+    paths = run_batch_job(spark, read, out, FIXTURE_CONFIG)
+    q = GatePipeline(spark, read, FIXTURE_CONFIG, gated=spark.read.parquet(paths["gated"]))
+    for df in (q.batch_plan, q.quarantined, q.valid):  # the gated table is all that is read
+        assert df.count() and all("/out/gated/" in f for f in df.inputFiles())
+    assert q.batch_plan.count() == p.batch_plan.count() and q.quarantined.count() == p.quarantined.count()
