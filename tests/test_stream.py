@@ -159,7 +159,8 @@ def test_job_reads_the_raw_frames_once(spark, tmp_path):
     out = str(tmp_path / "out")
     read = spark.read.schema(FRAME_SCHEMA).parquet(raw)
     paths = run_batch_job(spark, read, out, FIXTURE_CONFIG)
-    q = GatePipeline(spark, read, FIXTURE_CONFIG, gated=spark.read.parquet(paths["gated"]))
+    q = GatePipeline(spark, read, FIXTURE_CONFIG, gated=spark.read.schema(
+        qa.gate(read, FIXTURE_CONFIG).schema).parquet(paths["gated"]))
     for df in (q.batch_plan, q.quarantined, q.valid):  # the gated table is all that is read
         assert df.count() and all("/out/gated/" in f for f in df.inputFiles())
     assert q.batch_plan.count() == p.batch_plan.count() and q.quarantined.count() == p.quarantined.count()
