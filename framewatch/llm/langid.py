@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, let
+from .common import cut, let, unit
 
 BUCKETS = 1 << 15
 CHUNK = 1 << 18
@@ -87,10 +87,12 @@ def fit(labelled: DataFrame) -> LanguageModel:
 def labelled_sample(documents: DataFrame, fusion: Fusion) -> DataFrame:
     """At most ``sample`` texts of each language; the ids that pick them are bounded."""
     known = documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    most = F.broadcast(known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(fusion.languages).select("lang"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = (known.select("doc_id", "lang").join(most, "lang", "left_semi").withColumn("rank", rank)
-              .where(F.col("rank") <= fusion.sample).select("doc_id", "lang").distinct())
+    # a language's share of rows with the smallest draws is about twice the sample; only those are ranked
+    most = F.broadcast(known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(fusion.languages))
+    draw = unit(F.col("doc_id"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(draw, "doc_id"))
+    chosen = (known.select("doc_id", "lang").join(most, "lang").where(draw * F.col("count") <= 2 * fusion.sample + 50)
+              .withColumn("rank", rank).where(F.col("rank") <= fusion.sample).select("doc_id", "lang").distinct())
     return documents.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("text", "lang")
 
 
