@@ -20,9 +20,9 @@ threshold; the components of these links are returned.
    follows the positions is too short to reach the threshold, or when all its
    sets are of one component.  Pairs of the rest are compared exactly.
 5. Answers of similar sets.  Lists with very many such pairs hold sets of much the
-   same text.  Each of these sets is compared with one in their middle, and the
-   overlap of two of them then follows from their small differences to it: only
-   pairs that do link become rows.
+   same text.  Each of these sets is compared with one in their middle; the
+   overlap of two of them then follows from their small differences to it, and is
+   computed in tiles that return at most one row for each of their sets.
 
 Shingles are 64-bit hashes (of the words' xxh64), as exact as that: two
 different shingles of two compared texts collide with chance about 1e-13.
@@ -30,7 +30,8 @@ different shingles of two compared texts collide with chance about 1e-13.
 Defined cases: null text, or text without words, has an empty set and links with
 nothing; fewer words than k make one shingle of all of them; rows with a null
 doc_id come back with a null component and link with nothing; rows that repeat a
-doc_id are one node; an empty table gives an empty table; further columns of the
+doc_id repeat its text and are one node (of texts that differ under one id and
+have sets of one size, one is compared); an empty table gives an empty table; further columns of the
 input are not read.
 """
 

@@ -106,12 +106,11 @@ def _entropy_spans(match: Column, scan: SecretScan) -> Column:
             def put(total: Column) -> Column:
                 high = (i >= w - 1) & (F.log2(F.lit(float(w))) - total / w >= limit - 1e-9)
                 start, end = match["start"] + i - w + 1, match["start"] + i + 1
-                last = F.element_at(a["out"], -1)
+                last = F.try_element_at(a["out"], F.lit(-1))
                 one = lambda s: F.array(F.struct(s.alias("start"), F.lit(3).alias("kind"), end.alias("end")))
                 out = (F.when(~high, a["out"])
-                       .when((F.size(a["out"]) > 0) & (F.try_element_at(a["out"], F.lit(-1))["end"] >= start),
-                             F.concat(F.slice(a["out"], 1, F.size(a["out"]) - 1),
-                                      one(F.try_element_at(a["out"], F.lit(-1))["start"])))
+                       .when((F.size(a["out"]) > 0) & (last["end"] >= start),
+                             F.concat(F.slice(a["out"], 1, F.size(a["out"]) - 1), one(last["start"])))
                        .otherwise(F.concat(a["out"], one(start))))
                 return F.struct(total.alias("sum"), out.alias("out"))
             return let(after - _weight(n_in) + _weight(n_in + 1), put)
