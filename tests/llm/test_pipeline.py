@@ -8,10 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 from framewatch.llm import quality
 from framewatch.llm.queries import registry, tokenizer_path
-import test_jaccard
-import test_mixing
-import test_quality
-import test_secrets
+from . import test_jaccard, test_mixing, test_quality, test_secrets
 
 SF = "/root/testdata/sf0.001"
 
