@@ -9,9 +9,9 @@ of the log-probability of the token given both sides.
 Everything comes from the corpus: token counts of all documents (which also make
 the classes: frequent tokens have one each, the others are grouped to equal
 shares), and the weights.  In each round every partition trains the same network
-on its own documents, with one position in ``mask`` hidden at a time, and sends its
-weights, which are averaged by the number of times they were trained.  The
-network is of fixed size.
+on its own documents and sends its weights, which are averaged by the number of
+times they were trained.  The rounds share out the positions: over all of them
+every token of every document is hidden once.  The network is of fixed size.
 
 Defined cases: null or empty text has no tokens, score 0 and a null mean;
 repeated rows are trained on and scored as often as they come; an empty table
@@ -39,8 +39,8 @@ class WindowNetwork:
     single: int = 48          # most frequent tokens with a class of their own
     width: int = 24
     window: int = 2           # tokens on each side
-    mask: int = 8             # of so many positions one is hidden in a round
-    rounds: int = 2
+    mask: int = 8             # offsets of positions, dealt to the rounds
+    rounds: int = 2           # at most mask
     rate: float = 0.05
     batch: int = 2048
 
@@ -180,6 +180,13 @@ def score(places: list[np.ndarray], w: dict[str, np.ndarray], kind: np.ndarray,
     return total[ends] - total[ends - np.array([len(t) for t in texts], np.int64)]
 
 
+def hidden_in(n: int, turn: int, net: WindowNetwork) -> np.ndarray:
+    """Positions of a text of n tokens that are hidden in a round; the rounds share
+    out the ``mask`` offsets, so each position is hidden in one of them."""
+    at = np.arange(n)
+    return at[(at - n) % net.mask % net.rounds == turn]
+
+
 def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndarray, net: WindowNetwork, turn: int) -> dict[str, np.ndarray]:
     """Train on every partition from the same weights, and average what they send."""
     sent = tokens.sparkSession.sparkContext.broadcast((weights, kind))   # of fixed size
@@ -206,13 +213,14 @@ def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndar
         for b in batches:
             for raw in b.column(0):
                 ids = np.frombuffer(raw.as_py(), np.uint16)
-                at = np.arange((turn * 3 + len(ids)) % net.mask, len(ids), net.mask)
-                if len(at):
+                hidden = hidden_in(len(ids), turn, net)
+                for k in range(0, len(hidden), 16 * net.batch):
+                    at = hidden[k:k + 16 * net.batch]
                     sides.append(_sides(ids, at, net))
                     targets.append(kind[ids[at]])
                     held += len(at)
-                if held >= 16 * net.batch:
-                    step()
+                    if held >= 16 * net.batch:
+                        step()
         if held:
             step()
         if not steps:

@@ -66,3 +66,16 @@ def test_defined_cases(edge_docs):
     same = [r["log_likelihood"] for r in rows if r["n_tokens"] == 96]
     assert len(same) == 4 and same == pytest.approx(same[:1] * 4, rel=1e-5)
     assert M.pseudo_likelihood(edge_docs.limit(0)).count() == 0
+
+
+def test_every_position_is_trained_once(spark):
+    """Also those of documents of few words, which no stride of eight may skip."""
+    for net in (M.WindowNetwork(), M.WindowNetwork(mask=5, rounds=3)):
+        for n in range(30):
+            assert sorted(np.concatenate([M.hidden_in(n, k, net) for k in range(net.rounds)]).tolist()) == list(range(n))
+    pairs = [f"a{i % 8} b{i % 8}" for i in range(4000)]
+    train = spark.createDataFrame(list(enumerate(pairs)), "doc_id long, text string").coalesce(1)
+    rows = [(i, f"a{i} b{i}") for i in range(8)] + [(100 + i, f"a{i} b{(i + 3) % 8}") for i in range(8)]
+    got = {r["doc_id"]: r["mean_log_likelihood"] for r in M.pseudo_likelihood(
+        spark.createDataFrame(rows, "doc_id long, text string"), M.WindowNetwork(batch=64), training=train).collect()}
+    assert all(got[i] > got[100 + i] + 0.3 for i in range(8))
