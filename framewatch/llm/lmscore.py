@@ -1,9 +1,10 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
 Words are hashed to token ids.  A small network predicts a token from the tokens
-on both sides of it: their embeddings, weighted by place, are summed, passed
-through tanh, and give the probabilities of token classes; within a class a token
-has its share of the corpus.  A document's score is the sum, over all its tokens,
+on both sides of it: their embeddings, weighted by place, are summed and passed
+through tanh.  The hidden values give the probabilities of token classes, and by a
+second softmax those of the tokens within a class, which start from the tokens'
+shares of the corpus.  A document's score is the sum, over all its tokens,
 of the log-probability of the token given both sides.
 
 Everything comes from the corpus: token counts of all documents (which also make
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -99,11 +101,26 @@ def make_classes(counts: np.ndarray, net: WindowNetwork) -> tuple[np.ndarray, np
     return kind, np.log((counts + 1.0) / total[kind]).astype(np.float32)
 
 
+class Members(NamedTuple):
+    """The tokens in order of their classes."""
+    slot: np.ndarray      # place of every token in this order
+    starts: np.ndarray    # first place of every class, and the end
+    share: np.ndarray     # log of the share of the class, by place
+
+
+def make_members(kind: np.ndarray, share: np.ndarray, net: WindowNetwork) -> Members:
+    order = np.argsort(kind, kind="stable")
+    slot = np.empty(len(order), np.int64)
+    slot[order] = np.arange(len(order))
+    return Members(slot, np.searchsorted(kind[order], np.arange(net.classes + 1)), share[order])
+
+
 def start_weights(net: WindowNetwork) -> dict[str, np.ndarray]:
     r = np.random.default_rng(7)
     make = lambda *shape: (r.standard_normal(shape) * 0.1).astype(np.float32)
     return {"embed": make(net.vocabulary + 1, net.width), "place": 1 + make(2 * net.window, net.width),
-            "out": make(net.classes, net.width), "bias": np.zeros((net.classes, 1), np.float32)}
+            "out": make(net.classes, net.width), "bias": np.zeros((net.classes, 1), np.float32),
+            "word": np.zeros((net.vocabulary, net.width), np.float32)}   # rows in the order of Members
 
 
 def _sides(ids: np.ndarray, at: np.ndarray, net: WindowNetwork) -> np.ndarray:
@@ -132,14 +149,67 @@ def forward(w: dict[str, np.ndarray], sides: np.ndarray) -> tuple[np.ndarray, np
     return hidden, logits - _log_total(logits)[:, None]
 
 
-def train(w: dict[str, np.ndarray], g: dict[str, np.ndarray], sides: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One Adagrad step on a batch; g: sums of squared gradients."""
+def _by_class(kind: np.ndarray, members: Members) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
+    """Order of positions by class, and of every class that is met and has tokens to
+    choose from its part of that order and its places."""
+    kind = kind.astype(np.int32)
+    order = np.argsort(kind, kind="stable")
+    cuts = np.searchsorted(kind[order], np.arange(len(members.starts))).tolist()
+    starts = members.starts.tolist()
+    return order, [(cuts[c], cuts[c + 1], starts[c], starts[c + 1]) for c in range(len(starts) - 1)
+                   if cuts[c] < cuts[c + 1] and starts[c + 1] - starts[c] > 1]
+
+
+def within(word: np.ndarray, hidden: np.ndarray, kind: np.ndarray, token: np.ndarray, members: Members) -> np.ndarray:
+    """Log-probability of each token within its class, given the hidden values."""
+    order, parts = _by_class(kind, members)
+    h, slot = hidden[order], members.slot[token[order]]
+    value = np.zeros(len(h), np.float32)
+    for a, b, s, e in parts:
+        logits = h[a:b] @ word[s:e].T
+        logits += members.share[s:e]
+        value[a:b] = logits[np.arange(b - a), slot[a:b] - s] - _log_total(logits)
+    out = np.empty_like(value)
+    out[order] = value
+    return out
+
+
+def train_within(w: dict[str, np.ndarray], g: dict[str, np.ndarray], hidden: np.ndarray, kind: np.ndarray, token: np.ndarray,
+                 members: Members, rate: float) -> np.ndarray:
+    """One Adagrad step for the tokens within their classes; returns the gradient of hidden."""
+    order, parts = _by_class(kind, members)
+    h, slot = hidden[order], members.slot[token[order]]
+    back = np.zeros_like(h)
+    for a, b, s, e in parts:
+        x, v, squares = h[a:b], w["word"][s:e], g["word"][s:e]
+        d = x @ v.T
+        d += members.share[s:e]
+        np.exp(np.minimum(d, 80, out=d), out=d)
+        d /= d.sum(axis=1, keepdims=True)
+        d[np.arange(b - a), slot[a:b] - s] -= 1
+        d /= len(h)
+        back[a:b] = d @ v
+        grad = d.T @ x
+        squares += grad * grad
+        v -= rate * grad / np.sqrt(squares + 1e-8)
+    out = np.empty_like(back)
+    out[order] = back
+    return out
+
+
+def train(w: dict[str, np.ndarray], g: dict[str, np.ndarray], sides: np.ndarray, target: np.ndarray, rate: float,
+          token: np.ndarray | None = None, members: Members | None = None) -> None:
+    """One Adagrad step on a batch; g: sums of squared gradients.  target: classes;
+    with token and members the tokens within their classes are learnt, too."""
     hidden, logits = forward(w, sides)
     d = np.exp(logits)
     d[np.arange(len(d)), target] -= 1
     d /= len(d)
     grad = {"out": d.T @ hidden, "bias": d.sum(axis=0)[:, None]}
-    dh = (d @ w["out"]) * (1 - hidden * hidden)
+    back = d @ w["out"]
+    if members is not None:
+        back += train_within(w, g, hidden, target, token, members, rate)
+    dh = back * (1 - hidden * hidden)
     grad["place"] = np.stack([(dh * w["embed"][sides[:, o]]).sum(axis=0) for o in range(sides.shape[1])])
     # gradients of embeddings, summed by token: tokens sorted, runs added up
     order = np.argsort(sides.T.ravel(), kind="stable")
@@ -155,9 +225,10 @@ def train(w: dict[str, np.ndarray], g: dict[str, np.ndarray], sides: np.ndarray,
 
 
 def score(places: list[np.ndarray], w: dict[str, np.ndarray], kind: np.ndarray, share: np.ndarray,
-          texts: list[np.ndarray], net: WindowNetwork) -> np.ndarray:
+          texts: list[np.ndarray], net: WindowNetwork, members: Members | None = None) -> np.ndarray:
     """Summed conditional log-probabilities of every text.  The texts are laid out in
     one row with padding between them, and scored in steps of a fixed size."""
+    members = members or make_members(kind, share, net)
     gap = np.full(net.window, net.vocabulary, np.int64)
     row = np.concatenate([x for t in texts for x in (gap, t.astype(np.int64))] + [gap])
     n = len(row) - 2 * net.window
@@ -174,7 +245,7 @@ def score(places: list[np.ndarray], w: dict[str, np.ndarray], kind: np.ndarray,
         here = row[at + net.window:end + net.window]
         real = np.flatnonzero(here < net.vocabulary)
         t = here[real]
-        value[at + real] = logits[real, kind[t]] - _log_total(logits)[real] + share[t]
+        value[at + real] = logits[real, kind[t]] - _log_total(logits)[real] + within(w["word"], hidden[real], kind[t], t, members)
     total = np.concatenate(([0.0], np.cumsum(value)))
     ends = np.cumsum([len(t) + net.window for t in texts]) - net.window
     return total[ends] - total[ends - np.array([len(t) for t in texts], np.int64)]
@@ -187,24 +258,29 @@ def hidden_in(n: int, turn: int, net: WindowNetwork) -> np.ndarray:
     return at[(at - n) % net.mask % net.rounds == turn]
 
 
-def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndarray, net: WindowNetwork, turn: int) -> dict[str, np.ndarray]:
+def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndarray, share: np.ndarray,
+                net: WindowNetwork, turn: int) -> dict[str, np.ndarray]:
     """Train on every partition from the same weights, and average what they send."""
-    sent = tokens.sparkSession.sparkContext.broadcast((weights, kind))   # of fixed size
+    sent = tokens.sparkSession.sparkContext.broadcast((weights, kind, make_members(kind, share, net)))   # of fixed size
     columns = [f"w{i}" for i in range(net.width)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, kind = sent.value
+        first, kind, members = sent.value
         w = {k: v.copy() for k, v in first.items()}
-        g = {k: np.full_like(v, 1e-4) for k, v in w.items()}
+        # a token's own vector is trained at few positions of a batch only
+        g = {k: np.full_like(v, 1e-7 if k == "word" else 1e-4) for k, v in w.items()}
         seen = np.zeros(net.vocabulary + 1, np.int64)
+        met = np.zeros(net.classes, np.int64)
         sides, targets, held, steps = [], [], 0, 0
 
         def step() -> None:
             nonlocal held, steps
             s, t = np.concatenate(sides), np.concatenate(targets)
             for at in range(0, len(t), net.batch):
-                train(w, g, s[at:at + net.batch], t[at:at + net.batch], net.rate)
-            np.add.at(seen, s.ravel(), 1)
+                token = t[at:at + net.batch]
+                train(w, g, s[at:at + net.batch], kind[token], net.rate, token, members)
+            seen[:] += np.bincount(s.ravel(), minlength=len(seen))
+            met[:] += np.bincount(kind[t], minlength=len(met))
             steps += len(t)
             sides.clear()
             targets.clear()
@@ -217,7 +293,7 @@ def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndar
                 for k in range(0, len(hidden), 16 * net.batch):
                     at = hidden[k:k + 16 * net.batch]
                     sides.append(_sides(ids, at, net))
-                    targets.append(kind[ids[at]])
+                    targets.append(ids[at])
                     held += len(at)
                     if held >= 16 * net.batch:
                         step()
@@ -226,7 +302,9 @@ def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndar
         if not steps:
             return
         rows = np.flatnonzero(seen)
-        parts = [("embed", rows, w["embed"][rows], seen[rows])] + [
+        times = np.repeat(met, np.diff(members.starts))   # all tokens of a class are trained where one of them is hidden
+        places = np.flatnonzero(times)
+        parts = [("embed", rows, w["embed"][rows], seen[rows]), ("word", places, w["word"][places], times[places])] + [
             (n, np.arange(len(w[n])), np.pad(w[n], ((0, 0), (0, net.width - w[n].shape[1]))), np.full(len(w[n]), steps))
             for n in ("place", "out", "bias")]
         for name, index, values, weight in parts:
@@ -257,12 +335,12 @@ def pseudo_likelihood(documents: DataFrame, net: WindowNetwork = WindowNetwork()
     tokens = read.where("token is null")
     weights = start_weights(net)
     for turn in range(net.rounds):
-        weights = train_round(tokens, weights, kind, net, turn)
+        weights = train_round(tokens, weights, kind, share, net, turn)
     scored = tokens if training is None else cut(read_tokens(documents, net), "scored-tokens").where("token is null")
-    sent = documents.sparkSession.sparkContext.broadcast((weights, kind, share))
+    sent = documents.sparkSession.sparkContext.broadcast((weights, kind, share, make_members(kind, share, net)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, kind, share = sent.value
+        w, kind, share, members = sent.value
         places = by_place(w)
         for big in batches:
             for at in range(0, big.num_rows, 128):
@@ -270,7 +348,7 @@ def pseudo_likelihood(documents: DataFrame, net: WindowNetwork = WindowNetwork()
                 ids = [np.frombuffer(x.as_py(), np.uint16) for x in b.column(1)]
                 yield pa.RecordBatch.from_arrays([
                     b.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array(score(places, w, kind, share, ids, net), pa.float64())], names=["doc_id", "n_tokens", "log_likelihood"])
+                    pa.array(score(places, w, kind, share, ids, net, members), pa.float64())], names=["doc_id", "n_tokens", "log_likelihood"])
 
     out = scored.select("doc_id", "tokens").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
     return out.select("*", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))

@@ -79,3 +79,15 @@ def test_every_position_is_trained_once(spark):
     got = {r["doc_id"]: r["mean_log_likelihood"] for r in M.pseudo_likelihood(
         spark.createDataFrame(rows, "doc_id long, text string"), M.WindowNetwork(batch=64), training=train).collect()}
     assert all(got[i] > got[100 + i] + 0.3 for i in range(8))
+
+
+def test_words_of_one_class_are_told_apart(spark):
+    """With many more words than classes, exchanged words of like frequency score lower."""
+    draw = np.random.default_rng(4)
+    text = lambda swap=0: " ".join(x for i in draw.integers(0, 600, 40) for x in (f"a{i}", f"b{(i + swap) % 600}", "."))
+    train = spark.createDataFrame([(i, text()) for i in range(3000)], "doc_id long, text string").coalesce(2)
+    rows = [(i, text()) for i in range(20)] + [(100 + i, text(7)) for i in range(20)]
+    net = M.WindowNetwork(batch=256, classes=9, single=8)   # all but eight words are one class
+    got = {r["doc_id"]: r["mean_log_likelihood"] for r in M.pseudo_likelihood(
+        spark.createDataFrame(rows, "doc_id long, text string"), net, training=train).collect()}
+    assert min(got[i] for i in range(20)) > max(got[100 + i] for i in range(20)) + 0.3
