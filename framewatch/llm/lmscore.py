@@ -1,18 +1,23 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-Words are hashed to token ids.  A small network predicts a token from the tokens
+All words of the corpus are counted by a distributed aggregation, whose table grows
+with it.  The most frequent words are token ids of their own; the others share the
+ids of hash buckets, in which each has the share that its count gives it, and words
+that the corpus does not hold have together that of one occurrence; counts are
+joined to the documents' rare words.  A small network predicts a token from the tokens
 on both sides of it: their embeddings, weighted by place, are summed and passed
 through tanh.  The hidden values give the probabilities of token classes, and by a
 second softmax those of the tokens within a class, which start from the tokens'
 shares of the corpus.  A document's score is the sum, over all its tokens,
 of the log-probability of the token given both sides.
 
-Everything comes from the corpus: token counts of all documents (which also make
-the classes: frequent tokens have one each, the others are grouped to equal
+Everything comes from the corpus: word counts of all documents (which also make
+the classes of tokens: frequent tokens have one each, the others are grouped to equal
 shares), and the weights.  In each round every partition trains the same network
 on its own documents and sends its weights, which are averaged by the number of
 times they were trained.  The rounds share out the positions: over all of them
-every token of every document is hidden once.  The network is of fixed size.
+every token of every document is hidden once.  The network, with its table of
+embeddings, is of fixed size; the word counts are not.
 
 Defined cases: null or empty text has no tokens, score 0 and a null mean;
 repeated rows are trained on and scored as often as they come; an empty table
@@ -36,7 +41,7 @@ from .common import cut
 
 @dataclass(frozen=True)
 class WindowNetwork:
-    vocabulary: int = 8192
+    vocabulary: int = 8192    # token ids: three quarters are words, the others buckets
     classes: int = 96
     single: int = 48          # most frequent tokens with a class of their own
     width: int = 24
@@ -47,46 +52,101 @@ class WindowNetwork:
     batch: int = 2048
 
 
-class _Ids(dict):
-    """Token ids by word, hashed once each."""
-
-    def __init__(self, vocabulary: int):
-        self.vocabulary = vocabulary
+class _Hashes(dict):
+    """Hashes of words, computed once each."""
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh64_intdigest(word) % self.vocabulary
+        self[word] = value = xxhash.xxh64_intdigest(word)
         return value
 
+    def of(self, text: str | None) -> np.ndarray:
+        found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+        if len(self) > 200_000:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found)).view(np.int64)
+
+
+def count_words(documents: DataFrame) -> DataFrame:
+    """word (its 64-bit hash) and count, of all words of the documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held, n = _Hashes(), [], 0
+
+        def counted() -> pa.RecordBatch:
+            words, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.astype(np.int64))], names=["word", "count"])
+
+        for big in batches:
+            for at in range(0, big.num_rows, 256):
+                for text in big.column(0).slice(at, 256).to_pylist():
+                    held.append(known.of(text))
+                    n += len(held[-1])
+                if n >= 1 << 20:
+                    yield counted()
+                    n = 0
+        if n:
+            yield counted()
+
+    return documents.select("text").mapInArrow(run, "word long, count long").groupBy("word").agg(F.sum("count").alias("count"))
+
+
+class Vocabulary(NamedTuple):
+    """Token ids: the most frequent words have one each, the others share buckets."""
+    words: np.ndarray     # hashes of the words with an id of their own, sorted
+    ids: np.ndarray       # and their ids
+    counts: np.ndarray    # of all ids
+    own: int              # ids up to here are words, those above buckets
+
+    def tokens(self, words: np.ndarray) -> np.ndarray:
+        out = self.own + words % (len(self.counts) - self.own)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+            out = np.where(self.words[at] == words, self.ids[at], out)
+        return out.astype(np.uint16)
+
+    def bucket_shares(self) -> np.ndarray:
+        """By id, what is added to log(count) for a word's log-share of its id: words of a
+        bucket that the corpus does not hold have together the share of one occurrence."""
+        return np.where(np.arange(len(self.counts)) < self.own, 0.0, -np.log(self.counts + 1.0))
+
+
+def make_vocabulary(counted: DataFrame, net: WindowNetwork) -> Vocabulary:
+    """Of the table of all words the driver gets the most frequent ones and sums by bucket."""
+    own = net.vocabulary - max(1, net.vocabulary // 4)
+    top = counted.orderBy(F.desc("count"), "word").limit(own).toPandas()
+    words, n = top["word"].to_numpy(np.int64), top["count"].to_numpy(np.int64)
+    counts = np.zeros(net.vocabulary, np.int64)
+    counts[:len(n)] = n
+    if len(n) == own:
+        rest = counted.where((F.col("count") < int(n[-1])) | ((F.col("count") == int(n[-1])) & (F.col("word") > int(words[-1]))))
+        sums = rest.groupBy(F.pmod("word", F.lit(net.vocabulary - own)).alias("bucket")).agg(F.sum("count").alias("count")).toPandas()
+        counts[own + sums["bucket"].to_numpy(np.int64)] = sums["count"].to_numpy(np.int64)
+    order = np.argsort(words)
+    return Vocabulary(words[order], order, counts, own)
 
-def read_tokens(documents: DataFrame, net: WindowNetwork) -> DataFrame:
-    """Rows of documents (doc_id, n, tokens: 16-bit ids), then rows of counters."""
-    names = ["doc_id", "n", "tokens", "token", "count"]
+
+def read_tokens(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Rows of documents: row (a number of its own), doc_id, tokens (16-bit ids), and
+    rare, the hashes of the words that have no id of their own."""
+    names = ["row", "doc_id", "tokens", "rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(net.vocabulary, np.int64)
-        known = _Ids(net.vocabulary)
+        known = _Hashes()
         for big in batches:
             for at in range(0, big.num_rows, 256):
                 b = big.slice(at, 256)
-                rows = []
-                for text in b.column(1).to_pylist():
-                    ids = np.empty(0, np.uint16)
-                    if text and (found := text.encode("utf-8", "surrogatepass").lower().split()):
-                        if len(known) > 200_000:
-                            known.clear()
-                        ids = np.fromiter(map(known.__getitem__, found), np.uint16, len(found))
-                        counts += np.bincount(ids, minlength=net.vocabulary)
-                    rows.append(ids)
+                rows = [known.of(text) for text in b.column(2).to_pylist()]
+                ends = np.cumsum([0] + [len(r) for r in rows])
+                words = np.concatenate(rows)
+                ids = vocabulary.tokens(words)
+                rare = ids >= vocabulary.own
+                offsets = np.concatenate(([0], np.cumsum(rare)))[ends]
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0), pa.array([len(r) for r in rows], pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary()),
-                    pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.int64())], names=names)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([
-            pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()),
-            pa.array(used.astype(np.int32)), pa.array(counts[used])], names=names)
+                    b.column(0), b.column(1), pa.array([ids[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(words[rare]))], names=names)
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n long, tokens binary, token int, count long")
+    return documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "row long, doc_id long, tokens binary, rare array<long>")
 
 
 def make_classes(counts: np.ndarray, net: WindowNetwork) -> tuple[np.ndarray, np.ndarray]:
@@ -312,7 +372,7 @@ def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndar
                 [pa.array([name] * len(index)), pa.array(index.astype(np.int32)), pa.array(weight.astype(np.float64))]
                 + [pa.array(values[:, i].astype(np.float64) * weight) for i in range(net.width)], names=["part", "row", "n", *columns])
 
-    rows = tokens.select("tokens").where("tokens is not null").mapInArrow(
+    rows = tokens.select("tokens").mapInArrow(
         run, "part string, row int, n double, " + ", ".join(f"{c} double" for c in columns))
     # as many rows as the network has
     got = rows.groupBy("part", "row").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in columns]).toPandas()
@@ -327,28 +387,34 @@ def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndar
 def pseudo_likelihood(documents: DataFrame, net: WindowNetwork = WindowNetwork(), training: DataFrame | None = None) -> DataFrame:
     """doc_id, n_tokens, log_likelihood, mean_log_likelihood of every document; the
     network is trained on ``training``, by default on the documents themselves."""
-    read = cut(read_tokens(training if training is not None else documents, net), "tokens")
-    table = read.where("token is not null").groupBy("token").agg(F.sum("count").alias("count")).toPandas()
-    counts = np.zeros(net.vocabulary, np.int64)
-    counts[table["token"].to_numpy(np.int64)] = table["count"].to_numpy(np.int64)
-    kind, share = make_classes(counts, net)
-    tokens = read.where("token is null")
+    corpus = training if training is not None else documents
+    counted = cut(count_words(corpus), "words")
+    vocabulary = make_vocabulary(counted, net)
+    kind, share = make_classes(vocabulary.counts, net)
+    tokens = cut(read_tokens(corpus, vocabulary), "tokens")
     weights = start_weights(net)
     for turn in range(net.rounds):
         weights = train_round(tokens, weights, kind, share, net, turn)
-    scored = tokens if training is None else cut(read_tokens(documents, net), "scored-tokens").where("token is null")
-    sent = documents.sparkSession.sparkContext.broadcast((weights, kind, share, make_members(kind, share, net)))
+    scored = tokens if training is None else cut(read_tokens(documents, vocabulary), "scored-tokens")
+    sent = documents.sparkSession.sparkContext.broadcast(
+        (weights, kind, share, make_members(kind, share, net), vocabulary.bucket_shares()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, kind, share, members = sent.value
+        w, kind, share, members, bucket_shares = sent.value
         places = by_place(w)
         for big in batches:
             for at in range(0, big.num_rows, 128):
                 b = big.slice(at, 128)
-                ids = [np.frombuffer(x.as_py(), np.uint16) for x in b.column(1)]
+                ids = [np.frombuffer(x.as_py(), np.uint16) for x in b.column(2)]
+                value = score(places, w, kind, share, ids, net, members) + np.array([bucket_shares[x].sum() for x in ids])
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array(score(places, w, kind, share, ids, net, members), pa.float64())], names=["doc_id", "n_tokens", "log_likelihood"])
-
-    out = scored.select("doc_id", "tokens").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
+                    b.column(0), b.column(1), pa.array([len(x) for x in ids], pa.int64()), pa.array(value, pa.float64())],
+                    names=["row", "doc_id", "n_tokens", "value"])
+
+    out = scored.select("row", "doc_id", "tokens").mapInArrow(run, "row long, doc_id long, n_tokens long, value double")
+    # words counted once, or not at all, add log(1)
+    rare = scored.select(F.col("row").alias("_row"), F.explode("rare").alias("word")).join(
+        counted.where(F.col("count") > 1), "word").groupBy("_row").agg(F.sum(F.log("count")).alias("more"))
+    out = out.join(rare, F.col("row") == F.col("_row"), "left").select(
+        "doc_id", "n_tokens", (F.col("value") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood"))
     return out.select("*", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))

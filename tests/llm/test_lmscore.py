@@ -91,3 +91,16 @@ def test_words_of_one_class_are_told_apart(spark):
     got = {r["doc_id"]: r["mean_log_likelihood"] for r in M.pseudo_likelihood(
         spark.createDataFrame(rows, "doc_id long, text string"), net, training=train).collect()}
     assert min(got[i] for i in range(20)) > max(got[100 + i] for i in range(20)) + 0.3
+
+
+def test_probabilities_sum_to_one_over_all_words(spark):
+    """Words are not mixed up with others of their bucket, however many there are, and
+    words that the corpus does not hold score below those that it does."""
+    words = [f"w{i}" for i in range(700)]
+    train = spark.createDataFrame([(i, " ".join(words[i % k] for k in range(1, 701, 3))) for i in range(60)] + [(99, " ".join(words))],
+                                  "doc_id long, text string")
+    rows = list(enumerate(words)) + [(1000 + i, f"unheard{i}") for i in range(50)]
+    got = {r["doc_id"]: r["log_likelihood"] for r in M.pseudo_likelihood(
+        spark.createDataFrame(rows, "doc_id long, text string"), M.WindowNetwork(vocabulary=64, classes=16, single=8, batch=256), training=train).collect()}
+    assert 0.85 < sum(np.exp(got[i]) for i in range(700)) < 1
+    assert np.mean([got[1000 + i] for i in range(50)]) < np.mean([got[i] for i in range(700)])
