@@ -66,11 +66,11 @@ def source_targets(sizes: DataFrame, mix: Mix) -> DataFrame:
 def _reduce(items: Column) -> Column:
     """Reduce an array of fractional items to decisions and one rest (or none)."""
     item = "struct<doc_id:bigint,k:bigint,size:bigint,p:double,u:double>"
-    taken = "array<struct<doc_id:bigint,k:bigint,copy:int>>"
+    taken = "array<struct<doc_id:bigint,k:bigint,size:bigint,copy:int>>"
     zero = F.struct(F.lit(None).cast(item).alias("rest"), F.array().cast(taken).alias("done"))
 
     def made(x: Column, copy: int) -> Column:
-        return F.array(F.struct(x["doc_id"].alias("doc_id"), x["k"].alias("k"), F.lit(copy).alias("copy")))
+        return F.array(F.struct(x["doc_id"].alias("doc_id"), x["k"].alias("k"), x["size"].alias("size"), F.lit(copy).alias("copy")))
 
     def left(x: Column, p: Column) -> Column:
         return F.struct(x["doc_id"].alias("doc_id"), x["k"].alias("k"), x["size"].alias("size"),
@@ -127,8 +127,8 @@ def mix_sources(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
         level += 1
         groups = -(-groups // mix.group)
         dealt = F.ceil(F.col("n") / float(mix.group ** level)).cast("long")
-        group = F.pmod(F.xxhash64(F.lit(mix.seed), F.lit(level), "doc_id", "k"), F.greatest(dealt, F.lit(1)))
-        draw = unit(F.lit(mix.seed), F.lit(-level), F.col("doc_id"), F.col("k"))
+        group = F.pmod(F.xxhash64(F.lit(mix.seed), F.lit(level), "doc_id", "k", "size"), F.greatest(dealt, F.lit(1)))
+        draw = unit(F.lit(mix.seed), F.lit(-level), F.col("doc_id"), F.col("k"), F.col("size"))
         # large documents first: the small ones that follow settle them, so what is left is small
         order = F.struct((-F.col("size")).alias("s"), F.xxhash64(F.lit(mix.seed), "k", "doc_id").alias("h"))
         reduced = (items.withColumn("g", group).groupBy("source", "n", "g")
@@ -141,14 +141,14 @@ def mix_sources(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
         if groups <= 1:
             break
         items = rest.drop("u")
-    last = rest.select("source", F.struct("doc_id", "k", (F.col("p") >= 0.5).cast("int").alias("copy")).alias("d"))
+    last = rest.select("source", F.struct("doc_id", "k", "size", (F.col("p") >= 0.5).cast("int").alias("copy")).alias("d"))
     decided = last
     for p in parts:
         decided = decided.unionByName(p)
     decided = decided.select(F.col("source").alias("_source"), F.col("d.doc_id").alias("_doc"),
-                             F.col("d.k").alias("_k"), F.col("d.copy").alias("copy"))
+                             F.col("d.k").alias("_k"), F.col("d.size").alias("_size"), F.col("d.copy").alias("copy"))
     return (whole.join(decided, (F.col("doc_id").eqNullSafe(F.col("_doc"))) & (F.col("k") == F.col("_k"))
-                       & F.col("source").eqNullSafe(F.col("_source")), "left")
+                       & (F.col("size") == F.col("_size")) & F.col("source").eqNullSafe(F.col("_source")), "left")
             .select("doc_id", "source", "size", "k", "source_size", "target",
                     (F.col("whole") + F.coalesce("copy", F.lit(0))).cast("int").alias("copies")))
 

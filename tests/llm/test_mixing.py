@@ -76,3 +76,14 @@ def test_every_document_is_taken_by_its_share(spark):
 def test_empty(spark):
     assert M.mixed(rows(spark).limit(0)).count() == 0
     assert collect(spark.createDataFrame([(1, None, None)], "doc_id long, text string, source string")) == [(1, 0, 0, 0.0, 0)]
+
+
+def test_rows_of_one_id_and_unlike_size(spark, edge_docs):
+    """Each row comes back once, whatever else has its id and source."""
+    data = [(i % 3 if i % 4 else None, "w " * (1 + i), "ab"[i % 2]) for i in range(40)]
+    for df in (edge_docs, spark.createDataFrame(data, "doc_id long, text string, source string")):
+        for group in (64, 4):
+            got = M.mix_sources(M.word_sizes(df), M.Mix(group=group)).collect()
+            want = M.word_sizes(df).collect()
+            assert sorted(map(repr, ((r["doc_id"], r["source"], r["size"]) for r in got))) == sorted(map(repr, map(tuple, want)))
+            assert all(0 <= r["copies"] <= 2 for r in got)
