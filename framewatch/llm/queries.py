@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embed_dedup, fill_middle, jaccard, langid, lmscore, mixing, quality, secret_scan, sentencepiece_bpe, warc
+from . import chat, embed_dedup, fill_middle, jaccard, langid, lmscore, mixing, nearest, quality, secret_scan, sentencepiece_bpe, warc
 from .common import table
 
 #: A conversation whose texts hold the template's control strings.
@@ -65,13 +65,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_report(table(spark, sf_dir, "documents"))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.middle_digests(table(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [op1_language_id, op2_embedding_near_dedup, op3_ngram_jaccard_join, op4_warc, op5_chat_formatting,
-            op6_quality_rules, op7_lm_scoring, op8_mixing, op9_sentencepiece, op10_secret_scan, op13_fill_middle]
+            op6_quality_rules, op7_lm_scoring, op8_mixing, op9_sentencepiece, op10_secret_scan,
+            op11_nearest, op13_fill_middle]
     return {f.__name__: f for f in made}
 
 
