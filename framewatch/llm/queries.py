@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embed_dedup, fill_middle, jaccard, langid, lmscore, mixing, nearest, quality, secret_scan, sentencepiece_bpe, warc
+from . import (chat, embed_dedup, fill_middle, hard_negatives, jaccard, langid, lmscore, mixing, nearest, quality, secret_scan,
+               sentencepiece_bpe, warc)
 from .common import table
 
 #: A conversation whose texts hold the template's control strings.
@@ -69,6 +70,10 @@ def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.middle_digests(table(spark, sf_dir, "documents"))
 
@@ -76,7 +81,7 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [op1_language_id, op2_embedding_near_dedup, op3_ngram_jaccard_join, op4_warc, op5_chat_formatting,
             op6_quality_rules, op7_lm_scoring, op8_mixing, op9_sentencepiece, op10_secret_scan,
-            op11_nearest, op13_fill_middle]
+            op11_nearest, op12_hard_negatives, op13_fill_middle]
     return {f.__name__: f for f in made}
 
 
@@ -184,5 +189,6 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(3 + sum(17 + length(r) + length(x)) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id""",
     "op10_secret_scan": _secret_sql(),
+    "op12_hard_negatives": hard_negatives.SQL,
     "op13_fill_middle": fill_middle.SQL,
 }
