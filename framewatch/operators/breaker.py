@@ -105,40 +105,31 @@ def reason_structs(cfg: GateConfig) -> Column:
 
 
 def breaker_evaluation(batches: DataFrame, cfg: GateConfig,
-                       drift_reports: DataFrame | None = None,
-                       prior_records: DataFrame | None = None,
-                       prior_trips: DataFrame | None = None) -> DataFrame:
+                       drift_reports: DataFrame | None = None) -> DataFrame:
     """I1 + W5..W7 in one pass over the known-camera batch records.
 
     Adds ``rolling_quarantine_rate``, ``drifted_features``, ``reasons``,
     ``should_trip``, ``trip_ordinal`` (1 = the incident, >1 = suppressed while
     the latched breaker is open) and ``breaker_state`` (closed/tripped/open).
     """
-    recs = breaker_input(batches, cfg).withColumn("_prior", F.lit(False))
-    if prior_records is not None:
-        # streaming state: the camera's last N-1 records feed the rolling rate
-        recs = recs.unionByName(prior_records.select(
-            "feed_id", "batch_round", "camera_id", "status", "valid_count", "quarantined_count")
-            .withColumn("_prior", F.lit(True)))
-    recs = rolling_quarantine_rate(recs, cfg).where(~F.col("_prior")).drop("_prior")
+    recs = rolling_quarantine_rate(breaker_input(batches, cfg), cfg)
     recs = qa_with_drift(recs, drift_reports, cfg)
     recs = recs.withColumn("drifted_features", drifted_features_expr(recs))
     recs = recs.withColumn("reasons", reason_structs(cfg))
     recs = recs.withColumn("should_trip", F.size("reasons") > 0)
     # the latch: running count of trips per camera (chunked prefix sum)
     recs = running_sums(recs, "camera_id", stream_order(cfg), _round_chunk(cfg),
-                        {"_trips": F.col("should_trip").cast("int")})
-    ordinal = F.col("_trips")
-    if prior_trips is not None:
-        # streaming state: trips already emitted per camera
-        recs = recs.join(prior_trips.select("camera_id", "prior_trips"), "camera_id", "left")
-        ordinal = ordinal + F.coalesce(F.col("prior_trips"), F.lit(0))
-    recs = recs.withColumn("trip_ordinal", F.when(F.col("should_trip"), ordinal))
-    opened = F.coalesce(ordinal, F.lit(0)) > 0
+                        {"trips": F.col("should_trip").cast("int")})
+    return latch_columns(recs)
+
+
+def latch_columns(recs: DataFrame) -> DataFrame:
+    """W5..W7 from ``trips``, a camera's trips up to and with a record."""
+    recs = recs.withColumn("trip_ordinal", F.when(F.col("should_trip"), F.col("trips")))
     return recs.withColumn(
         "breaker_state",
         F.when(F.col("trip_ordinal") == 1, F.lit("tripped"))
-         .when(opened, F.lit("open")).otherwise(F.lit("closed"))).drop("_trips")
+         .when(F.col("trips") > 0, F.lit("open")).otherwise(F.lit("closed"))).drop("trips")
 
 
 def breaker_trips(evaluated: DataFrame) -> DataFrame:

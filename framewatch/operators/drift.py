@@ -7,15 +7,14 @@ Plan shape (README "Scale design"):
    planned as a WindowGroupLimit on both sides of the one shuffle of rows.
    Norms and baseline counts are computed for the kept rows only, which then
    become one array per batch.
-2. ``drift_windows``: a batch with W valid rows is its own window; one with
-   fewer takes rows from the arrays of the batches before it, at most W - 1
-   positions back (``ordered.halo_window`` over batches, per camera and
-   position chunk).  No task holds a whole camera.
-3. KS statistic per window and feature with integer counts; baseline counts
-   come from a binary search (``aggregate`` halving steps) into the fitted
+2. ``drift_windows``: the arrays of a camera pass in order, per position chunk with a
+   halo of W - 1 positions, so no task holds a whole camera.  A window keeps three numbers
+   a row with their baseline counts; of the embeddings it keeps their sum, carried along
+   by ``SlidingSum``, so its cost does not grow with W times the dimension.
+3. KS statistic per window and feature with integer counts, one sort a window; baseline
+   counts come from a binary search (``aggregate`` halving steps) into the fitted
    baseline arrays, which are one-row scalar subqueries: no join.
-4. p-values once per distinct (n1, n2, ks_num) — a table bounded by
-   ``W * (W * n2 + 1)`` rows — looked up by three equi-joins.
+4. p-values by a pandas UDF that computes each distinct (n1, n2, ks_num) once per worker.
 5. Status per batch from the batch table (running valid count per camera).
 
 The baseline is the first ``baseline_samples`` valid rows of a stated
@@ -26,22 +25,26 @@ feature and the mean of every embedding position.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import GateConfig
 from ..functions.ks import exact_pvalue_expr, ks_num_expr, large_sample_pvalue_expr
-from .ordered import halo_window, running_sums
+from ..session import share_package
+from .ordered import halo_chunks, running_sums
 
 # window struct field per drift feature (embedding drift is KS on L2 norms)
 FIELD = {"brightness_avg": "b", "blur_metric": "l", "embedding": "n"}
 KEYS = ["feed_id", "batch_round", "seq"]
-# rows of the p-value table up to which it is sent to every executor
-BROADCAST_PVALUES = 1_000_000
+#: what a window keeps of a row
+POINT = ("seq", "b", "b_ble", "b_blt", "l", "l_ble", "l_blt", "n", "n_ble", "n_blt")
+POINT_TYPE = "struct<pos:bigint,seq:bigint," + ",".join(f"{f}:double,{f}_ble:bigint,{f}_blt:bigint" for f in "bln") + ">"
 
 
 def norm_expr(col: str | Column) -> Column:
@@ -183,66 +186,127 @@ def last_rows_per_batch(valid: DataFrame, w: int) -> DataFrame:
             .where(F.col("_r") <= w))
 
 
-def _contributing(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None = None) -> DataFrame:
+def _contributing(batches: DataFrame, cfg: GateConfig) -> DataFrame:
     """Batches of known cameras with valid rows, and the camera's count at their end."""
-    return (drift_buffer(batches, cfg, offsets).where(F.col("valid_count") > 0)
+    return (drift_buffer(batches, cfg).where(F.col("valid_count") > 0)
             .select("feed_id", "batch_round", "camera_id", "buffer_total"))
 
 
-def window_rows(valid: DataFrame, batches: DataFrame, cfg: GateConfig,
-                offsets: DataFrame | None = None, prior_rows: DataFrame | None = None) -> DataFrame:
-    """Rows that can sit in a window with ``pos``: their 1-based position in the
-    camera's stream of valid rows (order: round, feed, seq).
-    ``pos = buffer_total - _r + 1`` where ``buffer_total`` is the camera's
-    running valid count at the end of the row's batch (a chunked prefix sum,
-    no per-camera task)."""
-    rows = (last_rows_per_batch(valid, cfg.drift_window).join(_contributing(batches, cfg, offsets), ["feed_id", "batch_round"])
-            .withColumn("pos", (F.col("buffer_total") - F.col("_r") + 1).cast("long"))
-            .drop("buffer_total"))
-    if prior_rows is not None:
-        rows = rows.unionByName(prior_rows.select(*rows.columns))
-    return rows
-
-
-def drift_windows(valid: DataFrame, batches: DataFrame, model: BaselineModel,
-                  cfg: GateConfig, offsets: DataFrame | None = None,
-                  prior_rows: DataFrame | None = None) -> DataFrame:
+class SlidingSum:
+    """Sum of the vectors of the last ``width`` positions, from blocks of ``width`` positions: a
+    window is the end of one block (suffix sums, made when the block is complete) and the start of
+    the next (a running sum).  Nothing is ever subtracted, so a large or infinite vector is gone
+    when its row is; blocks are places of the stream, so the result does not depend on
+    where a task begins; a step costs two additions."""
+
+    def __init__(self, width: int) -> None:
+        self.width, self.block = width, None
+        self.old: list[tuple[int, np.ndarray]] = []      # (position, sum from there to the block's end), last first
+        self.new: list[tuple[int, np.ndarray]] = []
+        self.new_sum: np.ndarray | None = None
+
+    def push(self, pos: int, vector: np.ndarray) -> None:
+        block = (pos - 1) // self.width
+        if block != self.block:
+            self.old, total = [], None
+            if self.block is not None and block == self.block + 1:
+                for at, v in reversed(self.new):
+                    total = v if total is None else v + total
+                    self.old.append((at, total))
+            self.block, self.new, self.new_sum = block, [], None
+        self.new.append((pos, vector))
+        self.new_sum = vector if self.new_sum is None else self.new_sum + vector
+
+    def total(self, end: int) -> np.ndarray | None:
+        """Of the window that ends at ``end``, the last position pushed."""
+        while self.old and self.old[-1][0] <= end - self.width:
+            self.old.pop()
+        return self.old[-1][1] + self.new_sum if self.old else self.new_sum
+
+
+def point_columns(model: "BaselineModel", rows: DataFrame, *more: str) -> DataFrame:
+    """Rows as points of a window: the three numbers with their baseline counts."""
+    return model.annotate(rows.select(
+        "feed_id", "batch_round", "seq", *more, F.col("brightness_avg").alias("b"),
+        F.col("blur_metric").alias("l"), norm_expr("embedding").alias("n"), "embedding"))
+
+
+def drift_windows(valid: DataFrame, batches: DataFrame, model: BaselineModel, cfg: GateConfig) -> DataFrame:
     """For every batch of a known camera with valid rows, the window of
-    the camera's last W valid rows as of the batch end (spanning batches)."""
-    w = cfg.drift_window
-
-    def points(rows: DataFrame, *more: str) -> DataFrame:
-        return model.annotate(rows.select(
-            "feed_id", "batch_round", "seq", *more, F.col("brightness_avg").alias("b"),
-            F.col("blur_metric").alias("l"), norm_expr("embedding").alias("n"), "embedding"))
-
-    fields = ["seq", "b", "b_ble", "b_blt", "l", "l_ble", "l_blt", "n", "n_ble", "n_blt", "embedding"]
+    the camera's last W valid rows as of the batch end (spanning batches): ``win``, its
+    points in order, and ``centre``, the sum of its embeddings (null if one is incomplete)."""
+    w, dim = cfg.drift_window, cfg.embedding_dim
+    share_package(valid.sparkSession)
     # one array per batch: the shuffle of the row limit serves the grouping too
-    arrays = points(last_rows_per_batch(valid, w), "_r").groupBy("feed_id", "batch_round").agg(
-        F.collect_list(F.struct("_r", *fields)).alias("rows"))
-    ends = arrays.join(_contributing(batches, cfg, offsets), ["feed_id", "batch_round"]).select(
-        "camera_id", "feed_id", "batch_round", F.col("buffer_total").alias("end"),
-        F.transform("rows", lambda r: F.struct((F.col("buffer_total") - r["_r"] + 1).alias("pos"),
-                                               *[r[f].alias(f) for f in fields])).alias("rows"))
-    if prior_rows is not None:
-        before = points(prior_rows, "camera_id", "pos")
-        ends = ends.unionByName(before.groupBy("camera_id", "feed_id", "batch_round").agg(
-            F.max("pos").alias("end"), F.collect_list(F.struct("pos", *fields)).alias("rows")))
-    out = halo_window(ends, "camera_id", "end", w - 1, cfg.chunk_positions,
-                      {"near": lambda x: F.collect_list("rows").over(x)})
-    return out.select("camera_id", "feed_id", "batch_round", F.array_sort(F.filter(
-        F.flatten("near"), lambda r: r["pos"] > F.col("end") - w)).alias("win"))
+    arrays = point_columns(model, last_rows_per_batch(valid, w), "_r").groupBy("feed_id", "batch_round").agg(
+        F.collect_list(F.struct("_r", *POINT, "embedding")).alias("rows"))
+    ends = arrays.join(_contributing(batches, cfg), ["feed_id", "batch_round"]).select(
+        "camera_id", "feed_id", "batch_round", F.col("buffer_total").cast("bigint").alias("end"),
+        F.transform("rows", lambda r: F.struct((F.col("buffer_total") - r["_r"] + 1).cast("bigint").alias("pos"),
+                                               *[r[f].alias(f) for f in (*POINT, "embedding")])).alias("rows"))
+    ends = halo_chunks(ends, "end", w - 1, cfg.chunk_positions)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, total = None, None, SlidingSum(w)
+        for batch in batches:
+            lists = batch.column("rows")
+            flat, sizes = lists.flatten(), lists.value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((flat.field("pos").to_numpy(), row))
+            flat = flat.take(pa.array(order))
+            vectors = _matrix(flat.field("embedding"), dim)
+            points = pa.StructArray.from_arrays([flat.field(f) for f in ("pos", *POINT)], names=["pos", *POINT])
+            carried = 0 if held is None else len(held)
+            pool = points if held is None else pa.concat_arrays([held, points])
+            pos = pool.field("pos").to_numpy()
+            stops = carried + np.cumsum(sizes)
+            start, picks, centres, wanted = 0, [], [], []
+            keys = list(zip(batch.column("camera_id").to_pylist(), batch.column("_hc").to_pylist()))
+            for k, (key, end, halo) in enumerate(zip(keys, batch.column("end").to_pylist(), batch.column("_halo").to_pylist())):
+                lo, hi = int(stops[k] - sizes[k]), int(stops[k])
+                if key != group:
+                    group, total, start = key, SlidingSum(w), lo
+                for x in range(lo, hi):
+                    total.push(int(pos[x]), vectors[x - carried])
+                start += int(np.searchsorted(pos[start:hi], end - w, side="right"))
+                if not halo:
+                    wanted.append(k)
+                    picks.append((start, hi))
+                    centres.append(total.total(end))
+            if wanted:
+                offsets = np.concatenate(([0], np.cumsum([hi - lo for lo, hi in picks])))
+                rows = np.concatenate([np.arange(lo, hi) for lo, hi in picks])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).take(pa.array(wanted)) for c in ("camera_id", "feed_id", "batch_round")]
+                    + [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pool.take(pa.array(rows))),
+                       pa.array([None if c is None or np.isnan(c).any() else c for c in centres], pa.list_(pa.float64()))],
+                    names=["camera_id", "feed_id", "batch_round", "win", "centre"])
+            held = pool.slice(start)
+
+    types = dict(ends.dtypes)
+    ordered = ends.repartition("camera_id", "_hc").sortWithinPartitions("camera_id", "_hc", "end", "feed_id", "batch_round")
+    return ordered.mapInArrow(run, f"camera_id {types['camera_id']}, feed_id {types['feed_id']}, batch_round {types['batch_round']}, "
+                                   f"win array<{POINT_TYPE}>, centre array<double>")
+
+
+def _matrix(lists: pa.ListArray, dim: int) -> np.ndarray:
+    """Embeddings as rows; a missing element, or another length, makes a row of NaN."""
+    sizes, values = lists.value_lengths().fill_null(0).to_numpy(), lists.flatten().to_numpy(zero_copy_only=False)
+    if (sizes == dim).all():
+        return values.reshape(-1, dim)
+    out, ends = np.full((len(sizes), dim), np.nan), np.cumsum(sizes)
+    for k in np.flatnonzero(sizes == dim):
+        out[k] = values[ends[k] - dim:ends[k]]
+    return out
 
 
 def centroid_exprs(model: BaselineModel, cfg: GateConfig) -> dict[str, Column]:
-    """K6/K7: centroid cosine similarity and euclidean distance."""
-    dim = cfg.embedding_dim
+    """K6/K7: centroid cosine similarity and euclidean distance (M20) of windows with
+    ``win`` and ``centre``, the sum of their embeddings."""
     if not model.centroid:
         return {"mean_cosine_similarity": F.lit(1.0), "mean_euclidean_distance": F.lit(0.0)}
     bc = double_array_lit(model.centroid)
-    wc = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                     lambda i: F.aggregate("win", F.lit(0.0), lambda a, e: a + e["embedding"][i])
-                     / F.size("win"))
+    wc = F.transform("centre", lambda x: x / F.size("win"))
     dot = F.aggregate(F.zip_with(wc, bc, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     nw = F.sqrt(F.aggregate(wc, F.lit(0.0), lambda a, x: a + x * x))
     cos_dist = F.lit(1.0) - dot / (nw * F.lit(model.centroid_norm))
@@ -253,108 +317,81 @@ def centroid_exprs(model: BaselineModel, cfg: GateConfig) -> dict[str, Column]:
             "mean_euclidean_distance": F.when(empty, F.lit(0.0)).otherwise(euclid)}
 
 
-def window_statistics(windows: DataFrame, model: BaselineModel, cfg: GateConfig) -> DataFrame:
-    """K1 + K6/K7 for full windows: ks_num per feature and centroid metrics."""
-    full = windows.where(F.size("win") >= cfg.drift_window)
+def statistics_columns(model: BaselineModel, cfg: GateConfig) -> dict[str, Column]:
+    """K1 + K6/K7 of ``win`` and ``centre``: sizes, ks_num per feature and centroid metrics."""
     cols = {"n1": F.size("win").cast("bigint"), "n2": F.lit(model.n2).cast("bigint")}
     for feat, fld in FIELD.items():
         cols[f"{feat}_ks_num"] = ks_num_expr("win", fld, model.n2)
-    cols.update(centroid_exprs(model, cfg))
-    return full.withColumns(cols).drop("win")
+    return cols | centroid_exprs(model, cfg)
+
+
+def window_statistics(windows: DataFrame, model: BaselineModel, cfg: GateConfig) -> DataFrame:
+    """The statistics of full windows."""
+    return (windows.where(F.size("win") >= cfg.drift_window)
+            .withColumns(statistics_columns(model, cfg)).drop("win", "centre"))
+
+
+def with_pvalues(stats: DataFrame, cfg: GateConfig, ks_nums: dict[str, str]) -> DataFrame:
+    """K2/K3: ``stats`` with a p-value column for each statistic column of ``ks_nums``;
+    exact up to ``exact_ks_max_n`` values a sample."""
+    exact = F.greatest("n1", "n2") <= F.lit(cfg.exact_ks_max_n)
+    # each of the two functions is given its own rows only, nulls for the others
+    out = stats.withColumns({f"_{p}_ks": F.when(exact, F.col(ks)) for ks, p in ks_nums.items()} | {
+        f"_{p}_d": F.when(~exact, F.col(ks).cast("double") / (F.col("n1") * F.col("n2"))) for ks, p in ks_nums.items()})
+    out = out.withColumns({p: F.coalesce(exact_pvalue_expr(kn=f"_{p}_ks"), large_sample_pvalue_expr(f"_{p}_d")) for p in ks_nums.values()})
+    return out.select(*stats.columns, *ks_nums.values())
 
 
 def pvalue_table(stats: DataFrame, cfg: GateConfig) -> DataFrame:
-    """K2/K3: p-value per distinct (n1, n2, ks_num) of any feature; bounded by
-    W * (W * n2 + 1) rows whatever the data volume."""
+    """p-value per distinct (n1, n2, ks_num) of any feature."""
     triples = stats.select("n1", "n2", F.explode(F.array(*[f"{f}_ks_num" for f in FIELD])).alias("ks_num")) \
         .where("ks_num is not null").distinct()
     d = F.col("ks_num").cast("double") / (F.col("n1") * F.col("n2"))
-    exact = F.greatest("n1", "n2") <= F.lit(cfg.exact_ks_max_n)
-    # heavy rows in a tiny table: spread them explicitly
-    # (AQE would coalesce the shuffle output into a single task)
-    return (triples.repartition(cfg.pvalue_partitions, "ks_num").withColumn("ks_statistic", d)
-            .withColumn("p_value", F.when(exact, exact_pvalue_expr()).otherwise(large_sample_pvalue_expr())))
-
-
-def window_reports(stats: DataFrame, cfg: GateConfig, pvalues: DataFrame | None = None) -> DataFrame:
-    """K2..K4 + K9 on each full window: statistic, p-value and flags.
-
-    Rows stay wide; every feature is looked up in the table of p-values, which
-    is sent to all executors when its bound allows, and joined by key beyond."""
-    table = pvalue_table(stats, cfg) if pvalues is None else pvalues
-    out = stats
-    for f in FIELD:
-        one = table.select("n1", "n2", F.col("ks_num").alias(f"{f}_ks_num"), F.col("ks_statistic").alias(f"{f}_ks"),
-                           F.col("p_value").alias(f"{f}_p"))
-        if cfg.drift_window * (cfg.drift_window * max(cfg.baseline_samples, 1) + 1) <= BROADCAST_PVALUES:
-            one = F.broadcast(one)
-        out = out.join(one, ["n1", "n2", f"{f}_ks_num"], "left")
+    return with_pvalues(triples.withColumn("ks_statistic", d), cfg, {"ks_num": "p_value"})
+
+
+def flagged(stats: DataFrame, cfg: GateConfig) -> DataFrame:
+    """K2..K4 + K9 on each window: statistic, p-value and flags.  Rows stay wide."""
+    out = stats.withColumns({f"{f}_ks": F.col(f"{f}_ks_num").cast("double") / (F.col("n1") * F.col("n2")) for f in FIELD})
+    out = with_pvalues(out, cfg, {f"{f}_ks_num": f"{f}_p" for f in FIELD})
     flags = {f"{f}_drift": F.coalesce(F.col(f"{f}_p") < F.lit(cfg.drift_alpha), F.lit(False)) for f in FIELD}
     return out.withColumns(flags).withColumn("drift_detected", F.expr(" or ".join(f"{f}_drift" for f in FIELD)))
 
 
-def drift_buffer(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None = None) -> DataFrame:
+def drift_buffer(batches: DataFrame, cfg: GateConfig) -> DataFrame:
     """Running count of valid rows per known batch camera (M17), as a
-    chunked prefix sum over the batch table (bounded partitions per camera).
-
-    ``offsets`` (camera_id, buffer_offset) carries the count accumulated
-    before these batches (streaming state)."""
-    out = running_sums(batches.where(_known(cfg)), "camera_id", stream_order(cfg),
-                       F.floor(F.col("batch_round") / F.lit(cfg.chunk_rounds)),
-                       {"buffer_total": F.col("valid_count")})
-    if offsets is not None:
-        out = (out.join(offsets, "camera_id", "left")
-               .withColumn("buffer_total", F.col("buffer_total") + F.coalesce("buffer_offset", F.lit(0)))
-               .drop("buffer_offset"))
-    return out
-
-
-def drift_status(batches: DataFrame, cfg: GateConfig, offsets: DataFrame | None = None) -> DataFrame:
-    """Report status per batch; empty input is tested before an unknown
-    camera (M15), then buffering until W rows exist (M16)."""
-    unknown = batches.where(~F.coalesce(_known(cfg), F.lit(False))).withColumn("buffer_total", F.lit(None).cast("bigint"))
-    b = drift_buffer(batches, cfg, offsets).unionByName(unknown)
-    known = _known(cfg)
-    empty = F.col("valid_count") == 0
-    buf = F.col("buffer_total")
-    status = (F.when(empty, F.lit("skipped")).when(~known, F.lit("skipped"))
-               .when(buf < cfg.drift_window, F.lit("buffering")).otherwise(F.lit("analyzed")))
-    reason = F.when(empty, F.lit("empty_input")).when(~known, F.lit("unknown_camera"))
-    size = (F.when(empty, F.when(known, buf).otherwise(F.lit(0)))
-             .when(~known, F.lit(None)).when(buf < cfg.drift_window, buf))
-    return b.select("feed_id", "batch_round", "camera_id", "valid_count",
-                    status.alias("status"), reason.alias("reason"),
-                    size.cast("bigint").alias("buffer_size"))
-
-
-def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
-                  cfg: GateConfig, prior_rows: DataFrame | None = None,
-                  offsets: DataFrame | None = None, cached: list | None = None,
-                  materialize=None) -> DataFrame:
-    """One drift report per batch, wide and with its ``features`` map.
-
-    Streaming state hooks: ``prior_rows`` are the last W valid rows per camera
-    seen before ``batches`` (feed_id, batch_round, seq, camera_id, features);
-    ``offsets`` their running counts.  Windows then span the state and the
-    new rows, and only the new batches get reports."""
-    windows = drift_windows(valid, batches, model, cfg, offsets, prior_rows)
-    if prior_rows is not None:
-        windows = windows.join(batches.select("feed_id", "batch_round"), ["feed_id", "batch_round"], "left_semi")
-    # one row per full window (a few numbers), read twice: for the distinct
-    # triples and for the reports
-    if materialize is not None:   # written once
-        stats = materialize(window_statistics(windows, model, cfg))
-        pvalues = materialize(pvalue_table(stats, cfg))
-    else:
-        stats = window_statistics(windows, model, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-        pvalues = pvalue_table(stats, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-        if cached is not None:  # caller releases them when done (e.g. per micro-batch)
-            cached += [stats, pvalues]
-    reports = window_reports(stats, cfg, pvalues)
-    st = drift_status(batches, cfg, offsets)
-    out = st.join(reports.drop("camera_id"), ["feed_id", "batch_round"], "left")
+    chunked prefix sum over the batch table (bounded partitions per camera)."""
+    return running_sums(batches.where(_known(cfg)), "camera_id", stream_order(cfg),
+                        F.floor(F.col("batch_round") / F.lit(cfg.chunk_rounds)),
+                        {"buffer_total": F.col("valid_count")})
+
+
+def status_columns(cfg: GateConfig, known: Column) -> dict[str, Column]:
+    """W4 from ``valid_count`` and ``buffer_total``: status, reason, buffer size; empty
+    input is tested before an unknown camera (M15), then buffering until W rows exist (M16)."""
+    empty, buf = F.col("valid_count") == 0, F.col("buffer_total")
+    few = buf < cfg.drift_window
+    size = F.when(empty, F.when(known, buf).otherwise(F.lit(0))).when(~known, F.lit(None)).when(few, buf)
+    return {
+        "status": (F.when(empty, F.lit("skipped")).when(~known, F.lit("skipped"))
+                   .when(few, F.lit("buffering")).otherwise(F.lit("analyzed"))),
+        "reason": F.when(empty, F.lit("empty_input")).when(~known, F.lit("unknown_camera")),
+        "buffer_size": size.cast("bigint")}
+
+
+def drift_status(batches: DataFrame, cfg: GateConfig) -> DataFrame:
+    """Report status per batch."""
+    known = F.coalesce(_known(cfg), F.lit(False))
+    unknown = batches.where(~known).withColumn("buffer_total", F.lit(None).cast("bigint"))
+    found = {k: v.alias(k) for k, v in status_columns(cfg, known).items()}
+    return drift_buffer(batches, cfg).unionByName(unknown).select(
+        "feed_id", "batch_round", "camera_id", "valid_count", *found.values())
+
+
+def report_columns(reports: DataFrame, cfg: GateConfig) -> DataFrame:
+    """What a report has of its window once its ``status`` is known."""
     analyzed = F.col("status") == "analyzed"
-    out = out.withColumns({
+    out = reports.withColumns({
         "window_size": F.when(analyzed, F.col("n1").cast("int")),
         "drift_detected": analyzed & F.coalesce("drift_detected", F.lit(False)),
         "alpha": F.when(analyzed, F.lit(cfg.drift_alpha)),
@@ -362,6 +399,13 @@ def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel,
     return out.withColumn("features", F.when(analyzed, features_map()))
 
 
+def drift_reports(valid: DataFrame, batches: DataFrame, model: BaselineModel, cfg: GateConfig) -> DataFrame:
+    """One drift report per batch, wide and with its ``features`` map."""
+    stats = window_statistics(drift_windows(valid, batches, model, cfg), model, cfg)
+    reports = flagged(stats, cfg).drop("camera_id")
+    return report_columns(drift_status(batches, cfg).join(reports, ["feed_id", "batch_round"], "left"), cfg)
+
+
 def drift_features(reports: DataFrame) -> DataFrame:
     """Long form: one row per analyzed report and feature."""
     rows = [F.struct(F.lit(f).alias("feature"), F.col(f"{f}_ks_num").alias("ks_num"),

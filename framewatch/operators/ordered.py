@@ -41,17 +41,23 @@ def running_sums(df: DataFrame, part: str, order: list, chunk: Column,
             .drop("_chunk", *[f"_l_{k}" for k in sums], *[f"_o_{k}" for k in sums])
 
 
-def halo_window(df: DataFrame, part: str, pos: str, span: int, chunk_size: int,
-                frame_cols: dict[str, object]) -> DataFrame:
-    """Compute ``frame_cols`` (name -> fn(window) -> Column) over the frame
-    ``pos in [cur - span, cur]`` per ``part``, with bounded partitions."""
+def halo_chunks(df: DataFrame, pos: str, span: int, chunk_size: int) -> DataFrame:
+    """``df`` with ``_hc``, the chunk of a position, and ``_halo``: 0, or 1 for the copy of a
+    row among the last ``span`` positions of a chunk that the next chunk reads."""
     if chunk_size <= span:
         raise ValueError("chunk_size must exceed the frame span")
     p = F.col(pos) - F.lit(1)
     home = F.floor(p / F.lit(chunk_size)).cast("long")
     chunks = F.when(F.pmod(p, F.lit(chunk_size)) >= F.lit(chunk_size - span), F.array(home, home + 1)) \
               .otherwise(F.array(home))
-    both = df.select("*", F.posexplode(chunks).alias("_halo", "_hc"))
+    return df.select("*", F.posexplode(chunks).alias("_halo", "_hc"))
+
+
+def halo_window(df: DataFrame, part: str, pos: str, span: int, chunk_size: int,
+                frame_cols: dict[str, object]) -> DataFrame:
+    """Compute ``frame_cols`` (name -> fn(window) -> Column) over the frame
+    ``pos in [cur - span, cur]`` per ``part``, with bounded partitions."""
+    both = halo_chunks(df, pos, span, chunk_size)
     w = Window.partitionBy(part, "_hc").orderBy(pos).rangeBetween(-span, 0)
     out = both.withColumns({name: fn(w) for name, fn in frame_cols.items()})
     return out.where(F.col("_halo") == 0).drop("_hc", "_halo")

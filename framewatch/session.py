@@ -65,6 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def share_package(spark: SparkSession | None = None) -> None:
+    """Let Python workers import this package from where the driver has it.  On a
+    cluster it is installed on the executors, and the added path does no harm."""
+    spark = spark or SparkSession.active()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "framewatch", name)

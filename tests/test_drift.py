@@ -89,7 +89,7 @@ def test_empty_and_unknown_camera(spark, make_frames, model):
 def test_centroid_metrics_identical_sets(spark, model):
     # a window equal to the baseline centroid has similarity 1 and distance 0
     c = model.centroid
-    df = spark.createDataFrame([([{"embedding": c}] * 20,)], "win array<struct<embedding:array<double>>>")
+    df = spark.createDataFrame([([1] * 20, [20 * x for x in c])], "win array<int>, centre array<double>")
     out = df.select(*[v.alias(k) for k, v in drift.centroid_exprs(model, CFG).items()]).collect()[0]
     assert out["mean_cosine_similarity"] == pytest.approx(1.0, abs=1e-12)
     assert out["mean_euclidean_distance"] == pytest.approx(0.0, abs=1e-12)
@@ -99,6 +99,53 @@ def test_empty_side_defaults(spark):
     # K8: with no baseline vectors the centroid metrics fall back to (1.0, 0.0)
     m = drift.BaselineModel(n2=1, values={"b": [1.0], "l": [1.0], "n": [1.0]},
                             cum_le={"b": [0, 1], "l": [0, 1], "n": [0, 1]}, centroid=[], centroid_norm=0.0)
-    df = spark.createDataFrame([([{"embedding": [1.0] * 8}],)], "win array<struct<embedding:array<double>>>")
+    df = spark.createDataFrame([([1], [1.0] * 8)], "win array<int>, centre array<double>")
     out = df.select(*[v.alias(k) for k, v in drift.centroid_exprs(m, CFG).items()]).collect()[0]
     assert (out["mean_cosine_similarity"], out["mean_euclidean_distance"]) == (1.0, 0.0)
+
+
+def test_sliding_sum_is_the_sum_of_the_window():
+    """Also with infinite and huge vectors, which leave no trace once they are gone."""
+    rng = np.random.default_rng(3)
+    vectors = [rng.normal(0, 1, 4) for _ in range(400)]
+    vectors[50] = np.full(4, np.inf)
+    vectors[120] = np.full(4, 1e300)
+    for w in (1, 2, 7, 60):
+        total, late = drift.SlidingSum(w), drift.SlidingSum(w)
+        for k, v in enumerate(vectors):
+            total.push(k + 1, v)
+            want = np.sum(vectors[max(0, k - w + 1):k + 1], axis=0)
+            np.testing.assert_allclose(total.total(k + 1), want, rtol=1e-12, atol=1e-12)
+            if k >= 200 - w:                     # a task that begins with a halo gets the same bits
+                late.push(k + 1, v)
+                assert k < 200 or (late.total(k + 1) == total.total(k + 1)).all()
+
+
+@pytest.mark.parametrize("w,chunk", [(20, 1 << 16), (5, 7), (64, 100)])
+def test_windows_and_centres_match_plain_python(spark, make_frames, model, w, chunk):
+    """Batches of 1 to 90 rows of two cameras; windows span batches and chunks."""
+    rng = np.random.default_rng(9)
+    cfg = CFG.with_(drift_window=w, chunk_positions=chunk)
+    spec = [(f"camera_{c}", r, healthy(int(rng.choice([1, 4, 30, 90])))) for r in range(1, 12) for c in (1, 2)]
+    frames = rows_for(spec)
+    g = qa.gate(make_frames(frames), cfg)
+    got = {(r["feed_id"], r["batch_round"]): r for r in drift.drift_windows(qa.valid_frames(g), qa.qa_batches(g), model, cfg).collect()}
+    assert len(got) == len(spec)
+    for feed, rnd, _ in spec:
+        tail = sorted(f[0] for f in frames if f[1] == feed and f[2] <= rnd)[-w:]
+        assert [p["seq"] for p in got[feed, rnd]["win"]] == tail
+        np.testing.assert_allclose(got[feed, rnd]["centre"], np.sum([frames[s][8] for s in tail], axis=0), rtol=1e-12, atol=1e-12)
+
+
+def test_large_windows(spark, make_frames, model):
+    """W = 5,000: statistics of windows that overlap almost whole, in seconds."""
+    cfg = CFG.with_(drift_window=5000, min_drift_features=1)
+    rng = np.random.default_rng(1)
+    rows = [frame(k, rnd=1 + k // 200, b=float(rng.normal(165, 10)), blur=0.1, emb=[float(x) for x in rng.normal(0, 1, 8)]) for k in range(6000)]
+    g = qa.gate(make_frames(rows), cfg)
+    got = [r for r in drift.drift_reports(qa.valid_frames(g), qa.qa_batches(g), model, cfg).collect() if r["status"] == "analyzed"]
+    assert len(got) == 6 and all(r["window_size"] == 5000 for r in got)
+    last = max(got, key=lambda r: r["batch_round"])
+    from test_ks import ks_brute
+    base = np.repeat(model.values["b"], np.diff(model.cum_le["b"]))
+    assert last["brightness_avg_ks"] == pytest.approx(ks_brute([r[6] for r in rows[1000:]], base), abs=1e-12)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framewatch.config import GateConfig
+from framewatch.functions import ks
 from framewatch.functions.ks import exact_pvalue_expr, ks_num_expr, large_sample_pvalue_expr
 from framewatch.operators.drift import BaselineModel, baseline_rows
 
@@ -119,3 +120,41 @@ def test_baseline_does_not_depend_on_the_order_of_rows(spark):
     a, b = (spark.createDataFrame(x, schema) for x in (rows, rows[::-1]))
     keys = [sorted((r["feed_id"], r["seq"]) for r in baseline_rows(x, GateConfig(), n=5).collect()) for x in (a, b)]
     assert keys[0] == keys[1] == [("camera_1", 0), ("camera_1", 1), ("camera_1", 2), ("camera_2", 0), ("camera_2", 1)]
+
+
+def test_statistic_of_a_large_window(spark):
+    """5,000 values with many ties and infinities: the merge equals both step functions at every point."""
+    rng = np.random.default_rng(11)
+    base = np.round(rng.normal(0, 1, 400), 1)
+    w = np.round(rng.normal(0.1, 1, 5000), 1)
+    w[:20], w[20:30] = np.inf, -np.inf
+    b = np.sort(base)
+    points = [dict(b=float(x), b_ble=int(np.searchsorted(b, x, side="right")), b_blt=int(np.searchsorted(b, x))) for x in w]
+    df = spark.createDataFrame([(points,)], "win array<struct<b:double,b_ble:bigint,b_blt:bigint>>")
+    s = np.sort(w)
+    want = max(max(abs(int(np.searchsorted(s, p["b"], side="right")) * 400 - p["b_ble"] * 5000),
+                   abs(int(np.searchsorted(s, p["b"])) * 400 - p["b_blt"] * 5000)) for p in points)
+    assert df.select(ks_num_expr("win", "b", 400)).first()[0] == want
+    assert want / (400 * 5000) == pytest.approx(ks_brute(w, base), abs=1e-12)
+
+
+def test_band_equals_whole_diagonals():
+    """Large samples walk the band only; n1 = n2 = 5,000 takes a second or two."""
+    for a, b in ((65, 65), (70, 90), (100, 333)):
+        h = np.unique(np.linspace(1, a * b + 1, 40).astype(int))
+        assert ks.exact_pvalues(a, b, h) == pytest.approx(ks._walk_together(a, b, h), abs=1e-12)
+    p = ks.exact_pvalues(5000, 5000, np.array([500_000, 675_000, 25_000_000]))
+    limit = [2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * d * d * 2500) for k in range(1, 20)) for d in (0.02, 0.027)]
+    assert p[:2] == pytest.approx(limit, rel=0.02) and p[2] == 0.0
+
+
+def test_matrix_and_tail_agree():
+    """Where the tail takes over, it equals the matrix to its stated error."""
+    for n in (20, 100, 1000, 3000):
+        d = (ks.TAIL / n) ** 0.5
+        assert ks.one_sided_tail(n, d) == pytest.approx(1 - ks.durbin(n, d), rel=1e-7)
+    assert ks.large_sample_pvalue(100_000, 0.02) == pytest.approx(2 * np.exp(-80), rel=0.05)
+    assert ks.large_sample_pvalue(100_000, 0.004) == pytest.approx(0.0813, abs=1e-3)
+    assert [ks.large_sample_pvalue(10, d) for d in (0.0, 1.0)] == [1.0, 0.0]
+    # the published example: n = 10, d = 0.274 has P(D_n < d) = 0.6284796154565043
+    assert ks.durbin(10, 0.274) == pytest.approx(0.6284796154565043, abs=1e-12)
