@@ -17,7 +17,9 @@ shares), and the weights.  In each round every partition trains the same network
 on its own documents and sends its weights, which are averaged by the number of
 times they were trained.  The rounds share out the positions: over all of them
 every token of every document is hidden once.  The network, with its table of
-embeddings, is of fixed size; the word counts are not.
+embeddings, is of fixed size; the word counts are not.  Documents are dealt to the
+partitions by a hash of theirs, in its order, and the number of partitions follows the number of
+tokens, so scores do not depend on the layout of the files (but for the rounding of sums).
 
 Defined cases: null or empty text has no tokens, score 0 and a null mean;
 repeated rows are trained on and scored as often as they come; an empty table
@@ -39,17 +41,23 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
+SLOT_BITS = 18
+SLOT_MASK = (1 << SLOT_BITS) - 1
+
+
 @dataclass(frozen=True)
 class WindowNetwork:
     vocabulary: int = 8192    # token ids: three quarters are words, the others buckets
     classes: int = 96
-    single: int = 48          # most frequent tokens with a class of their own
-    width: int = 24
+    single: int = 8           # most frequent tokens with a class of their own
+    width: int = 16
     window: int = 2           # tokens on each side
     mask: int = 8             # offsets of positions, dealt to the rounds
     rounds: int = 2           # at most mask
     rate: float = 0.05
-    batch: int = 2048
+    batch: int = 8192
+    part: int = 2_000_000     # tokens that one network is trained on, about, or more
+    parts: int = 20_000       # networks trained side by side, at most
 
 
 class _Hashes(dict):
@@ -72,9 +80,9 @@ def count_words(documents: DataFrame) -> DataFrame:
         known, held, n = _Hashes(), [], 0
 
         def counted() -> pa.RecordBatch:
-            words, counts = np.unique(np.concatenate(held), return_counts=True)
+            found = pa.array(np.concatenate(held)).value_counts()
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.astype(np.int64))], names=["word", "count"])
+            return pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "count"])
 
         for big in batches:
             for at in range(0, big.num_rows, 256):
@@ -97,12 +105,25 @@ class Vocabulary(NamedTuple):
     counts: np.ndarray    # of all ids
     own: int              # ids up to here are words, those above buckets
 
-    def tokens(self, words: np.ndarray) -> np.ndarray:
-        out = self.own + words % (len(self.counts) - self.own)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-            out = np.where(self.words[at] == words, self.ids[at], out)
-        return out.astype(np.uint16)
+    def table(self) -> np.ndarray:
+        """By the last SLOT_BITS bits of a hash the place of the word that has them, -1: none,
+        -2: several, which are searched for."""
+        slots = np.full(1 << SLOT_BITS, -1, np.int16)
+        at, n = np.unique(self.words & SLOT_MASK, return_counts=True)
+        slots[self.words & SLOT_MASK] = np.arange(len(self.words))
+        slots[at[n > 1]] = -2
+        return slots
+
+    def tokens(self, words: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+        at = (self.table() if table is None else table)[words & SLOT_MASK]
+        several = np.flatnonzero(at == -2)
+        if len(several):
+            at[several] = np.minimum(np.searchsorted(self.words, words[several]), len(self.words) - 1)
+        some = np.flatnonzero(at >= 0)
+        some = some[self.words[at[some]] == words[some]]
+        out = (self.own + words % (len(self.counts) - self.own)).astype(np.uint16)
+        out[some] = self.ids[at[some]]
+        return out
 
     def bucket_shares(self) -> np.ndarray:
         """By id, what is added to log(count) for a word's log-share of its id: words of a
@@ -131,14 +152,14 @@ def read_tokens(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     names = ["row", "doc_id", "tokens", "rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
+        known, table = _Hashes(), vocabulary.table()
         for big in batches:
             for at in range(0, big.num_rows, 256):
                 b = big.slice(at, 256)
                 rows = [known.of(text) for text in b.column(2).to_pylist()]
                 ends = np.cumsum([0] + [len(r) for r in rows])
                 words = np.concatenate(rows)
-                ids = vocabulary.tokens(words)
+                ids = vocabulary.tokens(words, table)
                 rare = ids >= vocabulary.own
                 offsets = np.concatenate(([0], np.cumsum(rare)))[ends]
                 yield pa.RecordBatch.from_arrays([
@@ -185,7 +206,8 @@ def start_weights(net: WindowNetwork) -> dict[str, np.ndarray]:
 
 def _sides(ids: np.ndarray, at: np.ndarray, net: WindowNetwork) -> np.ndarray:
     """Token ids around the positions ``at``; outside the text the padding id."""
-    padded = np.pad(ids.astype(np.int64), net.window, constant_values=net.vocabulary)
+    padded = np.full(len(ids) + 2 * net.window, net.vocabulary, np.uint16)
+    padded[net.window:net.window + len(ids)] = ids
     return np.stack([padded[at + o] for o in range(2 * net.window + 1) if o != net.window], axis=1)
 
 
@@ -212,7 +234,7 @@ def forward(w: dict[str, np.ndarray], sides: np.ndarray) -> tuple[np.ndarray, np
 def _by_class(kind: np.ndarray, members: Members) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
     """Order of positions by class, and of every class that is met and has tokens to
     choose from its part of that order and its places."""
-    kind = kind.astype(np.int32)
+    kind = kind.astype(np.uint16)   # sorted by counting
     order = np.argsort(kind, kind="stable")
     cuts = np.searchsorted(kind[order], np.arange(len(members.starts))).tolist()
     starts = members.starts.tolist()
@@ -245,9 +267,8 @@ def train_within(w: dict[str, np.ndarray], g: dict[str, np.ndarray], hidden: np.
         d = x @ v.T
         d += members.share[s:e]
         np.exp(np.minimum(d, 80, out=d), out=d)
-        d /= d.sum(axis=1, keepdims=True)
-        d[np.arange(b - a), slot[a:b] - s] -= 1
-        d /= len(h)
+        d /= d.sum(axis=1, keepdims=True) * len(h)
+        d[np.arange(b - a), slot[a:b] - s] -= 1 / len(h)
         back[a:b] = d @ v
         grad = d.T @ x
         squares += grad * grad
@@ -272,8 +293,9 @@ def train(w: dict[str, np.ndarray], g: dict[str, np.ndarray], sides: np.ndarray,
     dh = back * (1 - hidden * hidden)
     grad["place"] = np.stack([(dh * w["embed"][sides[:, o]]).sum(axis=0) for o in range(sides.shape[1])])
     # gradients of embeddings, summed by token: tokens sorted, runs added up
-    order = np.argsort(sides.T.ravel(), kind="stable")
-    tokens = sides.T.ravel()[order]
+    every = sides.T.ravel()
+    order = np.argsort(every, kind="stable")   # 16-bit ids are sorted by counting
+    tokens = every[order]
     starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
     each = np.concatenate([dh * w["place"][o] for o in range(sides.shape[1])])
     sums, rows = np.add.reduceat(each[order], starts, axis=0), tokens[starts]
@@ -391,7 +413,11 @@ def pseudo_likelihood(documents: DataFrame, net: WindowNetwork = WindowNetwork()
     counted = cut(count_words(corpus), "words")
     vocabulary = make_vocabulary(counted, net)
     kind, share = make_classes(vocabulary.counts, net)
-    tokens = cut(read_tokens(corpus, vocabulary), "tokens")
+    # documents are dealt out by a hash of theirs, so the networks do not depend on the files
+    parts = min(net.parts, max(1, -(-int(vocabulary.counts.sum()) // net.part)))
+    deal = F.xxhash64("doc_id", "tokens")
+    tokens = cut(read_tokens(corpus, vocabulary).withColumn("deal", deal).repartition(parts, "deal")
+                 .sortWithinPartitions("deal").drop("deal"), "tokens")
     weights = start_weights(net)
     for turn in range(net.rounds):
         weights = train_round(tokens, weights, kind, share, net, turn)

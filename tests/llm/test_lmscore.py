@@ -1,5 +1,10 @@
+import collections
+import math
+import random
+
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from framewatch.llm import lmscore as M
@@ -104,3 +109,101 @@ def test_probabilities_sum_to_one_over_all_words(spark):
         spark.createDataFrame(rows, "doc_id long, text string"), M.WindowNetwork(vocabulary=64, classes=16, single=8, batch=256), training=train).collect()}
     assert 0.85 < sum(np.exp(got[i]) for i in range(700)) < 1
     assert np.mean([got[1000 + i] for i in range(50)]) < np.mean([got[i] for i in range(700)])
+
+
+def brute(rows, net):
+    """The whole operator position by position: counts, ids, classes, rounds of Adagrad, scores."""
+    texts = {i: [xxhash.xxh64_intdigest(x) for x in (t or "").encode().lower().split()] for i, t in rows}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    count = collections.Counter(signed(x) for t in texts.values() for x in t)
+    own = net.vocabulary - net.vocabulary // 4
+    top = sorted(count, key=lambda x: (-count[x], x))[:own]
+    ident = lambda x: top.index(x) if x in top else own + x % (net.vocabulary - own)
+    ids = {i: [ident(signed(x)) for x in t] for i, t in texts.items()}
+    counts = collections.Counter({k: 0 for k in range(net.vocabulary)})
+    counts.update(x for t in ids.values() for x in t)
+    order = sorted(range(net.vocabulary), key=lambda k: (-counts[k], k))
+    kind, mass = {k: n for n, k in enumerate(order[:net.single])}, 0.0
+    total = sum(counts[k] + 1.0 for k in order[net.single:])
+    for k in order[net.single:]:
+        mass += counts[k] + 1.0
+        kind[k] = net.single + min(int(mass / total * (net.classes - net.single)), net.classes - net.single - 1)
+    of = collections.defaultdict(list)
+    for k in range(net.vocabulary):
+        of[kind[k]].append(k)
+    share = {k: math.log((counts[k] + 1.0) / sum(counts[x] + 1.0 for x in of[kind[k]])) for k in range(net.vocabulary)}
+    w = {n: x.astype(float) for n, x in M.start_weights(net).items()}
+    slot = {k: n for n, k in enumerate(x for c in sorted(of) for x in of[c])}
+    word = {k: w["word"][slot[k]] for k in slot}
+    sides = lambda t, at: [t[at + o] if 0 <= at + o < len(t) else net.vocabulary for o in range(-net.window, net.window + 1) if o]
+
+    def look(t, at):
+        x = np.tanh(sum(w["embed"][s] * w["place"][o] for o, s in enumerate(sides(t, at))))
+        p = np.exp(w["out"] @ x + w["bias"][:, 0])
+        q = np.array([math.exp(share[k] + word[k] @ x) for k in of[kind[t[at]]]])
+        return x, p / p.sum(), q / q.sum()
+
+    deal = lambda i: signed(xxhash.xxh64_intdigest(np.array(ids[i], np.uint16).tobytes(), seed=xxhash.xxh64_intdigest(np.int64(i).tobytes(), seed=42)))
+    for turn in range(net.rounds):
+        g = {n: np.full_like(x, 1e-7 if n == "word" else 1e-4) for n, x in w.items()}
+        gw = {k: np.full(net.width, 1e-7) for k in word}
+        places = [(ids[i], at) for i in sorted(ids, key=deal) for at in range(len(ids[i])) if (at - len(ids[i])) % net.mask % net.rounds == turn]
+        for start in range(0, len(places), net.batch):
+            batch = places[start:start + net.batch]
+            grad = {n: np.zeros_like(x) for n, x in w.items()}
+            grad_word = collections.defaultdict(lambda: np.zeros(net.width))
+            for t, at in batch:
+                x, p, q = look(t, at)
+                members, c = of[kind[t[at]]], kind[t[at]]
+                p[c] -= 1
+                p /= len(batch)
+                back = p @ w["out"]
+                grad["out"] += np.outer(p, x)
+                grad["bias"] += p[:, None]
+                if len(members) > 1:
+                    q = (q - [k == t[at] for k in members]) / len(batch)
+                    back = back + sum(d * word[k] for d, k in zip(q, members))
+                    for d, k in zip(q, members):
+                        grad_word[k] += d * x
+                back = back * (1 - x * x)
+                for o, s in enumerate(sides(t, at)):
+                    grad["place"][o] += back * w["embed"][s]
+                    grad["embed"][s] += back * w["place"][o]
+            for n in ("out", "bias", "place", "embed"):
+                g[n] += grad[n] ** 2
+                w[n] -= net.rate * grad[n] / np.sqrt(g[n] + 1e-8)
+            for k, x in grad_word.items():
+                gw[k] += x * x
+                word[k] = word[k] - net.rate * x / np.sqrt(gw[k] + 1e-8)
+    out = {}
+    for i, t in ids.items():
+        value = 0.0
+        for at, (k, x) in enumerate(zip(t, texts[i])):
+            _, p, q = look(t, at)
+            value += math.log(p[kind[k]]) + math.log(q[of[kind[k]].index(k)])
+            value += math.log(count[signed(x)] / (counts[k] + 1)) if k >= own else 0.0
+        out[i] = value
+    return out
+
+
+def _corpus():
+    draw = random.Random(6)
+    nouns = [f"n{k}" for k in range(40)]
+    return [(i, " ".join(draw.choice(["the", "a", *nouns[:draw.randint(2, 40)]]) for _ in range(draw.randint(0, 30)))) for i in range(40)] + [(90, None), (91, "")]
+
+
+def test_whole_operator_by_brute_force(spark):
+    net = M.WindowNetwork(vocabulary=32, classes=6, single=3, width=4, batch=50, mask=4)
+    rows = _corpus()
+    want = brute(rows, net)
+    got = {r["doc_id"]: r["log_likelihood"] for r in M.pseudo_likelihood(spark.createDataFrame(rows, "doc_id long, text string"), net).collect()}
+    assert got.keys() == want.keys()
+    for i in want:
+        assert got[i] == pytest.approx(want[i], rel=1e-4, abs=1e-4)
+
+
+def test_scores_do_not_depend_on_the_files(spark):
+    net = M.WindowNetwork(vocabulary=32, classes=6, single=3, width=4, batch=50, part=150)
+    df = spark.createDataFrame(_corpus(), "doc_id long, text string")
+    one, other = ({r["doc_id"]: r["log_likelihood"] for r in M.pseudo_likelihood(x, net).collect()} for x in (df.coalesce(1), df.repartition(7)))
+    assert one == pytest.approx(other, rel=1e-5, abs=1e-5)
