@@ -29,9 +29,9 @@ different shingles of two compared texts collide with chance about 1e-13.
 
 Defined cases: null text, or text without words, has an empty set and links with
 nothing; fewer words than k make one shingle of all of them; rows with a null
-doc_id come back with a null component and link with nothing; rows that repeat a
-doc_id repeat its text and are one node (of texts that differ under one id and
-have sets of one size, one is compared); an empty table gives an empty table; further columns of the
+doc_id come back with a null component and link with nothing; a node is a set, so texts that
+differ under one doc_id are nodes of their own and each keeps its links (its rows may then
+have unlike components); an empty table gives an empty table; further columns of the
 input are not read.
 """
 
@@ -90,64 +90,70 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     return np.unique((total + np.uint64(k - width)).view(np.int64))
 
 
-def _texts(batches: Iterator) -> Iterator[tuple[list, list]]:
+def _texts(batches: Iterator) -> Iterator[list[list]]:
     for big in batches:
-        for at in range(0, big.num_rows, 256):
-            batch = big.slice(at, 256)
-            yield batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for at in range(0, big.num_rows, 64):
+            batch = big.slice(at, 64)
+            yield [c.to_pylist() for c in batch.columns]
+
+
+def _digest(s: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(s.tobytes())
 
 
 def read_sets(documents: DataFrame, sim: Similarity) -> DataFrame:
-    """Rows of documents (doc_id, n, digest), then rows of counters (bucket, count)."""
+    """Rows of documents (doc_id, h, n, digest; h: a hash of the text), then rows of counters (bucket, count)."""
     def run(batches: Iterator) -> Iterator:
         counts = np.zeros(COUNTERS, np.int64)
-        for ids, texts in _texts(batches):
+        for ids, texts, hashes in _texts(batches):
             sets = [shingles(t, sim.words) for t in texts]
             if sets:
                 counts += np.bincount((np.concatenate(sets) & (COUNTERS - 1)), minlength=COUNTERS)
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([_digest(s) for s in sets], pa.binary()),
                 pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.int64())], names=names)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([
-            pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()),
+            pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()),
             pa.array(used.astype(np.int32)), pa.array(counts[used])], names=names)
 
-    names = ["doc_id", "n", "digest", "bucket", "count"]
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n long, digest binary, bucket int, count long")
+    names = ["doc_id", "h", "n", "digest", "bucket", "count"]
+    return documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, h long, n long, digest binary, bucket int, count long")
 
 
 def read_prefixes(documents: DataFrame, sim: Similarity, counts: np.ndarray) -> DataFrame:
-    """doc_id, n, and the first shingles of every set in the order of the counters."""
+    """doc_id, digest, n, and the first shingles of every set in the order of the counters."""
     def run(batches: Iterator) -> Iterator:
         for ids, texts in _texts(batches):
-            sizes, firsts = [], []
+            sizes, firsts, digests = [], [], []
             for t in texts:
                 s = shingles(t, sim.words)
+                digests.append(_digest(s))
                 keep = len(s) - -(-len(s) * sim.percent // 100) + SHARED if len(s) else 0
                 firsts.append(s[np.lexsort((s, counts[s & (COUNTERS - 1)]))[:keep]])
                 sizes.append(len(s))
             offsets = np.cumsum([0] + [len(f) for f in firsts]).astype(np.int32)
             values = np.concatenate(firsts) if firsts else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["doc_id", "n", "prefix"])
+                pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["doc_id", "digest", "n", "prefix"])
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n long, prefix array<long>")
+        run, "doc_id long, digest binary, n long, prefix array<long>")
 
 
 def whole_sets(documents: DataFrame, sim: Similarity) -> DataFrame:
-    """doc_id and its whole set."""
+    """doc_id, digest and the whole set."""
     def run(batches: Iterator) -> Iterator:
         for ids, texts in _texts(batches):
             sets = [shingles(t, sim.words) for t in texts]
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "set"])
+                pa.array(ids, pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()),
+                pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "digest", "set"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "id long, set binary")
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, digest binary, set binary")
 
 
 @F.pandas_udf(T.StructType([T.StructField(c, T.ArrayType(T.LongType())) for c in ("dropped", "added")]))
@@ -174,17 +180,20 @@ def common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="int64")
 
 
-def compare(pairs: DataFrame, documents: DataFrame, sim: Similarity, name: str, differ: bool = False) -> DataFrame:
-    """pairs (a, b, na, nb): written with ``both``, the size of their intersection,
+def compare(pairs: DataFrame, documents: DataFrame, classes: DataFrame, sim: Similarity, name: str, differ: bool = False) -> DataFrame:
+    """pairs (a, b, na, nb) of keys of ``classes``: written with ``both``, the size of their intersection,
     or with what b lacks of a and has besides.
 
     Only texts that stand in a pair are read into sets; b's set travels once for
     each of its pairs, a's set is looked up in place."""
-    needed = cut(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), f"{name}-ids")
+    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    needed = cut(needed.join(classes, "id").select("id", "doc_id", "digest"), f"{name}-ids")
+    ids = needed.select("doc_id")
     if needed.count() <= IDS_SENT:
-        needed = F.broadcast(needed)
-    sets = cut(whole_sets(documents.select("doc_id", "text").join(needed, "doc_id", "left_semi"), sim)
-               .dropDuplicates(["id"]), f"{name}-sets")
+        ids = F.broadcast(ids)
+    # a set is that of its class's smallest doc_id; other texts under this id have other digests
+    sets = whole_sets(documents.select("doc_id", "text").join(ids, "doc_id", "left_semi"), sim)
+    sets = cut(sets.join(needed, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]).select("id", "set"), f"{name}-sets")
     joined = (pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
               .join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a"))
     made = [F.col("d.dropped"), F.col("d.added")] if differ else ["both"]
@@ -290,24 +299,25 @@ def _pairs(blocks: DataFrame, keep) -> DataFrame:
             .select("p", F.explode(F.filter("ys", lambda q: keep(F.col("p"), q))).alias("q")))
 
 
-def similar_documents(documents: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``documents`` (doc_id, text)."""
+def similar_rows(documents: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
+    """doc_id, h (a hash of the text), n_shingles, component_id and, where a row has a set, node (its class)
+    of every row of ``documents`` (doc_id, text)."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     read = cut(read_sets(documents, sim), "sets")
-    rows = read.where(F.col("n").isNotNull()).select("doc_id", "n", "digest")
+    rows = read.where(F.col("n").isNotNull()).select("doc_id", "h", "n", "digest")
     table = read.where(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.sum("count").alias("count")).toPandas()
     counts = np.zeros(COUNTERS, np.int64)
     counts[table["bucket"].to_numpy(dtype=np.int64)] = table["count"].to_numpy(dtype=np.int64)
 
+    # a class of equal sets is a node, with a number of its own
     linkable = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = linkable.groupBy("digest", "n").agg(F.min("doc_id").alias("rep"))
-    same = linkable.join(classes, ["digest", "n"]).where(F.col("doc_id") != F.col("rep")).select(
-        F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    classes = cut(linkable.groupBy("digest", "n").agg(F.min("doc_id").alias("doc_id"))
+                  .withColumn("id", F.monotonically_increasing_id()), "classes")
 
     # index lists of shingles that two sets or more have among their first ones
-    reps = classes.select(F.col("rep").alias("doc_id"), "n").distinct()
-    entries = (read_prefixes(documents, sim, counts).dropDuplicates(["doc_id", "n"]).join(reps, ["doc_id", "n"], "left_semi")
-               .select(F.col("doc_id").alias("rep"), "n", F.posexplode("prefix").alias("pos", "token")))
+    firsts = classes.select("doc_id", "digest", F.col("id").alias("rep"))
+    entries = (read_prefixes(documents, sim, counts).join(firsts, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+               .select("rep", "n", F.posexplode("prefix").alias("pos", "token")))
     entries = cut(entries, "entries")
     lists = (entries.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("pos", "n", "rep")).alias("first"))
              .where("df > 1"))
@@ -321,7 +331,7 @@ def similar_documents(documents: DataFrame, sim: Similarity = Similarity()) -> D
         F.col("n"), F.col("pos"), first["n"], first["pos"], sim))
     stars = cut(_often(stars.select(first["rep"].alias("a"), F.col("rep").alias("b"), first["n"].alias("na"), F.col("n").alias("nb")),
                        sim), "stars")
-    compared = compare(stars, documents, sim, "stars")
+    compared = compare(stars, documents, classes, sim, "stars")
     found = linked(compared).select("a", "b")
     known = components(found, "star")
 
@@ -348,7 +358,7 @@ def similar_documents(documents: DataFrame, sim: Similarity = Similarity()) -> D
     middle = member.groupBy("cluster").agg(F.max(F.struct("lists", -F.col("rep"), "rep", "n")).alias("m")).select(
         "cluster", F.col("m.rep").alias("a"), F.col("m.n").alias("na"))
     differ = compare(cut(member.join(middle, "cluster").select("a", F.col("rep").alias("b"), "na", F.col("n").alias("nb")), "crowd"),
-                     documents, sim, "crowd", differ=True)
+                     documents, classes, sim, "crowd", differ=True)
     known_by = differ.where("dropped is not null")
     more = _links_by_difference(known_by, sim)
 
@@ -365,10 +375,18 @@ def similar_documents(documents: DataFrame, sim: Similarity = Similarity()) -> D
         F.when(F.col("p.rep") == small, F.col("q.n")).otherwise(F.col("p.n")).alias("nb")), sim)
     done = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = cut(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-    more = more.unionByName(linked(compare(pairs, documents, sim, "pairs")).select("a", "b"))
+    more = more.unionByName(linked(compare(pairs, documents, classes, sim, "pairs")).select("a", "b"))
+
+    member = components(known.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(more), "all")
+    # a component is named by its smallest doc_id
+    nodes = classes.join(member, "id", "left").withColumn("node", F.coalesce("component_id", "id"))
+    named = nodes.groupBy("node").agg(F.min("doc_id").alias("least"))
+    nodes = nodes.join(named, "node").select("digest", F.col("n").alias("_n"), "node", "least")
+    there = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    return rows.join(nodes.withColumnRenamed("digest", "_digest"), there & (F.col("digest") == F.col("_digest")) & (F.col("n") == F.col("_n")), "left").select(
+        "doc_id", "h", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "node")
+
 
-    member = components(same.unionByName(known.select(F.col("id").alias("a"), F.col("component_id").alias("b")))
-                        .unionByName(more), "all")
-    member = member.withColumnRenamed("id", "doc_id")
-    return rows.join(member, "doc_id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+def similar_documents(documents: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``documents`` (doc_id, text)."""
+    return similar_rows(documents, sim).select("doc_id", "n_shingles", "component_id")

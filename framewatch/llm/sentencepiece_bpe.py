@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-CACHED_CHUNKS = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_CHUNKS = 150_000
+CACHED_PAIRS = 300_000
 LONGEST_CACHED = 40
 ROWS_PER_BATCH = 256
 

@@ -85,3 +85,25 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(1, 40)] + [(7, 7), (900, 901), (901, 900)]
     got = {r["id"]: r["component_id"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 1 for i in [*range(1, 40), 500]}, 900: 900, 901: 900}
+
+
+def test_unlike_texts_under_one_id(spark):
+    """Each text of an id keeps its links: 2 nearly repeats one text of 1, 3 the other."""
+    draw = random.Random(2)
+    a, b = ([draw.choice("abcdefghijklmnop") + str(draw.randrange(500)) for _ in range(60)] for _ in range(2))
+    near = lambda w: " ".join([*w[:-1], "x"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (7, "else " * 9), (5, " ".join(b)), (5, " ".join(b)), (1, " ".join(a))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in J.similar_documents(df, J.Similarity(3, 90)).collect())
+    assert got == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (5, 1), (5, 1), (7, 7)]
+    node = {(r["doc_id"], r["h"]): r["node"] for r in J.similar_rows(df, J.Similarity(3, 90)).collect()}
+    assert len(set(node.values())) == 3      # of a, of b, and the other text
+
+
+@pytest.mark.parametrize("sent", [0, 10**9])
+def test_both_ways_to_find_texts(spark, make_docs, monkeypatch, sent):
+    """Texts looked up by a broadcast of ids, and by a join beyond its bound."""
+    monkeypatch.setattr(J, "IDS_SENT", sent)
+    texts = copies(3, groups=3, each=6)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.similar_documents(make_docs(texts), J.Similarity(3, 80)).collect()}
+    assert got == brute(list(enumerate(texts)), 3, 80)

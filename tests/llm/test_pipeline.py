@@ -77,6 +77,15 @@ def test_stages_take_odd_rows(spark, edge_docs, tmp_path):
     assert P.secrets(spark, edge_docs, SF).count() == edge_docs.count()
 
 
+def test_unlike_texts_under_one_id_stay(spark):
+    draw = np.random.default_rng(2)
+    a, b, c = (" ".join(f"w{x}" for x in draw.integers(0, 500, 60)) for _ in range(3))
+    rows = [(1, a), (1, b), (1, a), (2, a + " x"), (3, b + " x"), (4, c), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = sorted(((r["doc_id"], r["text"]) for r in P.jaccard_join(spark, docs, SF).collect()), key=repr)
+    assert left == sorted([(1, a), (1, b), (4, c), (4, None)], key=repr)
+
+
 @pytest.mark.parametrize("name", sorted(registry()))
 def test_registered_queries_run(spark, name):
     assert registry()[name](spark, SF).count() > 0
