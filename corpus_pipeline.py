@@ -4,9 +4,9 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the docs of the next one.  Stages keep the columns of
 the documents, whatever further columns there are; the last returns token ids.
 
-Defined cases: null or empty texts fail the quality rules; rows that repeat a
-doc_id are one document, of which one row stays after the join; rows with a null
-doc_id are never taken for copies; an empty table passes through as an empty table.
+Defined cases: null or empty texts fail the quality rules; of rows that repeat a doc_id
+and its text one stays after the join, and unlike texts under one doc_id are documents of their own;
+rows with a null doc_id are never taken for copies; an empty table passes through as an empty table.
 """
 
 from __future__ import annotations
@@ -30,14 +30,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id stays."""
+    """Of each group of similar texts the one with the smallest id stays."""
     use_package(spark)
-    similar = jaccard.similar_documents(docs, SIMILARITY)
-    copies = similar.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"))
-    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("row.text")))
-    left = rows.where("_id is not null").join(copies, F.col("_id") == F.col("_copy"), "left_anti")
-    left = left.withColumn("_first", first).where("_first = 1").select("row.*")
+    similar = jaccard.similar_rows(docs, SIMILARITY).where("node is not null").select("node", F.struct("doc_id", "h").alias("text"))
+    first = similar.groupBy("node").agg(F.min("text").alias("first"))
+    copies = similar.join(first, "node").where(F.col("text") != F.col("first")).select(
+        F.col("text.doc_id").alias("_copy"), F.col("text.h").alias("_hash")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
+    left = rows.where("_id is not null").join(copies, (F.col("_id") == F.col("_copy")) & (F.col("_h") == F.col("_hash")), "left_anti")
+    # rows of one id and text are one document
+    number = F.row_number().over(Window.partitionBy("_id", "_h").orderBy(F.xxhash64("row.source", "row.lang")))
+    left = left.withColumn("_first", number).where("_first = 1").select("row.*")
     return left.unionByName(rows.where("_id is null").select("row.*"))
 
 
