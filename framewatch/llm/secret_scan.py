@@ -3,17 +3,21 @@
 Base kinds are regular expressions, found leftmost and without overlap per kind;
 matches that are too short are dropped after the scan.  The method adds spans of
 kind ``entropy``: every unbroken run of key characters is put into a character
-class, a window slides along it, and the Shannon entropy of the window's
-characters is kept up to date from the counts of the character that leaves and
-the one that enters.  Windows at or above the limit of the class are joined to
+class and a window slides along it.  The counts of the window's characters are carried
+along: one goes down by the character that leaves, one up by that which enters, and
+the Shannon entropy follows from these two.  Windows at or above the limit of the class are joined to
 spans; runs that match the allow-list are suppressed.  Base matches are never
 suppressed.
 
+Work is linear in the text: runs are walked in pieces of PIECE characters, each with the window - 1
+characters that follow it, and places of matches are two-level running sums.
+
 Positions are code points, ends exclusive.
 
 Defined cases: null or empty text has no spans; a run shorter than the window
 has no entropy span; equal starts are put in the order of KINDS; repeated rows
-give repeated results; an empty table gives an empty table.
+give repeated results; an empty table gives an empty table.  ``find_secrets`` replaces a column
+named ``secret_spans``; ``redact`` adds none.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import let
 
+PIECE = 256     # characters of a run that are walked together
 KINDS = ("assign", "access", "hex", "entropy")
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -56,17 +61,30 @@ class SecretScan:
     ))
 
 
+def _running(x: Column) -> Column:
+    """total and running sums (out) of a short array of ints."""
+    zero = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(x, zero, lambda a, v: F.struct(
+        (a["total"] + v).alias("total"), F.concat(a["out"], F.array(a["total"] + v)).alias("out")))
+
+
+def running_sums(x: Column) -> Column:
+    """Running sums of an array of ints: of parts of 64, then of their totals."""
+    def join(parts: Column) -> Column:
+        return let(_running(F.transform(parts, lambda p: p["total"]))["out"], lambda before: F.flatten(F.transform(
+            parts, lambda p, k: F.transform(p["out"], lambda v: v + F.coalesce(F.get(before, k - 1), F.lit(0))))))
+
+    parts = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / 64).cast("int")),
+                                  lambda k: _running(F.slice(x, 64 * k + 1, F.lit(64))))
+    return let(x, lambda x: F.when(F.size(x) == 0, F.array().cast("array<int>")).otherwise(let(parts(x), join)))
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """All matches from left to right: array of (start, end, value)."""
     def place(gaps: Column, found: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
-
-        def step(a: Column, m: Column, k: Column) -> Column:
-            start = a["at"] + F.length(F.get(gaps, k))
-            return F.struct((start + F.length(m)).alias("at"), F.concat(a["out"], F.array(F.struct(
-                start.alias("start"), (start + F.length(m)).alias("end"), m.alias("value")))).alias("out"))
-        indexed = F.transform(found, lambda m, k: F.struct(m.alias("m"), k.alias("k")))
-        return F.aggregate(indexed, zero, lambda a, x: step(a, x["m"], x["k"]), lambda a: a["out"])
+        steps = F.transform(found, lambda m, k: F.length(F.get(gaps, k)) + F.length(m))
+        return F.zip_with(running_sums(steps), found, lambda end, m: F.struct(
+            (end - F.length(m)).alias("start"), end.alias("end"), m.alias("value")))
 
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return F.when(text.rlike(pattern), let(F.struct(
@@ -83,57 +101,78 @@ def _weight(n: Column) -> Column:
     return F.when(n > 0, n * F.log2(n)).otherwise(F.lit(0.0))
 
 
-def _entropy_spans(match: Column, scan: SecretScan) -> Column:
-    """Spans of a run whose windows reach the limit of its class."""
+def _high_windows(piece: Column, limit: Column, w: int) -> Column:
+    """Starts of the windows of a piece that reach the limit, from 0."""
+    def slide(c: Column, alphabet: Column) -> Column:
+        def step(a: Column, i: Column) -> Column:
+            """The i-th character enters and that of i - w leaves; sum is that of n log2 n."""
+            def move(at: Column) -> Column:
+                n_old = F.get(a["counts"], at["old"])
+                after = a["sum"] + F.coalesce(_weight(n_old - 1) - _weight(n_old), F.lit(0.0))
+                counts = F.when(at["old"] == at["new"], a["counts"]).otherwise(F.transform(
+                    a["counts"], lambda n, k: F.when(k == at["new"], n + 1).when(k == at["old"], n - 1).otherwise(n)))
+                return let(F.struct(after.alias("after"), counts.alias("counts")), lambda x: put(x, F.get(x["counts"], at["new"])))
+
+            def put(x: Column, n: Column) -> Column:
+                total = x["after"] + _weight(n) - _weight(n - 1)
+                high = (i >= w - 1) & (F.log2(F.lit(float(w))) - total / w >= limit - 1e-9)
+                return F.struct(total.alias("sum"), x["counts"].alias("counts"),
+                                F.when(high, F.concat(a["high"], F.array(i - w + 1))).otherwise(a["high"]).alias("high"))
+
+            return let(F.struct((F.get(c, i) - 1).alias("new"), F.when(i >= w, F.get(c, i - w) - 1).alias("old")), move)
+
+        zero = F.struct(F.lit(0.0).alias("sum"), F.transform(alphabet, lambda x: F.lit(0)).alias("counts"),
+                        F.array().cast("array<int>").alias("high"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(c) - 1), zero, step, lambda a: a["high"])
+
+    letters = F.filter(F.split(piece, ""), lambda x: x != "")
+    return let(letters, lambda c: let(F.array_distinct(c), lambda alphabet: let(
+        F.transform(c, lambda x: F.array_position(alphabet, x).cast("int")), lambda codes: slide(codes, alphabet))))
+
+
+def _entropy_windows(match: Column, scan: SecretScan) -> Column:
+    """Windows of a run that reach the limit of its class, in order."""
     w = scan.window
     limit = F.lit(99.0)
     for pattern, bits in reversed(scan.classes):
         limit = F.when(match["value"].rlike(f"\\A(?:{pattern})\\z"), F.lit(bits)).otherwise(limit)
 
-    def slide(c: Column, limit: Column) -> Column:
-        def count(x: Column, start: Column, length: Column) -> Column:
-            return F.size(F.filter(F.slice(c, start + 1, length), lambda y: y == x))
-
-        def step(a: Column, i: Column) -> Column:
-            """i enters, and i - w leaves once the window is full; sum is that of n log2 n."""
-            x = F.get(c, i)
-            first = F.greatest(i - w + 1, F.lit(0))
-            n_in = count(x, first, i - first)
-            out = F.get(c, i - w)
-            n_out = F.when(i >= w, count(out, i - w, F.lit(w)))
-            after = F.when(i >= w, a["sum"] - _weight(n_out) + _weight(n_out - 1)).otherwise(a["sum"])
-
-            def put(total: Column) -> Column:
-                high = (i >= w - 1) & (F.log2(F.lit(float(w))) - total / w >= limit - 1e-9)
-                start, end = match["start"] + i - w + 1, match["start"] + i + 1
-                last = F.try_element_at(a["out"], F.lit(-1))
-                one = lambda s: F.array(F.struct(s.alias("start"), F.lit(3).alias("kind"), end.alias("end")))
-                out = (F.when(~high, a["out"])
-                       .when((F.size(a["out"]) > 0) & (last["end"] >= start),
-                             F.concat(F.slice(a["out"], 1, F.size(a["out"]) - 1), one(last["start"])))
-                       .otherwise(F.concat(a["out"], one(start))))
-                return F.struct(total.alias("sum"), out.alias("out"))
-            return let(after - _weight(n_in) + _weight(n_in + 1), put)
-
-        zero = F.struct(F.lit(0.0).alias("sum"), F.array().cast(SPAN).alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(c) - 1), zero, step, lambda a: a["out"])
+    def walk(parts: Column, limit: Column) -> Column:
+        return F.flatten(F.transform(parts, lambda part, k: F.transform(
+            _high_windows(F.concat(part, F.coalesce(F.substring(F.get(parts, k + 1), 1, w - 1), F.lit(""))), limit, w),
+            lambda at: match["start"] + PIECE * k + at)))
 
     allowed = F.lit(False)
-    for pattern in scan.allowed:
-        allowed = allowed | match["value"].rlike(f"\\A(?:{pattern})\\z")
-    return let(limit, lambda b: F.when(allowed | (b > F.log2(F.lit(float(w)))), F.array().cast(SPAN)).otherwise(
-        let(F.split(match["value"], ""), lambda c: slide(F.filter(c, lambda x: x != ""), b))))
+    for pattern in scan.allowed:   # groups are repeated possessively: a loop, not a stack, in long runs
+        allowed = allowed | match["value"].rlike(f"\\A(?:{pattern})\\z".replace(")+", ")++"))
+    none = F.array().cast("array<int>")
+    return let(limit, lambda b: F.when(allowed | (b > F.log2(F.lit(float(w)))), none).otherwise(
+        let(F.regexp_extract_all(match["value"], F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), lambda parts: walk(parts, b))))
 
 
-def find_secrets(documents: DataFrame, text: str = "text", scan: SecretScan = SecretScan()) -> DataFrame:
-    """``documents`` with ``secret_spans``: array of (start, kind number, end) in order."""
-    t = F.coalesce(F.col(text), F.lit(""))
+def _islands(starts: Column, w: int) -> Column:
+    """Windows that overlap or touch, joined to spans (windows of two runs never touch)."""
+    def join(s: Column) -> Column:
+        first = F.filter(s, lambda x, k: (k == 0) | (x - F.get(s, k - 1) > w))
+        last = F.filter(s, lambda x, k: (k == F.size(s) - 1) | (F.get(s, k + 1) - x > w))
+        return F.zip_with(first, last, lambda a, b: F.struct(a.alias("start"), F.lit(3).alias("kind"), (b + w).alias("end")))
+    return let(starts, join)
+
+
+def secret_spans(text: Column, scan: SecretScan = SecretScan()) -> Column:
+    """Array of (start, kind number, end) in order."""
+    t = F.coalesce(text, F.lit(""))
     assign = F.filter(_matches(t, ASSIGN), lambda m: F.length(F.regexp_extract(m["value"], ASSIGN, 2)) >= 6)
     access = F.filter(_matches(t, ACCESS), lambda m: F.length(m["value"]) >= 20)
     runs = _matches(t, scan.run)
-    entropy = F.flatten(F.transform(runs, lambda m: _entropy_spans(m, scan)))
+    entropy = _islands(F.flatten(F.transform(runs, lambda m: _entropy_windows(m, scan))), scan.window)
     every = F.concat(_spans(assign, 0), _spans(access, 1), _spans(_matches(t, HEX), 2), entropy)
-    return documents.withColumn("secret_spans", F.sort_array(every.cast(SPAN)))
+    return F.sort_array(every.cast(SPAN))
+
+
+def find_secrets(documents: DataFrame, text: str = "text", scan: SecretScan = SecretScan()) -> DataFrame:
+    """``documents`` with ``secret_spans``: array of (start, kind number, end) in order."""
+    return documents.withColumn("secret_spans", secret_spans(F.col(text), scan))
 
 
 def spans_text(spans: Column) -> Column:
@@ -167,6 +206,5 @@ def redact(documents: DataFrame, text: str = "text", mark: str = "[SECRET]",
         return F.aggregate(spans, zero, step, lambda a: F.concat(
             a["out"], F.substring(t, a["at"] + 1, F.length(t))))
 
-    rows = find_secrets(documents, text, scan)
-    clean = F.when(F.size("secret_spans") > 0, replace(F.col(text), F.col("secret_spans"))).otherwise(F.col(text))
-    return rows.withColumn(text, clean).drop("secret_spans")
+    return documents.withColumn(text, let(secret_spans(F.col(text), scan), lambda s: F.when(
+        F.size(s) > 0, replace(F.col(text), s)).otherwise(F.col(text))))

@@ -64,9 +64,10 @@ def test_same_as_plain_python(make_docs):
 
 def test_redaction(make_docs):
     texts = odd_texts()
-    docs = make_docs(texts).withColumn("secret_spans_", F.lit(1))
+    docs = make_docs(texts).withColumn("secret_spans", F.lit(1))
     for r in S.redact(docs).collect():
         t, out, at = texts[r["doc_id"]], "", 0
+        assert r["secret_spans"] == 1
         for a, _, b in sorted(base(t) + entropy(t)):
             if a < at or (a == at and at > 0):
                 at = max(at, b)
@@ -85,3 +86,17 @@ def test_defined_cases(edge_docs):
 
 def test_no_python_in_the_plan(make_docs):
     assert not re.search("Python|Pandas|Arrow", S.scan_report(make_docs(["a"]))._jdf.queryExecution().toString())
+
+
+def test_long_runs_and_many_matches(make_docs):
+    """An unbroken run of 150,000 characters, a hundred thousand matches in one text, runs around
+    the length of a piece: linear work, and the spans of the plain version."""
+    draw = random.Random(8)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    some = lambda chars, n: "".join(draw.choices(chars, k=n))
+    texts = ["data:" + "".join(some(b64, 700) + draw.choice("xyz") * 300 for _ in range(150)), "token=abcdef " * 100_000,
+             "ab/" * 300_000 + "z"]
+    texts += [some(b64[:n], k) for n in (16, 62, 64) for k in (19, 20, 255, 256, 257, 274, 275, 276, 512, 531, 532, 800)]
+    for r in S.scan_report(make_docs(texts)).collect():
+        t = texts[r["doc_id"]]
+        assert r["spans"] == joined(base(t) + entropy(t)), len(t)
