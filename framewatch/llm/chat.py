@@ -90,46 +90,59 @@ def choose_paths(nodes: DataFrame, chat: ChatFormat) -> DataFrame:
 
 
 def format_trees(nodes: DataFrame, chat: ChatFormat = ChatFormat()) -> DataFrame:
-    """tree, leaf and ``formatted`` of every chosen path, with ``loss_spans``: the
-    parts under the loss mask as (start, end), code points of ``formatted``."""
+    """tree, leaf and ``formatted`` of every chosen path, with the parts under the loss mask:
+    ``loss_spans`` as (start, end), code points of ``formatted``, and ``loss_parts`` as
+    (turn, start, end), code points of that turn's part between two END marks.
+
+    Places are one running sum over the turns, so the work is linear in a conversation."""
     nodes = cut(nodes, "chat-nodes")
     paths = choose_paths(nodes, chat)
     turns = paths.alias("p").join(nodes.alias("n"), _same_tree("p", "n") & (F.col("p.node") == F.col("n.node"))).select(
         "p.tree", "p.leaf", "p.place", F.concat(F.lit(ROLE), escape("n.role"), F.lit(TEXT)).alias("head"),
         escape("n.text").alias("body"), (F.col("n.role") == chat.learn_from).alias("learn"))
-    whole = turns.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(F.struct(
-        (-F.col("place")).alias("order"), "head", "body", "learn"))).alias("turns"))
-    span = "array<struct<start:int,end:int>>"
-    zero = F.struct(F.lit(len(BEGIN)).alias("at"), F.array().cast(span).alias("spans"))
-
-    def step(a: Column, t: Column) -> Column:
-        start = a["at"] + F.length(t["head"])
-        end = start + F.length(t["body"])
-        return F.struct((end + len(END)).alias("at"), F.when(t["learn"], F.concat(a["spans"], F.array(F.struct(
-            start.alias("start"), end.alias("end"))))).otherwise(a["spans"]).alias("spans"))
-    return whole.select("tree", "leaf", F.concat(F.lit(BEGIN), F.array_join(F.transform(
-        "turns", lambda t: F.concat(t["head"], t["body"], F.lit(END))), "")).alias("formatted"),
-        F.aggregate("turns", zero, step, lambda a: a["spans"]).alias("loss_spans"))
+    order = Window.partitionBy("tree", "leaf").orderBy(F.desc("place"))
+    until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sized = turns.select(
+        "tree", "leaf", "place", "learn", F.concat("head", "body").alias("part"), F.length("head").alias("head"), F.length("body").alias("body"))
+    placed = sized.withColumns({
+        "turn": F.row_number().over(order) - 1,
+        "until": (F.sum(F.col("head") + F.col("body") + len(END)).over(until) + len(BEGIN) - len(END)).cast("int")})
+    span = F.struct((F.col("until") - F.col("body")).alias("start"), F.col("until").alias("end"))
+    part = F.struct("turn", F.col("head").alias("start"), (F.col("head") + F.col("body")).alias("end"))
+    whole = placed.groupBy("tree", "leaf").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "part")))["part"].alias("parts"),
+        F.sort_array(F.collect_list(F.when(F.col("learn"), F.struct(span.alias("span"), part.alias("part"))))).alias("loss"))
+    return whole.select("tree", "leaf", F.concat(F.lit(BEGIN), F.array_join("parts", END), F.lit(END)).alias("formatted"),
+                        F.col("loss.span").alias("loss_spans"), F.col("loss.part").alias("loss_parts"))
+
+
+def _parts(formatted: Column) -> Column:
+    """What stands before each END mark, without BEGIN."""
+    parts = F.split(F.substring(formatted, len(BEGIN) + 1, F.length(formatted)), END, -1)
+    return let(parts, lambda p: F.slice(p, 1, F.size(p) - 1))
 
 
 def read_formatted(formatted: Column) -> Column:
     """The turns of a formatted text: array of (role, text), unescaped."""
-    parts = F.split(F.substring(formatted, len(BEGIN) + 1, F.length(formatted)), END, -1)
-
     def turn(p: Column) -> Column:
         at = F.instr(p, TEXT)
         return F.struct(unescape(F.substring(p, len(ROLE) + 1, at - len(ROLE) - 1)).alias("role"),
                         unescape(F.substring(p, at + len(TEXT), F.length(p))).alias("text"))
-    return let(parts, lambda p: F.transform(F.slice(p, 1, F.size(p) - 1), turn))
+    return F.transform(_parts(formatted), turn)
+
+
+def read_loss(formatted: Column, loss_parts: Column) -> Column:
+    """The texts under the loss mask of a formatted text, unescaped: array of strings."""
+    return let(_parts(formatted), lambda parts: F.transform(loss_parts, lambda m: unescape(
+        F.substring(F.get(parts, m["turn"]), m["start"] + 1, m["end"] - m["start"]))))
 
 
 def conversation_digests(conversations: DataFrame, chat: ChatFormat = ChatFormat()) -> DataFrame:
     """Per conversation, read back from its formatted text: n_turns, turns_sha256,
     loss_chars, loss_sha256, formatted_chars."""
     rows = format_trees(reply_tree(conversations), chat).select(
-        F.col("tree").alias("conv_id"), "formatted", "loss_spans", read_formatted(F.col("formatted")).alias("turns"))
-    masked = F.array_join(F.transform("loss_spans", lambda s: unescape(
-        F.substring(F.col("formatted"), s["start"] + 1, s["end"] - s["start"]))), "")
+        F.col("tree").alias("conv_id"), "formatted", "loss_parts", read_formatted(F.col("formatted")).alias("turns"))
+    masked = F.array_join(read_loss(F.col("formatted"), F.col("loss_parts")), "")
     rows = rows.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(F.transform(
         "turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
         masked.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))

@@ -40,6 +40,24 @@ def test_long_conversation(spark):
     check(rows, C.conversation_digests(spark.createDataFrame(rows, SCHEMA)).collect())
 
 
+def test_very_long_conversation(spark):
+    """Work is linear in the turns: 20,000 of them, every other one under the mask."""
+    rows = [(1, t, "assistant" if t % 2 else "user", f"turn {t} </s> [INST] é") for t in range(20_000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    check(rows, C.conversation_digests(df).collect())
+
+
+def test_spans_are_those_of_the_masked_parts(spark):
+    rows = [(k, t, ("assistant", "user")[(t + k) % 2], ODD[(t + k) % len(ODD)]) for k in range(6) for t in range(2 * k + 1)]
+    for r in C.format_trees(C.reply_tree(spark.createDataFrame(rows, SCHEMA))).select(
+            "*", C.read_loss(F.col("formatted"), F.col("loss_parts")).alias("loss")).collect():
+        turns = [x for _, t, role, x in sorted((x for x in rows if x[0] == r["tree"]), key=lambda x: x[1]) if role == "assistant"]
+        spans = [r["formatted"][s:e] for s, e in r["loss_spans"]]
+        parts = r["formatted"][len(C.BEGIN):].split(C.END)
+        assert r["loss"] == [x or "" for x in turns]
+        assert spans == [parts[t][s:e] for t, s, e in r["loss_parts"]]
+
+
 def test_branches_are_ranked(spark):
     nodes = [(1, 1, None, 1.0, "user", "q"), (1, 2, 1, 0.5, "assistant", "bad"), (1, 3, 1, 2.0, "assistant", "good"),
              (1, 4, 3, 0.1, "user", "thanks"), (1, 5, 3, 0.1, "user", "more"), (1, 6, 5, -1.0, "assistant", "end"), (2, 1, None, 0.0, "user", "alone")]
