@@ -6,7 +6,7 @@ environment, so one session can run several configurations side by side.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # These must equal the reference pipeline's settings for the
@@ -21,8 +21,6 @@ KNOWN_CAMERAS = ("camera_1", "camera_2", "camera_3")
 DRIFT_BASELINE_SAMPLES = 1000
 DRIFT_WINDOW_SIZE = 20
 DRIFT_ALPHA = 0.05
-EMBEDDING_COSINE_SIM_THRESHOLD = 0.85  # reported, never used in a decision
-EMBEDDING_EUCLIDEAN_THRESHOLD = 2.0  # reported, never used in a decision
 EXACT_KS_MAX_N = 10000  # above this sample size the p-value is that of one sample
 QA_QUARANTINE_RATE_THRESHOLD = 0.15
 ORCHESTRATOR_QA_WINDOW_BATCHES = 5
@@ -65,6 +63,7 @@ class GateConfig:
     camera_id_pattern: str = CAMERA_ID_PATTERN_ASCII
     embedding_dim: int = EMBEDDING_DIM
     known_cameras: tuple[str, ...] = KNOWN_CAMERAS
+    topology: str | None = None  # folder of a table of cameras, instead of known_cameras
     baseline_samples: int = DRIFT_BASELINE_SAMPLES
     baseline_rounds: int | None = None  # rounds that make the reference period; None: give a baseline
     drift_window: int = DRIFT_WINDOW_SIZE
@@ -77,8 +76,6 @@ class GateConfig:
     chunk_rounds: int = 1024
     chunk_positions: int = 1 << 16
     chunk_records: int = 1 << 16
-    cosine_similarity_threshold: float = EMBEDDING_COSINE_SIM_THRESHOLD
-    euclidean_distance_threshold: float = EMBEDDING_EUCLIDEAN_THRESHOLD
     rate_threshold: float = QA_QUARANTINE_RATE_THRESHOLD
     qa_window_batches: int = ORCHESTRATOR_QA_WINDOW_BATCHES
     min_drift_features: int = DRIFT_MIN_FEATURES_FOR_INCIDENT
@@ -94,7 +91,6 @@ class GateConfig:
     retrain_dag_id: str = "refresh_frame_model"
     quarantine_dir: str = "quarantine"
     alerts_dir: str = "alerts"
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def with_(self, **kw) -> "GateConfig":
         return replace(self, **kw)

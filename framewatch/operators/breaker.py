@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import GateConfig
 from ..functions.text import percent_text, round4
-from .drift import feed_order, stream_order
+from ..sources import topology
 from .ordered import halo_window, running_sums
 from .qa import breaker_input
 
@@ -31,7 +31,8 @@ def rolling_quarantine_rate(records: DataFrame, cfg: GateConfig) -> DataFrame:
 
     Record ordinals per camera are a chunked prefix count; the N-record frame
     runs per (camera, ordinal chunk) with an N-1 halo (bounded partitions)."""
-    r = running_sums(records, "camera_id", stream_order(cfg), _round_chunk(cfg), {"record_ordinal": F.lit(1)})
+    r = running_sums(topology.with_place(records, cfg), "camera_id", topology.stream_order(), _round_chunk(cfg),
+                     {"record_ordinal": F.lit(1)}).drop(topology.PLACE)
     span = cfg.qa_window_batches - 1
     out = halo_window(r, "camera_id", "record_ordinal", span, cfg.chunk_records, {
         "_q": lambda w: F.sum("quarantined_count").over(w),
@@ -45,8 +46,8 @@ def latest_drift_per_camera(reports: DataFrame, cfg: GateConfig) -> DataFrame:
     """When several reports name the same camera in a round, the last
     one (configured feed order) wins."""
     cols = [c for c in reports.columns if c not in ("camera_id", "batch_round")]
-    return (reports.groupBy("camera_id", "batch_round")
-            .agg(F.max_by(F.struct(*cols), F.struct(feed_order(cfg), F.col("feed_id"))).alias("_d"))
+    return (topology.with_place(reports, cfg).groupBy("camera_id", "batch_round")
+            .agg(F.max_by(F.struct(*cols), F.struct(topology.PLACE, "feed_id")).alias("_d"))
             .select("camera_id", "batch_round", "_d.*")
             .drop("feed_id"))
 
@@ -118,8 +119,8 @@ def breaker_evaluation(batches: DataFrame, cfg: GateConfig,
     recs = recs.withColumn("reasons", reason_structs(cfg))
     recs = recs.withColumn("should_trip", F.size("reasons") > 0)
     # the latch: running count of trips per camera (chunked prefix sum)
-    recs = running_sums(recs, "camera_id", stream_order(cfg), _round_chunk(cfg),
-                        {"trips": F.col("should_trip").cast("int")})
+    recs = running_sums(topology.with_place(recs, cfg), "camera_id", topology.stream_order(), _round_chunk(cfg),
+                        {"trips": F.col("should_trip").cast("int")}).drop(topology.PLACE)
     return latch_columns(recs)
 
 

@@ -37,6 +37,7 @@ from .. import config as C
 from ..config import GateConfig
 from ..functions.ks import exact_pvalue_expr, ks_num_expr, large_sample_pvalue_expr
 from ..session import share_package
+from ..sources import topology
 from .ordered import halo_chunks, running_sums
 
 # window struct field per drift feature (embedding drift is KS on L2 norms)
@@ -53,17 +54,6 @@ def norm_expr(col: str | Column) -> Column:
     return F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
-def feed_order(cfg: GateConfig) -> Column:
-    """Place of a feed in the configured order; other feeds come last."""
-    place = F.array_position(F.array(*[F.lit(c) for c in cfg.known_cameras]), F.col("feed_id"))
-    return F.when(place > 0, place).otherwise(len(cfg.known_cameras) + 1)
-
-
-def stream_order(cfg: GateConfig) -> list[Column]:
-    """Order of the batches of one camera: round, then the configured feed order."""
-    return [F.col("batch_round"), feed_order(cfg), F.col("feed_id")]
-
-
 def baseline_rows(valid: DataFrame, cfg: GateConfig, max_round: int | None = None,
                   n: int | None = None) -> DataFrame:
     """The reference sample — the first ``n`` valid rows of a reference
@@ -172,10 +162,6 @@ def double_array_lit(values) -> Column:
                                        else f"{float(v)!r}D" for v in values) + ")")
 
 
-def _known(cfg: GateConfig) -> Column:
-    return F.col("camera_id").isin(list(cfg.known_cameras))
-
-
 def last_rows_per_batch(valid: DataFrame, w: int) -> DataFrame:
     """The last ``w`` valid rows of each batch with ``_r``, the rank from the
     batch end (1 = last row).  Planned as a partial WindowGroupLimit before
@@ -361,9 +347,10 @@ def flagged(stats: DataFrame, cfg: GateConfig) -> DataFrame:
 def drift_buffer(batches: DataFrame, cfg: GateConfig) -> DataFrame:
     """Running count of valid rows per known batch camera (M17), as a
     chunked prefix sum over the batch table (bounded partitions per camera)."""
-    return running_sums(batches.where(_known(cfg)), "camera_id", stream_order(cfg),
+    known = topology.with_place(topology.known_rows(batches, "camera_id", cfg), cfg)
+    return running_sums(known, "camera_id", topology.stream_order(),
                         F.floor(F.col("batch_round") / F.lit(cfg.chunk_rounds)),
-                        {"buffer_total": F.col("valid_count")})
+                        {"buffer_total": F.col("valid_count")}).drop(topology.PLACE)
 
 
 def status_columns(cfg: GateConfig, known: Column) -> dict[str, Column]:
@@ -381,10 +368,9 @@ def status_columns(cfg: GateConfig, known: Column) -> dict[str, Column]:
 
 def drift_status(batches: DataFrame, cfg: GateConfig) -> DataFrame:
     """Report status per batch."""
-    known = F.coalesce(_known(cfg), F.lit(False))
-    unknown = batches.where(~known).withColumn("buffer_total", F.lit(None).cast("bigint"))
-    found = {k: v.alias(k) for k, v in status_columns(cfg, known).items()}
-    return drift_buffer(batches, cfg).unionByName(unknown).select(
+    unknown = topology.unknown_rows(batches, "camera_id", cfg).withColumn("buffer_total", F.lit(None).cast("bigint"))
+    found = {k: v.alias(k) for k, v in status_columns(cfg, F.col("_known")).items()}
+    return drift_buffer(batches, cfg).withColumn("_known", F.lit(True)).unionByName(unknown.withColumn("_known", F.lit(False))).select(
         "feed_id", "batch_round", "camera_id", "valid_count", *found.values())
 
 
@@ -446,7 +432,7 @@ def tail_per_camera(valid: DataFrame, batches: DataFrame, cfg: GateConfig, n: in
     tail only if fewer than n rows come after it, so those batches are picked
     first and only their rows are ranked."""
     n = n or cfg.drift_window
-    totals = (batches.where(_known(cfg)).groupBy("camera_id")
+    totals = (topology.known_rows(batches, "camera_id", cfg).groupBy("camera_id")
               .agg(F.sum("valid_count").alias("_total")))
     last = (_contributing(batches, cfg).join(totals, "camera_id")
             .where(F.col("_total") - F.col("buffer_total") < n))

@@ -15,6 +15,7 @@ from .. import config as C
 from ..config import GateConfig
 from ..functions.rules import RULES_TYPE, Rule, evaluate_rules, has_unreadable, violation_rules
 from ..functions.text import parse_utc, utc_text
+from ..sources.topology import known_rows
 
 BATCH_KEYS = ["feed_id", "batch_round"]
 
@@ -155,5 +156,5 @@ def failed_rows_distinct(gated: DataFrame) -> DataFrame:
 
 def breaker_input(batches: DataFrame, cfg: GateConfig) -> DataFrame:
     """the slim batch record for the breaker, known cameras only."""
-    return (batches.where(F.col("camera_id").isin(list(cfg.known_cameras)))
+    return (known_rows(batches, "camera_id", cfg)
             .select(*BATCH_KEYS, "camera_id", "status", "valid_count", "quarantined_count"))

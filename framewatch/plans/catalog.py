@@ -7,6 +7,7 @@ names and rounding match the oracle SQL in :mod:`framewatch.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,9 @@ from ..config import FIXTURE_CONFIG
 from ..functions import rules as R
 from ..functions.text import compact_utc, iso_utc, percent_text, round4, frame_id as fmt_frame_id
 from ..operators import breaker, drift, qa
+from ..session import scratch_path
 from ..sources import frames as S
+from ..sources import topology
 from .pipeline import GatePipeline
 
 CFG = FIXTURE_CONFIG
@@ -71,6 +74,20 @@ def q_unknown_feeds(spark, sf):
             .select("seq", "feed_id", "batch_round", "camera_id", "frame_id"))
 
 
+@query("topology_batches")
+def q_topology_batches(spark, sf):
+    # a topology table of the data: feeds below the average number of frames are retired, small ones come first
+    sizes = S.frames_table(spark, sf).groupBy("feed_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    least = sizes.agg(F.avg("n")).scalar()
+    path = scratch_path(spark, f"topology-{uuid.uuid4().hex}")
+    topology.write_topology(sizes.select(F.col("feed_id").alias("camera_id"), F.when(F.col("n") >= least, F.col("n")).otherwise(-1).alias("place")), path)
+    cfg = CFG.with_(topology=path)
+    batches = GatePipeline.from_sf(spark, sf, cfg).batch_plan
+    rates = breaker.rolling_quarantine_rate(breaker.breaker_input(batches, cfg), cfg)
+    return topology.with_place(rates, cfg, "place").select(
+        "camera_id", "feed_id", "batch_round", "place", F.round("rolling_quarantine_rate", 9).alias("rolling_quarantine_rate"))
+
+
 @query("batch_numbering")
 def q_batch_numbering(spark, sf):
     f = S.frames_table(spark, sf)

@@ -16,7 +16,7 @@ and telemetry read only their own part of it.
     <out>/retrain_requests    S11  JSON, idempotent by request_id
     <out>/pipeline_totals     A9   parquet
 
-Usage: python -m framewatch.plans.job <frames.parquet> <out_dir> <baseline rounds> [camera ids...]
+Usage: python -m framewatch.plans.job <frames.parquet> <out_dir> <baseline rounds> [camera ids... | topology=<folder>]
 """
 
 from __future__ import annotations
@@ -73,7 +73,9 @@ def main(argv: list[str]) -> None:
     from ..session import get_spark
     frames_path, out, rounds = argv[0], argv[1], int(argv[2])
     cfg = DEFAULT_CONFIG.with_(baseline_rounds=rounds)
-    if len(argv) > 3:
+    if len(argv) > 3 and argv[3].startswith("topology="):
+        cfg = cfg.with_(topology=argv[3].removeprefix("topology="))
+    elif len(argv) > 3:
         cfg = cfg.with_(known_cameras=tuple(argv[3:]))
     spark = get_spark(app="framewatch-job")
     run_batch_job(spark, read_frames(spark, frames_path), out, cfg)

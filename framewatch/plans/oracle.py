@@ -252,6 +252,19 @@ Q["rolling_quarantine_rate"] = with_(GATED, """
 SELECT camera_id, feed_id, batch_round, round(rolling_quarantine_rate, 9) AS rolling_quarantine_rate
 FROM rated""")
 
+Q["topology_batches"] = with_(GATED, f"""
+SELECT b.camera_id, b.feed_id, b.batch_round, coalesce(p.place, 2147483647) AS place,
+       round(CASE WHEN sum(valid_count + quarantined_count) OVER w = 0 THEN 0.0
+             ELSE CAST(sum(quarantined_count) OVER w AS DOUBLE) / sum(valid_count + quarantined_count) OVER w END, 9) AS rolling_quarantine_rate
+FROM batches_x b
+JOIN (SELECT feed_id AS camera_id FROM frames GROUP BY 1 HAVING count(*) >= (SELECT avg(n) FROM (SELECT count(*) AS n FROM frames GROUP BY feed_id))) k
+  ON b.camera_id = k.camera_id
+LEFT JOIN (SELECT feed_id, CAST(count(*) AS INTEGER) AS place FROM frames GROUP BY 1
+           HAVING count(*) >= (SELECT avg(n) FROM (SELECT count(*) AS n FROM frames GROUP BY feed_id))) p
+  ON b.feed_id = p.feed_id
+WINDOW w AS (PARTITION BY b.camera_id ORDER BY batch_round, coalesce(p.place, 2147483647), b.feed_id
+             ROWS BETWEEN {_N5 - 1} PRECEDING AND CURRENT ROW)""")
+
 Q["frame_id_format"] = with_(FRAMES, """
 SELECT seq, printf('%s_b%03d_f%02d', feed_id, batch_round, seq) AS formatted_frame_id,
        printf('%s_b%03d_f%02d', feed_id, batch_round, seq) = frame_id AS same_as_source

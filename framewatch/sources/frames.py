@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import GateConfig
+from .topology import known_rows, unknown_rows
 
 # The six columns the quality gate checks, in contract order.
 CONTRACT_COLUMNS = ("timestamp", "camera_id", "frame_id", "brightness_avg",
@@ -121,23 +122,21 @@ def frames_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Feed-level source operators.
 # ---------------------------------------------------------------------------
 def feed_subset(frames: DataFrame, feed_ids) -> DataFrame:
-    """S3: one batch stream per requested feed.  On data written with
-    ``partitionBy('feed_id')`` the ``isin`` prunes whole directories."""
+    """S3: one batch stream per requested feed, given as a list or as a table with a
+    ``feed_id``.  On data written with ``partitionBy('feed_id')`` either prunes whole directories."""
+    if isinstance(feed_ids, DataFrame):
+        return frames.join(feed_ids.select("feed_id"), "feed_id", "left_semi").select(*frames.columns)
     return frames.where(F.col("feed_id").isin(list(feed_ids)))
 
 
-def known_feed(col: Column, cfg: GateConfig) -> Column:
-    return F.coalesce(col.isin(list(cfg.known_cameras)), F.lit(False))
-
-
 def unknown_feeds(frames: DataFrame, cfg: GateConfig) -> DataFrame:
     """Rows fetched from a feed that is not configured (rejected)."""
-    return frames.where(~known_feed(F.col("feed_id"), cfg))
+    return unknown_rows(frames, "feed_id", cfg)
 
 
 def accepted_feeds(frames: DataFrame, cfg: GateConfig) -> DataFrame:
     """The other side of :func:`unknown_feeds`."""
-    return frames.where(known_feed(F.col("feed_id"), cfg))
+    return known_rows(frames, "feed_id", cfg)
 
 
 def number_batches(frames: DataFrame, bucket: Column, chunk: Column) -> DataFrame:

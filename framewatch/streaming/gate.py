@@ -44,6 +44,7 @@ from ..functions.rules import contract_violations
 from ..functions.text import parse_utc, utc_text
 from ..operators import breaker, drift, incidents, qa, summary
 from ..session import share_package
+from ..sources import topology
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 POINT = ("seq", *drift.POINT[1:], "embedding")
@@ -252,8 +253,7 @@ class StatefulGate:
                                  "embedding": F.when(F.col("is_valid"), F.col("embedding"))})
         batches = rows.groupBy("feed_id").transformWithStateInPandas(
             Batches(cfg.drift_window, self.frames_per_batch, self.first_round), BATCH, "Append", "None")
-        batches = batches.withColumns({"place": drift.feed_order(cfg).cast("int"),
-                                       "known": F.coalesce(F.col("camera_id").isin(list(cfg.known_cameras)), F.lit(False))})
+        batches = topology.with_known(topology.with_place(batches, cfg, "place"), "camera_id", cfg, "known")
         found = batches.groupBy("camera_id").transformWithStateInPandas(Cameras(cfg.drift_window, cfg.qa_window_batches), CAMERA, "Append", "None")
         found = drift.flagged(found.withColumns(drift.statistics_columns(self.model, cfg)).drop("win", "centre"), cfg)
         found = found.withColumns(drift.status_columns(cfg, F.col("known")))
