@@ -1,10 +1,11 @@
 """Drift windows and reports (M15..M20, FIXTURES A3)."""
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import frame
 from framewatch.config import GateConfig
-from framewatch.operators import drift, qa
+from framewatch.operators import breaker, drift, qa
 
 CFG = GateConfig(embedding_dim=8)
 RNG = np.random.default_rng(42)
@@ -149,3 +150,17 @@ def test_large_windows(spark, make_frames, model):
     from test_ks import ks_brute
     base = np.repeat(model.values["b"], np.diff(model.cum_le["b"]))
     assert last["brightness_avg_ks"] == pytest.approx(ks_brute([r[6] for r in rows[1000:]], base), abs=1e-12)
+
+
+def test_only_drifted_reports_asked_for(spark, make_frames, model):
+    """A condition on the flags leaves the p-values where they are computed."""
+    spec = [("camera_1", 1, [(RNG.normal(80, 1), 0.12, 0) for _ in range(20)]), ("camera_2", 1, healthy(20)), ("camera_3", 1, healthy(4))]
+    g = qa.gate(make_frames(rows_for(spec)), CFG)
+    r = drift.drift_reports(qa.valid_frames(g), qa.qa_batches(g), model, CFG)
+    every = {(x["feed_id"], x["batch_round"]) for x in r.collect() if x["drift_detected"]}
+    asked = r.where((F.col("status") == "analyzed") & F.col("drift_detected")).withColumnRenamed("status", "drift_status")
+    names = breaker.drifted_features_expr(asked)
+    found = asked.select("feed_id", "batch_round", F.array_join(names, ", ").alias("names"), F.size(names).alias("n")).collect()
+    assert ("camera_1", 1) in every and {(x["feed_id"], x["batch_round"]) for x in found} == every
+    assert all(x["n"] == len(x["names"].split(", ")) for x in found)
+    assert "brightness_avg" in next(x["names"] for x in found if x["feed_id"] == "camera_1")
