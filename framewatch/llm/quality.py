@@ -13,9 +13,11 @@ scores over the trusted documents that pass the base rules.  So about that share
 documents like the trusted ones fails.  (The raw counts, which are those of all
 documents, hold each document's own ones.)
 
-The trusted target is fitted on at most ``trusted_rows`` labelled documents
-(those with the smallest hash of their id), so the ids broadcast to find them
-are bounded; the corpus counts cover all documents.
+The trusted target is fitted on every document with a trusted label, and the threshold
+is taken over all of their scores; the corpus counts cover all documents.  Trusted ids and
+scores are joined in the way Spark chooses by their size.  A trusted document's n-grams are
+written once as numbers and scored inside its own row; what reaches the driver is a
+few counts, and a thousand at a time while the threshold is narrowed down.
 
 Defined cases: null text has no words; a document with fewer than 50 words fails
 the base rules; with no trusted documents, or a target of one text alone, scores are 0;
@@ -26,6 +28,7 @@ gives an empty table; further columns are carried along in the row, whatever the
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -39,10 +42,9 @@ DIGITS = 9
 
 @dataclass(frozen=True)
 class QualityRules:
-    min_buckets: int = 1 << 12
+    min_buckets: int = 1 << 12      # both are powers of two
     max_buckets: int = 1 << 17
     grams_a_bucket: int = 4         # n-grams of the target, about, for each bucket between the two
-    trusted_rows: int = 10_000
     mixed: float = 0.1              # raw multinomial added to the target, as a share of the target's n-grams
     quantile: float = 0.02          # of the trusted documents' scores: the threshold
     min_words: int = 50
@@ -82,13 +84,18 @@ def n_grams(w: Column, buckets: int) -> Column:
         F.transform(F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: bucket(F.get(w, i), x))))
 
 
-def base_statistics(documents: DataFrame, rules: QualityRules) -> DataFrame:
+def base_statistics(documents: DataFrame) -> DataFrame:
     """The base statistics of every document, with its words and the whole row as ``row``."""
+    return statistics(documents.select(F.struct("*").alias("row"), "text"))
+
+
+def statistics(rows: DataFrame, *more: str) -> DataFrame:
+    """The base statistics of (row, text) and the further columns ``more``."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    rows = documents.select(F.struct("*").alias("row"), "text", words(F.col("text")).alias("words"), lines.alias("lines"))
+    rows = rows.select("row", *more, "text", words(F.col("text")).alias("words"), lines.alias("lines"))
     return rows.select(
-        "row", "words",
+        "row", *more, "words",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -96,12 +103,10 @@ def base_statistics(documents: DataFrame, rules: QualityRules) -> DataFrame:
         repeat_words(F.col("words")).cast("long").alias("n_repeat_words"))
 
 
-def trusted_ids(labels: DataFrame, rules: QualityRules) -> DataFrame:
-    """doc_id, trusted: at most ``trusted_rows`` ids."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_id of every document with a trusted label."""
     return (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-            .select("doc_id").distinct()
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rules.trusted_rows)
-            .select("doc_id", F.lit(1).alias("trusted")))
+            .select("doc_id").distinct())
 
 
 def bucket_count(target_words: int, rules: QualityRules) -> int:
@@ -110,15 +115,18 @@ def bucket_count(target_words: int, rules: QualityRules) -> int:
     return min(rules.max_buckets, max(rules.min_buckets, 1 << max(wanted - 1, 0).bit_length()))
 
 
-def bucket_counts(documents: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
-    """bucket, raw, target: n-grams of all documents and of the trusted ones."""
-    counts = (documents.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left")
-              .select(F.coalesce("trusted", F.lit(0)).alias("trusted"),
-                      F.explode(n_grams(words(F.col("text")), buckets)).alias("bucket"))
-              .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target")))
-    every = documents.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    return every.join(counts, "bucket", "left").select(
-        "bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target"))
+def bucket_counts(others: DataFrame, known: DataFrame, buckets: int) -> DataFrame:
+    """bucket, raw, target: n-grams of all documents and of the trusted ones (``known``, with their ``grams``)."""
+    counts = [rows.select(F.explode(grams).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).select(
+        "bucket", F.col("n").alias("raw"), (F.col("n") * trusted).alias("target")) for rows, grams, trusted in (
+        (others, n_grams(words(F.col("text")), buckets), 0), (known, folded("grams", buckets), 1))]
+    every = others.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"), F.lit(0).alias("raw"), F.lit(0).alias("target"))
+    return every.unionByName(counts[0]).unionByName(counts[1]).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+
+
+def folded(grams: str, buckets: int) -> Column:
+    """Buckets among ``buckets`` from those among a larger power of two."""
+    return F.transform(grams, lambda x: F.pmod(x, F.lit(buckets)))
 
 
 @dataclass(frozen=True)
@@ -129,25 +137,61 @@ class Multinomials:
     buckets: int
     rules: QualityRules
 
-    def ratio(self, raw: Column, target: Column, own: Column, n_own: Column) -> Column:
-        """log p_target - log p_raw of a bucket by a target without ``own`` of its n-grams
-        here and ``n_own`` in all; 0 when it has none then."""
+    def parts(self, raw: Column, target: Column) -> dict[str, Column]:
+        """What a bucket's ratio needs whatever its document: its target count, its mixed share, log p_raw (and the mix)."""
         p = (raw + 1) / F.lit(float(self.n_raw + self.buckets))
-        n = F.lit(self.n_target) - n_own
-        mixed = F.lit(self.rules.mixed) * n * p
-        return F.when(n > 0, F.log((target - own + mixed) / (n * p + mixed))).otherwise(0.0)
+        return {"target": target.cast("double"), "mixed": F.lit(self.rules.mixed) * p, "log": F.log(F.lit(1 + self.rules.mixed) * p)}
+
+    def ratio(self, part: Column, own: Column, n: Column) -> Column:
+        """log p_target - log p_raw of a bucket by a target of ``n`` n-grams, which is without ``own`` of those here."""
+        return F.log((part["target"] - own) / n + part["mixed"]) - part["log"]
 
 
 def trusted_scores(known: DataFrame, counts: DataFrame, model: Multinomials) -> DataFrame:
     """doc_id, h, base_failed, own_score of the trusted texts, each by the target without it.
-    Their n-grams are rows here: counted by text and bucket, and joined to the bucket's counts."""
-    grams = known.select("doc_id", "h", "base_failed", (2 * F.col("n_words") - 1).alias("n"),
-                         F.explode(n_grams(F.col("words"), model.buckets)).alias("bucket"))
-    own = grams.groupBy("doc_id", "h", "base_failed", "n", "bucket").agg(F.count(F.lit(1)).alias("own"))
-    ratio = model.ratio(F.col("raw"), F.col("target"), F.col("own"), F.col("n"))
-    return own.join(counts, "bucket").groupBy("doc_id", "h", "base_failed", "n").agg(
-        F.sum(F.col("own") * ratio).alias("sum")).select(
-        "doc_id", "h", "base_failed", F.round(F.col("sum") / F.col("n"), DIGITS).alias("own_score"))
+    A text's buckets are sorted, and each run of equal ones is weighed by what the others leave there."""
+    parts = F.struct("bucket", *[v.alias(k) for k, v in model.parts(F.col("raw"), F.col("target")).items()])
+    table = cut(counts.agg(F.sort_array(F.collect_list(parts)).alias("t")), "quality-table").scalar()
+    n_left = F.lit(model.n_target) - F.size("grams")
+    rows = known.where(F.size("grams") > 0).select("*", n_left.cast("double").alias("n_left"), table.alias("_t"))
+
+    def score(t: Column, n: Column, g: Column) -> Column:
+        def run(a: Column) -> Column:      # the first has no bucket yet
+            return F.coalesce(a["own"] * model.ratio(F.get(t, a["last"]), a["own"], n), F.lit(0.0))
+        start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("own"), F.lit(0.0).alias("sum"))
+        return F.aggregate(g, start, lambda a, x: F.when(x == a["last"], F.struct(
+            a["last"].alias("last"), (a["own"] + 1).alias("own"), a["sum"].alias("sum"))).otherwise(F.struct(
+                x.alias("last"), F.lit(1.0).alias("own"), (a["sum"] + run(a)).alias("sum"))),
+            lambda a: F.round((a["sum"] + run(a)) / F.size(g), DIGITS))
+
+    own = let(F.col("_t"), lambda t: let(F.sort_array(folded("grams", model.buckets)), lambda g: score(t, F.col("n_left"), g)))
+    own = F.when(F.col("n_left") > 0, own).otherwise(0.0)
+    return rows.select("doc_id", "h", "base_failed", own.alias("own_score")).dropDuplicates(["doc_id", "h"])
+
+
+def exact_quantile(values: DataFrame, q: float) -> float | None:
+    """The interpolated quantile of the column ``x`` of numbers with ``DIGITS`` decimals; None without rows.
+    The one or two values around its place are narrowed down by their leading bits, a
+    thousand counts at a time, so no task and no driver holds the values."""
+    n = values.count()
+    if not n:
+        return None
+    at = q * (n - 1)
+    scaled = values.select(F.round(F.col("x") * 10 ** DIGITS).cast("long").alias("x"))
+    found = {rank: (0, rank) for rank in (math.floor(at), math.ceil(at))}   # leading bits so far, rank among values with them
+    for shift in (60, 50, 40, 30, 20, 10, 0):
+        part = scaled if shift == 60 else scaled.where(F.shiftright("x", shift + 10).isin([p for p, _ in found.values()]))
+        counts = sorted((r["p"], r["n"]) for r in part.groupBy(F.shiftright("x", shift).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for rank, (above, left) in found.items():
+            for p, c in counts:
+                if shift < 60 and p >> 10 != above:
+                    continue
+                if left < c:
+                    found[rank] = (p, left)
+                    break
+                left -= c
+    low, high = (found[rank][0] / 10 ** DIGITS for rank in (math.floor(at), math.ceil(at)))
+    return low if low == high else (math.ceil(at) - at) * low + (at - math.floor(at)) * high
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
@@ -156,24 +200,29 @@ def quality_rules(documents: DataFrame, labels: DataFrame, rules: QualityRules =
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     digest = F.xxhash64("row.text")
-    trusted = cut(trusted_ids(labels, rules), "quality-trusted")
-    texts = documents.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id")), "doc_id", "left_semi").distinct()
-    known = cut(base_statistics(texts, rules).select(
-        F.col("row.doc_id").alias("doc_id"), digest.alias("h"), "words", "n_words", failed.alias("base_failed")), "quality-known")
+    trusted = cut(trusted_ids(labels), "quality-trusted")
+    texts = documents.select("doc_id", "text").join(trusted, "doc_id", "left_semi")
+    known = cut(base_statistics(texts).select(
+        F.col("row.doc_id").alias("doc_id"), digest.alias("h"), n_grams(F.col("words"), rules.max_buckets).alias("grams"),
+        "n_words", failed.alias("base_failed")), "quality-known")
     # three numbers to the driver
-    buckets = bucket_count(known.agg(F.sum("n_words").alias("n")).first()["n"] or 0, rules)
-    counts = cut(bucket_counts(documents, trusted, buckets), "quality-counts")
+    buckets = bucket_count(known.select("doc_id", "h", "n_words").distinct().agg(F.sum("n_words").alias("n")).first()["n"] or 0, rules)
+    others = documents.select("doc_id", "text").join(trusted, "doc_id", "left_anti")
+    counts = cut(bucket_counts(others, known, buckets), "quality-counts")
     totals = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     model = Multinomials(totals["raw"], totals["target"], buckets, rules)
     of_trusted = cut(trusted_scores(known, counts, model), "quality-scores")
-    threshold = of_trusted.where("not base_failed").agg(F.percentile("own_score", F.lit(rules.quantile))).scalar()
+    threshold = exact_quantile(of_trusted.where("not base_failed").select(F.col("own_score").alias("x")), rules.quantile)
 
     # one array of the size of the buckets
-    ratio = F.struct("bucket", model.ratio(F.col("raw"), F.col("target"), F.lit(0), F.lit(0)).alias("ratio"))
+    part = F.struct(*[v.alias(k) for k, v in model.parts(F.col("raw"), F.col("target")).items()])
+    ratio = model.ratio(part, F.lit(0), F.lit(float(model.n_target))) if model.n_target else F.lit(0.0)
+    ratio = F.struct("bucket", ratio.alias("ratio"))
     ratios = cut(counts.agg(F.sort_array(F.collect_list(ratio))["ratio"].alias("ratio")), "quality-ratios").scalar()
     own = of_trusted.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "own_score")
-    rows = base_statistics(documents, rules).select("*", failed.alias("base_failed"))
+    rows = documents.select(F.struct("*").alias("row"), "text")
     rows = rows.join(own, (F.col("row.doc_id") == F.col("_id")) & (digest == F.col("_h")), "left")
+    rows = statistics(rows, "own_score").select("*", failed.alias("base_failed"))
     # named once and above a join, the array moves into the score and is not copied into every row
     score = let(F.col("_ratios"), lambda r: let(n_grams(F.col("words"), buckets), lambda g: F.when(F.size(g) > 0, F.round(
         F.aggregate(g, F.lit(0.0), lambda a, b: a + F.get(r, b)) / F.size(g), DIGITS))))
@@ -181,4 +230,4 @@ def quality_rules(documents: DataFrame, labels: DataFrame, rules: QualityRules =
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.when(F.col("own_score").isNotNull(), F.col("own_score")).otherwise(score).alias("score"))
     return scored.select("*", (~F.col("base_failed") & (
-        F.col("score") >= F.coalesce(threshold, F.lit(float("-inf"))))).alias("kept"))
+        F.col("score") >= F.lit(float("-inf") if threshold is None else threshold))).alias("kept"))

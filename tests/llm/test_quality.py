@@ -133,3 +133,25 @@ def test_no_python_in_the_plan(spark, make_docs):
     labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
     plan = Q.quality_rules(make_docs(["a b", "c"]), labels)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_every_trusted_document_counts(spark):
+    """More trusted documents than the 10,000 that were drawn before: ids, target and threshold hold all of them."""
+    n = 12_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("w "), F.pmod(F.xxhash64("id"), F.lit(97)).cast("string"), F.lit(" "), (F.col("id") % 5).cast("string")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    rules = Q.QualityRules(min_words=1, min_buckets=1024, max_buckets=1024, quantile=0.3)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert Q.trusted_ids(labels).count() == n
+    same(run(docs, labels, rules), brute(rules, rows, set(range(n))))
+
+
+def test_quantile_is_exact(spark):
+    import numpy as np
+    values = np.round(np.concatenate([np.random.default_rng(5).normal(0, 3, 400), [0.0] * 40, [-1e-9, 1e-9, 50.123456789]]), 9)
+    for some in (values, values[:1], values[:2]):
+        df = spark.createDataFrame([(float(x),) for x in some], "x double")
+        for q in (0.0, 0.02, 0.31, 0.5, 1.0):
+            assert Q.exact_quantile(df, q) == pytest.approx(float(np.quantile(some, q)), abs=1e-12)
+    assert Q.exact_quantile(df.limit(0), 0.5) is None
