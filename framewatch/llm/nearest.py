@@ -270,25 +270,60 @@ def search_tile(u: np.ndarray, p: np.ndarray, ids: np.ndarray, qu: np.ndarray, q
     return best, point
 
 
+class Best:
+    """The k + 1 best points so far of the queries of one chunk, best first; ties go to the smaller id."""
+
+    def __init__(self, near: Nearest) -> None:
+        self.key = np.zeros(near.chunk, np.int64)
+        self.score = np.full((near.chunk, near.k + 1), -np.inf)
+        self.ids = np.full((near.chunk, near.k + 1, near.k + 1), NO_ID)
+
+    def add(self, q: np.ndarray, keys: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        score, ids = np.concatenate((self.score[q], score), axis=1), np.concatenate((self.ids[q], ids), axis=1)
+        order = np.lexsort((ids[:, :, 0], -score), axis=1)[:, :self.score.shape[1]]
+        self.key[q], self.score[q] = keys, np.take_along_axis(score, order, 1)
+        self.ids[q] = np.take_along_axis(ids, order[:, :, None], 1)
+
+    def batch(self, chunk: int) -> pa.RecordBatch:
+        q, j = np.nonzero(self.score > -np.inf)
+        ids = self.ids[q, j]
+        there = ids != NO_ID
+        lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(there.sum(axis=1)))).astype(np.int32), pa.array(ids[there]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk] * len(q), pa.int64()), pa.array(q), pa.array(self.key[q]), pa.array(self.score[q, j]), lists],
+            names=["chunk", "q", "key", "score", "ids"])
+
+
+#: Chunks whose best points a task holds at a time, about 90 KB each.
+HELD = 512
+
+
 def search(pairs: DataFrame, near: Nearest) -> DataFrame:
     """(chunk, q, key, score, ids) of pairs of a tile (ids, u, p) and a chunk of queries
-    (chunk, q, keys, qu, qp, bound): at most k + 1 points a query and tile."""
+    (chunk, q, keys, qu, qp, bound): at most k + 1 points a query and task, whatever the
+    number of its tiles (a task lets go of the chunks it holds when they are many)."""
     width = near.k + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, Best] = {}
         for batch in batches:
             for row in range(batch.num_rows):
                 r = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
                 p, qp = (np.frombuffer(r[c]).reshape(-1, near.axes) for c in ("p", "qp"))
                 u, qu = (np.frombuffer(r[c]).reshape(-1, r["d"]) for c in ("u", "qu"))
                 ids = np.frombuffer(r["ids"], np.int64).reshape(-1, width)
-                q, keys = np.frombuffer(r["q"], np.int64), np.frombuffer(r["keys"], np.int64)
-                score, point = search_tile(u, p, ids, qu, qp, np.frombuffer(r["bound"]), near)
-                i, j = np.nonzero(point >= 0)
-                found = [[x for x in ids[k].tolist() if x != NO_ID] for k in point[i, j]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["chunk"]] * len(i), pa.int64()), pa.array(q[i]), pa.array(keys[i]), pa.array(score[i, j]),
-                     pa.array(found, pa.list_(pa.int64()))], names=["chunk", "q", "key", "score", "ids"])
+                q, keys, bound = np.frombuffer(r["q"], np.int64), np.frombuffer(r["keys"], np.int64), np.frombuffer(r["bound"])
+                score, point = search_tile(u, p, ids, qu, qp, bound, near)
+                # k + 1 points are known that are better than one beyond the bound
+                score = np.where((point >= 0) & (2 - 2 * score <= bound[:, None] + 1e-12), score, -np.inf)
+                found = np.where((score > -np.inf)[:, :, None], ids[point], NO_ID)
+                if r["chunk"] not in held and len(held) >= HELD:
+                    for chunk, best in held.items():
+                        yield best.batch(chunk)
+                    held.clear()
+                held.setdefault(r["chunk"], Best(near)).add(q, keys, score, found)
+        for chunk, best in held.items():
+            yield best.batch(chunk)
 
     return pairs.select("d", "ids", "u", "p", "chunk", "q", "keys", "qu", "qp", "bound").mapInArrow(
         run, "chunk long, q long, key long, score double, ids array<long>")
@@ -362,9 +397,10 @@ def nearest(embeddings: DataFrame, near: Nearest = Nearest()) -> DataFrame:
         F.col("u").alias("qu"), F.col("p").alias("qp"), open_bound(count).alias("bound")), "chunks")
 
     points_of = tiles.drop("id")
-    home = cut(search(chunks.join(points_of, ["d", "cell"]), near), "home")
+    # by cell, so that the tiles of a cell meet a chunk in one task and give one answer
+    home = cut(search(chunks.join(points_of.hint("merge"), ["d", "cell"]), near), "home")
     routed = cut(route(with_bounds(chunks, home, near), trees, near), "routed")
-    away = search(routed.join(points_of, ["d", "cell"]), near)
+    away = search(routed.join(points_of.hint("merge"), ["d", "cell"]), near)
 
     answers = home.unionByName(away).select("key", "score", F.explode("ids").alias("id"))
     order = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "id"))

@@ -114,3 +114,22 @@ def test_defined_cases(spark):
     assert N.nearest(empty).count() == 0
     clash = spark.createDataFrame([(r[0], r[1], "x", "y", 1) for r in rows], empty.schema)
     assert {i: len(f) for i, f in answers(spark, clash, near).items()} == {5: 5, 45: 5, 50: 5}
+
+
+def test_one_answer_a_query_whatever_the_tiles(spark):
+    """Near copies in many tiles: a task gives the best points of all of them, not those of each."""
+    draw = np.random.default_rng(8)
+    near = N.Nearest(cell=40, leaf=4, chunk=10)
+    u = N.unit_rows(draw.standard_normal(6) + 0.01 * draw.standard_normal((40, 6)))
+    p = u @ N.directions(6, near)
+    ids = np.full((40, near.k + 1), N.NO_ID)
+    ids[:, 0] = np.arange(40)
+    q, open_bound = np.arange(10), np.full(10, np.inf)
+    rows = [(6, *(bytearray(m[at:at + 4].tobytes()) for m in (ids, u, p)), 7, bytearray(q.tobytes()), bytearray((100 + q).tobytes()),
+             *(bytearray(m.tobytes()) for m in (u[:10], p[:10], open_bound))) for at in range(0, 40, 4)]
+    pairs = spark.createDataFrame(rows, "d int, ids binary, u binary, p binary, chunk long, q binary, keys binary, qu binary, qp binary, bound binary").coalesce(1)
+    got = N.search(pairs, near).collect()
+    assert len(got) == 10 * (near.k + 1)
+    for i in range(10):
+        best = sorted((-float(s), j) for j, s in enumerate(u @ u[i]))[:near.k + 1]
+        assert [r["ids"] for r in got if r["q"] == i and r["key"] == 100 + i and r["chunk"] == 7] == [[j] for _, j in best]
