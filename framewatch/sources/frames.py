@@ -14,6 +14,8 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -184,6 +186,19 @@ def _input_version(spark: SparkSession, path: str) -> str:
     return f"{path}:{total.getLength()}:{total.getFileCount()}:{status.getModificationTime()}"
 
 
+@contextmanager
+def open_writers(spark: SparkSession, n: int) -> Iterator[None]:
+    """Writes inside keep up to ``n`` partition folders open a task, so wide rows are not sorted
+    by folder, which spills more than is written; a task with more folders sorts the rest."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def frames_path(spark: SparkSession, sf_dir: str) -> str:
     """The frames fixture as a stored table (the ingest step): its path.
 
@@ -203,7 +218,8 @@ def frames_path(spark: SparkSession, sf_dir: str) -> str:
         # write aside, then one atomic rename: concurrent first users never
         # see (or clobber) a half-written table
         tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-        frames_from_events(spark, sf_dir).write.partitionBy("feed_id").parquet(tmp)
+        with open_writers(spark, FEED_WRITERS):   # a task holds a row group a feed: small ones
+            frames_from_events(spark, sf_dir).write.partitionBy("feed_id").options(**ROW_GROUPS).parquet(tmp)
         if not fs.rename(hpath(tmp), hpath(path)):
             fs.delete(hpath(tmp), True)  # another writer won; use its table
     return path
@@ -217,3 +233,6 @@ def frames_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FIXTURE_VERSION = "frames-v2"
+#: The fixture has 16 feeds and one without a name.
+FEED_WRITERS = 32
+ROW_GROUPS = {"parquet.block.size": 4 << 20, "parquet.page.size": 256 << 10, "parquet.dictionary.page.size": 256 << 10}

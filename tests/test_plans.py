@@ -100,3 +100,21 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_stored_feeds_are_written_without_a_sort(spark, tmp_path):
+    """Wide rows sorted by folder spill more than is written."""
+    from framewatch.sources.frames import FEED_WRITERS, frames_from_events, open_writers
+    frames_from_events(spark, SF_SMALL).createOrReplaceTempView("frames_to_write")
+    spark.sql(f"CREATE TABLE feeds_written (seq bigint, embedding array<double>, feed_id string) USING parquet PARTITIONED BY (feed_id) LOCATION '{tmp_path}/t'")
+
+    def text():
+        return spark.sql("EXPLAIN INSERT INTO feeds_written SELECT seq, embedding, feed_id FROM frames_to_write").first()[0]
+    try:
+        assert "Sort [feed_id" in text()
+        with open_writers(spark, FEED_WRITERS):
+            assert "Sort [feed_id" not in text()
+        assert "Sort [feed_id" in text()
+    finally:
+        spark.sql("DROP TABLE feeds_written")
+        spark.catalog.dropTempView("frames_to_write")
