@@ -14,10 +14,13 @@ documents like the trusted ones fails.  (The raw counts, which are those of all
 documents, hold each document's own ones.)
 
 The trusted target is fitted on every document with a trusted label, and the threshold
-is taken over all of their scores; the corpus counts cover all documents.  Trusted ids and
-scores are joined in the way Spark chooses by their size.  A trusted document's n-grams are
-written once as numbers and scored inside its own row; what reaches the driver is a
-few counts, and a thousand at a time while the threshold is narrowed down.
+is taken over all of their scores; the corpus counts cover all documents.  No text is
+shuffled to tell the trusted ones: a table of bits of bounded size holds all trusted ids,
+and the few other ids of the corpus that it holds, too, are found by a join of ids and
+joined to the texts in the way Spark chooses by their number.  A trusted document's statistics
+and n-grams are made once, its n-grams are written as numbers and scored inside its own row;
+what reaches the driver is a few counts, the bits, and a thousand counts at a time while the
+threshold is narrowed down.
 
 Defined cases: null text has no words; a document with fewer than 50 words fails
 the base rules; with no trusted documents, or a target of one text alone, scores are 0;
@@ -29,7 +32,9 @@ gives an empty table; further columns are carried along in the row, whatever the
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +44,12 @@ from .common import cut, let, words
 #: Scores are rounded to so many digits, so that the order of a sum decides nothing.
 DIGITS = 9
 
+#: The table of bits: so many for an id, about (a power of two in all), up to a size of 8 MB;
+#: each id sets DRAWS of them.  Above that size more ids are taken for trusted ones and told apart by join.
+BITS_AN_ID, MOST_BITS, DRAWS = 16, 1 << 26, 6
+
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
 
 @dataclass(frozen=True)
 class QualityRules:
@@ -109,6 +120,32 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .select("doc_id").distinct())
 
 
+def bits_of(ids: DataFrame, most_bits: int) -> Callable[[Column], Column]:
+    """Whether an id may be among ``ids``: true for each of them, and for few others."""
+    bits = min(most_bits, max(64, 1 << (BITS_AN_ID * ids.count()).bit_length()))
+
+    def places(x: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(F.lit(k), x.cast("string")), F.lit(bits)) for k in range(DRAWS)]
+
+    one = ids.select(F.explode(F.array(*places(F.col("doc_id")))).alias("place")).select(
+        F.shiftright("place", 6).alias("at"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("word"))
+    every = ids.sparkSession.range(bits // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("word"))
+    table = one.unionByName(every).groupBy("at").agg(F.bit_or("word").alias("word"))
+    table = cut(table.agg(F.sort_array(F.collect_list(F.struct("at", "word")))["word"].alias("t")), "quality-bits").scalar()
+    return lambda x: x.isNotNull() & reduce(lambda a, b: a & b, [
+        F.getbit(F.get(table, F.shiftright(p, 6).cast("int")), p.bitwiseAND(63).cast("int")) == 1 for p in places(x)])
+
+
+def tell_trusted(documents: DataFrame, trusted: DataFrame, most_bits: int = MOST_BITS) -> Callable[[DataFrame], DataFrame]:
+    """What adds to rows with a ``doc_id`` of ``documents`` the column ``trusted``, without a shuffle of the rows
+    (unless the bits are far too few for the ids)."""
+    among = bits_of(trusted, most_bits)
+    wrong = documents.select("doc_id").where(among(F.col("doc_id"))).distinct().join(trusted, "doc_id", "left_anti")
+    wrong = cut(wrong, "quality-wrong").select(F.col("doc_id").alias("_wrong"))
+    return lambda rows: rows.join(wrong, F.col("doc_id") == F.col("_wrong"), "left").withColumn(
+        "trusted", among(F.col("doc_id")) & F.col("_wrong").isNull()).drop("_wrong")
+
+
 def bucket_count(target_words: int, rules: QualityRules) -> int:
     """Smallest power of two with a bucket for every ``grams_a_bucket`` n-grams, inside the limits."""
     wanted = 2 * target_words // rules.grams_a_bucket
@@ -148,12 +185,12 @@ class Multinomials:
 
 
 def trusted_scores(known: DataFrame, counts: DataFrame, model: Multinomials) -> DataFrame:
-    """doc_id, h, base_failed, own_score of the trusted texts, each by the target without it.
-    A text's buckets are sorted, and each run of equal ones is weighed by what the others leave there."""
+    """doc_id, h, statistics, base_failed, own_score of the trusted texts, each by the target without it
+    (null without words).  A text's buckets are sorted, and each run of equal ones is weighed by what the others leave there."""
     parts = F.struct("bucket", *[v.alias(k) for k, v in model.parts(F.col("raw"), F.col("target")).items()])
     table = cut(counts.agg(F.sort_array(F.collect_list(parts)).alias("t")), "quality-table").scalar()
     n_left = F.lit(model.n_target) - F.size("grams")
-    rows = known.where(F.size("grams") > 0).select("*", n_left.cast("double").alias("n_left"), table.alias("_t"))
+    rows = known.select("*", n_left.cast("double").alias("n_left"), table.alias("_t"))
 
     def score(t: Column, n: Column, g: Column) -> Column:
         def run(a: Column) -> Column:      # the first has no bucket yet
@@ -165,8 +202,8 @@ def trusted_scores(known: DataFrame, counts: DataFrame, model: Multinomials) ->
             lambda a: F.round((a["sum"] + run(a)) / F.size(g), DIGITS))
 
     own = let(F.col("_t"), lambda t: let(F.sort_array(folded("grams", model.buckets)), lambda g: score(t, F.col("n_left"), g)))
-    own = F.when(F.col("n_left") > 0, own).otherwise(0.0)
-    return rows.select("doc_id", "h", "base_failed", own.alias("own_score")).dropDuplicates(["doc_id", "h"])
+    own = F.when(F.size("grams") > 0, F.when(F.col("n_left") > 0, own).otherwise(0.0))
+    return rows.select("doc_id", "h", *STATISTICS, "base_failed", own.alias("own_score")).dropDuplicates(["doc_id", "h"])
 
 
 def exact_quantile(values: DataFrame, q: float) -> float | None:
@@ -199,35 +236,34 @@ def quality_rules(documents: DataFrame, labels: DataFrame, rules: QualityRules =
     without words), kept."""
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
-    digest = F.xxhash64("row.text")
-    trusted = cut(trusted_ids(labels), "quality-trusted")
-    texts = documents.select("doc_id", "text").join(trusted, "doc_id", "left_semi")
-    known = cut(base_statistics(texts).select(
-        F.col("row.doc_id").alias("doc_id"), digest.alias("h"), n_grams(F.col("words"), rules.max_buckets).alias("grams"),
-        "n_words", failed.alias("base_failed")), "quality-known")
+    tell = tell_trusted(documents, cut(trusted_ids(labels), "quality-trusted"))
+    texts = tell(documents.select("doc_id", "text"))
+    known = cut(base_statistics(texts.where("trusted").drop("trusted")).select(
+        F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("h"),
+        n_grams(F.col("words"), rules.max_buckets).alias("grams"), *STATISTICS, failed.alias("base_failed")), "quality-known")
     # three numbers to the driver
     buckets = bucket_count(known.select("doc_id", "h", "n_words").distinct().agg(F.sum("n_words").alias("n")).first()["n"] or 0, rules)
-    others = documents.select("doc_id", "text").join(trusted, "doc_id", "left_anti")
-    counts = cut(bucket_counts(others, known, buckets), "quality-counts")
+    counts = cut(bucket_counts(texts.where("not trusted"), known, buckets), "quality-counts")
     totals = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     model = Multinomials(totals["raw"], totals["target"], buckets, rules)
     of_trusted = cut(trusted_scores(known, counts, model), "quality-scores")
-    threshold = exact_quantile(of_trusted.where("not base_failed").select(F.col("own_score").alias("x")), rules.quantile)
+    threshold = exact_quantile(of_trusted.where("not base_failed and own_score is not null").select(F.col("own_score").alias("x")), rules.quantile)
 
     # one array of the size of the buckets
     part = F.struct(*[v.alias(k) for k, v in model.parts(F.col("raw"), F.col("target")).items()])
     ratio = model.ratio(part, F.lit(0), F.lit(float(model.n_target))) if model.n_target else F.lit(0.0)
     ratio = F.struct("bucket", ratio.alias("ratio"))
     ratios = cut(counts.agg(F.sort_array(F.collect_list(ratio))["ratio"].alias("ratio")), "quality-ratios").scalar()
-    own = of_trusted.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "own_score")
-    rows = documents.select(F.struct("*").alias("row"), "text")
-    rows = rows.join(own, (F.col("row.doc_id") == F.col("_id")) & (digest == F.col("_h")), "left")
-    rows = statistics(rows, "own_score").select("*", failed.alias("base_failed"))
+    rows = tell(documents.select(F.struct("*").alias("row"), "doc_id", "text"))
+    others = statistics(rows.where("not trusted")).select("*", failed.alias("base_failed"))
     # named once and above a join, the array moves into the score and is not copied into every row
     score = let(F.col("_ratios"), lambda r: let(n_grams(F.col("words"), buckets), lambda g: F.when(F.size(g) > 0, F.round(
         F.aggregate(g, F.lit(0.0), lambda a, b: a + F.get(r, b)) / F.size(g), DIGITS))))
-    scored = rows.select("*", ratios.alias("_ratios")).select(
-        "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.when(F.col("own_score").isNotNull(), F.col("own_score")).otherwise(score).alias("score"))
-    return scored.select("*", (~F.col("base_failed") & (
+    found = ["row", *STATISTICS, "base_failed"]
+    others = others.select("*", ratios.alias("_ratios")).select(*found, score.alias("score"))
+    # the trusted ones are looked up: of their texts only what a reader of ``row`` asks for is moved
+    own = of_trusted.withColumnsRenamed({"doc_id": "_id", "h": "_h"})
+    known = rows.where("trusted").select("row", "doc_id", F.xxhash64("text").alias("h")).join(
+        own, (F.col("doc_id") == F.col("_id")) & (F.col("h") == F.col("_h"))).select(*found, F.col("own_score").alias("score"))
+    return others.unionByName(known).select("*", (~F.col("base_failed") & (
         F.col("score") >= F.lit(float("-inf") if threshold is None else threshold))).alias("kept"))

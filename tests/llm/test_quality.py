@@ -155,3 +155,38 @@ def test_quantile_is_exact(spark):
         for q in (0.0, 0.02, 0.31, 0.5, 1.0):
             assert Q.exact_quantile(df, q) == pytest.approx(float(np.quantile(some, q)), abs=1e-12)
     assert Q.exact_quantile(df.limit(0), 0.5) is None
+
+
+@pytest.mark.parametrize("most_bits", [64, 1 << 12, Q.MOST_BITS])
+def test_trusted_ids_are_told_exactly(spark, most_bits):
+    """Whatever the number of bits: every trusted id, no other, null ids never, repeated rows as they come."""
+    ids = [*range(-300, 300), 5, 5, 1 << 40, None, None]
+    docs = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    trusted = {i for i in ids if i is not None and i % 3 == 0}
+    table = spark.createDataFrame([(i,) for i in trusted | {10**6, 10**6 + 1}], "doc_id long")
+    got = [(r["doc_id"], r["trusted"]) for r in Q.tell_trusted(docs, table, most_bits)(docs).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(got, key=key) == sorted([(i, i in trusted) for i in ids], key=key)
+    none = Q.tell_trusted(docs, table.limit(0), most_bits)(docs)
+    assert none.where("trusted").count() == 0 and none.count() == len(ids)
+
+
+def test_no_text_is_shuffled(spark, tmp_path):
+    """With more trusted ids than a broadcast takes, texts and rows stay where they are read."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.range(4000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some words"), F.col("id").cast("string")).alias("text")).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality"), F.lit(0).alias("toxic"))
+    seen = []
+    plain = Q.cut
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+        Q.cut = lambda df, name: seen.append(df) or plain(df, name)
+        seen.append(Q.quality_rules(docs, labels).drop("row"))
+        for df in seen:
+            for node in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", df._sc._jvm.PythonSQLUtils.explainString(
+                    df._jdf.queryExecution(), "formatted")):
+                assert not re.search(r"\b(text|row)#", node)
+    finally:
+        Q.cut = plain
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
