@@ -49,7 +49,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text; null text: none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SEPARATORS, -1), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS, -1), "")
 
 
 def unit(*cols: Column) -> Column:

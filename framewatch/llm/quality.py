@@ -79,7 +79,9 @@ def repeat_words(w: Column) -> Column:
         return F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
 
     def hashes(w: Column) -> Column:
-        return F.transform(F.slice(w, 1, F.size(w) - 2), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+        # each word is hashed once
+        return let(F.transform(w, lambda x: F.xxhash64(x)), lambda o: F.transform(
+            F.slice(o, 1, F.size(o) - 2), lambda x, i: F.xxhash64(x, F.get(o, i + 1), F.get(o, i + 2))))
 
     # most texts repeat nothing, and their windows are not sorted
     return let(w, lambda w: F.when(F.size(w) < 4, F.lit(0)).otherwise(let(hashes(w), lambda h: F.when(
@@ -189,21 +191,22 @@ def trusted_scores(known: DataFrame, counts: DataFrame, model: Multinomials) ->
     (null without words).  A text's buckets are sorted, and each run of equal ones is weighed by what the others leave there."""
     parts = F.struct("bucket", *[v.alias(k) for k, v in model.parts(F.col("raw"), F.col("target")).items()])
     table = cut(counts.agg(F.sort_array(F.collect_list(parts)).alias("t")), "quality-table").scalar()
-    n_left = F.lit(model.n_target) - F.size("grams")
-    rows = known.select("*", n_left.cast("double").alias("n_left"), table.alias("_t"))
 
     def score(t: Column, n: Column, g: Column) -> Column:
-        def run(a: Column) -> Column:      # the first has no bucket yet
-            return F.coalesce(a["own"] * model.ratio(F.get(t, a["last"]), a["own"], n), F.lit(0.0))
-        start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("own"), F.lit(0.0).alias("sum"))
-        return F.aggregate(g, start, lambda a, x: F.when(x == a["last"], F.struct(
-            a["last"].alias("last"), (a["own"] + 1).alias("own"), a["sum"].alias("sum"))).otherwise(F.struct(
-                x.alias("last"), F.lit(1.0).alias("own"), (a["sum"] + run(a)).alias("sum"))),
-            lambda a: F.round((a["sum"] + run(a)) / F.size(g), DIGITS))
-
-    own = let(F.col("_t"), lambda t: let(F.sort_array(folded("grams", model.buckets)), lambda g: score(t, F.col("n_left"), g)))
-    own = F.when(F.size("grams") > 0, F.when(F.col("n_left") > 0, own).otherwise(0.0))
-    return rows.select("doc_id", "h", *STATISTICS, "base_failed", own.alias("own_score")).dropDuplicates(["doc_id", "h"])
+        def run(first: Column, end: Column) -> Column:
+            part, own = F.get(t, F.get(g, first)), (end - first).cast("double")
+            return own * model.ratio(part, own, n)
+        # where runs begin, and the end
+        starts = F.filter(F.sequence(F.lit(0), F.size(g)), lambda i: F.coalesce(F.get(g, i) != F.get(g, i - 1), F.lit(True)))
+        return let(starts, lambda p: F.round(F.aggregate(
+            F.sequence(F.lit(1), F.size(p) - 1), F.lit(0.0), lambda a, k: a + run(F.get(p, k - 1), F.get(p, k))) / F.size(g), DIGITS))
+
+    # the table is named once, so it moves into the score and is not copied into every row
+    n_left = (F.lit(model.n_target) - F.size("grams")).cast("double")
+    own = let(F.col("_t"), lambda t: let(n_left, lambda n: F.when(n > 0, let(
+        F.sort_array(folded("grams", model.buckets)), lambda g: score(t, n, g))).otherwise(0.0)))
+    rows = known.select("*", table.alias("_t"))
+    return rows.select("doc_id", "h", *STATISTICS, "base_failed", F.when(F.size("grams") > 0, own).alias("own_score")).dropDuplicates(["doc_id", "h"])
 
 
 def exact_quantile(values: DataFrame, q: float) -> float | None:
