@@ -34,6 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,9 @@ from .common import cut
 
 SLOT_BITS = 18
 SLOT_MASK = (1 << SLOT_BITS) - 1
+TEXT_BYTES = 8 << 20   # of texts that are cut into words at a time, about
+TOKEN_BYTES = 1 << 18  # of token ids that are laid out in one row at a time, about
+BLOCK = 512            # positions whose class logits are held at a time: they stay in the cache
 
 
 @dataclass(frozen=True)
@@ -60,40 +64,40 @@ class WindowNetwork:
     parts: int = 20_000       # networks trained side by side, at most
 
 
-class _Hashes(dict):
-    """Hashes of words, computed once each."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, text: str | None) -> np.ndarray:
-        found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        if len(self) > 200_000:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found)).view(np.int64)
+def _slices(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of about ``most`` bytes in the column; a longer value is a slice of its own."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy().astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, side="right")))
+            yield b.slice(at, end - at)
+            at = end
+
+
+def cut_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words of all the texts, for every word the place of its
+    hash, and the first word of every text and the end."""
+    rows = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    found = rows.flatten().cast(pa.binary() if texts.type == pa.string() else pa.large_binary()).dictionary_encode()
+    words, codes = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+    ends = np.concatenate(([0], np.cumsum(pc.list_value_length(rows).to_numpy())))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+    if b"" in words:   # beside white space at an end of a text
+        real = codes != words.index(b"")
+        ends = np.concatenate(([0], np.cumsum(real)))[ends]
+        codes = codes[real]
+    return hashes, codes, ends
 
 
 def count_words(documents: DataFrame) -> DataFrame:
     """word (its 64-bit hash) and count, of all words of the documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, n = _Hashes(), [], 0
-
-        def counted() -> pa.RecordBatch:
-            found = pa.array(np.concatenate(held)).value_counts()
-            held.clear()
-            return pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "count"])
-
-        for big in batches:
-            for at in range(0, big.num_rows, 256):
-                for text in big.column(0).slice(at, 256).to_pylist():
-                    held.append(known.of(text))
-                    n += len(held[-1])
-                if n >= 1 << 20:
-                    yield counted()
-                    n = 0
-        if n:
-            yield counted()
+        for b in _slices(batches, 0, TEXT_BYTES):
+            hashes, codes, _ = cut_words(b.column(0))
+            n = np.bincount(codes, minlength=len(hashes))
+            some = np.flatnonzero(n)   # not the empty word
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[some]), pa.array(n[some])], names=["word", "count"])
 
     return documents.select("text").mapInArrow(run, "word long, count long").groupBy("word").agg(F.sum("count").alias("count"))
 
@@ -152,19 +156,16 @@ def read_tokens(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     names = ["row", "doc_id", "tokens", "rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = _Hashes(), vocabulary.table()
-        for big in batches:
-            for at in range(0, big.num_rows, 256):
-                b = big.slice(at, 256)
-                rows = [known.of(text) for text in b.column(2).to_pylist()]
-                ends = np.cumsum([0] + [len(r) for r in rows])
-                words = np.concatenate(rows)
-                ids = vocabulary.tokens(words, table)
-                rare = ids >= vocabulary.own
-                offsets = np.concatenate(([0], np.cumsum(rare)))[ends]
-                yield pa.RecordBatch.from_arrays([
-                    b.column(0), b.column(1), pa.array([ids[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(words[rare]))], names=names)
+        table = vocabulary.table()
+        for b in _slices(batches, 2, TEXT_BYTES):
+            hashes, codes, ends = cut_words(b.column(2))
+            ids = vocabulary.tokens(hashes, table)[codes]
+            rare = ids >= vocabulary.own
+            offsets = np.concatenate(([0], np.cumsum(rare)))[ends]
+            yield pa.RecordBatch.from_arrays([
+                b.column(0), b.column(1),
+                pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(ids)]),
+                pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(hashes[codes[rare]]))], names=names)
 
     return documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "row long, doc_id long, tokens binary, rare array<long>")
@@ -204,11 +205,21 @@ def start_weights(net: WindowNetwork) -> dict[str, np.ndarray]:
             "word": np.zeros((net.vocabulary, net.width), np.float32)}   # rows in the order of Members
 
 
+def _in_row(texts: list[np.ndarray], net: WindowNetwork) -> tuple[np.ndarray, np.ndarray]:
+    """The texts in one row with padding around them, and the first place of each."""
+    gap = np.full(net.window, net.vocabulary, np.uint16)
+    row = np.concatenate([x for t in texts for x in (gap, t)] + [gap])
+    return row, np.cumsum([net.window] + [len(t) + net.window for t in texts[:-1]])
+
+
 def _sides(ids: np.ndarray, at: np.ndarray, net: WindowNetwork) -> np.ndarray:
     """Token ids around the positions ``at``; outside the text the padding id."""
-    padded = np.full(len(ids) + 2 * net.window, net.vocabulary, np.uint16)
-    padded[net.window:net.window + len(ids)] = ids
-    return np.stack([padded[at + o] for o in range(2 * net.window + 1) if o != net.window], axis=1)
+    row, first = _in_row([ids], net)
+    return _around(row, first + at, net)
+
+
+def _around(row: np.ndarray, at: np.ndarray, net: WindowNetwork) -> np.ndarray:
+    return np.stack([row[at + o] for o in range(-net.window, net.window + 1) if o], axis=1)
 
 
 def by_place(w: dict[str, np.ndarray]) -> list[np.ndarray]:
@@ -216,94 +227,118 @@ def by_place(w: dict[str, np.ndarray]) -> list[np.ndarray]:
     return [w["embed"] * p for p in w["place"]]
 
 
-def _log_total(logits: np.ndarray) -> np.ndarray:
-    """log of the sum of exp, by row; weights and hidden values keep logits small."""
-    return np.log(np.exp(np.minimum(logits, 80)).sum(axis=1))
+def _with_ones(hidden: np.ndarray) -> np.ndarray:
+    """For logits that have a constant each, in the last column of their weights."""
+    return np.hstack([hidden, np.ones((len(hidden), 1), hidden.dtype)])
+
+
+def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp in place, and its sum by row."""
+    if logits.max() > 80:
+        np.minimum(logits, 80, out=logits)
+    np.exp(logits, out=logits)
+    return logits, logits @ np.ones(logits.shape[1], logits.dtype)
+
+
+def _hidden(w: dict[str, np.ndarray], around: np.ndarray) -> np.ndarray:
+    """Hidden values, given the embeddings around the positions, by place."""
+    hidden = around[0] * w["place"][0]
+    for x, p in zip(around[1:], w["place"][1:], strict=True):
+        hidden += x * p
+    return np.tanh(hidden, out=hidden)
 
 
 def forward(w: dict[str, np.ndarray], sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hidden values and log-probabilities of the classes."""
-    hidden = np.zeros((len(sides), w["embed"].shape[1]), np.float32)
-    for o in range(sides.shape[1]):
-        hidden += w["embed"][sides[:, o]] * w["place"][o]
-    np.tanh(hidden, out=hidden)
-    logits = hidden @ w["out"].T + w["bias"][:, 0]
-    return hidden, logits - _log_total(logits)[:, None]
+    hidden, out = _hidden(w, w["embed"].take(sides.T, axis=0)), np.hstack([w["out"], w["bias"]])
+    logits = _with_ones(hidden) @ out.T
+    return hidden, logits - np.log(_exp(logits.copy())[1])[:, None]
 
 
-def _by_class(kind: np.ndarray, members: Members) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
-    """Order of positions by class, and of every class that is met and has tokens to
-    choose from its part of that order and its places."""
+def _by_class(kind: np.ndarray, members: Members) -> list[tuple[int, int, int, int]]:
+    """Of every class that is met and has tokens to choose from its part of the
+    positions, which are sorted by class, and its places."""
+    cuts = np.searchsorted(kind, np.arange(len(members.starts))).tolist()
+    starts = members.starts.tolist()
+    return [(cuts[c], cuts[c + 1], starts[c], starts[c + 1]) for c in range(len(starts) - 1)
+            if cuts[c] < cuts[c + 1] and starts[c + 1] - starts[c] > 1]
+
+
+def values(w: dict[str, np.ndarray], hidden: np.ndarray, kind: np.ndarray, token: np.ndarray, members: Members) -> np.ndarray:
+    """Log-probability of each token: that of its class, and its own within the class, given the hidden values."""
     kind = kind.astype(np.uint16)   # sorted by counting
     order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(len(members.starts))).tolist()
-    starts = members.starts.tolist()
-    return order, [(cuts[c], cuts[c + 1], starts[c], starts[c + 1]) for c in range(len(starts) - 1)
-                   if cuts[c] < cuts[c + 1] and starts[c + 1] - starts[c] > 1]
-
-
-def within(word: np.ndarray, hidden: np.ndarray, kind: np.ndarray, token: np.ndarray, members: Members) -> np.ndarray:
-    """Log-probability of each token within its class, given the hidden values."""
-    order, parts = _by_class(kind, members)
-    h, slot = hidden[order], members.slot[token[order]]
-    value = np.zeros(len(h), np.float32)
-    for a, b, s, e in parts:
-        logits = h[a:b] @ word[s:e].T
-        logits += members.share[s:e]
-        value[a:b] = logits[np.arange(b - a), slot[a:b] - s] - _log_total(logits)
-    out = np.empty_like(value)
-    out[order] = value
-    return out
-
-
-def train_within(w: dict[str, np.ndarray], g: dict[str, np.ndarray], hidden: np.ndarray, kind: np.ndarray, token: np.ndarray,
-                 members: Members, rate: float) -> np.ndarray:
-    """One Adagrad step for the tokens within their classes; returns the gradient of hidden."""
-    order, parts = _by_class(kind, members)
-    h, slot = hidden[order], members.slot[token[order]]
-    back = np.zeros_like(h)
-    for a, b, s, e in parts:
-        x, v, squares = h[a:b], w["word"][s:e], g["word"][s:e]
-        d = x @ v.T
-        d += members.share[s:e]
-        np.exp(np.minimum(d, 80, out=d), out=d)
-        d /= d.sum(axis=1, keepdims=True) * len(h)
-        d[np.arange(b - a), slot[a:b] - s] -= 1 / len(h)
-        back[a:b] = d @ v
-        grad = d.T @ x
-        squares += grad * grad
-        v -= rate * grad / np.sqrt(squares + 1e-8)
-    out = np.empty_like(back)
-    out[order] = back
-    return out
+    kind, h, slot = kind[order], _with_ones(hidden.take(order, axis=0)), members.slot[token[order]]
+    out, word = np.hstack([w["out"], w["bias"]]), np.column_stack([w["word"], members.share])
+    word[members.starts[:-1][np.diff(members.starts) == 1]] = 0   # no choice within the class
+    own = np.einsum("ij,ij->i", h, out.take(kind, axis=0) + word.take(slot, axis=0))
+    total, again = np.empty_like(own), np.ones_like(own)
+    for at in range(0, len(h), BLOCK):
+        total[at:at + BLOCK] = _exp(h[at:at + BLOCK] @ out.T)[1]
+    for a, b, s, e in _by_class(kind, members):
+        again[a:b] = _exp(h[a:b] @ word[s:e].T)[1]
+    value = np.empty_like(own)
+    value[order] = own - np.log(total) - np.log(again)
+    return value
+
+
+def keep_freed() -> None:
+    """Lets a worker keep the memory of one step for the next: the C library keeps about as
+    much as the largest array freed so far, and pages got anew cost a fourth of a step."""
+    np.empty(24 << 20, np.uint8)
+
+
+def _errors(x: np.ndarray, v: np.ndarray, own: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gradient of the logits, probabilities less what is so, up to the factors by
+    row, which are returned, too."""
+    d, total = _exp(x @ v.T)
+    d[each[:len(d)], own] -= total
+    return d, (1 / total)[:, None]
 
 
 def train(w: dict[str, np.ndarray], g: dict[str, np.ndarray], sides: np.ndarray, target: np.ndarray, rate: float,
           token: np.ndarray | None = None, members: Members | None = None) -> None:
     """One Adagrad step on a batch; g: sums of squared gradients.  target: classes;
     with token and members the tokens within their classes are learnt, too."""
-    hidden, logits = forward(w, sides)
-    d = np.exp(logits)
-    d[np.arange(len(d)), target] -= 1
-    d /= len(d)
-    grad = {"out": d.T @ hidden, "bias": d.sum(axis=0)[:, None]}
-    back = d @ w["out"]
+    n, width = len(target), w["embed"].shape[1]
+    target = target.astype(np.uint16)   # sorted by counting
+    order = np.argsort(target, kind="stable")
+    target, sides, each = target[order], sides[order].T.astype(np.int64), np.arange(n)
+    around = w["embed"].take(sides, axis=0)
+    hidden = _hidden(w, around)
+    h, back = _with_ones(hidden), np.empty_like(hidden)
+    out = np.hstack([w["out"], w["bias"]])
+    total = np.zeros_like(out.T)
+    for at in range(0, n, BLOCK):
+        part = slice(at, at + BLOCK)
+        d, scale = _errors(h[part], out, target[part], each)
+        total += (h[part] * scale).T @ d
+        np.multiply(d @ w["out"], scale, out=back[part])
+    total /= n
+    grad = {"out": total[:-1].T, "bias": total[-1:].T}
     if members is not None:
-        back += train_within(w, g, hidden, target, token, members, rate)
-    dh = back * (1 - hidden * hidden)
-    grad["place"] = np.stack([(dh * w["embed"][sides[:, o]]).sum(axis=0) for o in range(sides.shape[1])])
-    # gradients of embeddings, summed by token: tokens sorted, runs added up
-    every = sides.T.ravel()
-    order = np.argsort(every, kind="stable")   # 16-bit ids are sorted by counting
-    tokens = every[order]
-    starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
-    each = np.concatenate([dh * w["place"][o] for o in range(sides.shape[1])])
-    sums, rows = np.add.reduceat(each[order], starts, axis=0), tokens[starts]
-    for name, x in grad.items():
-        g[name] += x * x
-        w[name] -= rate * x / np.sqrt(g[name] + 1e-8)
-    g["embed"][rows] += sums * sums
-    w["embed"][rows] -= rate * sums / np.sqrt(g["embed"][rows] + 1e-8)
+        word, slot = np.column_stack([w["word"], members.share]), members.slot[token[order]]
+        grad["word"] = np.zeros_like(w["word"])
+        for a, b, s, e in _by_class(target, members):
+            d, scale = _errors(h[a:b], word[s:e], slot[a:b] - s, each)
+            grad["word"][s:e] = ((hidden[a:b] * scale).T @ d).T
+            back[a:b] += (d @ w["word"][s:e]) * scale
+        grad["word"] /= n
+    dh = back * (1 - hidden * hidden) / n
+    grad["place"] = np.stack([np.ones(n, dh.dtype) @ (dh * x) for x in around])
+    # gradients of embeddings, summed by token, a column at a time
+    every, columns, place = sides.ravel(), np.ascontiguousarray(dh.T, np.float64), w["place"].astype(np.float64)
+    grad["embed"], weight = np.empty_like(w["embed"]), np.empty(sides.shape)
+    for c in range(width):
+        np.multiply(place[:, c, None], columns[c], out=weight)
+        grad["embed"][:, c] = np.bincount(every, weight.ravel(), minlength=len(w["embed"]))
+    for name, x in grad.items():   # what was not met has gradient zero and stays
+        root = x * x
+        g[name] += root
+        np.sqrt(np.add(g[name], np.float32(1e-8), out=root), out=root)
+        x *= rate
+        x /= root
+        w[name] -= x
 
 
 def score(places: list[np.ndarray], w: dict[str, np.ndarray], kind: np.ndarray, share: np.ndarray,
@@ -311,26 +346,25 @@ def score(places: list[np.ndarray], w: dict[str, np.ndarray], kind: np.ndarray,
     """Summed conditional log-probabilities of every text.  The texts are laid out in
     one row with padding between them, and scored in steps of a fixed size."""
     members = members or make_members(kind, share, net)
-    gap = np.full(net.window, net.vocabulary, np.int64)
-    row = np.concatenate([x for t in texts for x in (gap, t.astype(np.int64))] + [gap])
+    row, first = _in_row(texts, net)
+    row = row.astype(np.int64)
     n = len(row) - 2 * net.window
     offsets = [o for o in range(2 * net.window + 1) if o != net.window]
     value = np.zeros(n)
-    for at in range(0, n, net.batch):
-        end = min(at + net.batch, n)
-        hidden = places[0][row[at + offsets[0]:end + offsets[0]]]
-        for p, o in zip(places[1:], offsets[1:], strict=True):
-            hidden += p[row[at + o:end + o]]
-        np.tanh(hidden, out=hidden)
-        logits = hidden @ w["out"].T
-        logits += w["bias"][:, 0]
+    step = 4 * net.batch   # few calls for each class
+    for at in range(0, n, step):
+        end = min(at + step, n)
         here = row[at + net.window:end + net.window]
         real = np.flatnonzero(here < net.vocabulary)
+        hidden = places[0].take(row[at + offsets[0] + real], axis=0)
+        for p, o in zip(places[1:], offsets[1:], strict=True):
+            hidden += p.take(row[at + o + real], axis=0)
+        np.tanh(hidden, out=hidden)
         t = here[real]
-        value[at + real] = logits[real, kind[t]] - _log_total(logits)[real] + within(w["word"], hidden[real], kind[t], t, members)
+        value[at + real] = values(w, hidden, kind[t], t, members)
     total = np.concatenate(([0.0], np.cumsum(value)))
-    ends = np.cumsum([len(t) + net.window for t in texts]) - net.window
-    return total[ends] - total[ends - np.array([len(t) for t in texts], np.int64)]
+    begin = first - net.window
+    return total[begin + np.array([len(t) for t in texts], np.int64)] - total[begin]
 
 
 def hidden_in(n: int, turn: int, net: WindowNetwork) -> np.ndarray:
@@ -347,13 +381,21 @@ def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndar
     columns = [f"w{i}" for i in range(net.width)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         first, kind, members = sent.value
         w = {k: v.copy() for k, v in first.items()}
         # a token's own vector is trained at few positions of a batch only
         g = {k: np.full_like(v, 1e-7 if k == "word" else 1e-4) for k, v in w.items()}
         seen = np.zeros(net.vocabulary + 1, np.int64)
         met = np.zeros(net.classes, np.int64)
-        sides, targets, held, steps = [], [], 0, 0
+        chosen, sides, targets, held, steps = [], [], [], 0, 0
+
+        def gather(row: np.ndarray) -> None:
+            if chosen:
+                at = np.concatenate(chosen)
+                sides.append(_around(row, at, net))
+                targets.append(row[at])
+                chosen.clear()
 
         def step() -> None:
             nonlocal held, steps
@@ -368,17 +410,19 @@ def train_round(tokens: DataFrame, weights: dict[str, np.ndarray], kind: np.ndar
             targets.clear()
             held = 0
 
-        for b in batches:
-            for raw in b.column(0):
-                ids = np.frombuffer(raw.as_py(), np.uint16)
-                hidden = hidden_in(len(ids), turn, net)
+        for b in _slices(batches, 0, TOKEN_BYTES):
+            ids = [np.frombuffer(x, np.uint16) for x in b.column(0).to_pylist()]
+            row, first = _in_row(ids, net)
+            for x, begin in zip(ids, first.tolist(), strict=True):
+                hidden = begin + hidden_in(len(x), turn, net)
                 for k in range(0, len(hidden), 16 * net.batch):
                     at = hidden[k:k + 16 * net.batch]
-                    sides.append(_sides(ids, at, net))
-                    targets.append(ids[at])
+                    chosen.append(at)
                     held += len(at)
                     if held >= 16 * net.batch:
+                        gather(row)
                         step()
+            gather(row)
         if held:
             step()
         if not steps:
@@ -426,16 +470,15 @@ def pseudo_likelihood(documents: DataFrame, net: WindowNetwork = WindowNetwork()
         (weights, kind, share, make_members(kind, share, net), vocabulary.bucket_shares()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         w, kind, share, members, bucket_shares = sent.value
         places = by_place(w)
-        for big in batches:
-            for at in range(0, big.num_rows, 128):
-                b = big.slice(at, 128)
-                ids = [np.frombuffer(x.as_py(), np.uint16) for x in b.column(2)]
-                value = score(places, w, kind, share, ids, net, members) + np.array([bucket_shares[x].sum() for x in ids])
-                yield pa.RecordBatch.from_arrays([
-                    b.column(0), b.column(1), pa.array([len(x) for x in ids], pa.int64()), pa.array(value, pa.float64())],
-                    names=["row", "doc_id", "n_tokens", "value"])
+        for b in _slices(batches, 2, TOKEN_BYTES):
+            ids = [np.frombuffer(x, np.uint16) for x in b.column(2).to_pylist()]
+            value = score(places, w, kind, share, ids, net, members) + np.array([bucket_shares[x].sum() for x in ids])
+            yield pa.RecordBatch.from_arrays([
+                b.column(0), b.column(1), pa.array([len(x) for x in ids], pa.int64()), pa.array(value, pa.float64())],
+                names=["row", "doc_id", "n_tokens", "value"])
 
     out = scored.select("row", "doc_id", "tokens").mapInArrow(run, "row long, doc_id long, n_tokens long, value double")
     # words counted once, or not at all, add log(1)

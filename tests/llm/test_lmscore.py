@@ -1,8 +1,13 @@
 import collections
 import math
+import os
+import pathlib
 import random
+import subprocess
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -207,3 +212,76 @@ def test_scores_do_not_depend_on_the_files(spark):
     df = spark.createDataFrame(_corpus(), "doc_id long, text string")
     one, other = ({r["doc_id"]: r["log_likelihood"] for r in M.pseudo_likelihood(x, net).collect()} for x in (df.coalesce(1), df.repartition(7)))
     assert one == pytest.approx(other, rel=1e-5, abs=1e-5)
+
+
+def test_words_are_cut_as_bytes_are_split():
+    """Also where texts are cut into slices, and at white space other than ASCII's, which parts nothing."""
+    texts = [None, "", "  two\tWords \n", "\x0b\x0c\r", "a\x1cb\x85c\u2003d\u00a0e", "ÄÖ ß Z\x00z İ", " ", "x" * 50, "two words " * 9, "w"]
+    want = [[xxhash.xxh64_intdigest(x) for x in (t or "").encode().lower().split()] for t in texts]
+    for most in (1, 20, 1 << 20):
+        for type in (pa.string(), pa.large_string()):
+            batch, got = pa.RecordBatch.from_arrays([pa.array([None, *texts], type)], names=["text"]).slice(1), []
+            for b in M._slices([batch, batch.slice(0, 0)], 0, most):
+                assert b.num_rows == 1 or pa.compute.sum(pa.compute.binary_length(b.column(0))).as_py() <= most
+                hashes, codes, ends = M.cut_words(b.column(0))
+                got += [hashes[codes[x:y]].view(np.uint64).tolist() for x, y in zip(ends[:-1], ends[1:], strict=True)]
+            assert got == want
+
+
+def test_logits_that_would_overflow():
+    """They are capped as before, and nothing becomes infinite."""
+    net = M.WindowNetwork(vocabulary=20, classes=6, single=4, width=8)
+    ids = np.arange(200) % 20
+    kind, share = M.make_classes(np.bincount(ids, minlength=20), net)
+    w = M.start_weights(net)
+    for k in ("embed", "out", "word"):
+        w[k] = 12 + w[k]   # hidden values of 1, logits near 96
+    g = {k: np.full_like(v, 1e-4) for k, v in w.items()}
+    members = M.make_members(kind, share, net)
+    with np.errstate(all="raise"):
+        M.train(w, g, M._sides(ids, np.arange(200), net), kind[ids], 0.05, ids, members)
+        assert np.isfinite(M.score(M.by_place(w), w, kind, share, [ids.astype(np.uint16)], net, members)).all()
+    assert all(np.isfinite(x).all() for x in (*w.values(), *g.values()))
+
+
+STEP = """
+import time
+import numpy as np
+from framewatch.llm import lmscore as M
+
+M.keep_freed()   # as the workers do
+net, draw = M.WindowNetwork(), np.random.default_rng(3)
+counts = (1e6 / np.arange(1, net.vocabulary + 1)).astype(np.int64)
+kind, share = M.make_classes(counts, net)
+members = M.make_members(kind, share, net)
+ids = draw.choice(net.vocabulary, 2 * net.batch, p=counts / counts.sum()).astype(np.uint16)
+at = np.arange(0, len(ids), 2)
+sides, target = M._sides(ids, at, net), ids[at]
+w = M.start_weights(net)
+g = {k: np.full_like(v, 1e-4) for k, v in w.items()}
+x, v = (draw.standard_normal((n, net.width)).astype(np.float32) for n in (512, 192))
+
+def bare():   # about what the two softmaxes of a step must reckon
+    for _ in range(net.batch // len(x)):
+        d = np.exp(x @ v.T)
+        d @ v
+        x.T @ d
+
+def least(run):
+    took = []
+    for _ in range(15):
+        start = time.process_time()
+        run()
+        took.append(time.process_time() - start)
+    return min(took)
+
+print(least(lambda: M.train(w, g, sides, kind[target], net.rate, target, members)) / least(bare))
+"""
+
+
+def test_a_step_takes_little_more_than_its_arithmetic():
+    """About three times as long; it was five times, most of it passes over the logits, sums by token and fresh memory."""
+    root = str(pathlib.Path(M.__file__).resolve().parents[2])
+    env = os.environ | {"PYTHONPATH": root, "OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"}
+    found = [float(subprocess.run([sys.executable, "-c", STEP], env=env, check=True, capture_output=True, timeout=120).stdout) for _ in range(3)]
+    assert min(found) < 4
